@@ -27,7 +27,7 @@ the tasks that scan that file read it.
 Between tasks go packed arrays, not rows: about 8 bytes a phrase in the filter,
 and each distinct phrase once per task. Memory of a task is bounded by
 ``PART_BYTES`` for parsing, ``FLUSH`` phrases for sending, and the total divided by
-``spark.sql.shuffle.partitions`` for sorting.
+``PARTS_EACH`` times ``spark.sql.shuffle.partitions`` for sorting.
 
 Defined cases: null text counts as empty; texts under ``LENGTH`` bytes lose
 nothing; rows without an id neither lose nor cause anything; rows that repeat
@@ -52,9 +52,10 @@ from .common import clean_text, cut, fresh_path, read_table
 LENGTH = 50
 TRIGGER = 24
 WINDOW = LENGTH - TRIGGER + 1
-PART_BYTES = 2 << 20
-FLUSH = 3_000_000
-FLUSH_PHRASES = 400_000
+PART_BYTES = 1 << 20
+FLUSH = 1_200_000
+FLUSH_PHRASES = 200_000
+PARTS_EACH = 3
 FILES_EACH = 16
 VERIFY_ROWS = 1 << 18
 
@@ -404,6 +405,18 @@ def send_phrases(source: DataFrame, folder: str, parts: int) -> DataFrame:
     return source.mapInPandas(run, "p int, ident binary, len binary, content binary, times binary, doc binary, f binary, files array<string>")
 
 
+def _fingerprints(content: np.ndarray) -> np.ndarray:
+    """A number for the LENGTH bytes at each place."""
+    h1 = BYTE[content]
+    h2 = h1[:-1] * _power(1) + h1[1:]
+    h4 = h2[:-2] * _power(2) + h2[2:]
+    h8 = h4[:-4] * _power(4) + h4[4:]
+    h16 = h8[:-8] * _power(8) + h8[8:]
+    h32 = h16[:-16] * _power(16) + h16[16:]
+    n = len(content) - LENGTH + 1
+    return mix(h32[:n] * _power(18) + h16[32 : 32 + n] * _power(2) + h2[48 : 48 + n])
+
+
 def suffix_classes(content: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The suffixes of phrases that are LENGTH or longer, sorted by their first LENGTH bytes.
 
@@ -411,16 +424,21 @@ def suffix_classes(content: np.ndarray, begin: np.ndarray, lens: np.ndarray) ->
     of them), and for each place in it whether a new class of equal prefixes begins.
     """
     n = lens - LENGTH + 1
-    phrase = np.repeat(np.arange(len(lens)), n)
-    start = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    h1 = BYTE[content]
-    h2 = h1[:-1] * _power(1) + h1[1:]
-    h4 = h2[:-2] * _power(2) + h2[2:]
-    h8 = h4[:-4] * _power(4) + h4[4:]
-    h16 = h8[:-8] * _power(8) + h8[8:]
-    h32 = h16[:-16] * _power(16) + h16[16:]
-    whole = mix(h32[: len(content) - LENGTH + 1] * _power(18) + (h16[32 : 32 + len(content) - LENGTH + 1] * _power(2) + h2[48 : 48 + len(content) - LENGTH + 1]))
-    finger = whole[start]
+    phrase = np.repeat(np.arange(len(lens), dtype=np.int32), n)
+    start = (np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))).astype(np.int32 if len(content) < 1 << 31 else np.int64)
+    finger = np.empty(len(start), np.uint64)
+    whole = np.empty(0, np.uint64)
+    ends = np.cumsum(n)
+    low = 0
+    while low < len(n):
+        # Phrases lie in order of ``begin``, so a run of them is a stretch of bytes.
+        high = max(low + 1, int(np.searchsorted(begin, begin[low] + PART_BYTES)))
+        base, top = int(begin[low]), int(begin[high - 1] + lens[high - 1])
+        whole = _fingerprints(content[base:top])
+        a, b = int(ends[low] - n[low]), int(ends[high - 1])
+        finger[a:b] = whole[start[a:b] - base]
+        low = high
+    del whole
     order = np.argsort(finger, kind="stable")
     same = np.zeros(len(order), dtype=bool)
     same[1:] = finger[order][1:] == finger[order][:-1]
@@ -462,6 +480,12 @@ def judge_phrases(sent: DataFrame, parts: int) -> DataFrame:
             begin = np.cumsum(n) - n
             ident, first, word = np.unique(every, return_index=True, return_inverse=True)
             occ = np.repeat(word, np.concatenate(times))
+            # In the order of their bytes, which suffix_classes() reads in stretches.
+            order = np.argsort(first, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            first, ident, occ = first[order], ident[order], rank[occ]
+            del every, word, idents, contents, docs
             earliest = np.full(len(ident), np.iinfo(np.int64).max)
             np.minimum.at(earliest, occ, d)
             n, begin = n[first], begin[first]
@@ -521,7 +545,7 @@ def covered(texts: list[bytes], ids: np.ndarray, marks: Marks) -> tuple[np.ndarr
 def repeat_marks(source: DataFrame) -> str:
     """Find the repeats of rows (f, doc_id, data); returns the folder that holds them by input file."""
     spark = source.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
     triggers, masks = fresh_path(spark, "triggers"), fresh_path(spark, "masks")
     file_marks(repeated_triggers(send_triggers(source, parts), parts), triggers)
     file_marks(judge_phrases(send_phrases(source, triggers, parts), parts), masks)
