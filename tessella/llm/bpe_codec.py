@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of byte ranges. Every mergeable neighbour pair
+A pre-token is a linked list of symbols. Every mergeable neighbour pair
 waits in the bucket of its merge rank; three levels of bitmaps over the buckets
 give the lowest non-empty rank by find-first-set. A popped position is skipped
 if its pair has changed since it was filed (a stale entry). Work is linear in
@@ -22,6 +22,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import clean_text, read_table
 
-KEPT_EACH = 250_000
+KEPT_EACH = 500_000
 KEPT_LENGTH = 64
 WORD = 63
 
@@ -47,30 +48,41 @@ class RankQueue:
         bucket = self.buckets[rank]
         if bucket:
             heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
+        elif bucket is None:
+            self.buckets[rank] = [position]
+            self._mark(rank)
+        else:
+            bucket.append(position)
+            self._mark(rank)
+
+    def _mark(self, rank: int) -> None:
         word = rank >> 6
+        if not self.low[word]:
+            over = word >> 6
+            if not self.mid[over]:
+                self.top |= 1 << over
+            self.mid[over] |= 1 << (word & WORD)
         self.low[word] |= 1 << (rank & WORD)
-        self.mid[word >> 6] |= 1 << (word & WORD)
-        self.top |= 1 << (word >> 6)
 
     def pop(self) -> tuple[int, int] | None:
-        if not self.top:
+        top = self.top
+        if not top:
             return None
-        i = (self.top & -self.top).bit_length() - 1
+        i = (top & -top).bit_length() - 1
         bits = self.mid[i]
         word = (i << 6) + (bits & -bits).bit_length() - 1
         bits = self.low[word]
         rank = (word << 6) + (bits & -bits).bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self.low[word] = bits = bits & (bits - 1)
-            if not bits:
-                self.mid[i] &= self.mid[i] - 1 if word & WORD == (self.mid[i] & -self.mid[i]).bit_length() - 1 else ~(1 << (word & WORD))
-                if not self.mid[i]:
-                    self.top &= ~(1 << i)
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        # The lowest bit of each level that runs empty goes.
+        self.low[word] = bits & (bits - 1)
+        if not self.low[word]:
+            self.mid[i] &= self.mid[i] - 1
+            if not self.mid[i]:
+                self.top &= top - 1
+        return rank, bucket.pop()
 
 
 class Codec:
@@ -83,6 +95,12 @@ class Codec:
         self.words = [b""] * (max(ranks.values()) + 1)
         for word, rank in ranks.items():
             self.words[rank] = word
+        self.byte_ids = [ranks[bytes([b])] for b in range(256)]
+        # Every way to make a token of two, by their ids.
+        self.pairs = {
+            ranks[word[:i]] << 32 | ranks[word[i:]]: rank
+            for word, rank in ranks.items() for i in range(1, len(word)) if word[:i] in ranks and word[i:] in ranks
+        }
         self.find = regex.compile(pattern).findall
         self.queue = RankQueue(len(self.words))
         self.young, self.old = _Young(self), {}
@@ -92,42 +110,47 @@ class Codec:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        get, queue = self.ranks.get, self.queue
-        push, pop = queue.push, queue.pop
-        n = len(piece)
-        end = list(range(1, n + 1))  # a live symbol at i covers piece[i:end[i]]
+        get, queue = self.pairs.get, self.queue
+        push, pop, buckets = queue.push, queue.pop, queue.buckets
+        one = self.byte_ids
+        ids = [one[b] for b in piece]
+        n = len(ids)
+        end = list(range(1, n + 1))  # the place after the live symbol that starts at i
         before = list(range(-1, n))
-        filed = [-1] * n  # rank of the pair that starts at i
-        for i in range(n - 1):
-            rank = get(piece[i : i + 2])
-            if rank is not None:
-                filed[i] = rank
-                push(rank, i)
+        # The rank of the pair that starts at each place.
+        filed = [get(left << 32 | right, -1) for left, right in zip(ids, ids[1:], strict=False)]
+        filed.append(-1)
+        for i, rank in enumerate(filed):
+            if rank >= 0:
+                if buckets[rank]:
+                    buckets[rank].append(i)  # places only grow here, so the bucket stays a heap
+                else:
+                    push(rank, i)
         while (found := pop()) is not None:
             rank, i = found
             if filed[i] != rank:
                 continue
             right = end[i]
             stop = end[i] = end[right]
-            filed[right] = filed[i] = -1
+            ids[i] = rank
+            filed[right] = -1
             if stop < n:
                 before[stop] = i
-                new = get(piece[i : end[stop]])
-                if new is not None:
-                    filed[i] = new
+                new = filed[i] = get(rank << 32 | ids[stop], -1)
+                if new >= 0:
                     push(new, i)
+            else:
+                filed[i] = -1
             left = before[i]
             if left >= 0:
-                new = get(piece[left:stop])
-                if new is None:
-                    filed[left] = -1
-                elif filed[left] != new:
+                new = get(ids[left] << 32 | rank, -1)
+                if filed[left] != new:
                     filed[left] = new
-                    push(new, left)
+                    if new >= 0:
+                        push(new, left)
         out, i = [], 0
-        ranks = self.ranks
         while i < n:
-            out.append(ranks[piece[i : end[i]]])
+            out.append(ids[i])
             i = end[i]
         return out
 
@@ -149,7 +172,7 @@ class _Young(dict):
         codec = self.codec
         known = codec.old.get(piece)
         if known is None:
-            known = np.array(codec.merge(piece.encode()), dtype="<u4").tobytes()
+            known = pack(f"<{len(ids := codec.merge(piece.encode()))}I", *ids)
             if len(piece) > KEPT_LENGTH:
                 return known
         if len(self) >= KEPT_EACH:
