@@ -1,4 +1,4 @@
-"""Shared helpers: table access, the cluster's shared folder, cut points."""
+"""Shared helpers: batch bounds, table access, the cluster's shared folder, cut points."""
 
 from __future__ import annotations
 
@@ -9,10 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
 _own_dir: dict[str, str] = {}
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of at most BATCH_ROWS rows."""
+    spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
