@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import jaccard_join, packing, pii, quality_model, suffix_dedup
-from tessella.llm.common import fresh_path, read_table
+from tessella.llm.common import bound_batches, fresh_path, read_table
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -23,23 +23,28 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     model = quality_model.train(docs, read_table(spark, sf_dir, "labels"))
     return quality_model.score(docs, model).where(F.col("score") >= 0.5).drop("score")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return jaccard_join.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return _with_length(suffix_dedup.remove_repeats(docs))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return _with_length(pii.mask(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return packing.pack_documents(docs, packing.default_tokenizer())
 
 
