@@ -1,0 +1,142 @@
+"""Prerequisite graphs: violations of an order, scores, cuts, cycles, and a bounded reorder.
+
+Edges are (src, dst): src must come before dst. An order is (pos, node); a node
+that is listed twice counts at its last place.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+FORWARD, DISTANCE, FIRST = 2.0, 5.0, 0.5
+
+
+def edges_of(nodes: DataFrame) -> DataFrame:
+    """Edges of rows node, before (nodes it precedes) and after (nodes it follows)."""
+    ahead = nodes.select(F.col("node").alias("src"), F.explode("before").alias("dst"))
+    behind = nodes.select(F.explode("after").alias("src"), F.col("node").alias("dst"))
+    return ahead.unionByName(behind).distinct()
+
+
+def positions(order: DataFrame) -> DataFrame:
+    return order.groupBy("node").agg(F.max("pos").alias("pos"))
+
+
+def violations(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """src, dst, src_pos, dst_pos, distance of edges that run backwards in the order."""
+    p = positions(order)
+    a = p.select(F.col("node").alias("_a"), F.col("pos").alias("src_pos"))
+    b = p.select(F.col("node").alias("_b"), F.col("pos").alias("dst_pos"))
+    joined = edges.join(a, F.col("src") == F.col("_a")).join(b, F.col("dst") == F.col("_b"))
+    return joined.where("src_pos > dst_pos").select("src", "dst", "src_pos", "dst_pos", (F.col("src_pos") - F.col("dst_pos")).alias("distance"))
+
+
+def violation_scores(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """Add score: constraints on both ends, nearness, and the relative place."""
+    degree = edges.select(F.col("src").alias("n")).unionAll(edges.select("dst")).groupBy("n").agg(F.count("*").alias("d"))
+    n = positions(order).agg(F.max("pos").alias("_last"))
+    v = violations(edges, order)
+    v = v.join(degree.select(F.col("n").alias("_s"), F.col("d").alias("ds")), F.col("src") == F.col("_s"))
+    v = v.join(degree.select(F.col("n").alias("_t"), F.col("d").alias("dt")), F.col("dst") == F.col("_t")).crossJoin(n)  # one row
+    score = FORWARD * (F.col("ds") + F.col("dt")) + DISTANCE / (1 + F.col("distance")) + FIRST * (1 - F.col("dst_pos") / (F.col("_last") + 1))
+    return v.select("src", "dst", "src_pos", "dst_pos", "distance", F.round(score, 9).alias("score"))
+
+
+def cascade_impact(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """For each violation, how many violations fewer (or more) moving src right before dst leaves."""
+    v = violations(edges, order)
+    before = v.count()
+    p = positions(order)
+    moves = v.select(F.col("src").alias("m"), F.col("src_pos").alias("m_from"), "dst", F.col("dst_pos").alias("m_to"))
+    # Only edges of nodes in the moved stretch can change: those that end at m.
+    own = edges.join(p.select(F.col("node").alias("_a"), F.col("pos").alias("a")), F.col("src") == F.col("_a"))
+    own = own.join(p.select(F.col("node").alias("_b"), F.col("pos").alias("b")), F.col("dst") == F.col("_b")).select(F.col("src").alias("s"), F.col("dst").alias("d"), "a", "b")
+    out = moves.join(own, (F.col("m") == F.col("s")) | (F.col("m") == F.col("d")))
+    new_a = F.when(F.col("s") == F.col("m"), F.col("m_to") - 0.5).otherwise(F.col("a"))
+    new_b = F.when(F.col("d") == F.col("m"), F.col("m_to") - 0.5).otherwise(F.col("b"))
+    change = F.when(F.col("a") > F.col("b"), 1).otherwise(0) - F.when(new_a > new_b, 1).otherwise(0)
+    return out.groupBy(F.col("m").alias("src"), "dst").agg(F.sum(change).cast("long").alias("impact"), F.lit(before).cast("long").alias("n_before"))
+
+
+def split_edges(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """Edges with their places and whether they run backwards (the ones to cut)."""
+    back = violations(edges, order).select(F.col("src").alias("_s"), F.col("dst").alias("_d"), "distance")
+    joined = edges.join(back, (F.col("src") == F.col("_s")) & (F.col("dst") == F.col("_d")), "left")
+    return joined.select("src", "dst", F.col("_s").isNotNull().alias("cut"), "distance")
+
+
+def cut_report(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """src and the sorted targets to cut, as an array and as JSON."""
+    cuts = split_edges(edges, order).where("cut").groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("cuts"))
+    return cuts.withColumn("json", F.to_json(F.struct("src", "cuts")))
+
+
+def constraint_names(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """node and state: constrained nodes that the order lacks, listed nodes without a constraint."""
+    used = edges.select(F.col("src").alias("node")).unionAll(edges.select("dst")).distinct()
+    listed = order.select("node").distinct()
+    missing = used.join(listed, "node", "left_anti").withColumn("state", F.lit("missing"))
+    return missing.unionByName(listed.join(used, "node", "left_anti").withColumn("state", F.lit("free")))
+
+
+def reachability(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """All pairs (src, dst) with a path, by doubling; each round is cut from its lineage."""
+    reach = edges.select("src", "dst").distinct().checkpoint()
+    size = reach.count()
+    for _ in range(max_rounds):
+        step = reach.select(F.col("src").alias("_m"), F.col("dst").alias("_t"))
+        longer = reach.join(step, F.col("dst") == F.col("_m")).select("src", F.col("_t").alias("dst"))
+        reach = reach.union(longer).distinct().checkpoint()
+        grown = reach.count()
+        if grown == size:
+            break
+        size = grown
+    return reach
+
+
+def cycles(edges: DataFrame) -> DataFrame:
+    """node and component (its least node) of strongly connected components with two or more nodes."""
+    reach = reachability(edges)
+    back = reach.select(F.col("src").alias("_s"), F.col("dst").alias("_d"))
+    mutual = reach.join(back, (F.col("src") == F.col("_d")) & (F.col("dst") == F.col("_s"))).where("src <> dst")
+    return mutual.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("component"))
+
+
+def reorder(order: list[str], before: dict[str, list[str]], after: dict[str, list[str]], max_edits: int = 10, place: str = "best_position") -> tuple[list[str], list[str]]:
+    """A bounded repair of a curated list, in the driver: drop unknown nodes, insert missing ones, move the worst violators.
+
+    The list is a catalogue's order (thousands of names); what it is scored from
+    can be computed by the functions above. Returns the list and the changes.
+    """
+    nodes = before.keys() | after.keys()
+    first = {(a, b) for a, bs in before.items() for b in bs} | {(a, b) for b, xs in after.items() for a in xs}
+    changes = [f"remove {n}" for n in order if n not in nodes]
+    out = list({n: None for n in order if n in nodes})
+    for node in sorted(nodes - set(out)):
+        at = _insertion(out, node, first, place)
+        out.insert(at, node)
+        changes.append(f"insert {node} at {at}")
+    where = {n: i for i, n in enumerate(out)}
+    degree = {n: sum(n in e for e in first) for n in nodes}
+    bad = [(a, b) for a, b in first if a in where and b in where and where[a] > where[b]]
+    weight = lambda e: FORWARD * (degree[e[0]] + degree[e[1]]) + DISTANCE / (1 + where[e[0]] - where[e[1]]) + FIRST * (1 - where[e[1]] / len(out))
+    for a, b in sorted(bad, key=lambda e: (-weight(e), e))[:max_edits]:
+        if out.index(a) > out.index(b):
+            out.remove(a)
+            out.insert(out.index(b), a)
+            changes.append(f"move {a} before {b}")
+    return out, changes
+
+
+def _insertion(order: list[str], node: str, first: set[tuple[str, str]], place: str) -> int:
+    if place == "end":
+        return len(order)
+    later = [i for i, n in enumerate(order) if (node, n) in first]
+    earlier = [i for i, n in enumerate(order) if (n, node) in first]
+    if place == "constraint_based":
+        return max(earlier) + 1 if earlier else min(later) if later else len(order)
+    if place != "best_position":
+        raise ValueError(f"unknown placement: {place}")
+    kept = [sum(i >= at for i in later) + sum(i < at for i in earlier) for at in range(len(order) + 1)]
+    return kept.index(max(kept))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import relational
+from .plans import documents, events, graphs, learned, relational, texts
 
-FLAGSHIP = "label_frequency"
-MODULES = (relational,)
+FLAGSHIP = "full_outer_merge_ranked_ids"
+MODULES = (relational, texts, documents, graphs, events, learned)
 
 
 def _all() -> dict[str, tuple]:

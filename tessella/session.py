@@ -23,6 +23,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings and send the package to the executors, once per application."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessella-checkpoint-"))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parent
