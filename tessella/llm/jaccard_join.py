@@ -363,13 +363,15 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stand for their class; rows that repeat id and text stay once."""
     classes = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    own, kept_id, kept_key = "_tessella_key", "_tessella_id", "_tessella_kept"
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(kept_id), F.col("key").alias(kept_key)).distinct()
     kept = cut(kept, "kept")
-    keyed = docs.withColumn("_own", text_key(clean_text(F.col(text_col))))
-    joined = keyed.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
-    if joined.select(id_col, "_own").groupBy(id_col, "_own").count().where("count > 1").isEmpty():
-        return joined.drop("_own")
-    return joined.dropDuplicates([id_col, "_own"]).drop("_own")
+    keyed = docs.withColumn(own, text_key(clean_text(F.col(text_col))))
+    joined = keyed.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_key)), "left_semi")
+    rows = docs.select(F.col(id_col).alias("i"), text_key(clean_text(F.col(text_col))).alias("k"))
+    if rows.groupBy("i", "k").count().where("count > 1").isEmpty():
+        return joined.drop(own)
+    return joined.dropDuplicates([id_col, own]).drop(own)
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

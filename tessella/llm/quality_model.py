@@ -13,6 +13,7 @@ function. Scoring is one pass over the texts without a shuffle.
 
 Defined cases: null text counts as empty and is scored as an empty passage;
 several labels of one document count by their mean, null labels not at all;
+of rows that repeat a labelled id the least text trains;
 a null doc_id is not held out and never trains; without labels every score is
 0.5, with labels of one value the score is near that value; an empty table
 gives an empty table; other columns are ignored.
@@ -212,8 +213,9 @@ def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.avg("quality").alias("_q"))
     order = F.xxhash64("_id"), F.col("_id")
     sample = known.where(fold(F.col("_id")) != HELD_FOLD).orderBy(*order).limit(max_docs)
-    rows = docs.join(F.broadcast(sample), docs["doc_id"] == sample["_id"])  # at most max_docs rows of two numbers
-    rows = rows.select("_id", "_q", clean_text(docs["text"]).cast("binary").alias("data")).dropDuplicates(["_id"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), clean_text(F.col("text")).cast("binary").alias("data"))
+    rows = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id"))  # at most max_docs rows of two numbers
+    rows = rows.groupBy("_id", "_q").agg(F.min("data").alias("data"))
     # The sample is bounded, so one task may order it.
     so_far = F.sum(F.octet_length("data")).over(Window.orderBy(F.xxhash64("_id"), F.col("_id")))
     rows = rows.withColumn("_sum", so_far).where(F.col("_sum") <= max_bytes)
@@ -235,8 +237,8 @@ def train(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
     return fit(x, first, np.array([y for _, y, _ in rows], dtype=np.float32))
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The table with a column ``score``."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """The table with a column of scores."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
@@ -246,7 +248,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             out[run] = model.score(*bag_features([data[i] for i in run]))
         return pd.Series(out)
 
-    return docs.withColumn("score", scored(clean_text(F.col(text_col))))
+    return docs.withColumn(score_col, scored(clean_text(F.col(text_col))))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,8 @@ FLUSH_PHRASES = 200_000
 PARTS_EACH = 3
 FILES_EACH = 16
 VERIFY_ROWS = 1 << 18
+#: Columns that pass through a table with any columns of its own.
+FILE, NEW = "_tessella_file", "_tessella_kept"
 
 K = 0x9E3779B97F4A7C15
 POSITION = np.uint64((1 << 24) - 1)
@@ -555,14 +557,14 @@ def repeat_marks(source: DataFrame) -> str:
 def with_files(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The table, written to the shared folder unless it is a plain file scan, and its column of input files."""
     try:
-        return docs, docs.withColumn("f", F.md5(F.col("_metadata.file_path")))
+        return docs, docs.withColumn(FILE, F.md5(F.col("_metadata.file_path")))
     except AnalysisException:
         docs = cut(docs, "input")
-        return docs, docs.withColumn("f", F.md5(F.col("_metadata.file_path")))
+        return docs, docs.withColumn(FILE, F.md5(F.col("_metadata.file_path")))
 
 
 def _source(named: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return named.select("f", F.col(id_col).cast("long").alias("doc_id"), clean_text(F.col(text_col)).cast("binary").alias("data"))
+    return named.select(F.col(FILE).alias("f"), F.col(id_col).cast("long").alias("doc_id"), clean_text(F.col(text_col)).cast("binary").alias("data"))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
@@ -614,8 +616,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     usable = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
     # Rows without id or text pass through; the function sees empty data for them.
-    safe = named.withColumn("_new", kept("f", F.coalesce(F.col(id_col).cast("long"), F.lit(0)), clean_text(F.when(usable, F.col(text_col))).cast("binary")))
-    return safe.withColumn(text_col, F.when(usable, F.col("_new")).otherwise(F.col(text_col))).drop("_new", "f")
+    safe = named.withColumn(NEW, kept(FILE, F.coalesce(F.col(id_col).cast("long"), F.lit(0)), clean_text(F.when(usable, F.col(text_col))).cast("binary")))
+    return safe.withColumn(text_col, F.when(usable, F.col(NEW)).otherwise(F.col(text_col))).drop(NEW, FILE)
 
 
 @lru_cache(maxsize=1)
