@@ -25,7 +25,8 @@ def _with_length(docs: DataFrame) -> DataFrame:
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     model = quality_model.train(docs, read_table(spark, sf_dir, "labels"))
-    return quality_model.score(docs, model).where(F.col("score") >= 0.5).drop("score")
+    own = "_tessella_score"
+    return quality_model.score(docs, model, score_col=own).where(F.col(own) >= 0.5).drop(own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
