@@ -28,10 +28,10 @@ def trim_space(text: Column) -> Column:
 
 def strip_quotes(text: Column, levels: int = NESTED_QUOTES) -> Column:
     """Without matching outer quotes, up to ``levels`` of them."""
+    pattern = "(?s)^(?:" + "|".join(f"{q[0]}(.*){q[1]}" for q in QUOTES) + ")$"
+    inside = "".join(f"${i}" for i in range(1, len(QUOTES) + 1))  # the groups of other pairs are empty
     for _ in range(levels):
-        n = F.length(text)
-        quoted = reduce(lambda a, b: a | b, [text.startswith(q[0]) & text.endswith(q[1]) for q in QUOTES])
-        text = F.when((n >= 2) & quoted, F.substring(text, F.lit(2), n - 2)).otherwise(text)
+        text = F.regexp_replace(text, pattern, inside)
     return text
 
 

@@ -18,11 +18,11 @@ from ..functions import text as tx
 
 def whole_files(spark: SparkSession, folder: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
     """path, name, content of a folder's files; an absent folder gives no rows."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
-        found = reader.text(folder)
+        found = reader.text(folder, wholetext=True)
     except AnalysisException:
         return spark.createDataFrame([], "path string, name string, content string")
     return found.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("content"))

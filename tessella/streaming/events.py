@@ -65,9 +65,14 @@ def sessions(events: DataFrame, time: str, gap: str, key: str) -> DataFrame:
     return events.groupBy(window.alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), "n")
 
 
-def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Drain a stream into a memory table and return it."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str, once: bool = False) -> DataFrame:
+    """Drain a stream into a memory table and return it.
+
+    ``once`` runs a single batch: reducers with a processing-time timeout always
+    ask for another one, so for them draining would not end.
+    """
+    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
+    query = (writer.trigger(once=True) if once else writer.trigger(availableNow=True)).start()
     query.awaitTermination()
     return stream.sparkSession.table(name)
 
