@@ -183,7 +183,9 @@ def estimate_mcd(rows: DataFrame, c_steps: int = C_STEPS) -> DataFrame:
     for _ in range(c_steps):
         measured = _with_distance(rows.join(params, ["g_lang", "g_source"]))
         bound = measured.groupBy(*keys).agg(F.percentile_approx("d2", SUPPORT, 10000).alias("bound"))
-        inside = measured.join(bound.select(*(F.col(k).alias(f"_{k}") for k in keys), "bound"), [F.col(k) == F.col(f"_{k}") for k in keys])
+        # The bound joins the few parameters, not the rows, so that no rows are dealt by group after an aggregation.
+        held = cut(params.join(bound, keys), "mcd-bound")
+        inside = _with_distance(rows.join(held, ["g_lang", "g_source"]))
         params = cut(_scatter(inside.where("d2 <= bound"), keys), "mcd-step")
     best = params.groupBy("g_lang", "g_source").agg(F.min_by(F.struct(*params.columns), F.struct("log_det", "start")).alias("p")).select("p.*")
     best = cut(best.drop("start"), "mcd-best")
