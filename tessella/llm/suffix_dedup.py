@@ -10,7 +10,10 @@ bytes, so every string lies in exactly one phrase, and equal strings have equal
 triggers at equal distance wherever they occur.
 
 *Filter.* Trigger hashes of all documents are dealt out by value; only phrases
-whose trigger occurs in two documents go on.
+whose trigger occurs in two documents go on. A trigger with more than ``HOT``
+occurrences (a passage that many documents share) is hot: its phrases are cut
+into their single strings, which are dealt out by their own bytes, so the many
+variants at the ends of such a passage spread over all tasks.
 
 *Dictionary.* Distinct phrases, with the documents of each (the parse), are
 dealt out by trigger. The suffixes of a dictionary that are at least ``LENGTH``
@@ -20,6 +23,12 @@ prefixes matter). With the parse each class has its first document in corpus
 order, and a phrase in a document gets a bit mask of the strings that start
 earlier.
 
+Before anything is dealt out, occurrences are combined: a trigger or phrase goes
+once per task and input file, with the smallest and the largest of its documents
+there. What comes back for a phrase and a file is the strings that start earlier
+than all those documents, and for other strings the document after which they
+count. So a string in a third of all documents costs its tasks, not its documents.
+
 *Cut.* Masks go back to the texts. Texts themselves are never shuffled: what is
 dealt back is filed by the input file of a document in the shared folder, and
 the tasks that scan that file read it.
@@ -57,12 +66,17 @@ FLUSH = 1_200_000
 FLUSH_PHRASES = 200_000
 PARTS_EACH = 3
 FILES_EACH = 16
+HOT = 1 << 16
 VERIFY_ROWS = 1 << 18
 #: Columns that pass through a table with any columns of its own.
 FILE, NEW = "_tessella_file", "_tessella_kept"
 
 K = 0x9E3779B97F4A7C15
 POSITION = np.uint64((1 << 24) - 1)
+NONE = np.iinfo(np.int64).min
+#: In a filed value beside the WINDOW bits of strings: documents after the filed one only, whose number has a high word; more strings follow.
+AFTER, HIGH, MORE = (np.uint32(1 << b) for b in (29, 30, 31))
+STRINGS = np.uint32((1 << WINDOW) - 1)
 BYTE = np.random.default_rng(515253).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -133,6 +147,19 @@ class Phrases:
         self.doc = doc[own]
         self.at = self.lo - starts[own] + offset[own]
 
+    def split(self, hot: np.ndarray) -> None:
+        """Cut the phrases where ``hot`` is set into phrases of one string; ``alone`` tells which those are."""
+        self.alone = hot
+        if not hot.any():
+            return
+        n = np.where(hot, self.hi - self.lo + 1, 1)
+        own = np.repeat(np.arange(len(n)), n)
+        step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+        self.alone = hot[own]
+        self.lo, self.at = self.lo[own] + step, self.at[own] + step
+        self.hi = np.where(self.alone, self.lo, self.hi[own])
+        self.trigger, self.hash, self.doc = self.trigger[own], self.hash[own], self.doc[own]
+
     def identity(self) -> np.ndarray:
         """A number for each phrase's trigger hash and bytes."""
         up, down = _powers()
@@ -166,9 +193,19 @@ def parse(texts: list[bytes]) -> Iterator[Phrases]:
         yield made()
 
 
-def tie(identity: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
-    """A number for a phrase or trigger in a document."""
-    return mix(identity ^ mix(doc_id.astype(np.uint64) + np.uint64(77)))
+def filed_key(identity: np.ndarray, turn: int, word: int) -> np.ndarray:
+    """The key of a phrase's values: of each turn the strings, and the low and high word of a document's number."""
+    return mix(identity + np.uint64((3 * turn + word) * 0x9E6C63D0876A9A47 & (1 << 64) - 1))
+
+
+def extremes(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each distinct key, in order: the key, its number of rows, and its smallest and largest document."""
+    if not len(key):
+        return key, np.zeros(0, np.int64), doc, doc
+    order = np.argsort(key)
+    key, doc = key[order], doc[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.diff(np.append(first, len(key))), np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
 
 
 # --- filing by input file ---------------------------------------------------
@@ -223,10 +260,10 @@ class Marks:
 
         store, root = fs.FileSystem.from_uri(self.folder)
         keys, values = [], []
-        for b in range(FILES_EACH):
-            if store.get_file_info(f"{root}/{f}-{b}").type != fs.FileType.File:
+        for info in store.get_file_info([f"{root}/{f}-{b}" for b in range(FILES_EACH)]):
+            if info.type != fs.FileType.File:
                 continue
-            with store.open_input_stream(f"{root}/{f}-{b}") as source:
+            with store.open_input_stream(info.path) as source:
                 data = source.read()
             n = int(np.frombuffer(data[:8], "<i8")[0])
             keys.append(np.frombuffer(data, "<u8", n, 8))
@@ -246,6 +283,21 @@ class Marks:
         return self.keys[at] == key, at
 
 
+class Found:
+    """What the passes filed in a folder: triggers, the hot ones among them, and masks."""
+
+    def __init__(self, folder: str):
+        self.triggers, self.hot, self.masks = Marks(f"{folder}/triggers"), Marks(f"{folder}/triggers"), Marks(f"{folder}/masks")
+
+    def load(self, f: str) -> None:
+        self.hot.load(f"{f}-hot")
+        self.masks.load(f)
+
+    def split(self, part: Phrases) -> Phrases:
+        part.split(self.hot.find(part.hash >> np.uint64(16))[0])
+        return part
+
+
 # --- the four passes ---------------------------------------------------------
 
 
@@ -260,28 +312,42 @@ def _per_file(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, np.ndarray
 
 
 def send_triggers(source: DataFrame, parts: int) -> DataFrame:
-    """Packed arrays of all trigger hashes, dealt by value: p, hash (6 bytes each), doc, n, f, files."""
+    """Packed arrays of trigger hashes (6 bytes each), dealt by value.
+
+    Per p: hash, once for the first and once for another last document of a file;
+    doc, n, f (runs of hashes of one document and file); files; again (hashes that
+    occur more often in a file) and times (how often).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, docs, files, names = [], [], [], {}
         size = 0
 
         def flush() -> pd.DataFrame:
-            h, d, f = np.concatenate(hashes), np.concatenate(docs), np.concatenate(files)
-            p = (h >> np.uint64(16)) % np.uint64(parts)
-            order = np.lexsort((h, d, p))
+            f = np.concatenate(files)
+            key, n, least, most = extremes((np.concatenate(hashes) & ~np.uint64(0xFFFF)) | f, np.concatenate(docs))
+            again = n > 1
+            again, times = key[again] >> np.uint64(16), n[again]
+            deal = again % np.uint64(parts)
+            order = np.argsort(deal, kind="stable")
+            again, times, deal = again[order], times[order], deal[order]
+            other = most > least
+            key, d = np.concatenate([key, key[other]]), np.concatenate([least, most[other]])
+            h, f = key >> np.uint64(16), key & np.uint64(0xFFFF)
+            p = h % np.uint64(parts)
+            order = np.lexsort((d, f, p))
             h, d, f, p = h[order], d[order], f[order], p[order]
-            # A trigger counts once a document.
-            fresh = np.ones(len(h), dtype=bool)
-            fresh[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-            h, d, f, p = h[fresh], d[fresh], f[fresh], p[fresh]
             bounds = np.append(np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])), len(p))
             rows = []
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                own, at, n = np.unique(d[a:b], return_index=True, return_counts=True)
-                packed = (h[a:b] >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                rows.append((int(p[a]), packed, own.astype("<i8").tobytes(), n.astype("<u4").tobytes(), f[a:b][at].astype("<u2").tobytes(), list(names)))
-            return pd.DataFrame(rows, columns=["p", "hash", "doc", "n", "f", "files"])
+                new = np.concatenate([[True], (d[a + 1 : b] != d[a : b - 1]) | (f[a + 1 : b] != f[a : b - 1])])
+                run = a + np.flatnonzero(new)
+                lo, hi = np.searchsorted(deal, [p[a], p[a] + np.uint64(1)])
+                rows.append((
+                    int(p[a]), pack(h[a:b]), d[run].astype("<i8").tobytes(), np.diff(np.append(run, b)).astype("<u4").tobytes(),
+                    f[run].astype("<u2").tobytes(), list(names), pack(again[lo:hi]), times[lo:hi].astype("<u4").tobytes(),
+                ))
+            return pd.DataFrame(rows, columns=["p", "hash", "doc", "n", "f", "files", "again", "times"])
 
         for name, ids, texts in _per_file(batches):
             number = names.setdefault(name, len(names))
@@ -296,36 +362,57 @@ def send_triggers(source: DataFrame, parts: int) -> DataFrame:
         if size:
             yield flush()
 
-    return source.mapInPandas(run, "p int, hash binary, doc binary, n binary, f binary, files array<string>")
+    return source.mapInPandas(run, "p int, hash binary, doc binary, n binary, f binary, files array<string>, again binary, times binary")
+
+
+def pack(h: np.ndarray) -> bytes:
+    """Six bytes of each number."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
 
+def unpack(data: bytes) -> np.ndarray:
+    raw = np.zeros((len(data) // 6, 8), np.uint8)
+    raw[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return raw.view("<u8").ravel()
 
-def repeated_triggers(sent: DataFrame, parts: int) -> DataFrame:
-    """For triggers in two documents or more: f, b, key (packed ties), value (empty)."""
+
+def repeated_triggers(sent: DataFrame, parts: int, hot: int) -> DataFrame:
+    """For triggers in two documents or more: f, b, key (packed hashes), value (empty); hot ones again under f-hot."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come sorted by p; a partition may hold several.
         p_now, held = None, []
 
         def flush() -> Iterator[pd.DataFrame]:
-            hashes, docs, files, names = [], [], [], {}
-            for packed, doc, n, f, its in held:
-                raw = np.zeros((len(packed) // 6, 8), np.uint8)
-                raw[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
-                hashes.append(raw.view("<u8").ravel())
+            hashes, docs, files, often, counts, names = [], [], [], [], [], {}
+            for packed, doc, n, f, its, again, times in held:
+                hashes.append(unpack(packed))
                 n = np.frombuffer(n, "<u4")
                 docs.append(np.repeat(np.frombuffer(doc, "<i8"), n))
                 table = np.array([names.setdefault(x, len(names)) for x in its])
                 files.append(np.repeat(table[np.frombuffer(f, "<u2")], n))
+                often.append(unpack(again))
+                counts.append(np.frombuffer(times, "<u4"))
             h, d, f = np.concatenate(hashes), np.concatenate(docs), np.concatenate(files)
             order = np.argsort(h, kind="stable")
             h, d, f = h[order], d[order], f[order]
             first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             several = np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first)
-            keep = np.repeat(several, np.diff(np.append(first, len(h))))
-            yield from by_file(tie(h[keep], d[keep]), f[keep], list(names), p_now)
+            n = np.diff(np.append(first, len(h)))
+            # A file's first and last document count twice at most; that only makes a trigger hot a little earlier.
+            total = n + np.bincount(np.searchsorted(h[first], np.concatenate(often)), np.concatenate(counts), len(first))
+            keep, heat = np.repeat(several, n), np.repeat(total > hot, n)
+            h, f, heat = h[keep], f[keep], heat[keep]
+            order = np.lexsort((f, h))
+            h, f, heat = h[order], f[order], heat[order]
+            fresh = np.ones(len(h), dtype=bool)
+            fresh[1:] = (h[1:] != h[:-1]) | (f[1:] != f[:-1])
+            h, f, heat = h[fresh], f[fresh], heat[fresh]
+            yield from by_file(h, f, list(names), p_now)
+            yield from by_file(h[heat], f[heat], [f"{x}-hot" for x in names], p_now)
 
         for batch in batches:
-            for p, *row in zip(batch["p"], batch["hash"], batch["doc"], batch["n"], batch["f"], batch["files"], strict=True):
+            for p, *row in zip(*(batch[c] for c in ("p", "hash", "doc", "n", "f", "files", "again", "times")), strict=True):
                 if p != p_now:
                     if held:
                         yield from flush()
@@ -348,30 +435,33 @@ def by_file(key: np.ndarray, f: np.ndarray, names: list[str], p: int, value: np.
 
 
 def send_phrases(source: DataFrame, folder: str, parts: int) -> DataFrame:
-    """Phrases with a repeated trigger, each once per task, with its documents, dealt by trigger."""
+    """Phrases with a repeated trigger, each once per task, with the first and last of its documents in each file.
+
+    They are dealt by trigger, strings of hot triggers by their bytes.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        marks = Marks(folder)
+        filed = Found(folder)
         held: list[tuple] = []
         names: dict[str, int] = {}
         size = 0
 
         def flush() -> pd.DataFrame:
-            ident, h, n, d, f = (np.concatenate([x[i] for x in held]) for i in range(5))
+            ident, deal, n, d, f = (np.concatenate([x[i] for x in held]) for i in range(5))
             content = np.concatenate([x[5] for x in held])
             begin = np.concatenate([[0], np.cumsum(n)])[:-1]
             _, first, word = np.unique(ident, return_index=True, return_inverse=True)
-            p = ((h >> np.uint64(16)) % np.uint64(parts))[first]
+            p = (deal % np.uint64(parts))[first]
             by_part = np.argsort(p, kind="stable")
             place = np.empty(len(first), np.int64)
             place[by_part] = np.arange(len(first))
             first, p = first[by_part], p[by_part]
-            occ = place[word]
-            order = np.lexsort((d, occ))
-            occ, d, f = occ[order], d[order], f[order]
-            fresh = np.ones(len(occ), dtype=bool)
-            fresh[1:] = (occ[1:] != occ[:-1]) | (d[1:] != d[:-1])
-            occ, d, f = occ[fresh], d[fresh], f[fresh]
+            key, _, least, most = extremes(place[word] * len(names) + f, d)
+            other = most > least
+            key, d = np.concatenate([key, key[other]]), np.concatenate([least, most[other]])
+            order = np.argsort(key, kind="stable")
+            key, d = key[order], d[order]
+            occ, f = key // len(names), key % len(names)
             bounds = np.append(np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])), len(p))
             rows = []
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -384,17 +474,19 @@ def send_phrases(source: DataFrame, folder: str, parts: int) -> DataFrame:
             return pd.DataFrame(rows, columns=["p", "ident", "len", "content", "times", "doc", "f", "files"])
 
         for name, ids, texts in _per_file(batches):
-            marks.load(name)
+            filed.triggers.load(name)
+            filed.hot.load(f"{name}-hot")
             number = names.setdefault(name, len(names))
             for part in parse(texts):
-                own = ids[part.doc]
-                found, _ = marks.find(tie(part.hash >> np.uint64(16), own))
-                found = np.flatnonzero(found)
+                part = filed.split(part)
+                found = np.flatnonzero(filed.triggers.find(part.hash >> np.uint64(16))[0])
                 if not len(found):
                     continue
                 lens = part.hi[found] - part.lo[found] + LENGTH
                 index = np.repeat(part.lo[found] - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
-                held.append((part.identity()[found], part.hash[found], lens, own[found], np.full(len(found), number, np.uint16), part.data[index]))
+                ident = part.identity()[found]
+                deal = np.where(part.alone[found], mix(ident), part.hash[found] >> np.uint64(16))
+                held.append((ident, deal, lens, ids[part.doc[found]], np.full(len(found), number, np.int64), part.data[index]))
                 size += len(found)
                 if size >= FLUSH_PHRASES or len(names) > 60_000:
                     yield flush()
@@ -459,8 +551,39 @@ def suffix_classes(content: np.ndarray, begin: np.ndarray, lens: np.ndarray) ->
     return phrase, order, ~same
 
 
+def conditions(ident: np.ndarray, at: np.ndarray, n: np.ndarray, of_start: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, rows and values to file for phrases, of which some strings start earlier than some documents of a file.
+
+    ``at`` and ``n`` place a phrase's strings in ``of_start``, their first documents;
+    ``low`` and ``high`` are the file's first and last document with the phrase.
+    """
+    row = np.repeat(np.arange(len(n)), n)
+    bit = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    first = of_start[np.repeat(at, n) + bit]
+    some = first < high[row]
+    row, bit, first = row[some], bit[some], first[some]
+    # Strings that are earlier than the whole file need no condition.
+    first = np.where(first < low[row], NONE, first)
+    order = np.lexsort((first, row))
+    row, bit, first = row[order], bit[order], first[order]
+    new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] != first[:-1])]))
+    strings = np.add.reduceat(np.uint32(1) << bit.astype(np.uint32), new, dtype=np.uint32)
+    row, first = row[new], first[new]
+    head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    turn = np.arange(len(row)) - np.repeat(head, np.diff(np.append(head, len(row))))
+    low_word, high_word = (first & 0xFFFFFFFF).astype(np.uint32), (first >> 32 & 0xFFFFFFFF).astype(np.uint32)
+    after = first != NONE
+    strings |= np.where(after, AFTER, 0).astype(np.uint32) | np.where(after & (high_word > 0), HIGH, 0).astype(np.uint32)
+    strings[:-1] |= np.where(row[1:] == row[:-1], MORE, 0).astype(np.uint32)
+    out = []
+    for j in range(int(turn.max()) + 1):
+        for word, values, which in ((0, strings, turn == j), (1, low_word, (turn == j) & after), (2, high_word, (turn == j) & after & (high_word > 0))):
+            out.append((filed_key(ident[row[which]], j, word), row[which], values[which]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def judge_phrases(sent: DataFrame, parts: int) -> DataFrame:
-    """f, b, key (packed ties of phrase and document), value (packed masks of repeated strings)."""
+    """f, b, key (packed keys of phrases), value (packed strings that start earlier, and after which document)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p_now, held = None, []
@@ -499,18 +622,17 @@ def judge_phrases(sent: DataFrame, parts: int) -> DataFrame:
             n_starts = n - LENGTH + 1
             at = np.cumsum(n_starts) - n_starts
             last = np.maximum.reduceat(of_start, at)
-            some = np.minimum.reduceat(of_start, at) < d.max()
-            mask = np.where(last[occ] < d, (np.uint64(1) << n_starts[occ].astype(np.uint64)) - np.uint64(1), np.uint64(0))
-            part = np.flatnonzero((last[occ] >= d) & some[occ])
+            soonest = np.minimum.reduceat(of_start, at)
+            key, _, low, high = extremes(occ * len(names) + f, d)
+            occ, f = key // len(names), key % len(names)
+            whole = np.flatnonzero(last[occ] < low)
+            bits = (np.uint64(1) << n_starts[occ[whole]].astype(np.uint64)) - np.uint64(1)
+            yield from by_file(filed_key(ident[occ[whole]], 0, 0), f[whole], list(names), p_now, bits.astype(np.uint32))
+            part = np.flatnonzero((last[occ] >= low) & (soonest[occ] < high))
             for a in range(0, len(part), VERIFY_ROWS):
                 rows = part[a : a + VERIFY_ROWS]
-                many = n_starts[occ[rows]]
-                index = np.repeat(at[occ[rows]] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-                bit = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-                hit = (of_start[index] < np.repeat(d[rows], many)).astype(np.uint64) << bit.astype(np.uint64)
-                mask[rows] = np.add.reduceat(hit, np.cumsum(many) - many)
-            keep = mask > 0
-            yield from by_file(tie(ident[occ[keep]], d[keep]), f[keep], list(names), p_now, mask[keep])
+                keys, own, values = conditions(ident[occ[rows]], at[occ[rows]], n_starts[occ[rows]], of_start, low[rows], high[rows])
+                yield from by_file(keys, f[rows[own]], list(names), p_now, values)
 
         for batch in batches:
             for p, *row in zip(batch["p"], batch["ident"], batch["len"], batch["content"], batch["times"], batch["doc"], batch["f"], batch["files"], strict=True):
@@ -526,32 +648,45 @@ def judge_phrases(sent: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInPandas(run, "f string, b int, key binary, value binary")
 
 
-def covered(texts: list[bytes], ids: np.ndarray, marks: Marks) -> tuple[np.ndarray, np.ndarray]:
-    """For the texts end to end, which bytes go; and the texts' bounds."""
+def without_nulls(batch: pd.DataFrame) -> pd.DataFrame:
+    return batch.assign(doc_id=batch["doc_id"].fillna(0))
+
+
+def covered(texts: list[bytes], ids: np.ndarray, filed: Found) -> tuple[np.ndarray, np.ndarray]:
+    """For the texts end to end, which bytes go; and the texts' bounds. A text with the id NONE loses nothing."""
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     change = np.zeros(int(bounds[-1]) + 1, dtype=np.int32)
+    masks = filed.masks
     for part in parse(texts):
-        found, at = marks.find(tie(part.identity(), ids[part.doc]))
-        rows = np.flatnonzero(found)
-        if not len(rows):
-            continue
-        mask = marks.values[at[rows]].astype(np.uint64)
-        begin = bounds[part.doc[rows]] + part.at[rows]
-        for bit in range(WINDOW):
-            s = begin[(mask >> np.uint64(bit)) & np.uint64(1) == 1] + bit
-            np.add.at(change, s, 1)
-            np.add.at(change, s + LENGTH, -1)
+        part = filed.split(part)
+        ident, doc = part.identity(), ids[part.doc]
+        rows, turn = np.flatnonzero(doc != NONE), 0
+        while len(rows):
+            found, at = masks.find(filed_key(ident[rows], turn, 0))
+            rows, value = rows[found], masks.values[at[found]]
+            limit = np.full(len(rows), NONE)
+            after = np.flatnonzero(value & AFTER)
+            limit[after] = masks.values[masks.find(filed_key(ident[rows[after]], turn, 1))[1]]
+            high = np.flatnonzero(value & HIGH)
+            limit[high] |= masks.values[masks.find(filed_key(ident[rows[high]], turn, 2))[1]].astype(np.int64) << 32
+            goes = limit < doc[rows]
+            begin, strings = bounds[part.doc[rows[goes]]] + part.at[rows[goes]], value[goes] & STRINGS
+            for bit in range(WINDOW):
+                s = begin[(strings >> np.uint32(bit)) & np.uint32(1) == 1] + bit
+                np.add.at(change, s, 1)
+                np.add.at(change, s + LENGTH, -1)
+            rows, turn = rows[(value & MORE) > 0], turn + 1
     return np.cumsum(change[:-1]) > 0, bounds
 
 
-def repeat_marks(source: DataFrame) -> str:
-    """Find the repeats of rows (f, doc_id, data); returns the folder that holds them by input file."""
+def repeat_marks(source: DataFrame, hot: int) -> str:
+    """Find the repeats of rows (f, doc_id, data); returns the folder that holds them by input file, for Found."""
     spark = source.sparkSession
     parts = PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    triggers, masks = fresh_path(spark, "triggers"), fresh_path(spark, "masks")
-    file_marks(repeated_triggers(send_triggers(source, parts), parts), triggers)
-    file_marks(judge_phrases(send_phrases(source, triggers, parts), parts), masks)
-    return masks
+    folder = fresh_path(spark, "repeats")
+    file_marks(repeated_triggers(send_triggers(source, parts), parts, hot), f"{folder}/triggers")
+    file_marks(judge_phrases(send_phrases(source, folder, parts), parts), f"{folder}/masks")
+    return folder
 
 
 def with_files(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -567,19 +702,19 @@ def _source(named: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return named.select(F.col(FILE).alias("f"), F.col(id_col).cast("long").alias("doc_id"), clean_text(F.col(text_col)).cast("binary").alias("data"))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, on request, kept (binary)."""
     _, named = with_files(docs)
     source = _source(named, id_col, text_col)
-    folder = repeat_marks(source.where("doc_id is not null"))
+    folder = repeat_marks(source.where("doc_id is not null"), hot)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        marks = Marks(folder)
+        filed = Found(folder)
         for batch in batches:
             null = batch["doc_id"].isna().to_numpy()
-            for name, ids, texts in _per_file([batch.assign(doc_id=batch["doc_id"].fillna(0))]):
-                marks.load(name)
-                gone, bounds = covered(texts, ids, marks)
+            for name, ids, texts in _per_file([without_nulls(batch)]):
+                filed.load(name)
+                gone, bounds = covered(texts, np.where(null[: len(ids)], NONE, ids), filed)
                 rows = []
                 for i, text in enumerate(texts):
                     own = gone[bounds[i] : bounds[i + 1]]
@@ -596,19 +731,19 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wit
     return source.mapInPandas(run, schema)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """The table with repeated bytes cut out of ``text_col``; characters that lose a byte go whole."""
     docs, named = with_files(docs)
-    folder = repeat_marks(_source(named, id_col, text_col).where("doc_id is not null"))
+    folder = repeat_marks(_source(named, id_col, text_col).where("doc_id is not null"), hot)
 
     @F.pandas_udf("string")
     def kept(f: pd.Series, doc_id: pd.Series, data: pd.Series) -> pd.Series:
-        marks = _marks(folder)
+        filed = _found(folder)
         frame = pd.DataFrame({"f": f, "doc_id": doc_id, "data": data})
         out: list[str | None] = []
-        for name, ids, texts in _per_file([frame.assign(doc_id=doc_id.fillna(0))]):
-            marks.load(name)
-            gone, bounds = covered(texts, ids, marks)
+        for name, ids, texts in _per_file([frame]):
+            filed.load(name)
+            gone, bounds = covered(texts, ids, filed)
             for i, text in enumerate(texts):
                 own = gone[bounds[i] : bounds[i + 1]]
                 out.append((np.frombuffer(text, np.uint8)[~own].tobytes() if own.any() else text).decode("utf-8", "ignore"))
@@ -621,8 +756,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 @lru_cache(maxsize=1)
-def _marks(folder: str) -> Marks:
-    return Marks(folder)
+def _found(folder: str) -> Found:
+    return Found(folder)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

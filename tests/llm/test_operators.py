@@ -296,6 +296,20 @@ def test_repeats_equal_brute_force(spark, docs, empty):
     assert suffix_dedup.repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 6, 1 << 16])
+def test_hot_passages_equal_brute_force(spark, hot):
+    """Passages of many documents in several files, with variants at both ends, large and negative ids."""
+    rng = random.Random(8)
+    passage, other = prose(40, rng), prose(25, rng)
+    rows = [(i * 7 + (1 << 40) * (i % 3) - 50, f"{prose(rng.randint(1, 9), rng)} {passage} {prose(rng.randint(1, 9), rng)}") for i in range(90)]
+    rows += [(1000 + i, other[i % 20 :] + prose(3, rng)) for i in range(60)] + [(1000, other), (None, passage), (-50, passage), (-(1 << 63), other), ((1 << 63) - 1, other)]
+    rng.shuffle(rows)
+    path = fresh_path(spark, "hot-test")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(path)
+    got = sorted(map(tuple, suffix_dedup.repeats(spark.read.parquet(path), hot=hot).collect()), key=str)
+    assert got == brute_repeats([(i, t.encode()) for i, t in rows])
+
+
 def test_long_text_in_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PART_BYTES", 700)
     suffix_dedup._powers.cache_clear()
