@@ -14,8 +14,9 @@ row per group, so a group that holds a third of all rows costs its share of
 sums and no more. The distance that bounds the support comes from a mergeable
 quantile sketch (relative rank error 1e-4).
 
-Groups with fewer than ``LEAST_ROWS`` rows that pass the base rules are pooled
-by language, then altogether; a pool that is still smaller rejects nothing.
+Rows of a group with fewer than ``LEAST_ROWS`` rows that pass the base rules are
+held against an estimate over their whole language (all its sources), and if that
+is as small, over the whole table; only a smaller table rejects nothing.
 Scatter gets a floor per dimension, so statistics that are constant in a group
 do not make it singular.
 
@@ -105,20 +106,30 @@ def vector() -> list[Column]:
 
 
 def _grouped(stats: DataFrame) -> DataFrame:
-    """Add g_lang, g_source: the group of which the estimates hold for the row."""
-    counts = stats.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("_n"))
-    lang_pool = counts.where(F.col("_n") < LEAST_ROWS).groupBy("lang").agg(F.sum("_n").alias("_pool"))
-    keys = counts.join(lang_pool.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").select(
-        F.col("lang").alias("_kl"), F.col("source").alias("_ks"), "_n", "_pool"
+    """Add g_lang, g_source: the pool of which the estimates hold for the row; and pools: those it is estimated in."""
+    counts = stats.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("_n"))
+    langs = counts.groupBy(F.col("lang").alias("_l")).agg(F.sum("_n").alias("_m"), F.min("_n").alias("_least"))
+    rest = langs.agg(F.max(F.col("_m") < LEAST_ROWS).alias("_rest"))
+    keys = counts.join(langs, F.col("lang").eqNullSafe(F.col("_l"))).crossJoin(rest).select(
+        F.col("lang").alias("_kl"), F.col("source").alias("_ks"), "_n", "_m", "_least", "_rest"
     )
-    joined = stats.join(keys, F.col("lang").eqNullSafe(F.col("_kl")) & F.col("source").eqNullSafe(F.col("_ks")), "left")
-    own = F.col("_n") >= LEAST_ROWS
-    lang_known = F.coalesce(F.col("_pool") >= LEAST_ROWS, F.lit(False))
+    keys = cut(keys, "group-sizes")
+    joined = stats.join(keys, F.col("lang").eqNullSafe(F.col("_kl")) & F.col("source").eqNullSafe(F.col("_ks")))
+    own, by_lang = F.col("_n") >= LEAST_ROWS, F.col("_m") >= LEAST_ROWS
     name = lambda c: F.concat(F.lit("="), F.coalesce(F.col(c), F.lit("\x00")))
+    pool = lambda lang, source: F.struct(lang.alias("g_lang"), source.alias("g_source"))
+    every = F.lit("*")
+    # A language or the table is estimated only if a smaller group needs it.
+    pools = F.array(
+        F.when(own, pool(name("lang"), name("source"))),
+        F.when(by_lang & (F.col("_least") < LEAST_ROWS), pool(name("lang"), every)),
+        F.when(F.col("_rest"), pool(every, every)),
+    )
     return joined.select(
         *stats.columns,
-        F.when(own | lang_known, name("lang")).otherwise("*").alias("g_lang"),
+        F.when(by_lang, name("lang")).otherwise("*").alias("g_lang"),
         F.when(own, name("source")).otherwise("*").alias("g_source"),
+        F.filter(pools, lambda p: p.isNotNull()).alias("pools"),
     )
 
 
@@ -205,9 +216,9 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, text_col: str = "text", id_co
     stats = text_statistics(source, "text", "doc_id", "lang", "source")
     stats = cut(stats.withColumn("base_failed", base_failed()), "statistics")
     grouped = cut(_grouped(stats).select("*", *(v.alias(x) for v, x in zip(vector(), X, strict=True))), "vectors")
-    usable = grouped.where(~F.col("base_failed")).select("g_lang", "g_source", *X)
+    usable = grouped.where(~F.col("base_failed")).select(F.inline("pools"), *X)
     params = estimate_mcd(usable)
-    measured = _with_distance(grouped.join(params, ["g_lang", "g_source"], "left"))
+    measured = _with_distance(grouped.drop("pools").join(params, ["g_lang", "g_source"], "left"))
     distance = F.col("d2") / F.col("scale")
     kept = ~F.col("base_failed") & F.coalesce(distance <= cutoff, F.lit(True))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

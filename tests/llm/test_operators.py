@@ -268,6 +268,18 @@ def test_rules_reject_outliers_only(spark, empty):
     assert all(r.kept and r.distance is None for r in few)
 
 
+def test_small_groups_fall_back(spark):
+    """A small source is held against its language, a small language against the table."""
+    rng = random.Random(13)
+    odd = lambda: " ".join(w + "###" for w in prose(100, rng).split())
+    rows = [(i, prose(rng.randint(80, 200), rng), "de", "big") for i in range(200)]
+    rows += [(1000 + i, prose(rng.randint(80, 200), rng), "de", "tail") for i in range(8)] + [(2000 + i, odd(), "de", "tail") for i in range(3)]
+    rows += [(3000 + i, prose(rng.randint(80, 200), rng), "fr", "s") for i in range(5)] + [(4000, odd(), "fr", "s"), (4001, odd(), None, None), (5000, None, "x", "y")]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert len(got) == len(rows) and all(r.distance is not None for r in got.values())
+    assert all(r.kept == (i < 2000 or 3000 <= i < 4000) for i, r in got.items())
+
+
 # --- suffix dedup ---
 
 
