@@ -8,14 +8,16 @@ unit scores the weighted mean. Only document labels are needed.
 
 The model is fitted on a bounded sample of labelled rows: at most
 ``TRAIN_DOCS`` documents and ``TRAIN_BYTES`` bytes of text, in order of a hash
-of the id. It is small (some 30 kB) and goes to the scoring tasks with the
+of the id; texts over a hundredth of the bytes come after all others, shortest
+first, so a long text never shuts out those that fit. It is small (some 30 kB) and goes to the scoring tasks with the
 function. Scoring is one pass over the texts without a shuffle.
 
 Defined cases: null text counts as empty and is scored as an empty passage;
 several labels of one document count by their mean, null labels not at all;
 of rows that repeat a labelled id the least text trains;
-a null doc_id is not held out and never trains; without labels every score is
-0.5, with labels of one value the score is near that value; an empty table
+a null doc_id is not held out and never trains; labels of which no text fits,
+or of which the sample holds one value where they have two, raise an error;
+without labels every score is 0.5, with labels of one value the score is near that value; an empty table
 gives an empty table; other columns are ignored.
 """
 
@@ -208,17 +210,24 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
+def _candidates(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """_id, _q and _size of the labelled, not held-out documents that the table has; of repeated rows the largest size."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.avg("quality").alias("_q"))
+    sizes = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.octet_length(clean_text(F.col("text"))).cast("long").alias("_n"))
+    sizes = sizes.where(F.col("_doc").isNotNull() & (fold(F.col("_doc")) != HELD_FOLD)).groupBy("_doc").agg(F.max("_n").alias("_size"))
+    return known.join(sizes, F.col("_id") == F.col("_doc")).select("_id", "_q", "_size")
+
+
 def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES) -> DataFrame:
     """doc_id, y and passage vectors of the bounded sample of labelled, not held-out documents."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.avg("quality").alias("_q"))
-    order = F.xxhash64("_id"), F.col("_id")
-    sample = known.where(fold(F.col("_id")) != HELD_FOLD).orderBy(*order).limit(max_docs)
+    order = F.greatest(F.col("_size"), F.lit(max_bytes // 100)), F.xxhash64("_id"), F.col("_id")
+    sample = _candidates(docs, labels).orderBy(*order).limit(max_docs)
+    # The sample is bounded, so one task may order it. A text that does not fit has only texts as long after it, or is short.
+    so_far = F.sum("_size").over(Window.orderBy(*order))
+    sample = sample.withColumn("_sum", so_far).where(F.col("_sum") <= max_bytes).select("_id", "_q")
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), clean_text(F.col("text")).cast("binary").alias("data"))
     rows = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id"))  # at most max_docs rows of two numbers
     rows = rows.groupBy("_id", "_q").agg(F.min("data").alias("data"))
-    # The sample is bounded, so one task may order it.
-    so_far = F.sum(F.octet_length("data")).over(Window.orderBy(F.xxhash64("_id"), F.col("_id")))
-    rows = rows.withColumn("_sum", so_far).where(F.col("_sum") <= max_bytes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -231,6 +240,10 @@ def training_bags(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS
 
 def train(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
     rows = sorted((r.doc_id, r.y, bytes(r.bag)) for r in training_bags(docs, labels, **bounds).collect())
+    if len({y for _, y, _ in rows}) < 2:
+        all_y = {r.y for r in _candidates(docs, labels).select((F.col("_q") >= 0.5).cast("int").alias("y")).distinct().collect()}
+        if all_y != {y for _, y, _ in rows}:
+            raise ValueError(f"the training sample has labels {sorted({y for _, y, _ in rows})} of {sorted(all_y)}: raise max_docs or max_bytes")
     bags = [np.frombuffer(b, "<f4").reshape(-1, N_FEATURES) for _, _, b in rows]
     first = np.concatenate([[0], np.cumsum([len(b) for b in bags])]).astype(np.int64)
     x = np.concatenate(bags) if bags else np.zeros((0, N_FEATURES), np.float32)

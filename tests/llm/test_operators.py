@@ -425,6 +425,23 @@ def test_classifier_learns_and_holds_out(spark, empty):
     assert quality_model.train(docs, labels.where("quality = 1")).constant > 0.9
 
 
+def test_long_texts_do_not_shut_out_others(spark):
+    """Texts beyond the bound of bytes, some first in hash order, and ids without a document."""
+    rows = [(i, "word. " * 20 if i % 2 else "WORD!! " * 20) for i in range(200)] + [(1000 + i, "long " * 8000) for i in range(60)] + [(2000 + i, "mid " * 600) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows] + [(5000 + i, 1) for i in range(300)], "doc_id long, quality int")
+    docs = frame(spark, rows)
+    usable = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    got = {r.doc_id for r in quality_model.training_bags(docs, labels, max_bytes=39_000).select("doc_id").collect()}
+    short, mid = {i for i in usable if i < 200}, {i for i in usable if i >= 2000}
+    size = sum(len(t) for i, t in rows if i in got)
+    assert short < got <= short | mid and 39_000 - 2400 < size <= 39_000
+    assert len(quality_model.training_bags(docs, labels, max_docs=100).select("doc_id").collect()) == 100
+    with pytest.raises(ValueError):
+        quality_model.train(docs.where("doc_id between 1000 and 1999"), labels, max_bytes=39_000)
+    with pytest.raises(ValueError):
+        quality_model.train(docs, labels, max_docs=1)
+
+
 # --- top-k ---
 
 
