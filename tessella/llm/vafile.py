@@ -18,12 +18,14 @@ Defined cases: vectors that are null or hold null or non-finite components take
 no part, nor do rows without an id; vectors of different length are never
 compared; empty vectors score 0; ties go to the smaller id; rows that repeat
 an id are candidates each, and a query leaves out all rows of its own id;
-components beyond the range of exact arithmetic raise no error but are clipped
-to +-2^22; an empty table gives an empty table; other columns are ignored.
+rows with components beyond the range of exact doubles (2^22, less for over 128
+dimensions) are scored in Python's integers without cells; components or scores
+beyond 64 bits raise an error; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,18 +49,20 @@ def usable_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int = S
     """id and v (array of int) of the rows that take part."""
     v = F.col(vector_col).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    scaled = F.transform(v, lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(CLIP)), F.lit(-CLIP)).cast("int"))
+    whole = lambda x: F.when(F.abs(x * scale) < F.lit(2.0**63), F.floor(x * scale)).otherwise(F.raise_error(F.lit("a scaled component exceeds 64 bits")))
+    scaled = F.transform(v, lambda x: whole(x).cast("long"))
     return rows.where(F.col(id_col).isNotNull() & v.isNotNull() & finite).select(F.col(id_col).cast("long").alias("id"), scaled.alias("v"))
 
 
 def fit_cells(vectors: DataFrame, bits: int = BITS) -> DataFrame:
-    """Per vector length: the least value and the cell width of each dimension, over all rows."""
+    """Per vector length: the least value and the cell width of each dimension, over all rows in reach."""
+    reach = F.least(F.lit(float(CLIP)), F.floor(F.sqrt(F.lit(2.0**51) / F.greatest(F.size("v"), F.lit(1)))))
     per = (
-        vectors.select(F.size("v").alias("dim"), F.posexplode("v").alias("pos", "x"))
+        vectors.where(F.forall("v", lambda x: F.abs(x) <= reach)).select(F.size("v").alias("dim"), F.posexplode("v").alias("pos", "x"))
         .groupBy("dim", "pos").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     )
     width = F.greatest(F.ceil((F.col("hi") - F.col("lo") + 1) / (1 << bits)).cast("int"), F.lit(1))
-    cells = F.array_sort(F.collect_list(F.struct("pos", "lo", width.alias("width"))))
+    cells = F.array_sort(F.collect_list(F.struct("pos", F.col("lo").cast("int").alias("lo"), width.alias("width"))))
     return per.groupBy("dim").agg(cells.alias("c")).select("dim", F.col("c.lo").alias("lo"), F.col("c.width").alias("width"))
 
 
@@ -71,9 +75,9 @@ def _blocks(rows: DataFrame, n_blocks: int, kind: str) -> DataFrame:
 
         def flush() -> pd.DataFrame:
             dim = key[0]
-            v = np.array(vs, dtype="<i4").reshape(len(ids), dim)
+            v = np.array(vs, dtype="<i8").reshape(len(ids), dim)
             lo, width = cell
-            codes = ((v - lo) // width).astype(np.uint8) if dim else np.zeros((len(ids), 0), np.uint8)
+            codes = np.clip((v.astype(np.float64) - lo) // width, 0, 255).astype(np.uint8) if dim else np.zeros((len(ids), 0), np.uint8)
             return pd.DataFrame([(dim, key[1], np.array(ids, "<i8").tobytes(), v.tobytes(), codes.tobytes(), lo.tobytes(), width.tobytes())], columns=["dim", "block", "ids", "exact", "cells", "lo", "width"])
 
         for batch in batches:
@@ -82,7 +86,7 @@ def _blocks(rows: DataFrame, n_blocks: int, kind: str) -> DataFrame:
                     if key is not None:
                         yield flush()
                     key, ids, vs = (dim, block), [], []
-                    cell = np.array(lo if lo is not None else [], "<i4"), np.array(width if width is not None else [], "<i4")
+                    cell = np.array(lo if lo is not None else [0] * dim, "<i4"), np.array(width if width is not None else [1] * dim, "<i4")
                 ids.append(id_)
                 vs.append(v)
         if key is not None:
@@ -95,7 +99,12 @@ def _blocks(rows: DataFrame, n_blocks: int, kind: str) -> DataFrame:
 
 def scan_block(q: np.ndarray, q_ids: np.ndarray, c_ids: np.ndarray, exact: np.ndarray, cells: np.ndarray, lo: np.ndarray, width: np.ndarray, k: int, counts: dict | None = None) -> list[tuple[int, int, int]]:
     """(query row, candidate id, score) of the k best candidates of each query in one block."""
-    floor_ = (lo + cells.astype(np.int64) * width).astype(np.float64)
+    reach = min(CLIP, math.isqrt((1 << 51) // max(1, q.shape[1])))
+    base = lo + cells.astype(np.int64) * width
+    # Only rows inside their cells have bounds; the others are scored exactly, as are all rows for a query out of reach.
+    inside = ((exact >= base) & (exact < base + width)).all(axis=1)
+    near = ((q >= -reach) & (q <= reach)).all(axis=1)
+    floor_ = base.astype(np.float64)
     qf = q.astype(np.float64)
     span = (width - 1).astype(np.float64)
     low = qf @ floor_.T + (np.minimum(qf, 0) @ span)[:, None]
@@ -105,8 +114,15 @@ def scan_block(q: np.ndarray, q_ids: np.ndarray, c_ids: np.ndarray, exact: np.nd
     for i in range(len(q)):
         other = c_ids != q_ids[i]
         able = int(other.sum())
-        take = min(k, able)
+        if not min(k, able):
+            continue
+        bounded = other & inside if near[i] else np.zeros(n, bool)
+        wide = np.flatnonzero(other & ~bounded)
+        scores = exact[wide].astype(object) @ q[i].astype(object) if len(wide) and q.shape[1] else [0] * len(wide)
+        far = sorted((-int(s), int(c)) for s, c in zip(scores, c_ids[wide], strict=True))[:k]
+        other, take = bounded, min(k, int(bounded.sum()))
         if not take:
+            out += [(i, c, -s) for s, c in far]
             continue
         bound = np.where(other, low[i], -np.inf)
         worst = np.partition(bound, n - take)[n - take]
@@ -125,7 +141,7 @@ def scan_block(q: np.ndarray, q_ids: np.ndarray, c_ids: np.ndarray, exact: np.nd
         if counts is not None:
             counts["read"] = counts.get("read", 0) + at
             counts["all"] = counts.get("all", 0) + able
-        out += [(i, c, -s) for s, c in best]
+        out += [(i, c, -s) for s, c in sorted(best + far)[:k]]
     return out
 
 
@@ -148,8 +164,8 @@ def top_k(rows: DataFrame, is_query, k: int = TOP, id_col: str = "vec_id", vecto
         for batch in batches:
             for row in batch.itertuples():
                 q_ids, c_ids = np.frombuffer(row.q_ids, "<i8"), np.frombuffer(row.ids, "<i8")
-                q = np.frombuffer(row.q_exact, "<i4").reshape(len(q_ids), row.dim)
-                found = scan_block(q, q_ids, c_ids, np.frombuffer(row.exact, "<i4").reshape(len(c_ids), row.dim), np.frombuffer(row.cells, np.uint8).reshape(len(c_ids), row.dim), np.frombuffer(row.lo, "<i4"), np.frombuffer(row.width, "<i4"), k)
+                q = np.frombuffer(row.q_exact, "<i8").reshape(len(q_ids), row.dim)
+                found = scan_block(q, q_ids, c_ids, np.frombuffer(row.exact, "<i8").reshape(len(c_ids), row.dim), np.frombuffer(row.cells, np.uint8).reshape(len(c_ids), row.dim), np.frombuffer(row.lo, "<i4"), np.frombuffer(row.width, "<i4"), k)
                 yield pd.DataFrame([(int(q_ids[i]), c, s) for i, c, s in found], columns=["query_id", "vec_id", "score"])
 
     found = met.mapInPandas(run, "query_id long, vec_id long, score long")

@@ -463,6 +463,18 @@ def test_top_k_equals_brute_force(spark):
     assert vafile.top_k(table.where("false"), F.col("id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 4) * (1e6 if i % 20 == 0 else 1)]) for i in range(120)]
+    vectors = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    expected = []
+    for q in range(0, 120, 10):
+        scores = sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=True)), c) for c, v in vectors.items() if c != q)
+        expected += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scores[:5])]
+    got = vafile.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 10 == 0, candidates_each=50)
+    assert sorted(map(tuple, got.collect())) == expected
+
+
 def test_scan_reads_few_vectors():
     rng = np.random.default_rng(5)
     x = np.floor(256 * rng.normal(0, 0.2, (4000, 32))).astype(np.int32)
