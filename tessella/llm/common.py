@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 _own_dir: dict[str, str] = {}
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Whole texts go to Python in batches of at most BATCH_ROWS rows."""
-    spark.conf.set(BATCH_KEY, BATCH_ROWS)
+    """Whole texts go to Python in batches of at most 500 rows, and of one row beyond 16 MiB."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,10 +5,13 @@ MinHash values; a value with its place is a token, and two texts share a token
 with the probability of their Jaccard similarity. A run starts with all texts
 in one node. A node draws tokens' places (1/threshold on average), every text
 goes to the child of its value at each drawn place, and a child with two to
-``LEAF`` texts is a leaf, in which all pairs of sketches are compared. Larger
-children are split again, to ``DEPTH`` levels; texts that still share a path
-then share so many independent tokens that they are taken as candidates
-together. The number of runs follows from the target recall at the threshold.
+``LEAF`` texts is a leaf, in which all pairs of sketches are compared (in tiles,
+a byte per pair). Larger children are split again, to ``DEPTH`` levels; texts
+that still share a path then share so many independent tokens that they are
+taken as candidates together. The number of runs follows from the target recall
+of a run's choice of places at the threshold; all runs share the ``T`` values,
+and a pair whose values agree in under ``SKETCH_LEAST`` of the places is found
+only through other texts of its group.
 
 Candidates only form groups (connected components of sketch matches). Inside a
 group all pairs of exact 5-gram sets are verified, so a pair that no run brought
@@ -27,7 +30,8 @@ Defined cases: null text counts as empty; words are runs of other than ASCII
 white space; a text with fewer than five words has one shingle of all its
 words; texts without words are similar to equal texts only; repeated rows are
 copies of each other; null ids take part, and a class of them only has a null
-class id; an empty table gives an empty table; other columns are ignored.
+class id; texts under one id are texts like others, so their classes share that
+class id; :func:`keep_one` keeps one row of each class whatever its ids; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,7 +52,8 @@ WORDS = 5
 THRESHOLD = 0.8
 T = 64
 DEPTH = 6
-LEAF = 200
+LEAF = 4096
+TILE = 256
 RECALL = 0.9999
 SKETCH_LEAST = 0.58
 BLOCK = 400
@@ -198,11 +203,7 @@ def leaf_edges(rows: DataFrame, least: float) -> DataFrame:
         same = (sk[pair] == sk[pair + 1]).sum(1) >= need
         out.append(np.stack([u[pair[same]], u[pair[same] + 1]], 1))
         for a, b in zip(bounds[:-1][sizes > 2], bounds[1:][sizes > 2], strict=True):
-            x = sk[a:b]
-            close = np.zeros((b - a, b - a), dtype=np.int32)
-            for at in range(0, b - a, 64):
-                close[at : at + 64] = (x[at : at + 64, None, :] == x[None]).sum(2)
-            root = linked(close >= need)
+            root = linked(alike(sk[a:b], need))
             moved = root != np.arange(b - a)
             out.append(np.stack([u[a:b][moved], u[a:b][root[moved]]], 1))
         both = np.concatenate(out)
@@ -212,13 +213,27 @@ def leaf_edges(rows: DataFrame, least: float) -> DataFrame:
     return dealt.select("path", "u", "sk").mapInPandas(run, "a long, b long").distinct()
 
 
+def alike(sk: np.ndarray, need: int) -> np.ndarray:
+    """Which pairs of sketches (rows of bytes) agree in ``need`` places or more."""
+    n = len(sk)
+    columns = np.ascontiguousarray(sk.T)
+    out = np.empty((n, n), dtype=bool)
+    for at in range(0, n, TILE):
+        same = np.zeros((min(TILE, n - at), n), dtype=np.uint8)
+        for place in columns:
+            same += place[at : at + TILE, None] == place[None, :]
+        out[at : at + TILE] = same >= need
+    return out
+
+
 def linked(adjacent: np.ndarray) -> np.ndarray:
     """For each row of a symmetric boolean matrix the first row of its component."""
     n = len(adjacent)
-    root = np.arange(n)
-    adjacent = adjacent | np.eye(n, dtype=bool)
+    root = np.arange(n, dtype=np.int32)
     while True:
-        new = np.where(adjacent, root[None, :], n).min(1)
+        new = root.copy()
+        for at in range(0, n, TILE):
+            np.minimum(new[at : at + TILE], np.where(adjacent[at : at + TILE], root[None, :], np.int32(n)).min(1), out=new[at : at + TILE])
         new = new[new]
         if (new == root).all():
             return root
@@ -232,7 +247,8 @@ def candidate_groups(texts: DataFrame, threshold: float, recall: float, leaf: in
     leaves, edges = None, None
     for level in range(1, depth + 1):
         children = _children(nodes, threshold)
-        counts = children.groupBy("path").agg(F.count("*").alias("n_in")).where("n_in > 1")
+        # Counted apart from the join, which Spark can then split where a path holds very many texts.
+        counts = cut(children.groupBy("path").agg(F.count("*").alias("n_in")).where("n_in > 1"), f"counts{level}")
         shared = cut(children.join(counts.withColumnRenamed("path", "_p"), F.col("path") == F.col("_p")).select("path", "u", "n_in"), f"paths{level}")
         small = shared.where(F.col("n_in") <= leaf).select("path", "u")
         leaves = small if leaves is None else leaves.unionByName(small)
@@ -320,7 +336,10 @@ def near_duplicates(
     docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, leaf: int = LEAF, depth: int = DEPTH,
     block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, class_id, n_links, n_texts, n_copies, key: one row per row of ``docs``."""
+    """doc_id, class_id, n_links, n_texts, n_copies, key, class_row: one row per row of ``docs``.
+
+    ``class_row`` numbers the class; two classes have one ``class_id`` if they share an id, or if neither has any.
+    """
     if not 0.5 <= threshold <= 1:
         raise ValueError("the threshold must be from 0.5 to 1")
     signed = signatures(docs, id_col, text_col)
@@ -346,33 +365,38 @@ def near_duplicates(
     joined = components(links.where("u <> root").select(F.col("u").alias("a"), F.col("root").alias("b")))
     labelled = joined.join(groups.select(F.col("u").alias("_u"), "rep"), F.col("node") == F.col("_u"))
     classes = labelled.groupBy("comp").agg(F.min("rep").alias("class_rep")).withColumnRenamed("comp", "_c")
-    of_text = joined.join(classes, F.col("comp") == F.col("_c")).select("node", "class_rep")
+    of_text = joined.join(classes, F.col("comp") == F.col("_c")).select("node", "comp", "class_rep")
     per_text = (
         groups.join(counts.withColumnRenamed("u", "_u"), F.col("u") == F.col("_u"), "left")
         .join(of_text, F.col("u") == F.col("node"), "left")
-        .select(F.col("key").alias("_key"), F.coalesce("class_rep", "rep").alias("class_id"), "copies",
+        .select(F.col("key").alias("_key"), F.coalesce("comp", "u").alias("class_row"), F.coalesce("class_rep", "rep").alias("class_id"), "copies",
                 F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"), F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"))
     )
     out = signed.select("doc_id", "key").join(per_text, F.col("key") == F.col("_key"))
     return out.select(
         "doc_id", "class_id", (F.col("copies") - 1 + F.col("n_docs")).cast("long").alias("n_links"), "n_texts",
-        F.col("copies").cast("long").alias("n_copies"), "key",
+        F.col("copies").cast("long").alias("n_copies"), "key", "class_row",
     )
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stand for their class; rows that repeat id and text stay once."""
+    """One row of ``docs`` for each class: that of the smallest id (null after all others), then of the smallest MD5 of the text."""
     classes = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     own, kept_id, kept_key = "_tessella_key", "_tessella_id", "_tessella_kept"
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(kept_id), F.col("key").alias(kept_key)).distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
+    kept = classes.groupBy("class_row").agg(first).select(F.col("first.doc_id").alias(kept_id), F.col("first.key").alias(kept_key))
     kept = cut(kept, "kept")
     keyed = docs.withColumn(own, text_key(clean_text(F.col(text_col))))
     joined = keyed.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_key)), "left_semi")
-    rows = docs.select(F.col(id_col).alias("i"), text_key(clean_text(F.col(text_col))).alias("k"))
+    # Of rows that repeat id and text one stays; sought among the kept rows' keys only where there are such.
+    rows = docs.select(F.col(id_col).cast("long").alias("i"), text_key(clean_text(F.col(text_col))).alias("k"))
     if rows.groupBy("i", "k").count().where("count > 1").isEmpty():
         return joined.drop(own)
-    return joined.dropDuplicates([id_col, own]).drop(own)
+    number = "_tessella_number"
+    joined = cut(joined.withColumn(number, F.monotonically_increasing_id()), "representatives")
+    once = joined.groupBy(F.col(id_col).cast("long").alias(kept_id), F.col(own).alias(kept_key)).agg(F.min(number).alias("_tessella_least"))
+    return joined.join(once.select("_tessella_least"), F.col(number) == F.col("_tessella_least"), "left_semi").drop(own, number)
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents")).drop("key")
+    return near_duplicates(read_table(spark, sf_dir, "documents")).drop("key", "class_row")

@@ -228,6 +228,31 @@ def test_keep_one(spark, docs, empty):
     assert {r.doc_id for r in jaccard_join.near_duplicates(nulls).where("n_links > 0").collect()} == {None, 4}
 
 
+def test_keep_one_needs_no_distinct_ids(spark):
+    rng = random.Random(8)
+    base = [w + str(i) for i, w in enumerate(prose(60, rng).split())]
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (0, 1, 58, 59)]
+    assert jaccard_join.keep_one(frame(spark, [(1, t) for t in near])).count() == 1
+    assert jaccard_join.keep_one(frame(spark, [(None, t) for t in near])).count() == 1
+    assert jaccard_join.keep_one(frame(spark, [(None, near[0]), (None, near[0]), (1, near[1]), (1, near[1]), (2, "far off")])).count() == 2
+
+
+def test_leaves_of_any_size(spark):
+    """Tiles of a leaf agree with a plain comparison, and components with a search."""
+    rng = np.random.default_rng(4)
+    sk = rng.integers(0, 3, (700, jaccard_join.T), dtype=np.uint8)
+    need = 28
+    near = jaccard_join.alike(sk, need)
+    assert (near == ((sk[:, None, :] == sk[None]).sum(2) >= need)).all()
+    root = list(range(700))
+    for _ in range(700):
+        new = [min(root[j] for j in np.flatnonzero(row)) for row in near]
+        if new == root:
+            break
+        root = new
+    assert jaccard_join.linked(near).tolist() == root
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201)]
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
