@@ -4,9 +4,17 @@ Base statistics of each whole text (see :func:`text_statistics`) give a vector
 of four transformed ratios. For every language and source the minimum covariance
 determinant (MCD) is estimated: from two robust starts, C-steps keep the share
 ``SUPPORT`` of the rows that is closest by Mahalanobis distance and re-estimate
-location and scatter; of the two results the one with the smaller determinant
-stays. A row is rejected if its squared distance, scaled by the group's median
-to be consistent at the normal distribution, exceeds ``CUTOFF``.
+location and floored scatter; of the two results the one with the smaller determinant
+stays. C-steps go on until no group's determinant falls any more. A row is
+rejected if its squared distance, scaled by the group's median to be consistent
+at the normal distribution, exceeds ``CUTOFF``, the 0.9999 quantile of the
+chi-square distribution with ``DIM`` degrees of freedom.
+
+Repeats are counted against ``LINES`` lines and ``REPEATS`` words more than a
+text has, so one repeated line in a short text is no extreme share. The scatter
+of a dimension has a floor, the spread that a statistic may have within texts of
+one kind where most show none of it: a departure of under 4.85 floors in one
+statistic alone rejects nothing, a larger one does, in every dimension.
 
 The texts are read once. The statistics (a few numbers a row) are written to the
 shared folder; every C-step is a partial aggregation over them, with one result
@@ -40,12 +48,14 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 MOST_REPEATED = 50
 DIM = 4
-FLOORS = (0.05, 0.075, 0.15, 0.15)
+FLOORS = (0.05, 0.075, 0.1, 0.1)
+LINES, REPEATS = 10, 200
 SUPPORT = 0.75
-C_STEPS = 4
+C_STEPS = 12
+STILL = 1e-6
 LEAST_ROWS = 60
 CHI2_MEDIAN = 3.3567  # of 4 degrees of freedom
-CUTOFF = 45.0
+CUTOFF = 23.51
 STARTS = (0, 1)
 X = [f"x{i}" for i in range(DIM)]
 MU = [f"m{i}" for i in range(DIM)]
@@ -100,8 +110,8 @@ def vector() -> list[Column]:
     return [
         F.log1p(F.col("word_chars") / words),
         F.sqrt(F.col("n_symbols") / words),
-        F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
-        F.sqrt(F.col("n_repeat_words") / words),
+        F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + LINES)),
+        F.sqrt(F.col("n_repeat_words") / (F.col("n_words") + REPEATS)),
     ]
 
 
@@ -188,7 +198,10 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 
 def estimate_mcd(rows: DataFrame, c_steps: int = C_STEPS) -> DataFrame:
-    """Per group (g_lang, g_source): location, Cholesky factor, and the consistency scale."""
+    """Per group (g_lang, g_source): location, Cholesky factor, and the consistency scale.
+
+    At most ``c_steps`` C-steps are made.
+    """
     keys = ["g_lang", "g_source", "start"]
     params = _starts(rows)
     for _ in range(c_steps):
@@ -197,7 +210,10 @@ def estimate_mcd(rows: DataFrame, c_steps: int = C_STEPS) -> DataFrame:
         # The bound joins the few parameters, not the rows, so that no rows are dealt by group after an aggregation.
         held = cut(params.join(bound, keys), "mcd-bound")
         inside = _with_distance(rows.join(held, ["g_lang", "g_source"]))
+        before = params.select(*keys, F.col("log_det").alias("_before"))
         params = cut(_scatter(inside.where("d2 <= bound"), keys), "mcd-step")
+        if params.join(before, keys).where(F.col("_before") - F.col("log_det") > STILL).isEmpty():
+            break
     best = params.groupBy("g_lang", "g_source").agg(F.min_by(F.struct(*params.columns), F.struct("log_det", "start")).alias("p")).select("p.*")
     best = cut(best.drop("start"), "mcd-best")
     scale = _with_distance(rows.join(best, ["g_lang", "g_source"])).groupBy("g_lang", "g_source").agg(

@@ -293,6 +293,54 @@ def test_rules_reject_outliers_only(spark, empty):
     assert all(r.kept and r.distance is None for r in few)
 
 
+@pytest.mark.parametrize("kind", ["lines", "words"])
+def test_repeats_alone_reject(spark, kind):
+    """Outliers in repeated lines alone, or repeated words alone, that pass the base rules."""
+    rng = random.Random(31)
+    unlike = lambda n: [f"{w}{100 + k}" for k, w in enumerate(prose(n, rng).split())]
+    rows = [(i, " ".join(unlike(rng.randint(150, 400)))) for i in range(200)]
+    for i in range(1000, 1010):
+        words = unlike(400)
+        if kind == "lines":
+            text = "\n".join([*(["sevenths ninetieth"] * 20), " ".join(words)])
+        else:
+            again = " ".join(words[:130])
+            text = f"{again} seventh {again} " + " ".join(words[130:])
+        rows.append((i, text))
+    got = {r.doc_id: r for r in quality_rules.judge(frame(spark, rows)).collect()}
+    assert all(got[i].kept for i in range(200))
+    for i in range(1000, 1010):
+        assert not got[i].base_failed and not got[i].kept
+        assert got[i].n_dup_lines == (19 if kind == "lines" else 0)
+
+
+def test_distances_equal_an_mcd_by_numpy(spark):
+    rng = random.Random(41)
+    texts = [prose(rng.randint(60, 300), rng) + " #" * rng.choice([0, 0, 0, 1, 3, 9]) + ("\nsame line\nsame line" if rng.random() < 0.2 else "") for _ in range(150)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    stats = quality_rules.text_statistics(docs, "text", "doc_id").select("doc_id", *quality_rules.vector()).collect()
+    x = np.array([list(r)[1:] for r in sorted(stats)])
+    rank = lambda v, p: np.sort(v)[int(np.ceil(p * len(v))) - 1]
+    floor = np.diag(np.array(quality_rules.FLOORS) ** 2)
+    far = lambda m, s: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    moments = lambda rows: (rows.mean(0), np.cov(rows.T, bias=True) + floor)
+    mid = np.array([rank(c, 0.5) for c in x.T])
+    wide = (1.4826 * np.array([rank(np.abs(c - m), 0.5) for c, m in zip(x.T, mid, strict=True)])) ** 2 + np.diag(floor)
+    found = []
+    for m, s in ((mid, np.diag(wide)), moments(x[(np.abs(x - mid) / np.sqrt(wide)).max(1) <= 1.5])):
+        for _ in range(quality_rules.C_STEPS):
+            d = far(m, s)
+            old, (m, s) = np.linalg.slogdet(s)[1], moments(x[d <= rank(d, quality_rules.SUPPORT)])
+        assert abs(old - np.linalg.slogdet(s)[1]) < 1e-6
+        found.append((np.linalg.slogdet(s)[1], m, s))
+    _, m, s = min(found, key=lambda f: f[0])
+    d = far(m, s)
+    d /= max(1, rank(d, 0.5) / quality_rules.CHI2_MEDIAN)
+    assert np.allclose([got[i].distance for i in range(150)], d, rtol=1e-6)
+    assert [got[i].kept for i in range(150)] == (d <= quality_rules.CUTOFF).tolist()
+
+
 def test_small_groups_fall_back(spark):
     """A small source is held against its language, a small language against the table."""
     rng = random.Random(13)
