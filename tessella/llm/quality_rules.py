@@ -54,6 +54,7 @@ SUPPORT = 0.75
 C_STEPS = 12
 STILL = 1e-6
 LEAST_ROWS = 60
+MOST_BROADCAST = 100_000  # groups; their parameters are some 160 bytes each
 CHI2_MEDIAN = 3.3567  # of 4 degrees of freedom
 CUTOFF = 23.51
 STARTS = (0, 1)
@@ -115,8 +116,16 @@ def vector() -> list[Column]:
     ]
 
 
-def _grouped(stats: DataFrame) -> DataFrame:
-    """Add g_lang, g_source: the pool of which the estimates hold for the row; and pools: those it is estimated in."""
+def _sent(groups: DataFrame, few: bool) -> DataFrame:
+    """A table with a row or two for each group, broadcast where groups are few, so that no rows are dealt by group."""
+    return F.broadcast(groups) if few else groups
+
+
+def _grouped(stats: DataFrame) -> tuple[DataFrame, bool]:
+    """Add g_lang, g_source: the pool of which the estimates hold for the row; and pools: those it is estimated in.
+
+    Also whether there are at most MOST_BROADCAST groups.
+    """
     counts = stats.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("_n"))
     langs = counts.groupBy(F.col("lang").alias("_l")).agg(F.sum("_n").alias("_m"), F.min("_n").alias("_least"))
     rest = langs.agg(F.max(F.col("_m") < LEAST_ROWS).alias("_rest"))
@@ -124,7 +133,8 @@ def _grouped(stats: DataFrame) -> DataFrame:
         F.col("lang").alias("_kl"), F.col("source").alias("_ks"), "_n", "_m", "_least", "_rest"
     )
     keys = cut(keys, "group-sizes")
-    joined = stats.join(keys, F.col("lang").eqNullSafe(F.col("_kl")) & F.col("source").eqNullSafe(F.col("_ks")))
+    few = keys.count() <= MOST_BROADCAST
+    joined = stats.join(_sent(keys, few), F.col("lang").eqNullSafe(F.col("_kl")) & F.col("source").eqNullSafe(F.col("_ks")))
     own, by_lang = F.col("_n") >= LEAST_ROWS, F.col("_m") >= LEAST_ROWS
     name = lambda c: F.concat(F.lit("="), F.coalesce(F.col(c), F.lit("\x00")))
     pool = lambda lang, source: F.struct(lang.alias("g_lang"), source.alias("g_source"))
@@ -135,12 +145,13 @@ def _grouped(stats: DataFrame) -> DataFrame:
         F.when(by_lang & (F.col("_least") < LEAST_ROWS), pool(name("lang"), every)),
         F.when(F.col("_rest"), pool(every, every)),
     )
-    return joined.select(
+    out = joined.select(
         *stats.columns,
         F.when(by_lang, name("lang")).otherwise("*").alias("g_lang"),
         F.when(own, name("source")).otherwise("*").alias("g_source"),
         F.filter(pools, lambda p: p.isNotNull()).alias("pools"),
     )
+    return out, few
 
 
 def _factor(params: DataFrame) -> DataFrame:
@@ -177,12 +188,12 @@ def _scatter(rows: DataFrame, keys: list[str]) -> DataFrame:
     return _factor(sums.select(*keys, *(mean(i).alias(MU[i]) for i in range(DIM)), *own))
 
 
-def _starts(rows: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, few: bool) -> DataFrame:
     """Two starts: medians with diagonal scatter, and moments of the rows near the medians."""
     keys = ["g_lang", "g_source"]
     mid = rows.groupBy(*keys).agg(*(F.percentile_approx(X[i], 0.5, 10000).alias(f"c{i}") for i in range(DIM)))
     mid = cut(mid, "mcd-medians")
-    near = rows.join(mid, keys)
+    near = rows.join(_sent(mid, few), keys)
     spread = near.groupBy(*keys).agg(
         *(F.percentile_approx(F.abs(F.col(X[i]) - F.col(f"c{i}")), 0.5, 10000).alias(f"a{i}") for i in range(DIM))
     )
@@ -193,30 +204,30 @@ def _starts(rows: DataFrame) -> DataFrame:
         *((variance(i) if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i, j in LOW),
     ))
     far = F.greatest(*(F.abs(F.col(X[i]) - F.col(f"c{i}")) / F.sqrt(variance(i)) for i in range(DIM)))
-    central = _scatter(rows.join(both, keys).where(far <= 1.5), keys)
+    central = _scatter(rows.join(_sent(both, few), keys).where(far <= 1.5), keys)
     return cut(diagonal.withColumn("start", F.lit(0)).unionByName(central.withColumn("start", F.lit(1))), "mcd-start")
 
 
-def estimate_mcd(rows: DataFrame, c_steps: int = C_STEPS) -> DataFrame:
+def estimate_mcd(rows: DataFrame, few: bool, c_steps: int = C_STEPS) -> DataFrame:
     """Per group (g_lang, g_source): location, Cholesky factor, and the consistency scale.
 
-    At most ``c_steps`` C-steps are made.
+    At most ``c_steps`` C-steps are made; ``few`` tells that the groups' parameters may be broadcast.
     """
     keys = ["g_lang", "g_source", "start"]
-    params = _starts(rows)
+    params = _starts(rows, few)
     for _ in range(c_steps):
-        measured = _with_distance(rows.join(params, ["g_lang", "g_source"]))
+        measured = _with_distance(rows.join(_sent(params, few), ["g_lang", "g_source"]))
         bound = measured.groupBy(*keys).agg(F.percentile_approx("d2", SUPPORT, 10000).alias("bound"))
         # The bound joins the few parameters, not the rows, so that no rows are dealt by group after an aggregation.
         held = cut(params.join(bound, keys), "mcd-bound")
-        inside = _with_distance(rows.join(held, ["g_lang", "g_source"]))
+        inside = _with_distance(rows.join(_sent(held, few), ["g_lang", "g_source"]))
         before = params.select(*keys, F.col("log_det").alias("_before"))
         params = cut(_scatter(inside.where("d2 <= bound"), keys), "mcd-step")
         if params.join(before, keys).where(F.col("_before") - F.col("log_det") > STILL).isEmpty():
             break
     best = params.groupBy("g_lang", "g_source").agg(F.min_by(F.struct(*params.columns), F.struct("log_det", "start")).alias("p")).select("p.*")
     best = cut(best.drop("start"), "mcd-best")
-    scale = _with_distance(rows.join(best, ["g_lang", "g_source"])).groupBy("g_lang", "g_source").agg(
+    scale = _with_distance(rows.join(_sent(best, few), ["g_lang", "g_source"])).groupBy("g_lang", "g_source").agg(
         F.percentile_approx("d2", 0.5, 10000).alias("median"), F.count("*").alias("n_rows")
     )
     scaled = best.join(scale, ["g_lang", "g_source"])
@@ -231,10 +242,11 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, text_col: str = "text", id_co
     )
     stats = text_statistics(source, "text", "doc_id", "lang", "source")
     stats = cut(stats.withColumn("base_failed", base_failed()), "statistics")
-    grouped = cut(_grouped(stats).select("*", *(v.alias(x) for v, x in zip(vector(), X, strict=True))), "vectors")
+    grouped, few = _grouped(stats)
+    grouped = cut(grouped.select("*", *(v.alias(x) for v, x in zip(vector(), X, strict=True))), "vectors")
     usable = grouped.where(~F.col("base_failed")).select(F.inline("pools"), *X)
-    params = estimate_mcd(usable)
-    measured = _with_distance(grouped.drop("pools").join(params, ["g_lang", "g_source"], "left"))
+    params = estimate_mcd(usable, few)
+    measured = _with_distance(grouped.drop("pools").join(_sent(params, few), ["g_lang", "g_source"], "left"))
     distance = F.col("d2") / F.col("scale")
     kept = ~F.col("base_failed") & F.coalesce(distance <= cutoff, F.lit(True))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
