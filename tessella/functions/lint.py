@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import text
 
@@ -127,6 +128,97 @@ def clean(docs: DataFrame) -> DataFrame:
     return out.withColumns({a: F.when(F.size(a) > 0, F.col(a)) for a in arrays})
 
 
+def pruned(column: Column, kind: T.DataType) -> Column:
+    """The value of a type without empty parts ("", "null", empty arrays, maps and structs), inmost first; null if nothing is left."""
+    if isinstance(kind, T.StringType):
+        return F.when(~column.isin("", "null"), column)
+    if isinstance(kind, T.ArrayType):
+        kept = F.filter(F.transform(column, lambda x: pruned(x, kind.elementType)), lambda x: x.isNotNull())
+        return F.when(F.size(kept) > 0, kept)
+    if isinstance(kind, T.MapType):
+        kept = F.map_filter(F.transform_values(column, lambda _, v: pruned(v, kind.valueType)), lambda _, v: v.isNotNull())
+        return F.when(F.size(kept) > 0, kept)
+    if isinstance(kind, T.StructType):
+        parts = [pruned(column[f.name], f.dataType) for f in kind.fields]
+        some = reduce(lambda a, b: a | b, [p.isNotNull() for p in parts])
+        return F.when(some, F.struct(*[p.alias(f.name) for p, f in zip(parts, kind.fields, strict=True)]))
+    return column
+
+
+def in_schema_order(docs: DataFrame, names: list[str]) -> DataFrame:
+    """Columns in the order of a schema's names, others behind them."""
+    return docs.select(*[n for n in names if n in docs.columns], *[c for c in docs.columns if c not in names])
+
+
+def _nested(items: str, rule) -> Column:
+    """Messages of a rule that gives an array of them for each item."""
+    path = lambda i: F.concat(F.lit(f"{items}["), i.cast("string"), F.lit("]"))
+    made = F.flatten(F.filter(F.transform(F.col(items), lambda x, i: rule(x, path(i))), lambda m: m.isNotNull()))
+    return F.filter(F.coalesce(made, F.array().cast("array<string>")), lambda m: m.isNotNull())
+
+
+def competing_matches(pattern: str = "matcher_regex") -> Column:
+    """Competing sentences (compact) that the document's own matcher, a column of compiled expressions, finds."""
+    def of_example(x: Column, p: Column) -> Column:
+        def of_group(g: Column, i: Column) -> Column:
+            where = F.concat(p, F.lit(".competing_grammar["), i.cast("string"), F.lit("].competing_japanese["))
+            return F.transform(g["competing_japanese"], lambda s, j: F.when(F.rlike(s, F.col(pattern)), F.concat(F.lit("[rule-17] error "), where, j.cast("string"), F.lit("] matches the document's own matcher: "), s)))
+
+        return F.flatten(F.filter(F.transform(x["competing_grammar"], of_group), lambda g: g.isNotNull()))
+
+    return _nested("examples", of_example)
+
+
+def example_mismatches(pattern: str = "matcher_regex") -> Column:
+    """Own sentences (compact) that the matcher does not find, where the document enforces it."""
+    def of_example(x: Column, p: Column) -> Column:
+        unlike = lambda s: F.col("matcher_enforce_examples") & ~F.rlike(s, F.col(pattern))
+        return F.transform(x["japanese"], lambda s, j: F.when(unlike(s), F.concat(F.lit("[rule-18] error "), p, F.lit(".japanese["), j.cast("string"), F.lit("] does not match the document's matcher: "), s)))
+
+    return _nested("examples", of_example)
+
+
+def training_sentences(docs: DataFrame, pattern: str = "matcher_regex") -> DataFrame:
+    """grammar_point, sentence, positive, as_expected of compact own and competing sentences; braces go.
+
+    ``as_expected`` is null without a matcher.
+    """
+    bare = lambda a: F.transform(a, lambda s: F.translate(s, "{}", ""))
+    each = docs.select("grammar_point", pattern, F.explode("examples").alias("x"))
+    own = each.select("grammar_point", pattern, F.explode(bare("x.japanese")).alias("sentence"), F.lit(True).alias("positive"))
+    rival = each.select("grammar_point", pattern, F.explode("x.competing_grammar").alias("c"))
+    rival = rival.select("grammar_point", pattern, F.explode(bare("c.competing_japanese")).alias("sentence"), F.lit(False).alias("positive"))
+    found = F.rlike(F.col("sentence"), F.col(pattern))
+    return own.unionByName(rival).withColumn("as_expected", found == F.col("positive")).drop(pattern)
+
+
+def augmented(sentences: DataFrame, matchers: dict[str, str]) -> DataFrame:
+    """sentence and its sorted labels: of rows that hold it positively, and of matchers (name to expression) that find it.
+
+    A sentence with negative rows only becomes positive where a matcher finds it;
+    otherwise it has an empty array.
+    """
+    held = sentences.groupBy("sentence").agg(F.collect_set(F.when(F.col("positive"), F.col("grammar_point"))).alias("own"))
+    found = F.filter(F.array(*[F.when(F.col("sentence").rlike(p), F.lit(n)) for n, p in matchers.items()]).cast("array<string>"), lambda x: x.isNotNull())
+    return held.select("sentence", F.array_sort(F.array_union("own", found)).alias("labels"))
+
+
+def checked_meanings(docs: DataFrame, meanings: DataFrame) -> DataFrame:
+    """Documents with the meanings of (name, meaning) put in; a blank meaning that is left, or an unused name, raises an error."""
+    table = meanings.select(F.col("name").alias("_name"), F.col("meaning").alias("_meaning"))
+    joined = docs.withColumn("_doc", F.lit(True)).join(table, F.col("grammar_point") == F.col("_name"), "full_outer")
+    joined = joined.withColumn("meaning", F.coalesce("_meaning", "meaning"))
+    fault = F.when(F.col("_doc").isNull(), F.concat(F.lit("unused meaning: "), F.col("_name"))).when(
+        F.coalesce(F.trim("meaning"), F.lit("")) == "", F.concat(F.lit("blank meaning: "), F.coalesce("grammar_point", F.lit("")))
+    )
+    return joined.where(F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(fault).cast("boolean"))).drop("_doc", "_name", "_meaning")
+
+
+def split_predecessor() -> Column:
+    """Documents that still name the one they were split from."""
+    return _if(F.col("split_predecessor").isNotNull(), "[rule-18] warning split_predecessor is present")
+
+
 def promote(column: Column) -> Column:
     """A single string as an array of one."""
     return F.when(column.isNotNull(), F.array(column))

@@ -13,7 +13,6 @@ CHARACTERS = {"：": ":", "「": "『", "」": "』"}
 SPACING = {"  ": " ", "&emsp;": " ", "　": " ", "〜": "～", " + ": "+", "+ ": "+", " +": "+"}
 KATAKANA = "".join(chr(c) for c in range(0x30A1, 0x30F4))
 HIRAGANA = "".join(chr(c - 0x60) for c in range(0x30A1, 0x30F4))
-NESTED_QUOTES = 4
 
 
 def replace_all(text: Column, table: dict[str, str]) -> Column:
@@ -26,13 +25,17 @@ def trim_space(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def strip_quotes(text: Column, levels: int = NESTED_QUOTES) -> Column:
-    """Without matching outer quotes, up to ``levels`` of them."""
-    pattern = "(?s)^(?:" + "|".join(f"{q[0]}(.*){q[1]}" for q in QUOTES) + ")$"
-    inside = "".join(f"${i}" for i in range(1, len(QUOTES) + 1))  # the groups of other pairs are empty
-    for _ in range(levels):
-        text = F.regexp_replace(text, pattern, inside)
-    return text
+def strip_quotes(text: Column) -> Column:
+    """Without matching outer quotes, however many enclose it."""
+    opening, closing = ("".join(q[i] for q in QUOTES) for i in (0, 1))
+    head = F.regexp_extract(text, f"^[{opening}]*", 0)
+    tail = F.reverse(F.regexp_extract(text, f"[{closing}]*+\\z", 0))
+    half = F.least(F.length(head), F.length(tail), F.floor(F.length(text) / 2).cast("int"))
+    # The quotes at both ends, from the outside in, as far as they match.
+    ends = F.zip_with(F.split(F.left(F.translate(head, opening, closing), half), ""), F.split(F.left(tail, half), ""), lambda a, b: a == b)
+    first_unlike = F.array_position(ends, False).cast("int")
+    n = F.when(half < 1, 0).when(first_unlike > 0, first_unlike - 1).otherwise(half)
+    return F.substr(text, n + 1, F.length(text) - 2 * n)
 
 
 def normal_japanese(text: Column) -> Column:
@@ -131,18 +134,36 @@ def json_key(*parts: Column) -> Column:
     return F.md5(F.to_json(F.struct(*[p.cast("string").alias(f"a{i}") for i, p in enumerate(parts)])))
 
 
+# What may stand in brackets after a part of speech.
+CONJUGATIONS = {
+    "Verb": (
+        "masu-stem", "て", "た", "ている", "volitional-よう", "ない", "せる・させる", "れる・られる", "dictionary", "negative", "negative-past", "past",
+        "た・ている", "ていた・ている", "ば-conditional", "ましょう", "imperfective", "ないで",
+    ),
+    "Adjective": ("く", "て", "い", "past", "predicate", "negative"),
+    "Noun": ("で", "に", "へ", "と", "から", "まで", "より", "negative-modifier"),
+}
+SEPARATORS = ("+", "~", "〜")
+
+
 def valid_name(name: Column) -> Column:
-    """The problems of a catalogue name, as an array of codes."""
+    """The problems of a catalogue name, as an array of codes in the order in which they are looked for."""
     opened = F.aggregate(
-        F.regexp_extract_all(name, F.lit(r"([\[\](){}])"), F.lit(1)), F.lit(""),
-        lambda stack, c: F.when(c.isin("(", "[", "{"), F.concat(stack, c))
-        .when(stack.endswith(F.translate(c, ")]}", "([{")) & (stack != ""), F.left(stack, F.length(stack) - 1))
-        .otherwise(F.concat(stack, F.lit("!("))),
+        F.regexp_extract_all(name, F.lit(r"([\[\]()])"), F.lit(1)), F.lit(""),
+        lambda stack, c: F.when(c.isin("(", "["), F.concat(stack, c))
+        .when(stack.endswith(F.translate(c, ")]", "([")) & (stack != ""), F.left(stack, F.length(stack) - 1))
+        .otherwise(F.concat(stack, F.lit("!"))),
     )
-    own = meaning(name)
+    forms = lambda kind: F.regexp_extract_all(name, F.lit(rf"{kind}\[(.*?)\]"), F.lit(1))
+    unknown = lambda kind: F.exists(forms(kind), lambda f: ~f.isin("", *CONJUGATIONS[kind]))
+    # Only parentheses that end the name hold its English.
+    english = F.regexp_extract(name, r"\(([^)]+)\)\z", 1)
+    capital = F.exists(F.split(english, r"(?U)\s+"), lambda w: (w != "I") & w.rlike(r"\p{Lu}"))
+    lone = [name.contains(s) & F.exists(F.split(name, f"[{s}]", -1), lambda p: trim_space(p) == "") for s in SEPARATORS]
     checks = [
-        ("circled-digit", name.rlike("[①-⑳]")), ("slash", name.contains("/")), ("brackets", opened != ""),
-        ("meaning-case", own.isNotNull() & ~meaning_start_ok(own)), ("digit", name.rlike("[0-9]")),
-        ("operator", name.rlike(r"(^|\s)[+=](\s*$)|^\s*[+=]")),
+        ("empty", name == ""), ("circled-digit", name.rlike("[①-⑩]")), ("slash", name.contains("/")), ("brackets", opened != ""),
+        ("empty-brackets", reduce(lambda a, b: a | b, [F.array_contains(forms(k), "") for k in CONJUGATIONS])),
+        *((f"{k.lower()}-form", unknown(k)) for k in CONJUGATIONS),
+        ("meaning-case", capital), ("digit", english.rlike(r"\p{Nd}")), ("separator", reduce(lambda a, b: a | b, lone)),
     ]
     return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(code)) for code, c in checks]), lambda x: x.isNotNull())

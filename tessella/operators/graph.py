@@ -1,142 +1,301 @@
-"""Prerequisite graphs: violations of an order, scores, cuts, cycles, and a bounded reorder.
+"""Prerequisite lists: violations of an order, scores, cuts, cycles, and a bounded reorder.
 
-Edges are (src, dst): src must come before dst. An order is (pos, node); a node
-that is listed twice counts at its last place.
+Nodes are rows (node, before, after): ``before`` lists what must come before the
+node, ``after`` what must come after it. An order is (pos, node); a node that is
+listed twice counts at its last place. A constraint (node, item, kind) is one
+entry of a list; entries that repeat count each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FORWARD, DISTANCE, FIRST = 2.0, 5.0, 0.5
+BEFORE, AFTER = "before", "after"
+# Weights of a violation's constraints, impact and place.
+CONSTRAINTS, IMPACT, PLACE = 2.0, 5.0, 0.5
+
+
+def constraints(nodes: DataFrame) -> DataFrame:
+    """node, item, kind, src, dst: one row per list entry; src must come before dst."""
+    ahead = nodes.select("node", F.explode(BEFORE).alias("item"), F.lit(BEFORE).alias("kind")).withColumns({"src": F.col("item"), "dst": F.col("node")})
+    behind = nodes.select("node", F.explode(AFTER).alias("item"), F.lit(AFTER).alias("kind")).withColumns({"src": F.col("node"), "dst": F.col("item")})
+    return ahead.unionByName(behind)
 
 
 def edges_of(nodes: DataFrame) -> DataFrame:
-    """Edges of rows node, before (nodes it precedes) and after (nodes it follows)."""
-    ahead = nodes.select(F.col("node").alias("src"), F.explode("before").alias("dst"))
-    behind = nodes.select(F.explode("after").alias("src"), F.col("node").alias("dst"))
-    return ahead.unionByName(behind).distinct()
+    """Distinct edges (src, dst) between nodes; entries that name no node make none."""
+    known = nodes.select(F.col("node").alias("_k")).distinct()
+    return constraints(nodes).join(known, F.col("item") == F.col("_k")).select("src", "dst").distinct()
 
 
 def positions(order: DataFrame) -> DataFrame:
     return order.groupBy("node").agg(F.max("pos").alias("pos"))
 
 
-def violations(edges: DataFrame, order: DataFrame) -> DataFrame:
-    """src, dst, src_pos, dst_pos, distance of edges that run backwards in the order."""
-    p = positions(order)
-    a = p.select(F.col("node").alias("_a"), F.col("pos").alias("src_pos"))
-    b = p.select(F.col("node").alias("_b"), F.col("pos").alias("dst_pos"))
-    joined = edges.join(a, F.col("src") == F.col("_a")).join(b, F.col("dst") == F.col("_b"))
-    return joined.where("src_pos > dst_pos").select("src", "dst", "src_pos", "dst_pos", (F.col("src_pos") - F.col("dst_pos")).alias("distance"))
-
-
-def violation_scores(edges: DataFrame, order: DataFrame) -> DataFrame:
-    """Add score: constraints on both ends, nearness, and the relative place."""
-    degree = edges.select(F.col("src").alias("n")).unionAll(edges.select("dst")).groupBy("n").agg(F.count("*").alias("d"))
-    n = positions(order).agg(F.max("pos").alias("_last"))
-    v = violations(edges, order)
-    v = v.join(degree.select(F.col("n").alias("_s"), F.col("d").alias("ds")), F.col("src") == F.col("_s"))
-    v = v.join(degree.select(F.col("n").alias("_t"), F.col("d").alias("dt")), F.col("dst") == F.col("_t")).crossJoin(n)  # one row
-    score = FORWARD * (F.col("ds") + F.col("dt")) + DISTANCE / (1 + F.col("distance")) + FIRST * (1 - F.col("dst_pos") / (F.col("_last") + 1))
-    return v.select("src", "dst", "src_pos", "dst_pos", "distance", F.round(score, 9).alias("score"))
-
-
-def cascade_impact(edges: DataFrame, order: DataFrame) -> DataFrame:
-    """For each violation, how many violations fewer (or more) moving src right before dst leaves."""
-    v = violations(edges, order)
-    before = v.count()
+def _placed(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """Constraints of which the list holds both ends, with node_pos and item_pos."""
     p = positions(order)
-    moves = v.select(F.col("src").alias("m"), F.col("src_pos").alias("m_from"), "dst", F.col("dst_pos").alias("m_to"))
-    # Only edges of nodes in the moved stretch can change: those that end at m.
-    own = edges.join(p.select(F.col("node").alias("_a"), F.col("pos").alias("a")), F.col("src") == F.col("_a"))
-    own = own.join(p.select(F.col("node").alias("_b"), F.col("pos").alias("b")), F.col("dst") == F.col("_b")).select(F.col("src").alias("s"), F.col("dst").alias("d"), "a", "b")
-    out = moves.join(own, (F.col("m") == F.col("s")) | (F.col("m") == F.col("d")))
-    new_a = F.when(F.col("s") == F.col("m"), F.col("m_to") - 0.5).otherwise(F.col("a"))
-    new_b = F.when(F.col("d") == F.col("m"), F.col("m_to") - 0.5).otherwise(F.col("b"))
-    change = F.when(F.col("a") > F.col("b"), 1).otherwise(0) - F.when(new_a > new_b, 1).otherwise(0)
-    return out.groupBy(F.col("m").alias("src"), "dst").agg(F.sum(change).cast("long").alias("impact"), F.lit(before).cast("long").alias("n_before"))
-
-
-def split_edges(edges: DataFrame, order: DataFrame) -> DataFrame:
-    """Edges with their places and whether they run backwards (the ones to cut)."""
-    back = violations(edges, order).select(F.col("src").alias("_s"), F.col("dst").alias("_d"), "distance")
-    joined = edges.join(back, (F.col("src") == F.col("_s")) & (F.col("dst") == F.col("_d")), "left")
-    return joined.select("src", "dst", F.col("_s").isNotNull().alias("cut"), "distance")
-
-
-def cut_report(edges: DataFrame, order: DataFrame) -> DataFrame:
-    """src and the sorted targets to cut, as an array and as JSON."""
-    cuts = split_edges(edges, order).where("cut").groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("cuts"))
-    return cuts.withColumn("json", F.to_json(F.struct("src", "cuts")))
-
-
-def constraint_names(edges: DataFrame, order: DataFrame) -> DataFrame:
-    """node and state: constrained nodes that the order lacks, listed nodes without a constraint."""
-    used = edges.select(F.col("src").alias("node")).unionAll(edges.select("dst")).distinct()
-    listed = order.select("node").distinct()
-    missing = used.join(listed, "node", "left_anti").withColumn("state", F.lit("missing"))
-    return missing.unionByName(listed.join(used, "node", "left_anti").withColumn("state", F.lit("free")))
-
-
-def reachability(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """All pairs (src, dst) with a path, by doubling; each round is cut from its lineage."""
-    reach = edges.select("src", "dst").distinct().checkpoint()
-    size = reach.count()
+    a, b = (p.select(F.col("node").alias(f"_{k}"), F.col("pos").alias(f"{k}_pos")) for k in ("node", "item"))
+    return constraints(nodes).join(a, F.col("node") == F.col("_node")).join(b, F.col("item") == F.col("_item")).drop("_node", "_item")
+
+
+def _broken() -> Column:
+    return F.when(F.col("kind") == BEFORE, F.col("item_pos") > F.col("node_pos")).otherwise(F.col("item_pos") < F.col("node_pos"))
+
+
+def violations(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """node, item, kind, node_pos, item_pos, distance of constraints that the order breaks."""
+    broken = _placed(nodes, order).where(_broken())
+    return broken.select("node", "item", "kind", "node_pos", "item_pos", F.abs(F.col("node_pos") - F.col("item_pos")).alias("distance"))
+
+
+def cascade_impact(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """Each violation with ``impact``: how many violations fewer moving its item leaves (negative: more). Orders list a node once.
+
+    The item moves right before the node, or for ``after`` behind the node and the
+    entry that follows it. Only constraints of the item itself can change, so
+    their other ends and the item's new places are merged by position.
+    """
+    found = violations(nodes, order)
+    to = F.when(F.col("kind") == BEFORE, F.col("node_pos") - 0.5).otherwise(F.col("node_pos") + 1.5)
+    moves = found.select(F.col("item").alias("m"), to.alias("at")).distinct()
+    ends = _placed(nodes, order).where("node <> item")
+    src_pos = F.when(F.col("kind") == BEFORE, F.col("item_pos")).otherwise(F.col("node_pos"))
+    dst_pos = F.when(F.col("kind") == BEFORE, F.col("node_pos")).otherwise(F.col("item_pos"))
+    ends = ends.select("src", "dst", src_pos.cast("double").alias("a"), dst_pos.cast("double").alias("b"))
+    # A point of m: the other end's place, whether m is the edge's source, and whether the order breaks the edge.
+    points = ends.select(F.col("src").alias("m"), F.col("b").alias("at"), F.lit(True).alias("first"), (F.col("a") > F.col("b")).cast("int").alias("now"))
+    points = points.unionByName(ends.select(F.col("dst").alias("m"), F.col("a").alias("at"), F.lit(False).alias("first"), (F.col("a") > F.col("b")).cast("int").alias("now")))
+    both = points.unionByName(moves, allowMissingColumns=True)
+    whole, upto = Window.partitionBy("m"), Window.partitionBy("m").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    # After the move an edge from m is broken if its target lies before, an edge to m if its source lies behind.
+    targets_before = F.count_if("first").over(upto)
+    sources_behind = F.count_if(~F.col("first")).over(whole) - F.count_if(~F.col("first")).over(upto)
+    change = F.sum("now").over(whole) - targets_before - sources_behind
+    moved = both.withColumn("impact", change).where("first is null").select(F.col("m").alias("_m"), F.col("at").alias("_at"), "impact")
+    return found.withColumn("_to", to).join(moved, (F.col("item") == F.col("_m")) & (F.col("_to") == F.col("_at"))).drop("_to", "_m", "_at")
+
+
+def violation_scores(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """Violations with impact and ``score``: constraints of both ends, impact, nearness, and an early place."""
+    sizes = nodes.select("node", (F.coalesce(F.size(BEFORE), F.lit(0)) + F.coalesce(F.size(AFTER), F.lit(0))).alias("d"))
+    n = order.agg(F.count("*").alias("_n"))
+    v = cascade_impact(nodes, order)
+    v = v.join(sizes.select(F.col("node").alias("_s"), F.col("d").alias("ds")), F.col("node") == F.col("_s"))
+    v = v.join(sizes.select(F.col("node").alias("_t"), F.col("d").alias("dt")), F.col("item") == F.col("_t"), "left").crossJoin(F.broadcast(n))  # one row
+    place = (F.col("_n") - F.least("node_pos", "item_pos")) / F.col("_n")
+    score = CONSTRAINTS * (F.col("ds") + F.coalesce("dt", F.lit(0))) + IMPACT * F.col("impact") + 1 / (1 + F.col("distance")) + PLACE * place
+    return v.select("node", "item", "kind", "node_pos", "item_pos", "distance", "impact", F.round(score, 9).alias("score"))
+
+
+def backward_cuts(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """src, dst, field of the edges to cut so that the order holds; ``field`` is node.before or node.after."""
+    ref = F.concat_ws(".", F.col("node").cast("string"), "kind")
+    return _placed(nodes, order).where(_broken()).select("src", "dst", ref.alias("field"))
+
+
+def without_cuts(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """The nodes with the entries that the order breaks left out; other columns stay."""
+    gone = _placed(nodes, order).where(_broken()).groupBy(F.col("node").alias("_n")).agg(
+        F.collect_set(F.when(F.col("kind") == BEFORE, F.col("item"))).alias("_b"), F.collect_set(F.when(F.col("kind") == AFTER, F.col("item"))).alias("_a")
+    )
+    joined = nodes.join(gone, F.col("node") == F.col("_n"), "left")
+    left = lambda own, cut: F.when(F.col(cut).isNull(), F.col(own)).otherwise(F.filter(own, lambda x: ~F.array_contains(cut, x)))
+    return joined.withColumns({BEFORE: left(BEFORE, "_b"), AFTER: left(AFTER, "_a")}).drop("_n", "_b", "_a")
+
+
+def verification(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """One row: violations and cycles before and after the cuts, and whether the cut graph is consistent and acyclic."""
+    left = without_cuts(nodes, order)
+    count = lambda rows, name: rows.agg(F.count("*").alias(name))
+    groups = lambda n: cycles(edges_of(n)).select("component").distinct()
+    parts = [
+        count(violations(nodes, order), "original_violations"), count(groups(nodes), "original_cycles"), count(backward_cuts(nodes, order), "cuts_needed"),
+        count(violations(left, order), "new_violations"), count(groups(left), "new_cycles"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.crossJoin(p)  # one row each
+    return out.withColumns({"is_dag_consistent": F.col("new_violations") == 0, "is_dag_acyclic": F.col("new_cycles") == 0})
+
+
+def cut_report(nodes: DataFrame, order: DataFrame, form: str = "cuts_only") -> DataFrame:
+    """Rows (node, report) in one of four forms.
+
+    ``cuts_only``: of nodes that lose entries the JSON of what each list loses;
+    ``json`` and ``dict``: each node's lists after the cuts, as JSON or as a Python
+    literal; ``summary``: the lines of a text, with their number as node.
+    """
+    name = lambda c: F.col(c).cast("string")
+    if form == "cuts_only":
+        of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, name("item"))))
+        lost = _placed(nodes, order).where(_broken()).groupBy("node").agg(of(BEFORE).alias("before_deletes"), of(AFTER).alias("after_deletes"))
+        return lost.select("node", F.to_json(F.struct("before_deletes", "after_deletes")).alias("report"))
+    if form in ("json", "dict"):
+        left = without_cuts(nodes, order)
+        texts = left.select("node", *(F.transform(c, lambda x: x.cast("string")).alias(c) for c in (BEFORE, AFTER)))
+        if form == "json":
+            return texts.select("node", F.to_json(F.struct(BEFORE, AFTER)).alias("report"))
+        quoted = lambda c: F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))
+        return texts.select("node", F.concat(F.lit("{'before': "), quoted(BEFORE), F.lit(", 'after': "), quoted(AFTER), F.lit("}")).alias("report"))
+    if form != "summary":
+        raise ValueError(f"unknown form: {form}")
+    total = verification(nodes, order)
+    head = total.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("s"), F.concat(F.lit("Original cycles: "), name("original_cycles")).alias("t")),
+        F.struct(F.lit(1).alias("s"), F.concat(F.lit("Original violations: "), name("original_violations")).alias("t")),
+        F.struct(F.lit(2).alias("s"), F.concat(F.lit("Constraint cuts needed: "), name("cuts_needed")).alias("t")),
+        F.struct(F.lit(4).alias("s"), F.concat(F.lit("Remaining violations: "), name("new_violations"), F.lit(", remaining cycles: "), name("new_cycles")).alias("t")),
+    )).alias("x")).select("x.s", "x.t")
+    line = F.concat(F.lit("  - Remove: "), name("src"), F.lit(" -> "), name("dst"), F.lit(" (from "), F.col("field"), F.lit(")"))
+    lines = head.unionByName(backward_cuts(nodes, order).select(F.lit(3).alias("s"), line.alias("t")))
+    return lines.orderBy("s", "t").select(F.col("s").alias("node"), F.col("t").alias("report"))
+
+
+def constraint_names(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """node and state: ``missing`` nodes, which the list lacks, and ``invalid`` entries of the list, which are no nodes."""
+    own, listed = nodes.select("node").distinct(), order.select("node").distinct()
+    missing = own.join(listed, "node", "left_anti").withColumn("state", F.lit("missing"))
+    return missing.unionByName(listed.join(own, "node", "left_anti").withColumn("state", F.lit("invalid")))
+
+
+def constraint_summary(nodes: DataFrame, order: DataFrame) -> DataFrame:
+    """One row: violations, missing_items, invalid_items."""
+    names = constraint_names(nodes, order).agg(F.count_if(F.col("state") == "missing").alias("missing_items"), F.count_if(F.col("state") == "invalid").alias("invalid_items"))
+    return violations(nodes, order).agg(F.count("*").alias("violations")).crossJoin(names)  # one row each
+
+
+def reachability(edges: DataFrame, sources: DataFrame | None = None, max_rounds: int = 10_000) -> DataFrame:
+    """Pairs (src, dst) with a path, from all nodes or from ``sources`` (src); a round adds one edge to the newest pairs.
+
+    The result has a row per pair; name sources where the graph is dense.
+    """
+    step = edges.select(F.col("src").alias("_m"), F.col("dst").alias("_t")).distinct().checkpoint()
+    new = step.select(F.col("_m").alias("src"), F.col("_t").alias("dst"))
+    if sources is not None:
+        new = new.join(sources.select("src").distinct(), "src", "left_semi")
+    found = new = new.checkpoint()
     for _ in range(max_rounds):
-        step = reach.select(F.col("src").alias("_m"), F.col("dst").alias("_t"))
-        longer = reach.join(step, F.col("dst") == F.col("_m")).select("src", F.col("_t").alias("dst"))
-        reach = reach.union(longer).distinct().checkpoint()
-        grown = reach.count()
-        if grown == size:
+        longer = new.join(step, F.col("dst") == F.col("_m")).select("src", F.col("_t").alias("dst")).distinct()
+        new = longer.join(found, ["src", "dst"], "left_anti").checkpoint()
+        if new.isEmpty():
             break
-        size = grown
-    return reach
+        found = found.unionByName(new).checkpoint()
+    return found
+
+
+def _trimmed(edges: DataFrame) -> DataFrame:
+    """Edges without those of nodes that have no way in or no way out, repeatedly."""
+    size = edges.count()
+    while size:
+        inner = edges.join(edges.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
+        inner = inner.join(edges.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst").checkpoint()
+        left = inner.count()
+        edges, done, size = inner, left == size, left
+        if done:
+            break
+    return edges
 
 
 def cycles(edges: DataFrame) -> DataFrame:
-    """node and component (its least node) of strongly connected components with two or more nodes."""
-    reach = reachability(edges)
-    back = reach.select(F.col("src").alias("_s"), F.col("dst").alias("_d"))
-    mutual = reach.join(back, (F.col("src") == F.col("_d")) & (F.col("dst") == F.col("_s"))).where("src <> dst")
-    return mutual.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("component"))
+    """node and component (its least node) of strongly connected components with two or more nodes.
+
+    By colours: nodes that cannot lie on a cycle are trimmed; each node takes the
+    greatest node that reaches it; what reaches a colour's own node within the
+    colour is one component. Data are linear in the edges in every step.
+    """
+    live = _trimmed(edges.where("src <> dst").select("src", "dst").distinct().checkpoint())
+    kind = edges.schema["src"].dataType
+    out = edges.sparkSession.createDataFrame([], f"node {kind.simpleString()}, component {kind.simpleString()}")
+    while not live.isEmpty():
+        colours = live.select(F.col("src").alias("node")).distinct().withColumn("c", F.col("node")).checkpoint()
+        while True:
+            sent = live.join(colours, F.col("src") == F.col("node")).select(F.col("dst").alias("node"), "c")
+            grown = colours.unionByName(sent).groupBy("node").agg(F.max("c").alias("c")).checkpoint()
+            same = grown.join(colours, ["node", "c"], "left_anti").isEmpty()
+            colours = grown
+            if same:
+                break
+        a, b = (colours.select(F.col("node").alias(f"_{k}"), F.col("c").alias(f"c_{k}")) for k in "ab")
+        within = live.join(a, F.col("src") == F.col("_a")).join(b, F.col("dst") == F.col("_b")).where("c_a = c_b").select("src", "dst", F.col("c_a").alias("c")).checkpoint()
+        member = colours.where("node = c").checkpoint()
+        new = member
+        while not new.isEmpty():
+            back = within.join(new.select(F.col("node").alias("_n")), F.col("dst") == F.col("_n")).select(F.col("src").alias("node"), "c").distinct()
+            new = back.join(member, "node", "left_anti").checkpoint()
+            member = member.unionByName(new).checkpoint()
+        sized = member.groupBy("c").agg(F.min("node").alias("component"), F.count("*").alias("n")).where("n > 1")
+        out = out.unionByName(member.join(sized, "c").select("node", "component"))
+        gone = member.select(F.col("node").alias("_g"))
+        left = live.join(gone, F.col("src") == F.col("_g"), "left_anti").join(gone, F.col("dst") == F.col("_g"), "left_anti")
+        live = _trimmed(left.checkpoint())
+    return out
+
 
+def broken(order: list, before: dict[str, list[str]], after: dict[str, list[str]]) -> list[tuple[str, str, str, int]]:
+    """(node, item, kind, distance) of the entries that a list in the driver breaks."""
+    at = {n: i for i, n in enumerate(order)}
+    lists = ((BEFORE, before, 1), (AFTER, after, -1))
+    return [(n, x, kind, abs(at[x] - at[n])) for kind, own, sign in lists for n, xs in own.items() if n in at for x in xs if x in at and sign * (at[x] - at[n]) > 0]
 
-def reorder(order: list[str], before: dict[str, list[str]], after: dict[str, list[str]], max_edits: int = 10, place: str = "best_position") -> tuple[list[str], list[str]]:
-    """A bounded repair of a curated list, in the driver: drop unknown nodes, insert missing ones, move the worst violators.
+
+def move(order: list[str], node: str, item: str, kind: str) -> tuple[list[str], int]:
+    """The list with the item moved before the node, or behind it and its follower; and the item's new place."""
+    from_, to = order.index(item), order.index(node)
+    out = order[:from_] + order[from_ + 1 :]
+    # Earlier moves may have brought the item to the node's other side, where taking it out shifts the node or does not.
+    place = to + (0 if from_ > to else -1) if kind == BEFORE else to + (1 if from_ < to else 0)
+    out.insert(place, item)
+    return out, min(place, len(out) - 1)
+
+
+def reorder(
+    order: list[str], before: dict[str, list[str]], after: dict[str, list[str]], max_edits: int | None = 10, place: str = "best_position", all_missing: bool = True
+) -> tuple[list[str], list[str]]:
+    """A bounded repair of a curated list, in the driver: drop unknown nodes, insert missing ones, move for the worst violations.
 
     The list is a catalogue's order (thousands of names); what it is scored from
-    can be computed by the functions above. Returns the list and the changes.
+    can be computed by the functions above. Missing nodes come in name order;
+    they count as edits unless ``all_missing``. Returns the list and the changes.
     """
     nodes = before.keys() | after.keys()
-    first = {(a, b) for a, bs in before.items() for b in bs} | {(a, b) for b, xs in after.items() for a in xs}
     changes = [f"remove {n}" for n in order if n not in nodes]
-    out = list({n: None for n in order if n in nodes})
+    out = [n for n in order if n in nodes]
+    edits = 0
     for node in sorted(nodes - set(out)):
-        at = _insertion(out, node, first, place)
+        if not all_missing and max_edits and edits >= max_edits:
+            break
+        at = insertion(out, set(before.get(node, ())), set(after.get(node, ())), place)
         out.insert(at, node)
         changes.append(f"insert {node} at {at}")
-    where = {n: i for i, n in enumerate(out)}
-    degree = {n: sum(n in e for e in first) for n in nodes}
-    bad = [(a, b) for a, b in first if a in where and b in where and where[a] > where[b]]
-    weight = lambda e: FORWARD * (degree[e[0]] + degree[e[1]]) + DISTANCE / (1 + where[e[0]] - where[e[1]]) + FIRST * (1 - where[e[1]] / len(out))
-    for a, b in sorted(bad, key=lambda e: (-weight(e), e))[:max_edits]:
-        if out.index(a) > out.index(b):
-            out.remove(a)
-            out.insert(out.index(b), a)
-            changes.append(f"move {a} before {b}")
+        edits += not all_missing
+    found = broken(out, before, after)
+    at, n = {x: i for i, x in enumerate(out)}, len(out)
+    size = lambda x: len(before.get(x, ())) + len(after.get(x, ()))
+    scores = []
+    for node, item, kind, distance in found:
+        impact = len(found) - len(broken(move(out, node, item, kind)[0], before, after))
+        scores.append(CONSTRAINTS * (size(node) + size(item)) + IMPACT * impact + 1 / (1 + distance) + PLACE * (n - min(at[node], at[item])) / n)
+    for i in sorted(range(len(found)), key=lambda i: -scores[i]):
+        if max_edits and edits >= max_edits:
+            break
+        node, item, kind, _ = found[i]
+        out, to = move(out, node, item, kind)
+        changes.append(f"move {item} {kind} {node} to {to}")
+        edits += 1
     return out, changes
 
 
-def _insertion(order: list[str], node: str, first: set[tuple[str, str]], place: str) -> int:
+def insertion(order: list[str], before: set[str], after: set[str], place: str) -> int:
+    """Where a node goes: at the ``end``, behind all of ``before`` (``constraint_based``), or at the first place that keeps most constraints."""
     if place == "end":
         return len(order)
-    later = [i for i, n in enumerate(order) if (node, n) in first]
-    earlier = [i for i, n in enumerate(order) if (n, node) in first]
+    earlier = [i for i, n in enumerate(order) if n in before]
+    later = [i for i, n in enumerate(order) if n in after]
     if place == "constraint_based":
-        return max(earlier) + 1 if earlier else min(later) if later else len(order)
+        return min(max(earlier, default=-1) + 1, min(later, default=len(order)))
     if place != "best_position":
         raise ValueError(f"unknown placement: {place}")
-    kept = [sum(i >= at for i in later) + sum(i < at for i in earlier) for at in range(len(order) + 1)]
+    kept = [sum(i < at for i in earlier) + sum(i >= at for i in later) for at in range(len(order) + 1)]
     return kept.index(max(kept))

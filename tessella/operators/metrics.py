@@ -82,3 +82,8 @@ def top_weights(rows: DataFrame, group: str, item: str, weight: str, n: int = 10
     """The items with the largest absolute non-zero weights of each group."""
     place = F.row_number().over(Window.partitionBy(group).orderBy(F.abs(weight).desc(), item))
     return rows.where(F.col(weight) != 0).withColumn("place", place).where(F.col("place") <= n)
+
+
+def hardest(scores: DataFrame, n: int, support: int = 3) -> DataFrame:
+    """The labels with the least F1 among those with enough support. Rows: label, f1, support."""
+    return scores.where(F.col("support") >= support).orderBy("f1", "label").limit(n)

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import importlib
+import json
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, HashingTF, MaxAbsScaler
@@ -79,15 +86,67 @@ def norms(vectors: DataFrame, column: str) -> DataFrame:
     return vectors.agg(F.count("*").alias("n"), F.round(F.avg(n), 4).alias("mean_norm"), F.round(F.stddev_pop(n), 4).alias("std_norm"))
 
 
-def neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int = 5) -> DataFrame:
-    """The k most similar other rows (cosine) of a bounded set of query rows, which are broadcast."""
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    q = queries.select(F.col(key).alias("query"), F.col(column).alias("_q"))
-    met = vectors.select(key, column).join(F.broadcast(q), F.col(key) != F.col("query"))
-    cosine = dot(F.col(column), F.col("_q")) / F.sqrt(dot(F.col(column), F.col(column)) * dot(F.col("_q"), F.col("_q")))
-    scored = met.select("query", key, F.round(cosine, 5).alias("cosine"))
+def neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int = 5, each: int = 4096, queries_each: int = 512) -> DataFrame:
+    """The k most similar other rows (cosine) of each query row.
+
+    Rows are dealt to blocks of about ``each`` vectors; each block of queries meets
+    each block of vectors once, in one task, and leaves the k best of that pair.
+    """
+
+    def packed(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+        n = max(1, math.ceil(rows.count() / size))
+        dealt = rows.select(F.col(key).cast("long").alias("i"), F.col(column).cast("array<double>").alias("v"), F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(name))
+        return dealt.groupBy(name).agg(F.collect_list(F.struct("i", "v")).alias(f"{name}_rows")), n  # about ``size`` rows each
+
+    held, n_held = packed(vectors, each, "h")
+    asked, _ = packed(queries, queries_each, "q")
+    met = asked.withColumn("_h", F.explode(F.sequence(F.lit(0), F.lit(n_held - 1)))).join(held, F.col("_h") == F.col("h")).select("q_rows", "h_rows")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for q, h in zip(batch["q_rows"], batch["h_rows"], strict=True):
+                (qi, qv), (hi, hv) = ((np.array([r["i"] for r in x]), np.array([np.asarray(r["v"]) for r in x])) for x in (q, h))
+                cosine = np.round((qv @ hv.T) / np.sqrt((qv * qv).sum(1)[:, None] * (hv * hv).sum(1)[None]), 5)
+                out = []
+                for i, row in zip(qi, cosine, strict=True):
+                    own = np.flatnonzero(hi != i)
+                    best = own[np.lexsort((hi[own], -row[own]))[:k]]
+                    out += [(int(i), int(hi[j]), float(row[j])) for j in best]
+                yield pd.DataFrame(out, columns=["query", key, "cosine"])
+
+    found = met.mapInPandas(run, f"query long, {key} long, cosine double")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.col("cosine").desc(), key))
-    return scored.withColumn("rank", place).where(F.col("rank") <= k)
+    return found.withColumn("rank", place).where(F.col("rank") <= k)
+
+
+def mean_pairwise_cosine(vectors: DataFrame, column: str) -> DataFrame:
+    """One row: the mean cosine over all unordered pairs, from the sum of the unit vectors, without making pairs."""
+    v = F.col(column).cast("array<double>")
+    length = F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
+    unit = vectors.select(F.posexplode(F.transform(v, lambda x: x / length)).alias("i", "x"))
+    sums = unit.groupBy("i").agg(F.sum("x").alias("s"), F.count("*").alias("n"))
+    return sums.agg(F.round((F.sum(F.col("s") * F.col("s")) - F.max("n")) / (F.max("n") * (F.max("n") - 1)), 6).alias("mean_cosine"))
+
+
+def save_bundle(folder: str, models: dict, settings: dict, spark) -> None:
+    """Fitted Spark ML models and settings (JSON) under a folder."""
+    for name, model in models.items():
+        model.write().overwrite().save(f"{folder}/models/{name}")
+    kinds = {n: f"{type(m).__module__}.{type(m).__name__}" for n, m in models.items()}
+    row = [(json.dumps({"settings": settings, "kinds": kinds}),)]
+    spark.createDataFrame(row, "json string").coalesce(1).write.mode("overwrite").text(f"{folder}/bundle")
+
+
+def load_bundle(folder: str, spark) -> tuple[dict, dict]:
+    """The models and settings of a saved bundle; only classes of Spark ML are loaded."""
+    held = json.loads(spark.read.text(f"{folder}/bundle").first()[0])
+    models = {}
+    for name, kind in held["kinds"].items():
+        module, _, cls = kind.rpartition(".")
+        if not module.startswith("pyspark.ml."):
+            raise ValueError(f"not a model class: {kind}")
+        models[name] = getattr(importlib.import_module(module), cls).load(f"{folder}/models/{name}")
+    return models, held["settings"]
 
 
 def self_training(docs: DataFrame, text: str, label: str, rounds: int = 1, confident: float = 0.99) -> DataFrame:

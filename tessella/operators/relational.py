@@ -12,6 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Parts of a hot group that are combined before they meet.
+SLICES = 64
+
 
 def last_per_key(rows: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """One row per key, the last in ``order``."""
@@ -56,19 +59,8 @@ def numbered_ids(rows: DataFrame, order: Sequence[Column], prefix: str = "gp", w
 
     Places come from per-range counts, so only range totals meet, not the rows.
     """
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = rows.withColumn("_order", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    dealt = keyed.repartitionByRange(parts, "_order").withColumn("_part", F.spark_partition_id())
-    local = F.row_number().over(Window.partitionBy("_part").orderBy("_order"))
-    numbered = dealt.withColumn("_local", local)
-    totals = dealt.groupBy("_part").agg(F.count("*").alias("_rows"))
-    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(F.col("_part").alias("_p"), F.coalesce(before, F.lit(0)).alias("_before"))
-    out = numbered.join(F.broadcast(offsets), F.col("_part") == F.col("_p"))  # a row per shuffle partition
-    place = F.col("_before") + F.col("_local")
-    text = F.format_string(f"{prefix}%0{width}d", place)
-    return out.withColumn("id", text).drop("_order", "_part", "_local", "_p", "_before")
+    place = F.format_string(f"{prefix}%0{width}d", F.col("_tessella_place") + 1)
+    return numbered(rows, order, "_tessella_place").withColumn("id", place).drop("_tessella_place")
 
 
 def priority_lookup(rows: DataFrame, table: DataFrame, key: str, source: Column, name: str, value: str) -> DataFrame:
@@ -136,13 +128,18 @@ def rewrite_catalog(catalog: DataFrame, key: str, id_col: str, renames: DataFram
 
 
 def pair_counts(rows: DataFrame, doc: str, label: str, samples: int = 3) -> DataFrame:
-    """Unordered label pairs of a document: a, b, n, and the first sample documents."""
+    """Unordered label pairs of a document: a, b, n, and the first sample documents.
+
+    Counts and samples are combined per slice of the documents first, so a pair
+    that most documents have is no task of its own.
+    """
     own = rows.select(doc, label).distinct()
     other = own.select(F.col(doc).alias("_d"), F.col(label).alias("b"))
     pairs = own.withColumnRenamed(label, "a").join(other, (F.col(doc) == F.col("_d")) & (F.col("a") < F.col("b")))
-    few = F.row_number().over(Window.partitionBy("a", "b").orderBy(doc)) <= samples
-    marked = pairs.select("a", "b", doc, few.alias("_few"))
-    return marked.groupBy("a", "b").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("_few"), F.col(doc)))).alias("samples"))
+    sliced = pairs.select("a", "b", F.col(doc).alias("doc"), F.pmod(F.xxhash64(doc), F.lit(SLICES)).alias("_s"))
+    place = F.row_number().over(Window.partitionBy("a", "b", "_s").orderBy("doc"))
+    parts = sliced.withColumn("_p", place).groupBy("a", "b", "_s").agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("_p") <= samples, F.col("doc"))).alias("few"))
+    return parts.groupBy("a", "b").agg(F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, samples).alias("samples"))
 
 
 def rare_labels_dropped(rows: DataFrame, doc: str, label: str, least: int) -> DataFrame:
@@ -152,8 +149,15 @@ def rare_labels_dropped(rows: DataFrame, doc: str, label: str, least: int) -> Da
 
 
 def duplicate_groups(rows: DataFrame, key: str, member: str, most: int | None = None) -> DataFrame:
-    """Keys on more than one row: how many, the least and the greatest member."""
-    return rows.groupBy(key).agg(F.count("*").alias("n"), F.min(member).alias("first"), F.max(member).alias("last")).where("n > 1")
+    """Keys on more than one row: how many, the least and the greatest member, and with ``most`` that many of the least members."""
+    sliced = rows.withColumn("_s", F.pmod(F.xxhash64(member), F.lit(SLICES)))
+    few = [] if most is None else [F.slice(F.array_sort(F.collect_list(member)), 1, most).alias("members")]
+    if not few:
+        return rows.groupBy(key).agg(F.count("*").alias("n"), F.min(member).alias("first"), F.max(member).alias("last")).where("n > 1")
+    place = F.row_number().over(Window.partitionBy(key, "_s").orderBy(member))
+    parts = sliced.withColumn("_p", place).groupBy(key, "_s").agg(F.count("*").alias("n"), F.min(member).alias("first"), F.max(member).alias("last"), F.collect_list(F.when(F.col("_p") <= most, F.col(member))).alias("few"))
+    out = parts.groupBy(key).agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, most).alias("members"))
+    return out.where("n > 1")
 
 
 def later_duplicates(rows: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -182,6 +186,80 @@ def insert_feedback(store: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def pair_stats(pairs: DataFrame, key: str) -> DataFrame:
+    """One row: distinct pairs, distinct keys, and pairs per key rounded to 2 places (0 without pairs)."""
+    n, keys = F.count("*"), F.countDistinct(key)
+    return pairs.distinct().agg(n.alias("n_pairs"), keys.alias("n_keys"), F.round(F.when(n > 0, n / keys).otherwise(0.0), 2).alias("mean"))
+
+
+def key_stats(pairs: DataFrame, keys: DataFrame, key: str, value: str) -> DataFrame:
+    """For each asked key how many values it has, whether it is present, and its sorted values."""
+    held = pairs.select(F.col(key).alias("_k"), value).distinct().groupBy("_k").agg(F.count("*").alias("n"), F.array_sort(F.collect_set(value)).alias("kinds"))
+    out = keys.select(key).distinct().join(held, F.col(key) == F.col("_k"), "left")
+    return out.select(key, F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNotNull().alias("present"), F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"))
+
+
+def intersection(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The distinct rows that both have."""
+    return left.intersect(right.select(left.columns))
+
+
+def sorted_positions(rows: DataFrame, name: str) -> DataFrame:
+    """pos (from 0) and the distinct names in order, numbered across range partitions."""
+    names = rows.select(name).distinct().where(F.col(name).isNotNull())
+    return numbered(names, [F.col(name)], "pos")
+
+
+def numbered(rows: DataFrame, by: Sequence[Column], pos: str) -> DataFrame:
+    """Rows with their place (long, from 0) in a total order; no task holds more than a range of it."""
+    part, own = "_tessella_part", "_tessella_own"
+    ranged = rows.repartitionByRange(*by).withColumn(part, F.spark_partition_id()).checkpoint()
+    counts = ranged.groupBy(part).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per partition
+    starts = counts.select(F.col(part).alias("_q"), before.alias("_start"))
+    placed = ranged.withColumn(own, F.row_number().over(Window.partitionBy(part).orderBy(*by)))
+    return placed.join(F.broadcast(starts), F.col(part) == F.col("_q")).withColumn(pos, F.col("_start") + F.col(own) - 1).drop(part, own, "_q", "_start")
+
+
+def extremes(counts: DataFrame, label: str, n: str, k: int) -> DataFrame:
+    """side, label, n of the k least and the k most frequent labels."""
+    least = counts.orderBy(n, label).limit(k).select(F.lit("least").alias("side"), label, n)
+    return least.unionByName(counts.orderBy(F.col(n).desc(), label).limit(k).select(F.lit("most").alias("side"), label, n))
+
+
+def inverted(rows: DataFrame, name: str, items: str) -> DataFrame:
+    """item and the sorted distinct names that list it."""
+    each = rows.select(name, F.explode(items).alias("item")).distinct()
+    return each.groupBy("item").agg(F.array_sort(F.collect_set(name)).alias("names"))
+
+
+def merged_rows(rows: DataFrame, new: str, order: str, items: str) -> DataFrame:
+    """Rows merged into new ones: the first order value, and the items of all in their order, each once."""
+    each = rows.select(new, order, F.posexplode(items).alias("_i", "item"))
+    first = each.groupBy(new, "item").agg(F.min(F.struct(order, "_i")).alias("at"))
+    listed = first.groupBy(new).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "item"))), lambda x: x["item"]).alias("items"))
+    ids = rows.groupBy(F.col(new).alias("_n")).agg(F.min(order).alias("first"))
+    return ids.join(listed, F.col("_n").eqNullSafe(F.col(new)), "left").select(F.col("_n").alias(new), "first", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def checked_lookup(rows: DataFrame, table: DataFrame, key: str, other: str) -> DataFrame:
+    """An inner lookup that raises an error for a key without a match."""
+    found, miss = "_tessella_found", F.concat(F.lit("no match for "), F.col(key).cast("string"))
+    joined = rows.join(table.withColumn(found, F.lit(True)), F.col(key) == F.col(other), "left")
+    return joined.where(F.when(F.col(found), F.lit(True)).otherwise(F.raise_error(miss).cast("boolean"))).drop(found)
+
+
+def paired(rows: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with both texts, and rows with one of them blank (errors); rows with both blank go."""
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    return rows.where(~blank(a) & ~blank(b)), rows.where(blank(a) != blank(b))
+
+
+def with_marker(rows: DataFrame, markers: str) -> DataFrame:
+    """Rows whose array of frequency markers is not empty."""
+    return rows.where(F.size(F.coalesce(markers, F.array().cast("array<string>"))) > 0)
+
+
 def except_labels(positive: DataFrame, negative: DataFrame, key: str, label: str) -> DataFrame:
     """key and sorted labels without the negated ones; keys with negatives only get an empty array."""
     left = positive.groupBy(key).agg(F.collect_set(label).alias("_p"))

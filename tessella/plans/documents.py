@@ -4,42 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import lint
+from ..functions import lint, schema
 from .tables import table
 
 
 def _catalog(spark, sf_dir):
-    """Conversations as documents, their turns as examples."""
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.concat(F.left("text", F.lit(40)), F.when(F.col("turn") % 3 == 1, '"').when(F.col("turn") % 3 == 2, "[").otherwise("")).alias("e"))
-    example = F.struct(
-        F.col("e").alias("english"), F.when(F.col("role") == "user", F.array("e")).otherwise(F.array("e", "role")).alias("japanese"),
-        F.when(F.col("role") == "assistant", F.array(F.struct(F.array().cast("array<string>").alias("competing_japanese"), F.lit("x").alias("english")))).alias("competing_grammar"),
-        F.col("role").alias("register"),
+    """Documents of the table as catalogue documents, all lines of their texts as examples."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
+    example = lambda e, i: F.struct(
+        e.alias("english"), F.when(i % 2 == 0, F.array(e)).otherwise(F.array(e, F.lit("v"))).alias("japanese"),
+        F.when(i % 3 == 0, F.array(F.struct(F.array().cast("array<string>").alias("competing_japanese"), F.lit("x").alias("english")))).alias("competing_grammar"),
+        F.lit("r").alias("register"),
     )
-    rows = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "e", example.alias("x")))).alias("t"))
-    name = F.concat(F.lit("point"), F.when(F.col("conv_id") % 2 == 0, " (good)").when(F.col("conv_id") % 3 == 0, " (Bad)").otherwise(""))
+    k = F.col("doc_id")
+    name = F.concat(F.lit("point"), F.when(k % 2 == 0, " (good)").when(k % 3 == 0, " (Bad)").otherwise(""))
     friend = F.struct(
-        F.lit("t").alias("term"), F.lit("m").alias("meaning"), F.when(F.col("conv_id") % 5 == 0, "homonym").otherwise("synonym").alias("kind"),
-        F.when(F.col("conv_id") % 4 == 0, "").when(F.col("conv_id") % 4 == 1, "a/b").when(F.col("conv_id") % 4 == 2, "<suggest>:c").otherwise("point (good)").alias("grammar_point"),
+        F.lit("t").alias("term"), F.lit("m").alias("meaning"), F.when(k % 5 == 0, "homonym").otherwise("synonym").alias("kind"),
+        F.when(k % 4 == 0, "").when(k % 4 == 1, "a/b").when(k % 4 == 2, "<suggest>:c").otherwise("point (good)").alias("grammar_point"),
     )
-    return rows.select(
-        "conv_id", name.alias("grammar_point"), F.when(F.col("conv_id") % 7 == 0, F.array(name)).alias("better_grammar_point_name"),
-        F.array(F.lit("b"), F.lit("a"), F.lit("b")).alias("learn_before"), F.when(F.col("conv_id") % 6 != 0, "m").alias("meaning"),
-        F.when(F.col("conv_id") % 9 == 0, "N9").otherwise("N3").alias("jlpt"), F.array(friend).alias("false_friends"), F.transform("t", lambda x: x["x"]).alias("examples"),
+    return d.select(
+        "doc_id", name.alias("grammar_point"), F.when(k % 7 == 0, F.array(name)).alias("better_grammar_point_name"),
+        F.array(F.lit("b"), F.lit("a"), F.lit("b")).alias("learn_before"), F.when(k % 6 != 0, "m").alias("meaning"),
+        F.when(k % 9 == 0, "N9").otherwise("N3").alias("jlpt"), F.array(friend).alias("false_friends"), F.transform("lines", example).alias("examples"),
     )
 
 
 def _count(spark, sf_dir, *names):
     docs = _catalog(spark, sf_dir)
-    return docs.select("conv_id", *[F.size(lint.RULES[n]()).alias(n) for n in names])
+    return docs.select("doc_id", *[F.size(lint.RULES[n]()).alias(n) for n in names])
+
+
+def _messages(spark, sf_dir, name):
+    found = lint.RULES[name]()
+    return _catalog(spark, sf_dir).select("doc_id", F.size(found).alias(name), F.md5(F.array_join(found, "\n")).alias("digest"))
 
 
 def lint_quotes(spark, sf_dir):
-    return _count(spark, sf_dir, "quotes")
+    return _messages(spark, sf_dir, "quotes")
 
 
 def lint_brackets(spark, sf_dir):
-    return _count(spark, sf_dir, "brackets")
+    return _messages(spark, sf_dir, "brackets")
 
 
 def lint_counts(spark, sf_dir):
@@ -56,42 +61,92 @@ def lint_references(spark, sf_dir):
 
 def lint_unknown_refs(spark, sf_dir):
     docs = _catalog(spark, sf_dir).withColumn("names", F.array(F.lit("point (good)"), F.lit("point")))
-    return docs.select("conv_id", F.size(lint.unknown_references("names")).alias("n"))
+    return docs.select("doc_id", F.size(lint.unknown_references("names")).alias("n"))
 
 
 def lint_enum(spark, sf_dir):
-    return _catalog(spark, sf_dir).select("conv_id", F.array_join(lint.enums(), "; ").alias("messages"))
+    return _catalog(spark, sf_dir).select("doc_id", F.array_join(lint.enums(), "; ").alias("messages"))
 
 
 def lint_report(spark, sf_dir):
-    return lint.lint(_catalog(spark, sf_dir)).select("conv_id", F.size("lint-errors").alias("n"))
+    return lint.lint(_catalog(spark, sf_dir)).select("doc_id", F.size("lint-errors").alias("n"))
 
 
 def clean_documents(spark, sf_dir):
-    once = lint.clean(_catalog(spark, sf_dir))
-    return once.select("conv_id", F.array_join("learn_before", ",").alias("learn_before"), "meaning", F.get("examples", F.lit(0))["english"].alias("first"))
+    """Every line of every text cleaned, in quotes that enclose it twice."""
+    docs = _catalog(spark, sf_dir)
+    quoted = F.transform("examples", lambda x: x.withField("english", F.concat(F.lit(" “'"), x["english"], F.lit("'” "))))
+    once = lint.clean(docs.withColumn("examples", quoted))
+    lines = F.transform("examples", lambda x: x["english"])
+    return once.select("doc_id", F.array_join("learn_before", ",").alias("learn_before"), "meaning", F.md5(F.array_join(lines, "\n")).alias("digest"))
+
+
+SCHEMA = {
+    "definitions": {"name": {"type": "string"}, "friend": {"$ref": "#/definitions/name"}, "level": {"enum": ["de", "en", "es"]}},
+    "type": "object",
+    "properties": {
+        "lang": {"$ref": "#/definitions/level"}, "source": {"$ref": "#/definitions/friend"},
+        "lines": {"type": "array", "items": {"type": "object", "properties": {"t": {"type": "string"}}}},
+    },
+}
+
+
+def _json(spark, sf_dir):
+    lines = F.transform(F.split("text", "\n"), lambda t: F.struct(t.alias("t")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct("source", lines.alias("lines"), "lang")).alias("json"))
+
+
+def schema_visits(spark, sf_dir):
+    """What a schema-directed visitor sees in every document."""
+    seen = schema.visits(_json(spark, sf_dir), "doc_id", "json", SCHEMA)
+    return seen.groupBy("doc_id").agg(F.count("*").alias("n"), F.max_by("path", "number").alias("last"), F.count_if(F.col("type") == "lines/t/string").alias("n_lines"))
+
+
+def schema_enums(spark, sf_dir):
+    out = schema.documents(_json(spark, sf_dir), "json", lambda d: schema.enum_errors(d, SCHEMA))
+    return out.select("doc_id", F.get_json_object("json", "$[0]").alias("message"))
+
+
+def schema_key_order(spark, sf_dir):
+    out = schema.documents(_json(spark, sf_dir), "json", lambda d: list(schema.in_order(d, SCHEMA)))
+    return out.select("doc_id", F.col("json").alias("keys"))
+
+
+def prune_nested(spark, sf_dir):
+    """Lines of every text, pruned of blank ones, in structs whose other parts are empty."""
+    part = F.transform(F.split("text", "\n"), lambda t: F.struct(t.alias("t"), F.array(F.lit("null")).alias("a"), F.create_map(F.lit("k"), F.lit("")).alias("m")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", part.alias("x"))
+    kept = docs.select("doc_id", lint.pruned(F.col("x"), docs.schema["x"].dataType).alias("x"))
+    others = F.exists("x", lambda p: p["a"].isNotNull() | p["m"].isNotNull())
+    return kept.select("doc_id", F.size("x").alias("n"), others.alias("others"), F.md5(F.array_join(F.transform("x", lambda p: p["t"]), "\n")).alias("digest"))
 
 
-E = """c as (select conv_id, turn, role, left(text, 40) || case when turn % 3 = 1 then '"' when turn % 3 = 2 then '[' else '' end as e from conversations), k as (select distinct conv_id from c)"""
+E = """k as (select doc_id, text, string_split(text, chr(10)) as lines from documents), c as (select doc_id, unnest(lines) as e, generate_subscripts(lines, 1) - 1 as i from k)"""
 BRACKET = "regexp_matches(e, '[\\(\\)\\[\\]{{}}<>]')".replace("{{}}", "{}")
-COUNTS = f"""count_if(contains(e, '"')) as quotes, count_if({BRACKET}) as brackets, count_if(role <> 'assistant') as missing_competing, (count(*) < 10)::int as example_count,
-  count_if(role = 'assistant') as competing_count, count_if(role = 'user') as japanese_count,
-  (conv_id % 7 = 0)::int + (conv_id % 2 <> 0 and conv_id % 3 <> 0)::int as better_name,
-  case when conv_id % 2 = 0 then 0 when conv_id % 3 = 0 then 1 else 1 end as name_meaning, (conv_id % 6 = 0)::int as required,
-  (conv_id % 4 = 0)::int as friend_reference, (conv_id % 4 = 1)::int as special_characters, (conv_id % 9 = 0)::int + (conv_id % 5 = 0)::int as enums"""
-ALL = f"with {E}, n as (select conv_id, {COUNTS} from c group by conv_id)"
+COUNTS = f"""count_if(contains(e, '"')) as quotes, count_if({BRACKET}) as brackets, count_if(i % 3 <> 0) as missing_competing, (count(*) < 10)::int as example_count,
+  count_if(i % 3 = 0) as competing_count, count_if(i % 2 = 0) as japanese_count,
+  (doc_id % 7 = 0)::int + (doc_id % 2 <> 0 and doc_id % 3 <> 0)::int as better_name,
+  case when doc_id % 2 = 0 then 0 when doc_id % 3 = 0 then 1 else 1 end as name_meaning, (doc_id % 6 = 0)::int as required,
+  (doc_id % 4 = 0)::int as friend_reference, (doc_id % 4 = 1)::int as special_characters, (doc_id % 9 = 0)::int + (doc_id % 5 = 0)::int as enums"""
+ALL = f"with {E}, n as (select doc_id, {COUNTS} from c group by doc_id)"
 INT = lambda *names: ", ".join(f"{n}::int as {n}" for n in names)
 QUERIES = {
-    "lint_quotes": (lint_quotes, f"{ALL} select conv_id, {INT('quotes')} from n"),
-    "lint_brackets": (lint_brackets, f"{ALL} select conv_id, {INT('brackets')} from n"),
-    "lint_counts": (lint_counts, f"{ALL} select conv_id, {INT('missing_competing', 'example_count', 'competing_count', 'japanese_count')} from n"),
-    "lint_names": (lint_names, f"{ALL} select conv_id, {INT('better_name', 'name_meaning', 'required')} from n"),
-    "lint_references": (lint_references, f"{ALL} select conv_id, {INT('friend_reference', 'special_characters')} from n"),
-    "lint_unknown_refs": (lint_unknown_refs, f"with {E} select conv_id, (conv_id % 4 in (0, 1))::int as n from k"),
-    "lint_enum": (lint_enum, f"""with {E} select conv_id, array_to_string(list_filter([case when conv_id % 9 = 0 then 'error jlpt: N9 is not allowed' end,
-      case when conv_id % 5 = 0 then 'error false_friends[0].kind: homonym is not allowed' end], lambda x: x is not null), '; ') as messages from k"""),
-    "lint_report": (lint_report, f"""{ALL} select conv_id, (quotes + brackets + missing_competing + example_count + competing_count + japanese_count + better_name + name_meaning + required
+    "lint_quotes": (lint_quotes, f"""with {E} select doc_id, count_if(contains(e, '"'))::int as quotes,
+      md5(coalesce(string_agg('[rule-1] warning examples[' || i || '].english contains a double quote: ' || e, chr(10) order by i) filter (contains(e, '"')), '')) as digest from c group by 1"""),
+    "lint_brackets": (lint_brackets, f"""with {E}, f as (select *, case when regexp_matches(e, '[()]') then '()' when contains(e, '[') or contains(e, ']') then '[]' when contains(e, chr(123)) or contains(e, chr(125)) then chr(123) || chr(125) when regexp_matches(e, '[<>]') then '<>' end as b from c)
+      select doc_id, count(b)::int as brackets, md5(coalesce(string_agg('[rule-4] warning examples[' || i || '].english contains ' || b, chr(10) order by i) filter (b is not null), '')) as digest from f group by 1"""),
+    "lint_counts": (lint_counts, f"{ALL} select doc_id, {INT('missing_competing', 'example_count', 'competing_count', 'japanese_count')} from n"),
+    "lint_names": (lint_names, f"{ALL} select doc_id, {INT('better_name', 'name_meaning', 'required')} from n"),
+    "lint_references": (lint_references, f"{ALL} select doc_id, {INT('friend_reference', 'special_characters')} from n"),
+    "lint_unknown_refs": (lint_unknown_refs, f"with {E} select doc_id, (doc_id % 4 in (0, 1))::int as n from k"),
+    "lint_enum": (lint_enum, f"""with {E} select doc_id, array_to_string(list_filter([case when doc_id % 9 = 0 then 'error jlpt: N9 is not allowed' end,
+      case when doc_id % 5 = 0 then 'error false_friends[0].kind: homonym is not allowed' end], lambda x: x is not null), '; ') as messages from k"""),
+    "lint_report": (lint_report, f"""{ALL} select doc_id, (quotes + brackets + missing_competing + example_count + competing_count + japanese_count + better_name + name_meaning + required
       + friend_reference + special_characters + enums)::int as n from n"""),
-    "clean_documents": (clean_documents, f"""with {E} select conv_id, 'a,b' as learn_before, case when conv_id % 6 <> 0 then 'm' end as meaning,
-      arg_min(regexp_replace(e, '^\\s+|\\s+$', '', 'g'), (turn, role, e)) as first from c group by conv_id"""),
+    "clean_documents": (clean_documents, f"""with {E} select doc_id, 'a,b' as learn_before, case when doc_id % 6 <> 0 then 'm' end as meaning, md5(string_agg(e, chr(10) order by i)) as digest from c group by 1"""),
+    "schema_visits": (schema_visits, f"""with {E} select doc_id, 5 + 2 * len(lines) as n, 'lines[' || (len(lines) - 1) || '].t' as last, len(lines) as n_lines from k"""),
+    "schema_enums": (schema_enums, "select doc_id, case when lang not in ('de', 'en', 'es') then 'lang had an invalid enum value: ' || chr(39) || lang || chr(39) end as message from documents"),
+    "schema_key_order": (schema_key_order, """select doc_id, '["lang","source","lines"]' as keys from documents"""),
+    "prune_nested": (prune_nested, f"""with {E} select doc_id, nullif(count_if(e not in ('', 'null')), 0)::int as n, case when count_if(e not in ('', 'null')) > 0 then false end as others,
+      md5(string_agg(e, chr(10) order by i) filter (e not in ('', 'null'))) as digest from c group by 1"""),
 }

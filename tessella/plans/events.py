@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ def _slots(spark, sf_dir):
     """Views begin a slot (a user), purchases finish it, errors end it."""
     kind = F.when(F.col("event_type") == "view", "BEGIN").when(F.col("event_type") == "purchase", "FINISH").when(F.col("event_type") == "error", "ERROR")
     at = F.unix_seconds(F.col("ts").cast("timestamp")).cast("double")
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("slot_key"), (F.col("user_id") % 4).alias("item_type"), kind.alias("type"), at.alias("time"), F.col("event_id").alias("seq"))
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("slot_key"), (F.col("event_id") % 4).alias("item_type"), kind.alias("type"), at.alias("time"), F.col("event_id").alias("seq"))
     return e.where("type is not null")
 
 
@@ -32,18 +31,27 @@ def newest_n(spark, sf_dir):
     return ev.retained(table(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "ts", "event_id", 50).select("event_id", "user_id")
 
 
-def event_stream_tumbling(spark, sf_dir):
+def _stream(spark, sf_dir):
     path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
     folder, _, name = path.rpartition("/")
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
-    counted = ev.tumbling(stream, "ts", "1 day", "event_type")
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessella-stream-")
-    name = "tumbling_" + uuid.uuid4().hex[:8]
-    out = ev.run_available(counted, name, "complete", f"{where}/{name}")
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", name).parquet(folder)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
+
+
+def _drained(spark, stream, name):
+    return ev.run_available(stream, f"{name}_{uuid.uuid4().hex[:8]}", "complete", ev.stream_folder(spark))
+
+
+def event_stream_tumbling(spark, sf_dir):
+    out = _drained(spark, ev.tumbling(_stream(spark, sf_dir), "ts", "1 day", "event_type"), "tumbling")
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 3).alias("total"))
 
 
+def event_stream_session(spark, sf_dir):
+    out = _drained(spark, ev.sessions(_stream(spark, sf_dir), "ts", "6 hours", "user_id"), "session")
+    return out.select("user_id", F.unix_seconds("start").alias("start"), "n")
+
+
 def event_window_batch(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return ev.tumbling(e, "ts", "1 day", "event_type").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 3).alias("total"))
@@ -76,26 +84,29 @@ def chain_of_stages(spark, sf_dir):
 def memo_touch(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("caller"), F.col("event_id").alias("at"))
     memo = e.select("key").distinct().select("key", F.md5("key").alias("value"), F.lit(0).cast("long").alias("last_access"), F.array(F.lit("init")).alias("callers"))
-    return mapreduce.memo_touch(memo, e.where("at % 3 = 0")).select("key", "value", "last_access", F.array_join("callers", ",").alias("callers"))
+    return mapreduce.memo_touch(memo, e.where("caller <> 'view'")).select("key", "value", "last_access", F.array_join("callers", ",").alias("callers"))
 
 
-SLOTS = """s as (select user_id as slot_key, user_id % 4 as item_type, case event_type when 'view' then 'BEGIN' when 'purchase' then 'FINISH' when 'error' then 'ERROR' end as type,
+SLOTS = """s as (select user_id as slot_key, event_id % 4 as item_type, case event_type when 'view' then 'BEGIN' when 'purchase' then 'FINISH' when 'error' then 'ERROR' end as type,
     floor(epoch(ts)) as time, event_id as seq from events where event_type in ('view', 'purchase', 'error')),
-  l as (select *, lag(type) over w as pt, lag(time) over w as plast from s window w as (partition by slot_key order by time, seq)),
-  r as (select slot_key, item_type, type, time, case when pt = 'BEGIN' then time - plast else 0.0 end as elapsed from l where type in ('FINISH', 'ERROR'))"""
+  l as (select *, coalesce(time - lag(time) over w, 0) as elapsed, first_value(item_type) over w as first, last_value(case type when 'BEGIN' then item_type end ignore nulls) over
+    (partition by slot_key order by time, seq rows between unbounded preceding and 1 preceding) as begun from s window w as (partition by slot_key order by time, seq)),
+  r as (select slot_key, coalesce(begun, first) as item_type, type, time, elapsed from l where type in ('FINISH', 'ERROR'))"""
 DAYS = "select strftime(date_trunc('day', ts), '%Y-%m-%d') as day, event_type, count(*) as n, round(sum(value), 3) as total from events group by 1, 2"
+SESSIONS = """with g as (select user_id, ts, coalesce(ts - lag(ts) over (partition by user_id order by ts) >= interval 6 hours, true)::int as fresh from events),
+      n as (select *, sum(fresh) over (partition by user_id order by ts) as k from g) select user_id, floor(epoch(min(ts)))::bigint as start, count(*) as n from n group by user_id, k"""
 QUERIES = {
     "event_slot_elapsed": (event_slot_elapsed, f"with {SLOTS} select slot_key, item_type, type, time::double as time, elapsed::double as elapsed from r"),
     "event_type_totals": (event_type_totals, f"with {SLOTS} select item_type, count(*) as n, round(sum(elapsed), 3)::double as elapsed from r group by 1"),
     "newest_n": (newest_n, "select event_id, user_id from events order by ts desc, event_id limit 50"),
     "event_stream_tumbling": (event_stream_tumbling, DAYS),
     "event_window_batch": (event_window_batch, DAYS),
-    "event_session_batch": (event_session_batch, """with g as (select user_id, ts, coalesce(ts - lag(ts) over (partition by user_id order by ts) >= interval 6 hours, true)::int as fresh from events),
-      n as (select *, sum(fresh) over (partition by user_id order by ts) as k from g) select user_id, floor(epoch(min(ts)))::bigint as start, count(*) as n from n group by user_id, k"""),
+    "event_session_batch": (event_session_batch, SESSIONS),
+    "event_stream_session": (event_stream_session, SESSIONS),
     "props_json_extract": (props_json_extract, "select event_type, sum((props->>'k')::int)::bigint as total, count(props->>'k') as n from events group by 1"),
     "chat_turn_fold": (chat_turn_fold, "select conv_id, '|' || string_agg(role || ':' || length(text), '|' order by turn, role, text) as history from conversations group by 1"),
     "chain_of_stages": (chain_of_stages, """select p_partkey, case when length(p_name) > 12 and not starts_with(upper(p_name), 'B') then upper(p_name) else p_name end as p_name,
       length(p_name) > 12 and not starts_with(upper(p_name), 'B') and upper(p_name) <> p_name as changed from part"""),
-    "memo_touch": (memo_touch, """with k as (select distinct user_id from events), t as (select user_id, max(event_id) as seen, list_sort(list_append(list(distinct event_type), 'init')) as c from events where event_id % 3 = 0 group by 1)
+    "memo_touch": (memo_touch, """with k as (select distinct user_id from events), t as (select user_id, max(event_id) as seen, list_sort(list_append(list(distinct event_type), 'init')) as c from events where event_type <> 'view' group by 1)
       select k.user_id::varchar as key, md5(k.user_id::varchar) as value, coalesce(seen, 0) as last_access, coalesce(array_to_string(c, ','), 'init') as callers from k left join t on k.user_id = t.user_id"""),
 }

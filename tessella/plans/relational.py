@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import lint
 from ..operators import metrics
 from ..operators import relational as rel
 from .tables import table
@@ -42,8 +43,9 @@ def label_frequency(spark, sf_dir):
 
 
 def catalog_summary(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").where("p_brand is not null")
-    return parts.select("p_partkey", F.to_json(F.struct("p_name", "p_size")).alias("summary"))
+    from ..operators.mapreduce import summarise
+
+    return summarise(table(spark, sf_dir, "part").where("p_brand is not null"), "p_partkey", ["p_name", "p_size"])
 
 
 def row_routing_split(spark, sf_dir):
@@ -57,21 +59,22 @@ def row_routing_split(spark, sf_dir):
 
 def prune_empty(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") % 3 == 0, "").when(F.col("p_size") % 3 == 1, "null").otherwise(F.col("p_type")).alias("kind"))
-    return parts.select("p_partkey", F.nullif(F.nullif("kind", F.lit("")), F.lit("null")).alias("kind"))
+    return parts.select("p_partkey", lint.pruned(F.col("kind"), parts.schema["kind"].dataType).alias("kind"))
 
 
 def full_outer_merge_ranked_ids(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_nationkey % 5 <> 0").select(F.col("c_nationkey").alias("k"), "c_custkey", "c_name")
-    s = table(spark, sf_dir, "supplier").where("s_nationkey % 3 <> 0").select(F.col("s_nationkey").alias("k"), "s_suppkey", "s_name")
+    c = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("k"), "c_custkey", "c_name")
+    s = table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.col("s_nationkey").alias("k"), "s_suppkey", "s_name")
     merged = rel.full_merge(c, s, "k", ("a", "b"), ([F.col("c_custkey")], [F.col("s_suppkey")]))
     ranked = merged.withColumn("rank", rel.combined_rank(F.when(F.col("a").isNotNull(), F.col("k") % 4), F.when(F.col("b").isNotNull(), F.col("k") % 3)))
     return rel.numbered_ids(ranked, [F.col("rank"), F.col("k")]).select("id", "k", "rank", F.col("a.c_name").alias("c_name"), F.col("b.s_name").alias("s_name"))
 
 
 def merge_statistics(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"), "lang").where("doc_id % 3 <> 0")
-    q = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("k"), "quality")
-    return rel.merge_statistics(rel.full_merge(d, q, "k", ("a", "b"), ([F.col("lang")], [F.col("quality")])), "a", "b")
+    """Customers with orders against seven times the suppliers' numbers."""
+    c = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey")
+    q = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 7).alias("k"), "s_name")
+    return rel.merge_statistics(rel.full_merge(c, q, "k", ("a", "b"), ([F.col("o_orderkey")], [F.col("s_name")])), "a", "b")
 
 
 def level_rank(spark, sf_dir):
@@ -94,7 +97,7 @@ def dangling_references(spark, sf_dir):
 
 
 def unused_overrides(spark, sf_dir):
-    return rel.dangling(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", table(spark, sf_dir, "orders").where("o_totalprice > 1000"), "o_custkey")
+    return rel.dangling(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'"), "o_custkey")
 
 
 def known_reference_filter(spark, sf_dir):
@@ -154,8 +157,8 @@ def closest_name(spark, sf_dir):
 
 
 def rare_label_filter(spark, sf_dir):
-    b = _order_brands(spark, sf_dir).where("doc % 11 = 0")
-    return rel.rare_labels_dropped(b, "doc", "label", 20).groupBy("label").agg(F.count("*").alias("n"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc"), F.col("o_custkey").alias("label"))
+    return rel.rare_labels_dropped(o, "doc", "label", 10).groupBy("label").agg(F.count("*").alias("n"))
 
 
 def cooccurrence_top10(spark, sf_dir):
@@ -201,8 +204,10 @@ def merge_candidates(spark, sf_dir):
 
 
 def set_overlap_jaccard(spark, sf_dir):
-    b = _order_brands(spark, sf_dir).where("doc % 3 = 0")
-    return metrics.overlap_jaccard(b, "label", "doc")
+    """Brands as labels, the hundred customers that order most of each as its features."""
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    weights = lines.groupBy(F.col("p_brand").alias("label"), F.col("o_custkey").alias("feature")).agg(F.sum("l_quantity").alias("weight"))
+    return metrics.overlap_jaccard(metrics.top_weights(weights, "label", "feature", "weight"), "label", "feature")
 
 
 def top_weights(spark, sf_dir):
@@ -211,52 +216,49 @@ def top_weights(spark, sf_dir):
 
 
 def upsert_by_key(spark, sf_dir):
-    old = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name")
-    new = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select("c_custkey", F.upper("c_mktsegment").alias("c_name"))
+    old = table(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey", "c_name")
+    new = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", F.upper("c_mktsegment").alias("c_name"))
     return rel.upsert(old, new, "c_custkey")
 
 
-def _pairs(spark, sf_dir, where):
-    return table(spark, sf_dir, "events").where(where).select("user_id", "event_type").distinct()
+def _pairs(spark, sf_dir, status=None):
+    """Customers and the priorities of their orders, of all orders or of those with a status."""
+    o = table(spark, sf_dir, "orders")
+    return (o if status is None else o.where(F.col("o_orderstatus") == status)).select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("v")).distinct()
 
 
 def insert_ignore(spark, sf_dir):
-    return rel.insert_ignore(_pairs(spark, sf_dir, "event_id % 2 = 0"), _pairs(spark, sf_dir, "event_id % 3 = 0"))
+    return rel.insert_ignore(_pairs(spark, sf_dir, "F"), _pairs(spark, sf_dir, "O"))
 
 
 def insert_feedback(spark, sf_dir):
-    return rel.insert_feedback(_pairs(spark, sf_dir, "event_id % 7 = 0"), _pairs(spark, sf_dir, "event_id % 5 = 0"))
+    return rel.insert_feedback(_pairs(spark, sf_dir, "F"), _pairs(spark, sf_dir, "O"))
 
 
 def pair_stats(spark, sf_dir):
-    p = _pairs(spark, sf_dir, "event_id % 5 = 0")
-    n = F.count("*")
-    return p.agg(n.alias("n_pairs"), F.countDistinct("user_id").alias("n_keys"), F.round(F.when(n > 0, n / F.countDistinct("user_id")).otherwise(0.0), 2).alias("mean"))
+    return rel.pair_stats(_pairs(spark, sf_dir), "k")
 
 
 def key_stats(spark, sf_dir):
-    p = _pairs(spark, sf_dir, "event_id % 5 = 0").where("user_id = 7")
-    return p.agg(F.count("*").alias("n"), (F.count("*") > 0).alias("present"), F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"))
+    return rel.key_stats(_pairs(spark, sf_dir), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), "k", "v").select("k", "n", "present", F.array_join("kinds", ",").alias("kinds"))
 
 
 def union_labels(spark, sf_dir):
-    a, b = _pairs(spark, sf_dir, "event_id % 11 = 0"), _pairs(spark, sf_dir, "event_id % 13 = 0")
-    return rel.union_labels(a, b, key="user_id", label="event_type").select("user_id", F.array_join("labels", ",").alias("labels"))
+    return rel.union_labels(_pairs(spark, sf_dir, "F"), _pairs(spark, sf_dir, "O"), key="k", label="v").select("k", F.array_join("labels", ",").alias("labels"))
 
 
 def except_labels(spark, sf_dir):
-    a, b = _pairs(spark, sf_dir, "event_id % 11 = 0"), _pairs(spark, sf_dir, "event_id % 13 = 0")
-    return rel.except_labels(a, b, "user_id", "event_type").select("user_id", F.array_join("labels", ",").alias("labels"))
+    return rel.except_labels(_pairs(spark, sf_dir, "F"), _pairs(spark, sf_dir, "O"), "k", "v").select("k", F.array_join("labels", ",").alias("labels"))
 
 
 def set_difference(spark, sf_dir):
-    a, b = _pairs(spark, sf_dir, "event_id % 59 = 0"), _pairs(spark, sf_dir, "event_id % 61 = 0")
-    return rel.set_difference(a, b, "user_id")
+    """Customers with an urgent finished order against those with an urgent open one."""
+    urgent = lambda status: _pairs(spark, sf_dir, status).where("v = '1-URGENT'")
+    return rel.set_difference(urgent("F"), urgent("O"), "k")
 
 
 def intersect_keys(spark, sf_dir):
-    a, b = _pairs(spark, sf_dir, "event_id % 59 = 0"), _pairs(spark, sf_dir, "event_id % 61 = 0")
-    return a.intersect(b)
+    return rel.intersection(_pairs(spark, sf_dir, "F"), _pairs(spark, sf_dir, "O"))
 
 
 def union_all_arrays(spark, sf_dir):
@@ -265,7 +267,7 @@ def union_all_arrays(spark, sf_dir):
 
 
 def unpivot_carry_forward(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0").select(
+    o = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderstatus").alias("t1"), F.when(F.col("o_orderkey") % 20 == 0, F.col("o_orderpriority")).alias("t2"),
         F.col("o_orderstatus").alias("t3"), F.lit("a").alias("v1"), F.lit(None).cast("string").alias("v2"), F.when(F.col("o_orderkey") % 3 == 0, "c").alias("v3"),
     )
@@ -285,23 +287,61 @@ def mode_per_group(spark, sf_dir):
 
 
 def constant_positions(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    names = p.groupBy().agg(F.array_sort(F.collect_set("p_name")).alias("names"))  # 64 names
-    return names.select(F.posexplode("names").alias("pos", "name"))
+    return rel.sorted_positions(table(spark, sf_dir, "part"), "p_name").select("pos", F.col("p_name").alias("name"))
+
+
+def distinct_check(spark, sf_dir):
+    """Customers of all orders: the later rows of each."""
+    return rel.later_duplicates(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_custkey", [F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "place")
+
+
+def least_most_frequent(spark, sf_dir):
+    counts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("label")).agg(F.count("*").alias("n"))
+    return rel.extremes(counts, "label", "n", 10)
+
+
+def hardest_labels(spark, sf_dir):
+    scores = metrics.per_label(_order_brands(spark, sf_dir), _predicted(spark, sf_dir), "doc", "label")
+    return metrics.hardest(scores, 10).select("label", "f1", "support")
+
+
+def inverted_suggestions(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("name")).agg(F.collect_set("o_orderpriority").alias("suggested"))
+    return rel.inverted(o, "name", "suggested").select("item", F.size("names").alias("n"), F.md5(F.array_join("names", ",")).alias("digest"))
+
+
+def merged_rows(spark, sf_dir):
+    """Parts of a name and brand as predecessors of one row."""
+    p = table(spark, sf_dir, "part").select(F.concat_ws("|", "p_name", "p_brand").alias("new"), "p_partkey", F.array("p_type", "p_brand").alias("items"))
+    return rel.merged_rows(p, "new", "p_partkey", "items").select("new", F.col("first").alias("id"), F.array_join("items", ",").alias("items"))
+
+
+def checked_lookup(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return rel.checked_lookup(o, c, "o_custkey", "c_custkey").select("o_orderkey", "c_name")
+
+
+def both_blank(spark, sf_dir):
+    """Rows by whether both, one or none of two texts are blank."""
+    blank = lambda c, p: F.when(F.col("p_size") % p == 0, "  ").otherwise(F.col(c))
+    p = table(spark, sf_dir, "part").select("p_partkey", blank("p_name", 2).alias("a"), blank("p_type", 3).alias("b"))
+    rows, errors = rel.paired(p, "a", "b")
+    return rows.select("p_partkey", F.lit("row").alias("route")).unionByName(errors.select("p_partkey", F.lit("error").alias("route")))
 
 
+SIDES = "f as (select distinct o_custkey as k, o_orderpriority as v from orders where o_orderstatus = 'F'), n as (select distinct o_custkey as k, o_orderpriority as v from orders where o_orderstatus = 'O')"
 QUERIES = {
     "label_frequency": (label_frequency, f"with {BRANDS} select label, count(*) as n from b group by label"),
     "catalog_summary": (catalog_summary, "select p_partkey, cast(json_object('p_name', p_name, 'p_size', p_size) as varchar) as summary from part where p_brand is not null"),
     "row_routing_split": (row_routing_split, "select case when lang = 'de' then 'special' else 'rest' end as route, source, count(*) as n from documents group by all"),
     "prune_empty": (prune_empty, "select p_partkey, case when p_size % 3 in (0, 1) then null else p_type end as kind from part"),
-    "full_outer_merge_ranked_ids": (full_outer_merge_ranked_ids, """with c as (select c_nationkey as k, arg_max(c_name, c_custkey) as c_name from customer where c_nationkey % 5 <> 0 group by 1),
-      s as (select s_nationkey as k, arg_max(s_name, s_suppkey) as s_name from supplier where s_nationkey % 3 <> 0 group by 1),
+    "full_outer_merge_ranked_ids": (full_outer_merge_ranked_ids, """with c as (select c_nationkey as k, arg_max(c_name, c_custkey) as c_name from customer where c_acctbal > 9000 group by 1),
+      s as (select s_nationkey as k, arg_max(s_name, s_suppkey) as s_name from supplier where s_acctbal > 0 group by 1),
       m as (select coalesce(c.k, s.k) as k, c_name, s_name, case when c.k is not null then c.k % 4 end as ra, case when s.k is not null then s.k % 3 end as rb from c full join s on c.k = s.k),
       r as (select *, coalesce(ra, rb) + coalesce(rb, ra) as rank from m)
       select printf('gp%04d', row_number() over (order by rank, k)) as id, k, rank, c_name, s_name from r"""),
-    "merge_statistics": (merge_statistics, """with d as (select doc_id as k from documents where doc_id % 3 <> 0), q as (select distinct doc_id as k from labels),
-      m as (select d.k as a, q.k as b from d full join q on d.k = q.k)
+    "merge_statistics": (merge_statistics, """with m as (select c.k as a, q.k as b from (select distinct o_custkey as k from orders) c full join (select s_suppkey * 7 as k from supplier) q on c.k = q.k)
       select count_if(a is not null and b is not null) as n_both, count_if(a is not null and b is null) as n_only_a,
         count_if(a is null and b is not null) as n_only_b, count(*) as n_total from m"""),
     "level_rank": (level_rank, "select case substr(o_orderpriority, 1, 1) when '1' then 0 when '2' then 1 when '3' then 2 when '4' then 3 when '5' then 5 end as rank, count(*) as n from orders group by 1"),
@@ -309,7 +349,7 @@ QUERIES = {
       g as (select p_brand as name, max(p_name) as value from part where p_size > 25 group by 1)
       select p_partkey, coalesce(s.value, g.value) as value from part left join s on p_brand || '|' || p_type = s.name left join g on p_brand = g.name"""),
     "dangling_references": (dangling_references, "select o_orderkey, o_custkey from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0)"),
-    "unused_overrides": (unused_overrides, "select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 1000)"),
+    "unused_overrides": (unused_overrides, "select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_orderpriority = '1-URGENT')"),
     "known_reference_filter": (known_reference_filter, "select o_orderkey, o_custkey from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0)"),
     "reference_state": (reference_state, "select case when c_nationkey < 15 then 'known' when c_nationkey <= 19 then 'renamed' else 'unknown' end as state, count(*) as n from customer group by 1"),
     "rename_split_join": (rename_split_join, f"""with {RENAMES}, f as (select n_regionkey as owner, n_name as ref from supplier join nation on s_nationkey = n_nationkey),
@@ -325,7 +365,7 @@ QUERIES = {
     "closest_name": (closest_name, """with o as (select unnest(['almond antique', 'blue metallic', 'smoke green']) as option), n as (select distinct p_name from part),
       d as (select p_name, option, levenshtein(p_name, option) as distance from n, o)
       select p_name, distance, option from d qualify row_number() over (partition by p_name order by distance, option) = 1"""),
-    "rare_label_filter": (rare_label_filter, f"with {BRANDS} select label, count(*) as n from b where doc % 11 = 0 group by label having count(*) >= 20"),
+    "rare_label_filter": (rare_label_filter, "select o_custkey as label, count(*) as n from orders group by 1 having count(distinct o_orderkey) >= 10"),
     "cooccurrence_top10": (cooccurrence_top10, f"""with {BRANDS}, j as (select x.label as a, y.label as b, x.doc as doc from b x join b y on x.doc = y.doc and x.label < y.label),
       q as (select *, row_number() over (partition by a, b order by doc) as rn from j)
       select a, b, count(*) as n, string_agg(case when rn <= 3 then doc::varchar end, ',' order by doc) as samples from q group by a, b order by n desc, a, b limit 10"""),
@@ -346,30 +386,42 @@ QUERIES = {
       j as (select x.label as a, y.label as b, count(*) as n from b x join b y on x.doc = y.doc and x.label < y.label group by all)
       select a, j.b, round(j.n / na.n, 6) as rate_ab, round(j.n / nb.n, 6) as rate_ba, round((j.n / na.n + j.n / nb.n) / 2, 6) as rate
       from j join n na on a = na.label join n nb on j.b = nb.label where (j.n / na.n + j.n / nb.n) / 2 >= 0.8"""),
-    "set_overlap_jaccard": (set_overlap_jaccard, f"""with {BRANDS}, f as (select * from b where doc % 3 = 0), n as (select label, count(*) as n from f group by label having count(*) >= 10),
-      j as (select x.label as a, y.label as b, count(*) as shared from f x join f y on x.doc = y.doc and x.label < y.label group by all)
+    "set_overlap_jaccard": (set_overlap_jaccard, """with w as (select p_brand as label, o_custkey as feature, sum(l_quantity) as weight from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey group by all),
+      f as (select label, feature from w where weight <> 0 qualify row_number() over (partition by label order by abs(weight) desc, feature) <= 100), n as (select label, count(*) as n from f group by label having count(*) >= 10),
+      j as (select x.label as a, y.label as b, count(*) as shared from f x join f y on x.feature = y.feature and x.label < y.label group by all)
       select a, j.b, shared, round(shared / (na.n + nb.n - shared), 6) as jaccard from j join n na on a = na.label join n nb on j.b = nb.label where shared / (na.n + nb.n - shared) > 0.05"""),
     "top_weights": (top_weights, """select p_brand, p_partkey, round(p_retailprice - 1200, 4) as w, row_number() over (partition by p_brand order by abs(p_retailprice - 1200) desc, p_partkey) as place
       from part where p_retailprice - 1200 <> 0 qualify place <= 5"""),
-    "upsert_by_key": (upsert_by_key, """select c_custkey, case when c_custkey % 3 = 0 then upper(c_mktsegment) else c_name end as c_name from customer where c_custkey % 2 = 0 or c_custkey % 3 = 0"""),
-    "insert_ignore": (insert_ignore, "select distinct user_id, event_type from events where event_id % 2 = 0 or event_id % 3 = 0"),
-    "insert_feedback": (insert_feedback, """with s as (select distinct user_id, event_type from events where event_id % 7 = 0), n as (select distinct user_id, event_type from events where event_id % 5 = 0)
-      select n.user_id, count(*) as attempted, count_if(s.user_id is null) as inserted, count_if(s.user_id is not null) as duplicates from n left join s on n.user_id = s.user_id and n.event_type = s.event_type group by 1"""),
-    "pair_stats": (pair_stats, "with p as (select distinct user_id, event_type from events where event_id % 5 = 0) select count(*) as n_pairs, count(distinct user_id) as n_keys, round(count(*) / count(distinct user_id), 2) as mean from p"),
-    "key_stats": (key_stats, "with p as (select distinct event_type from events where event_id % 5 = 0 and user_id = 7) select count(*) as n, count(*) > 0 as present, coalesce(string_agg(event_type, ',' order by event_type), '') as kinds from p"),
-    "union_labels": (union_labels, "select user_id, string_agg(distinct event_type, ',' order by event_type) as labels from events where event_id % 11 = 0 or event_id % 13 = 0 group by 1"),
-    "except_labels": (except_labels, """with p as (select distinct user_id, event_type from events where event_id % 11 = 0), n as (select distinct user_id, event_type from events where event_id % 13 = 0), k as (select user_id from p union select user_id from n)
-      select k.user_id, coalesce(string_agg(case when n.user_id is null then p.event_type end, ',' order by p.event_type), '') as labels
-      from k left join p on k.user_id = p.user_id left join n on p.user_id = n.user_id and p.event_type = n.event_type group by 1"""),
-    "set_difference": (set_difference, """with a as (select distinct user_id from events where event_id % 59 = 0), b as (select distinct user_id from events where event_id % 61 = 0)
-      select user_id, 'missing' as side from a where user_id not in (from b) union all select user_id, 'invalid' from b where user_id not in (from a)"""),
-    "intersect_keys": (intersect_keys, "select user_id, event_type from events where event_id % 59 = 0 intersect select user_id, event_type from events where event_id % 61 = 0"),
+    "upsert_by_key": (upsert_by_key, """select c_custkey, case when c_mktsegment = 'BUILDING' then upper(c_mktsegment) else c_name end as c_name from customer where c_acctbal > 0 or c_mktsegment = 'BUILDING'"""),
+    "insert_ignore": (insert_ignore, f"with {SIDES} from f union from n"),
+    "insert_feedback": (insert_feedback, f"with {SIDES} select n.k, count(*) as attempted, count_if(f.k is null) as inserted, count_if(f.k is not null) as duplicates from n left join f on n.k = f.k and n.v = f.v group by 1"),
+    "pair_stats": (pair_stats, "with p as (select distinct o_custkey as k, o_orderpriority as v from orders) select count(*) as n_pairs, count(distinct k) as n_keys, round(count(*) / count(distinct k), 2) as mean from p"),
+    "key_stats": (key_stats, """with p as (select distinct o_custkey as k, o_orderpriority as v from orders)
+      select c_custkey as k, count(v) as n, count(v) > 0 as present, coalesce(string_agg(v, ',' order by v), '') as kinds from customer left join p on c_custkey = k group by 1"""),
+    "union_labels": (union_labels, f"with {SIDES}, u as (from f union from n) select k, string_agg(v, ',' order by v) as labels from u group by 1"),
+    "except_labels": (except_labels, f"""with {SIDES}, u as (select k from f union select k from n)
+      select u.k, coalesce(string_agg(case when n.k is null then f.v end, ',' order by f.v), '') as labels from u left join f on u.k = f.k left join n on f.k = n.k and f.v = n.v group by 1"""),
+    "set_difference": (set_difference, f"""with {SIDES}, a as (select k from f where v = '1-URGENT'), b as (select k from n where v = '1-URGENT')
+      select k, 'missing' as side from a where k not in (from b) union all select k, 'invalid' from b where k not in (from a)"""),
+    "intersect_keys": (intersect_keys, f"with {SIDES} from f intersect from n"),
     "union_all_arrays": (union_all_arrays, "select md5(text) as digest, 'document' as kind from documents union all select md5(text), 'benchmark' from benchmark"),
-    "unpivot_carry_forward": (unpivot_carry_forward, """with o as (select * from orders where o_orderkey % 10 = 0)
+    "unpivot_carry_forward": (unpivot_carry_forward, """with o as (from orders)
       select o_orderkey, 0 as pos, o_orderstatus as t, 'a' as v from o where o_orderstatus is not null
       union all select o_orderkey, 1, o_orderpriority, 'a' from o where o_orderkey % 20 = 0
       union all select o_orderkey, 2, o_orderstatus, case when o_orderkey % 3 = 0 then 'c' else 'a' end from o where o_orderkey % 20 = 0"""),
     "override_fixup": (override_fixup, "select n_nationkey, case when n_nationkey % 4 = 0 and n_nationkey <> 8 then 'New ' || n_name else n_name end as n_name, n_nationkey = 8 as no_op from nation"),
     "mode_per_group": (mode_per_group, "select c_nationkey, c_mktsegment, count(*) as n from customer group by c_nationkey, c_mktsegment qualify row_number() over (partition by c_nationkey order by count(*) desc, c_mktsegment) = 1"),
-    "constant_positions": (constant_positions, "select (row_number() over (order by p_name) - 1)::int as pos, p_name as name from (select distinct p_name from part)"),
+    "constant_positions": (constant_positions, "select row_number() over (order by p_name) - 1 as pos, p_name as name from (select distinct p_name from part)"),
+    "distinct_check": (distinct_check, "select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderkey) as place from orders qualify place > 1"),
+    "least_most_frequent": (least_most_frequent, """with n as (select l_suppkey as label, count(*) as n from lineitem group by 1)
+      (select 'least' as side, label, n from n order by n, label limit 10) union all (select 'most', label, n from n order by n desc, label limit 10)"""),
+    "hardest_labels": (hardest_labels, f"""with {PER_LABEL}, f as (select label, round(case when tp > 0 then 2 * pr * rc / (pr + rc) else 0 end, 6) as f1, support::bigint as support from s)
+      select * from f where support >= 3 order by f1, label limit 10"""),
+    "inverted_suggestions": (inverted_suggestions, """with p as (select distinct o_orderpriority as item, o_custkey::varchar as name from orders)
+      select item, count(*)::int as n, md5(string_agg(name, ',' order by name)) as digest from p group by 1"""),
+    "merged_rows": (merged_rows, """with p as (select p_name || '|' || p_brand as new, p_partkey, p_type, p_brand from part),
+      u as (select new, unnest([p_type, p_brand]) as item, p_partkey, unnest([0, 1]) as i from p), d as (select new, item, min((p_partkey, i)) as place from u group by all)
+      select new, (select min(p_partkey) from p where p.new = d.new) as id, string_agg(item, ',' order by place) as items from d group by new"""),
+    "checked_lookup": (checked_lookup, "select o_orderkey, c_name from orders join customer on o_custkey = c_custkey"),
+    "both_blank": (both_blank, "select p_partkey, case when p_size % 2 <> 0 and p_size % 3 <> 0 then 'row' else 'error' end as route from part where p_size % 6 <> 0"),
 }

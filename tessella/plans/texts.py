@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import matcher, text, tokens
+from ..functions import lint, matcher, text, tokens
 from ..operators import relational as rel
 from ..sources import readers
 from .tables import table
@@ -18,7 +18,7 @@ def get_meaning(spark, sf_dir):
 
 def strip_quotes(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    quoted = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit('"\''), "p_name", F.lit('\'"'))).when(F.col("p_size") % 3 == 1, F.concat(F.lit('"'), "p_name")).otherwise(F.col("p_name"))
+    quoted = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit('"\'"“‘"\''), "p_name", F.lit('\'"’”"\'"'))).when(F.col("p_size") % 3 == 1, F.concat(F.lit('"'), "p_name")).otherwise(F.col("p_name"))
     return p.select("p_partkey", text.strip_quotes(quoted).alias("name"))
 
 
@@ -39,9 +39,14 @@ def sense_parts(spark, sf_dir):
     return p.select("p_partkey", F.array_join(text.sense_parts(sense), ";").alias("parts"))
 
 
+ENDINGS = (
+    " (X", "/", " (ok) [a]", " 7", " (a 7)", " (an I)", " (a Cat)", " ①", " Verb[て]", " Verb[]", " Verb[く]", " Adjective[く]", " Noun[て]", " (a) b", "+", " ~ b", "〜", " {", ")", "([)]",
+)
+
+
 def name_validator(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    name = F.concat("p_name", F.when(F.col("p_size") % 4 == 0, " (X").when(F.col("p_size") % 4 == 1, "/").when(F.col("p_size") % 4 == 2, " (ok) [a]").otherwise(" 7"))
+    name = F.concat("p_name", F.get(F.array(*map(F.lit, ENDINGS)), (F.col("p_partkey") % len(ENDINGS)).cast("int")))
     return p.select("p_partkey", F.array_join(text.valid_name(name), ",").alias("problems"))
 
 
@@ -76,39 +81,48 @@ def html_links(spark, sf_dir):
     return readers.html_record(table(spark, sf_dir, "pages"), "html").select("page_id", F.array_join("links", " ").alias("links"), F.size("items").alias("n_items"))
 
 
-def _tokens(spark, sf_dir):
-    """Tokens from the words of the benchmark texts: (item_id, pos, word, token)."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    rows = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(words).alias("pos", "word"))
-    t = F.struct(
-        F.col("word").alias("surface"), F.when(F.length("word") > 4, "n").otherwise("prt").alias("pos"), F.when(F.length("word") > 6, "common_noun").alias("pos1"),
+def _words(spark, sf_dir):
+    """doc_id, line and words of every line of the documents that has one."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    return lines.select("doc_id", "line", F.regexp_extract_all(F.lower("t"), F.lit("[a-z]+"), F.lit(0)).alias("words")).where(F.size("words") > 0)
+
+
+def _token(word):
+    return tokens.compact_token(F.struct(
+        word.alias("surface"), F.when(F.length(word) > 4, "n").otherwise("prt").alias("pos"), F.when(F.length(word) > 6, "common_noun").alias("pos1"),
         F.lit("general").alias("pos2"), F.lit(None).cast("string").alias("ctype"), F.lit(None).cast("string").alias("cform"),
-        F.left("word", F.lit(3)).alias("lemma"), F.left("word", F.lit(4)).alias("base"), F.upper("word").alias("pron"),
-    )
-    return rows.select("item_id", "pos", "word", tokens.compact_token(t).alias("token"))
+        F.left(word, F.lit(3)).alias("lemma"), F.left(word, F.lit(4)).alias("base"), F.upper(word).alias("pron"),
+    ))
+
+
+def _tokens(spark, sf_dir):
+    """Tokens from the words of the documents: (doc_id, line, pos, word, token)."""
+    rows = _words(spark, sf_dir).select("doc_id", "line", F.posexplode("words").alias("pos", "word"))
+    return rows.withColumn("token", _token(F.col("word")))
 
 
-TOKENS = """w as (select item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) as word, generate_subscripts(regexp_extract_all(lower(text), '[a-z]+'), 1) - 1 as pos from benchmark),
-  t as (select item_id, pos, word, '⌈ˢ' || word || 'ᵖ' || case when length(word) > 4 then 'n' else 'prt' end || case when length(word) > 6 then ':common_noun' else '' end
+TOKENS = """d as (select doc_id, unnest(string_split(text, chr(10))) as t, generate_subscripts(string_split(text, chr(10)), 1) - 1 as line from documents),
+  w as (select doc_id, line::int as line, unnest(regexp_extract_all(lower(t), '[a-z]+')) as word, generate_subscripts(regexp_extract_all(lower(t), '[a-z]+'), 1) - 1 as pos from d),
+  t as (select doc_id, line, pos, word, '⌈ˢ' || word || 'ᵖ' || case when length(word) > 4 then 'n' else 'prt' end || case when length(word) > 6 then ':common_noun' else '' end
     || 'ᵇ' || left(word, 4) || case when left(word, 3) <> word then 'ᵈ' || left(word, 3) else '' end || 'ʳ' || upper(word) || '⌉' as token from w),
-  s as (select item_id, string_agg(token, '' order by pos) as compact from t group by item_id)"""
+  s as (select doc_id, line, string_agg(token, '' order by pos) as compact from t group by doc_id, line)"""
 
 
 def _sentences(spark, sf_dir):
-    return _tokens(spark, sf_dir).groupBy("item_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]), "").alias("compact"))
+    return _words(spark, sf_dir).select("doc_id", "line", F.array_join(F.transform("words", _token), "").alias("compact"))
 
 
 def compact_encode(spark, sf_dir):
-    return _sentences(spark, sf_dir).select("item_id", F.md5("compact").alias("digest"))
+    return _sentences(spark, sf_dir).select("doc_id", "line", F.md5("compact").alias("digest"))
 
 
 def compact_decode(spark, sf_dir):
     s = _sentences(spark, sf_dir)
-    return s.select("item_id", tokens.plain_text(F.col("compact"), True).alias("spaced"), F.length(tokens.plain_text(F.col("compact"))).alias("n"))
+    return s.select("doc_id", "line", tokens.plain_text(F.col("compact"), True).alias("spaced"), F.length(tokens.plain_text(F.col("compact"))).alias("n"))
 
 
 def token_split(spark, sf_dir):
-    return _sentences(spark, sf_dir).select("item_id", F.explode(tokens.split_tokens(F.col("compact"))).alias("token"))
+    return _sentences(spark, sf_dir).select("doc_id", "line", F.explode(tokens.split_tokens(F.col("compact"))).alias("token"))
 
 
 def token_injectivity(spark, sf_dir):
@@ -117,39 +131,39 @@ def token_injectivity(spark, sf_dir):
 
 
 def rich_token_parse(spark, sf_dir):
-    t = _tokens(spark, sf_dir).select("item_id", "pos", tokens.parse_token(F.col("token")).alias("t"))
-    return t.select("item_id", F.col("pos").alias("place"), "t.surface", "t.pos", F.array_join("t.details", ":").alias("details"), "t.base", "t.lemma", "t.pron")
+    t = _tokens(spark, sf_dir).select("doc_id", "line", "pos", tokens.parse_token(F.col("token")).alias("t"))
+    return t.select("doc_id", "line", F.col("pos").alias("place"), "t.surface", "t.pos", F.array_join("t.details", ":").alias("details"), "t.base", "t.lemma", "t.pron")
 
 
 def training_text(spark, sf_dir):
-    return _sentences(spark, sf_dir).select("item_id", tokens.training_text(F.col("compact")).alias("text"))
+    return _sentences(spark, sf_dir).select("doc_id", "line", tokens.training_text(F.col("compact")).alias("text"))
 
 
 RULES = {"the|ᵇth": "the-then", "and|○○|of": "and-gap", ".*ing": "loose", "to": "to"}
 
 
 def sequence_classifier(spark, sf_dir):
-    return _sentences(spark, sf_dir).select("item_id", F.array_join(matcher.sequence_labels(F.col("compact"), RULES), ",").alias("labels"))
+    return _sentences(spark, sf_dir).select("doc_id", "line", F.array_join(matcher.sequence_labels(F.col("compact"), RULES), ",").alias("labels"))
 
 
 def matcher_basic(spark, sf_dir):
     pattern = matcher.compile_matcher("⌈ˢ~ᵖprt~⌉ {noun}")
-    return _sentences(spark, sf_dir).select("item_id", matcher.match(F.col("compact"), pattern).alias("found"))
+    return _sentences(spark, sf_dir).select("doc_id", "line", matcher.match(F.col("compact"), pattern).alias("found"))
 
 
 def matcher_lookaround(spark, sf_dir):
-    pattern = matcher.compile_matcher("{verb-dictionary}|{verb-imperative}|(?<!⌈ˢthe)⌈ˢ~ingᵖ~⌉")
-    return _sentences(spark, sf_dir).select("item_id", matcher.match(F.col("compact"), pattern).alias("found"))
+    pattern = matcher.compile_matcher("{verb-dictionary}|{verb-imperative}|(?<!ʳTHE⌉)⌈ˢ~ingᵖ~⌉")
+    return _sentences(spark, sf_dir).select("doc_id", "line", matcher.match(F.col("compact"), pattern).alias("found"))
 
 
 def rules_in_turn(spark, sf_dir):
-    return _sentences(spark, sf_dir).select("item_id", matcher.annotate(F.col("compact"), {"the": "art", "and": "con"}).alias("annotated"))
+    return _sentences(spark, sf_dir).select("doc_id", "line", matcher.annotate(F.col("compact"), {"the": "art", "and": "con"}).alias("annotated"))
 
 
 def compliance_report(spark, sf_dir):
-    s = _sentences(spark, sf_dir).select("item_id", F.explode_outer(matcher.sequence_labels(F.col("compact"), RULES)).alias("label"))
-    wanted = table(spark, sf_dir, "benchmark").select("item_id", F.lit("to").alias("label"))
-    return wanted.join(s, ["item_id", "label"], "left_anti")
+    s = _sentences(spark, sf_dir).select("doc_id", "line", F.explode_outer(matcher.sequence_labels(F.col("compact"), RULES)).alias("label"))
+    wanted = _words(spark, sf_dir).select("doc_id", "line", F.lit("to").alias("label"))
+    return wanted.join(s, ["doc_id", "line", "label"], "left_anti")
 
 
 def previous_token_histogram(spark, sf_dir):
@@ -158,6 +172,70 @@ def previous_token_histogram(spark, sf_dir):
     return rel.previous_histogram(rows, "g", "pos", "word", F.col("word") == "the")
 
 
+KANA = "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤ"
+
+
+def kana_keys(spark, sf_dir):
+    """Dictionary keys of brands written in katakana, of a word in hiragana, and of brands as they are."""
+    p = table(spark, sf_dir, "part")
+    word = F.when(F.col("p_size") % 3 == 0, F.translate(F.lower("p_brand"), "abcdefghijklmnopqrstuvwxyz#0123456789", KANA)).when(F.col("p_size") % 3 == 1, "ひらがな").otherwise(F.col("p_brand"))
+    return p.select("p_partkey", text.dictionary_key(word, F.lit("よみ")).alias("key"), text.hiragana(word).alias("hiragana"), text.all_hiragana(word).alias("h"), text.all_katakana(word).alias("k"))
+
+
+def suggestion_prefix(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    name = F.concat(F.when(F.col("p_size") % 3 == 0, "<suggest>:").when(F.col("p_size") % 3 == 1, "<strongly-suggest>:").otherwise(""), "p_brand")
+    return p.select("p_partkey", text.suggested(name, F.col("p_brand") < "Brand#3").alias("name"))
+
+
+def fenced_lines(spark, sf_dir):
+    """Whole texts in code fences, each line in white space."""
+    lines = F.transform(F.split("text", "\n"), lambda t: F.concat(F.lit("　 "), t, F.lit(" ")))
+    fenced = F.concat(F.lit("```json\n"), F.array_join(lines, "\n"), F.lit("\n```"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.rtrim(text.trim_lines(text.without_fences(fenced)), F.lit("\n"))).alias("digest"))
+
+
+def geminates(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", tokens.geminate_fix(F.concat("p_name", F.lit(" っ "), "p_type")).alias("name"))
+
+
+def markdown_bullets(spark, sf_dir):
+    """The pages' list items as tables of two columns, and those as bullets."""
+    cells = F.transform(F.regexp_extract_all("html", F.lit("(?is)<li[^>]*>(.*?)</li>"), F.lit(1)), lambda x: F.concat(F.lit("<tr><td>k</td><td>"), x, F.lit("</td></tr>")))
+    pages = table(spark, sf_dir, "pages").withColumn("t", F.concat(F.lit("<table>"), F.array_join(cells, ""), F.lit("</table>")))
+    return pages.select("page_id", F.md5(readers.html_bullets(F.col("t"))).alias("digest"))
+
+
+def training_extraction(spark, sf_dir):
+    """Lines as own and competing sentences of a point per language, held against its matcher."""
+    s = _sentences(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    line = F.col("line") % 2 == 0
+    none = F.array().cast("array<string>")
+    example = F.struct(
+        F.when(line, F.array(F.concat(F.lit("{"), "compact", F.lit("}")))).otherwise(none).alias("japanese"),
+        F.when(line, F.array().cast("array<struct<competing_japanese:array<string>>>")).otherwise(F.array(F.struct(F.array("compact").alias("competing_japanese")))).alias("competing_grammar"),
+    )
+    docs = s.select(F.col("lang").alias("grammar_point"), F.when(F.col("lang") == "en", matcher.compile_matcher("⌈ˢthe~⌉")).alias("matcher_regex"), F.array(example).alias("examples"))
+    rows = lint.training_sentences(docs)
+    return rows.groupBy("grammar_point", "positive", "as_expected").agg(F.count("*").alias("n"))
+
+
+def label_augmentation(spark, sf_dir):
+    """Lines of English texts are positive; what a matcher finds in any line becomes a label of it."""
+    s = _sentences(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    rows = s.select(F.col("compact").alias("sentence"), F.col("lang").alias("grammar_point"), (F.col("lang") == "en").alias("positive"))
+    out = lint.augmented(rows, {"of": matcher.compile_matcher("⌈ˢof~⌉"), "ing": matcher.compile_matcher("⌈ˢ~ingᵖ~⌉")})
+    return out.groupBy(F.array_join("labels", ",").alias("labels")).agg(F.count("*").alias("n"))
+
+
+def matcher_lint(spark, sf_dir):
+    """Each line as competing and as own sentence of a point with a matcher for a word."""
+    example = F.struct(F.array("compact").alias("japanese"), F.array(F.struct(F.array("compact").alias("competing_japanese"))).alias("competing_grammar"))
+    docs = _sentences(spark, sf_dir).select("doc_id", "line", F.array(example).alias("examples"), F.lit(matcher.compile_matcher("⌈ˢand~⌉")).alias("matcher_regex"), (F.col("line") % 2 == 0).alias("matcher_enforce_examples"))
+    return docs.select("doc_id", "line", F.size(lint.competing_matches()).alias("competing"), F.size(lint.example_mismatches()).alias("own"))
+
+
 MEANING = "case when p_size % 5 = 0 then null else lower(p_type) end"
 QUERIES = {
     "get_meaning": (get_meaning, f"select p_partkey, {MEANING} as meaning, regexp_matches({MEANING}, '^[a-z~]') as start_ok from part"),
@@ -167,7 +245,8 @@ QUERIES = {
     "sense_parts": (sense_parts, """with p as (select p_partkey, lower(p_type) as a, lower(p_name) as b, p_size % 2 = 0 as verb from part),
       q as (select p_partkey, unnest([a, case when verb then trim(substr(b, 4)) else b end]) as s from p where true)
       select p_partkey, string_agg(s, ';' order by s) as parts from q where s <> '' group by p_partkey"""),
-    "name_validator": (name_validator, """select p_partkey, case p_size % 4 when 0 then 'brackets' when 1 then 'slash' when 2 then '' else 'digit' end as problems from part"""),
+    "name_validator": (name_validator, f"""select p_partkey, ['brackets', 'slash', '', '', 'digit', '', 'meaning-case', 'circled-digit', '', 'empty-brackets', 'verb-form', '', 'noun-form', '', 'separator', '', 'separator', '', 'brackets',
+      'brackets'][p_partkey % {len(ENDINGS)} + 1] as problems from part"""),
     "marked_payload": (marked_payload, "select p_partkey, p_name as payload from part"),
     "safe_filenames": (safe_filenames, "select p_partkey, p_name || '.' || case when p_size between 1 and 20 then chr(9311 + p_size) else '（' || p_size || '）' end as name from part"),
     "quote_counts": (quote_counts, "select doc_id, (length(text) - length(replace(text, '\"', '')))::int as n_quotes, length(text) - length(replace(text, '\"', '')) > 1 as error from documents"),
@@ -175,22 +254,37 @@ QUERIES = {
     "html_strip": (html_strip, "select page_id, md5(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '^\\s+|\\s+$', '', 'g')) as digest from pages"),
     "title_extract": (title_extract, "select page_id, nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ' \n\t\r'), '') as title from pages"),
     "html_links": (html_links, "select page_id, array_to_string(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1), ' ') as links, len(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>'))::int as n_items from pages"),
-    "compact_encode": (compact_encode, f"with {TOKENS} select item_id, md5(compact) as digest from s"),
-    "compact_decode": (compact_decode, f"with {TOKENS} select item_id, string_agg(word, ' ' order by pos) as spaced, sum(length(word))::int as n from t group by item_id"),
-    "token_split": (token_split, f"with {TOKENS} select item_id, token from t"),
+    "compact_encode": (compact_encode, f"with {TOKENS} select doc_id, line, md5(compact) as digest from s"),
+    "compact_decode": (compact_decode, f"with {TOKENS} select doc_id, line, string_agg(word, ' ' order by pos) as spaced, sum(length(word))::int as n from t group by doc_id, line"),
+    "token_split": (token_split, f"with {TOKENS} select doc_id, line, token from t"),
     "token_injectivity": (token_injectivity, f"with {TOKENS} select left(word, 2) as compact, count(distinct word) as n_raw, min(word) as raw1, max(word) as raw2 from t group by 1 having count(distinct word) > 1"),
-    "rich_token_parse": (rich_token_parse, f"""with {TOKENS} select item_id, pos::int as place, word as surface, case when length(word) > 4 then 'n' else 'prt' end as pos, case when length(word) > 6 then 'common_noun' else '' end as details,
+    "rich_token_parse": (rich_token_parse, f"""with {TOKENS} select doc_id, line, pos::int as place, word as surface, case when length(word) > 4 then 'n' else 'prt' end as pos, case when length(word) > 6 then 'common_noun' else '' end as details,
       left(word, 4) as base, case when left(word, 3) <> word then left(word, 3) end as lemma, upper(word) as pron from t"""),
-    "training_text": (training_text, f"""with {TOKENS} select item_id, string_agg(word || case when length(word) > 4 then 'n' else 'prt' end || upper(right(word, 1)), ' ' order by pos) as text from t group by item_id"""),
-    "sequence_classifier": (sequence_classifier, f"""with {TOKENS} select item_id, array_to_string(list_filter(['and-gap', 'loose', 'the-then', 'to'], lambda x: case x
+    "training_text": (training_text, f"""with {TOKENS} select doc_id, line, string_agg(word || case when length(word) > 4 then 'n' else 'prt' end || upper(right(word, 1)), ' ' order by pos) as text from t group by doc_id, line"""),
+    "sequence_classifier": (sequence_classifier, f"""with {TOKENS} select doc_id, line, array_to_string(list_filter(['and-gap', 'loose', 'the-then', 'to'], lambda x: case x
         when 'and-gap' then regexp_matches(compact, '⌈ˢand[^⌉]*⌉⌈ˢ.*[^⌉]*⌉⌈ˢof[^⌉]*⌉') when 'loose' then regexp_matches(compact, '⌈ˢ.*ing[^⌉]*⌉')
         when 'the-then' then regexp_matches(compact, '⌈ˢthe[^⌉]*⌉⌈[^⌉]*ᵇth[^⌉]*⌉') else regexp_matches(compact, '⌈ˢto[^⌉]*⌉') end), ',') as labels from s"""),
-    "matcher_basic": (matcher_basic, f"""with {TOKENS}, m as (select item_id, regexp_extract(compact, '⌈ˢ[^⌉]*?ᵖprt[^⌉]*?⌉(?:⌈ˢ[^⌉]*?ᵖpron[^⌉]*?⌉|⌈[^⌉]*?ᵖn[^⌉]*?⌉⌈[^⌉]*?ᵖsuff:[^⌉]*?ʳ[^⌉]*?⌉|⌈[^⌉]*?ᵖn[^⌉]*?⌉)') as g from s)
-      select item_id, case when g <> '' then array_to_string(regexp_extract_all(g, 'ˢ(.*?)ᵖ', 1), ' ') end as found from m"""),
-    "matcher_lookaround": (matcher_lookaround, None),
-    "rules_in_turn": (rules_in_turn, f"""with {TOKENS}, a as (select item_id, regexp_replace(compact, '(⌈ˢthe[^⌉]*)⌉', '\\1ᵍart⌉') as c from s)
-      select item_id, regexp_replace(c, '(⌈ˢand[^⌉]*)⌉', '\\1ᵍcon⌉') as annotated from a"""),
-    "compliance_report": (compliance_report, f"with {TOKENS} select item_id, 'to' as label from s where not regexp_matches(compact, '⌈ˢto[^⌉]*⌉')"),
+    "matcher_basic": (matcher_basic, f"""with {TOKENS}, m as (select doc_id, line, regexp_extract(compact, '⌈ˢ[^⌉]*?ᵖprt[^⌉]*?⌉(?:⌈ˢ[^⌉]*?ᵖpron[^⌉]*?⌉|⌈[^⌉]*?ᵖn[^⌉]*?⌉⌈[^⌉]*?ᵖsuff:[^⌉]*?ʳ[^⌉]*?⌉|⌈[^⌉]*?ᵖn[^⌉]*?⌉)') as g from s)
+      select doc_id, line, case when g <> '' then array_to_string(regexp_extract_all(g, 'ˢ(.*?)ᵖ', 1), ' ') end as found from m"""),
+    "matcher_lookaround": (matcher_lookaround, f"""with {TOKENS}, l as (select *, lag(word) over (partition by doc_id, line order by pos) as before from t)
+      select doc_id, line, arg_min(word, pos) filter (word like '%ing' and before is distinct from 'the') as found from l group by doc_id, line"""),
+    "rules_in_turn": (rules_in_turn, f"""with {TOKENS}, a as (select doc_id, line, regexp_replace(compact, '(⌈ˢthe[^⌉]*)⌉', '\\1ᵍart⌉') as c from s)
+      select doc_id, line, regexp_replace(c, '(⌈ˢand[^⌉]*)⌉', '\\1ᵍcon⌉') as annotated from a"""),
+    "compliance_report": (compliance_report, f"with {TOKENS} select doc_id, line, 'to' as label from s where not regexp_matches(compact, '⌈ˢto[^⌉]*⌉')"),
     "previous_token_histogram": (previous_token_histogram, """with w as (select conv_id, turn, md5(text) as d, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') as ws from conversations),
       p as (select unnest(list_zip(ws[:-2], ws[2:])) as z from w) select z[1] as previous, count(*) as n from p where z[2] = 'the' group by 1 order by n desc, previous limit 5"""),
+    "kana_keys": (kana_keys, f"""with p as (select p_partkey, case p_size % 3 when 0 then translate(lower(p_brand), 'abcdefghijklmnopqrstuvwxyz#0123456789', '{KANA}') when 1 then 'ひらがな' else p_brand end as w, p_size % 3 as m from part),
+      q as (select *, case m when 0 then translate(w, '{KANA}', '{"".join(chr(ord(c) - 0x60) for c in KANA)}') else w end as hi from p)
+      select p_partkey, case m when 2 then w || '|よみ' else hi end as key, hi as hiragana, m = 1 as h, m = 0 as k from q"""),
+    "suggestion_prefix": (suggestion_prefix, "select p_partkey, case when p_size % 3 = 1 then null when p_brand < 'Brand#3' then p_brand else '<suggest>:' || p_brand end as name from part"),
+    "fenced_lines": (fenced_lines, "select doc_id, md5(rtrim(array_to_string(list_transform(string_split(text, chr(10)), lambda t: regexp_replace(t, '^\\s+|\\s+$', '', 'g')), chr(10)), chr(10))) as digest from documents"),
+    "geminates": (geminates, "select p_partkey, p_name || 'っ' || p_type as name from part"),
+    "markdown_bullets": (markdown_bullets, """select page_id, md5(array_to_string(list_transform(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1),
+      lambda x: '- k | ' || regexp_replace(regexp_replace(x, '<[^>]+>', '', 'g'), '^\\s+|\\s+$', '', 'g')), chr(10))) as digest from pages"""),
+    "training_extraction": (training_extraction, f"""with {TOKENS} select lang as grammar_point, line % 2 = 0 as positive, case when lang = 'en' then regexp_matches(compact, '⌈ˢthe[^⌉]*⌉') = (line % 2 = 0) end as as_expected, count(*) as n
+      from s join documents using (doc_id) group by all"""),
+    "label_augmentation": (label_augmentation, f"""with {TOKENS}, x as (select compact, bool_or(lang = 'en') as en from s join documents using (doc_id) group by 1),
+      l as (select array_to_string(list_filter([case when en then 'en' end, case when regexp_matches(compact, '⌈ˢ[^⌉]*?ingᵖ[^⌉]*?⌉') then 'ing' end, case when regexp_matches(compact, '⌈ˢof[^⌉]*⌉') then 'of' end], lambda v: v is not null), ',') as labels from x)
+      select labels, count(*) as n from l group by 1"""),
+    "matcher_lint": (matcher_lint, f"""with {TOKENS} select doc_id, line, regexp_matches(compact, '⌈ˢand[^⌉]*⌉')::int as competing, (line % 2 = 0 and not regexp_matches(compact, '⌈ˢand[^⌉]*⌉'))::int as own from s"""),
 }

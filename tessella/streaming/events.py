@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,18 +13,21 @@ BEGIN, FINISH, ERROR = "BEGIN", "FINISH", "ERROR"
 
 
 def slot_elapsed(events: DataFrame) -> DataFrame:
-    """slot_key, item_type, type, time, elapsed of FINISH and ERROR events: time since the slot's last BEGIN, 0 without one.
+    """slot_key, item_type, type, time, elapsed of FINISH and ERROR events.
 
-    Events: slot_key, item_type, type, time (double), seq (order of equal times).
+    An end counts from the slot's event before it, whichever that is (0 without
+    one), and under the item type of the slot's last BEGIN; without a BEGIN under
+    that of its first end. Events: slot_key, item_type, type, time (double), seq
+    (order of equal times); other types take no part.
     """
-    own = Window.partitionBy("slot_key").orderBy("time", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    started = F.last(F.when(F.col("type") == BEGIN, F.col("time")), ignorenulls=True).over(own)
-    ended = F.sum(F.when(F.col("type").isin(FINISH, ERROR), 1).otherwise(0)).over(own)
-    mark = F.last(F.when(F.col("type") == BEGIN, F.coalesce(ended, F.lit(0))), ignorenulls=True).over(own)
-    # An end uses up its begin: only the first end after a begin has an elapsed time.
-    out = events.withColumn("_start", started).withColumn("_ended", F.coalesce(ended, F.lit(0))).withColumn("_mark", mark)
-    elapsed = F.when(F.col("_start").isNotNull() & (F.col("_ended") == F.col("_mark")), F.col("time") - F.col("_start")).otherwise(0.0)
-    return out.where(F.col("type").isin(FINISH, ERROR)).select("slot_key", "item_type", "type", "time", elapsed.alias("elapsed"))
+    slot = Window.partitionBy("slot_key").orderBy("time", "seq")
+    before = slot.rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.last(F.when(F.col("type") == BEGIN, F.struct("item_type")), ignorenulls=True).over(before)["item_type"]
+    has_begun = F.coalesce(F.max(F.col("type") == BEGIN).over(before), F.lit(False))
+    first = F.first("item_type").over(slot.rowsBetween(Window.unboundedPreceding, 0))
+    used = events.where(F.col("type").isin(BEGIN, FINISH, ERROR))
+    out = used.withColumns({"elapsed": F.coalesce(F.col("time") - F.lag("time").over(slot), F.lit(0.0)), "_kind": F.when(has_begun, begun).otherwise(first)})
+    return out.where(F.col("type").isin(FINISH, ERROR)).select("slot_key", F.col("_kind").alias("item_type"), "type", "time", "elapsed")
 
 
 def type_totals(elapsed: DataFrame) -> DataFrame:
@@ -40,18 +44,19 @@ def slot_totals_stream(events: DataFrame, idle_ms: int = 2000) -> DataFrame:
             state.remove()
             yield pd.DataFrame([(key[0], n, total, True)], columns=["slot_key", "n", "elapsed", "evicted"])
             return
-        n, total, start = state.get if state.exists else (0, 0.0, None)
+        n, total, last = state.get if state.exists else (0, 0.0, None)
         rows = pd.concat(list(batches)).sort_values(["time", "seq"])
-        for kind, at in zip(rows["type"], rows["time"], strict=True):
-            if kind == BEGIN:
-                start = float(at)
-            elif kind in (FINISH, ERROR):
-                n, total, start = n + 1, total + (float(at) - start if start is not None else 0.0), None
-        state.update((n, total, start))
+        for kind, at in zip(rows["type"], rows["time"].astype(float), strict=True):
+            if kind not in (BEGIN, FINISH, ERROR):
+                continue
+            if kind != BEGIN:
+                n, total = n + 1, total + (at - last if last is not None else 0.0)
+            last = at
+        state.update((n, total, last))
         state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame([(key[0], n, total, False)], columns=["slot_key", "n", "elapsed", "evicted"])
 
-    return events.groupBy("slot_key").applyInPandasWithState(step, out, "n long, total double, start double", "update", "ProcessingTimeTimeout")
+    return events.groupBy("slot_key").applyInPandasWithState(step, out, "n long, total double, last double", "update", "ProcessingTimeTimeout")
 
 
 def tumbling(events: DataFrame, time: str, length: str, *keys: str) -> DataFrame:
@@ -65,16 +70,34 @@ def sessions(events: DataFrame, time: str, gap: str, key: str) -> DataFrame:
     return events.groupBy(window.alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), "n")
 
 
-def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str, once: bool = False) -> DataFrame:
-    """Drain a stream into a memory table and return it.
+def run_available(stream: DataFrame, name: str, mode: str, folder: str, once: bool = False) -> DataFrame:
+    """Drain a stream into a table under ``folder``/``name`` and return it; the stream's state goes beside it.
 
-    ``once`` runs a single batch: reducers with a processing-time timeout always
-    ask for another one, so for them draining would not end.
+    In complete mode each batch replaces the table, else it adds to it. ``once``
+    runs a single batch: reducers with a processing-time timeout always ask for
+    another one, so for them draining would not end.
     """
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
+    path = f"{folder}/{name}/table"
+
+    def save(batch: DataFrame, number: int) -> None:
+        # A batch that runs again writes its own folder again.
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
+
+    writer = stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", f"{folder}/{name}/state")
     query = (writer.trigger(once=True) if once else writer.trigger(availableNow=True)).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    read = stream.sparkSession.read.schema(stream.schema)
+    return read.parquet(path) if mode == "complete" else read.option("basePath", path).option("recursiveFileLookup", "true").parquet(path)
+
+
+def stream_folder(spark) -> str:
+    """Where streams keep their state: the cluster's shared folder; a local session may lack one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tessella-stream-")
 
 
 def retained(entries: DataFrame, time: str, key: str, n: int) -> DataFrame:

@@ -49,23 +49,55 @@ def test_empty_sets(spark):
 
 
 def test_graph(spark):
-    nodes = spark.createDataFrame([("a", ["b"], []), ("b", ["c"], []), ("c", [], ["d"]), ("e", ["a"], []), ("d", [], ["c"])], "node string, before array<string>, after array<string>")
-    edges = graph.edges_of(nodes)
-    assert rows(edges) == [("a", "b"), ("b", "c"), ("c", "d"), ("d", "c"), ("e", "a")]
-    order = spark.createDataFrame([(0, "b"), (1, "a"), (2, "c"), (3, "d"), (4, "e"), (5, "x")], "pos int, node string")
-    assert rows(graph.violations(edges, order)) == [("a", "b", 1, 0, 1), ("d", "c", 3, 2, 1), ("e", "a", 4, 1, 3)]
-    assert rows(graph.cycles(edges)) == [("c", "c"), ("d", "c")]
-    assert rows(graph.constraint_names(edges, order.where("node <> 'b'"))) == [("b", "missing"), ("x", "free")]
-    assert rows(graph.cut_report(edges, order).select("src", "json"))[0] == ("a", '{"src":"a","cuts":["b"]}')
+    """Expectations follow the rules in words: ``before`` holds what must precede the node, ``after`` what must follow it."""
+    nodes = spark.createDataFrame([("a", ["c"], ["b"]), ("b", [], []), ("c", ["zz"], []), ("d", [], ["a", "c"]), ("e", ["d"], [])], "node string, before array<string>, after array<string>")
+    order = spark.createDataFrame([(0, "b"), (1, "a"), (2, "c"), (3, "d"), (4, "x")], "pos int, node string")
+    assert rows(graph.edges_of(nodes)) == [("a", "b"), ("c", "a"), ("d", "a"), ("d", "c"), ("d", "e")]
+    expected = [("a", "b", "after", 1, 0, 1), ("a", "c", "before", 1, 2, 1), ("d", "a", "after", 3, 1, 2), ("d", "c", "after", 3, 2, 1)]
+    assert rows(graph.violations(nodes, order)) == expected
+    # b moves behind a and c; c before a; a and c behind d (and x): each simulated by hand.
+    impact = {(r.node, r.item): r.impact for r in graph.cascade_impact(nodes, order).collect()}
+    assert impact == {("a", "b"): 1, ("a", "c"): 1, ("d", "a"): 2, ("d", "c"): 1}
+    scores = {(r.node, r.item): r.score for r in graph.violation_scores(nodes, order).collect()}
+    assert scores[("a", "b")] == pytest.approx(2 * (2 + 0) + 5 * 1 + 1 / 2 + 0.5 * 5 / 5)
+    assert scores[("d", "a")] == pytest.approx(2 * (2 + 2) + 5 * 2 + 1 / 3 + 0.5 * 4 / 5)
+    lists = dict(a=["c"], b=[], c=["zz"], d=[], e=["d"]), dict(a=["b"], b=[], c=[], d=["a", "c"], e=[])
+    for (node, item), n in impact.items():
+        kind = "before" if (node, item) == ("a", "c") else "after"
+        moved, _ = graph.move(["b", "a", "c", "d", "x"], node, item, kind)
+        assert n == 4 - len(graph.broken(moved, *lists))
+    assert rows(graph.constraint_names(nodes, order)) == [("e", "missing"), ("x", "invalid")]
+    assert rows(graph.constraint_summary(nodes, order)) == [(4, 1, 1)]
+    assert rows(graph.cut_report(nodes, order)) == [("a", '{"before_deletes":["c"],"after_deletes":["b"]}'), ("d", '{"before_deletes":[],"after_deletes":["a","c"]}')]
+    assert rows(graph.cut_report(nodes, order, "json"))[2] == ("c", '{"before":["zz"],"after":[]}')
+    assert rows(graph.cut_report(nodes, order, "dict"))[4] == ("e", "{'before': ['d'], 'after': []}")
+    assert graph.cut_report(nodes, order, "summary").collect()[2].report == "Constraint cuts needed: 4"
+    with pytest.raises(ValueError):
+        graph.cut_report(nodes, order, "other")
+
+
+def test_cycles_and_reach(spark):
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("e", "d"), ("f", "a"), ("g", "g"), ("h", "i")]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    assert rows(graph.cycles(df)) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d")]
+    from_h = spark.createDataFrame([("h",), ("d",)], "src string")
+    assert rows(graph.reachability(df, from_h)) == [("d", "d"), ("d", "e"), ("h", "i")]
+    assert graph.cycles(df.limit(0)).count() == 0
 
 
 def test_reorder():
-    out, changes = graph.reorder(["b", "a", "old"], {"a": ["b"], "c": []}, {"c": ["a"], "b": []})
-    assert out.index("a") < out.index("b") and "old" not in out and out.index("c") > out.index("a")
-    assert changes[0] == "remove old"
-    assert graph.reorder(["a"], {"a": [], "z": ["a"]}, {}, place="constraint_based")[0] == ["z", "a"]
+    before, after = {"a": ["b"], "b": [], "c": ["a"], "d": []}, {"a": [], "b": [], "c": [], "d": ["a"]}
+    out, changes = graph.reorder(["a", "old", "b", "d"], before, after)
+    assert changes[0] == "remove old" and changes[1] == "insert c at 1"
+    # a scores 9.75 to go behind d, b 7.83 to go before a; neither move is judged again.
+    assert out == ["c", "d", "b", "a"] and changes[2:] == ["move a after d to 3", "move b before a to 2"]
+    assert graph.insertion(["x", "y", "z"], {"x"}, {"z"}, "constraint_based") == 1
+    assert graph.insertion(["x", "y", "z"], set(), {"z"}, "constraint_based") == 0
+    assert graph.insertion(["x", "y", "z"], {"z"}, {"y"}, "constraint_based") == 1
+    assert graph.insertion(["x", "y", "z"], set(), set(), "best_position") == 0
+    assert graph.insertion(["x", "y", "z"], set(), set(), "end") == 3
     with pytest.raises(ValueError):
-        graph.reorder(["a"], {"a": [], "z": []}, {}, place="nowhere")
+        graph.insertion(["a"], set(), set(), "nowhere")
 
 
 def test_stages_and_hooks(spark):
@@ -171,7 +203,7 @@ def test_flashcards_and_html(spark):
 def test_slot_reducer(spark):
     data = [("s", "t", "BEGIN", 1.0, 1), ("s", "t", "FINISH", 3.5, 2), ("s", "t", "FINISH", 4.0, 3), ("u", "t", "ERROR", 9.0, 4)]
     df = spark.createDataFrame(data, "slot_key string, item_type string, type string, time double, seq long")
-    assert rows(events.slot_elapsed(df).select("slot_key", "time", "elapsed")) == [("s", 3.5, 2.5), ("s", 4.0, 0.0), ("u", 9.0, 0.0)]
+    assert rows(events.slot_elapsed(df).select("slot_key", "time", "elapsed")) == [("s", 3.5, 2.5), ("s", 4.0, 0.5), ("u", 9.0, 0.0)]
 
 
 def test_slot_stream(spark, tmp_path):
@@ -194,3 +226,27 @@ def test_models(spark):
     assert models.intrinsic_dimension(vectors, "v")[0.99] == 2
     scores = spark.createDataFrame([(1, "a", 0.9), (1, "b", 0.2), (2, "a", 0.1)], "d int, label string, score double")
     assert rows(models.predict_labels(scores, "d", 0.5, "z")) == [(1, ["a"]), (2, ["z"])]
+
+
+def test_lookups_and_merges(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "i int, k string")
+    table = spark.createDataFrame([("a", 10)], "key string, v int")
+    assert rows(rel.checked_lookup(left.where("k = 'a'"), table, "k", "key").select("i", "v")) == [(1, 10)]
+    with pytest.raises(Exception, match="no match for b"):
+        rel.checked_lookup(left, table, "k", "key").collect()
+    groups = spark.createDataFrame([("x", i) for i in (5, 3, 9, 1)] + [("y", 2)], "k string, m int")
+    assert rows(rel.duplicate_groups(groups, "k", "m", most=3)) == [("x", 4, 1, 9, [1, 3, 5])]
+    assert rows(rel.numbered(groups, [F.col("m")], "pos").select("pos", "m")) == [(0, 1), (1, 2), (2, 3), (3, 5), (4, 9)]
+    assert rel.with_marker(spark.createDataFrame([(["ichi1"],), ([],), (None,)], "m array<string>"), "m").count() == 1
+
+
+def test_model_bundle(spark, tmp_path):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    points = spark.createDataFrame([([0.0, 1.0],), ([1.0, 0.0],)], "v array<double>").select(array_to_vector("v").alias("features"))
+    fitted = KMeans(k=2, seed=1).fit(points)
+    models.save_bundle(f"file://{tmp_path}/b", {"themes": fitted}, {"threshold": 0.5}, spark)
+    loaded, settings = models.load_bundle(f"file://{tmp_path}/b", spark)
+    assert settings == {"threshold": 0.5}
+    assert [list(c) for c in loaded["themes"].clusterCenters()] == [list(c) for c in fitted.clusterCenters()]
