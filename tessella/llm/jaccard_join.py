@@ -400,3 +400,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).drop("key", "class_row")
+
+
+ORACLE_OP2 = """
+with recursive t as (select coalesce(text, '') as text, min(doc_id) as rep, count(*) as copies from documents group by 1),
+w as (select text, list_filter(regexp_split_to_array(text, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') as w from t),
+s as (select text, unnest(list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as g from w),
+n as (select text, count(*) as n from s group by text),
+p as (select x.text as a, y.text as b, count(*) as shared from s x join s y on x.g = y.g and x.text <> y.text group by all),
+l as (select a, b from p join n na on a = na.text join n nb on b = nb.text where 5 * shared >= 4 * (na.n + nb.n - shared)),
+r as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+c as (select a as text, min(t.rep) as least from r join t on r.b = t.text group by a),
+q as (select a as text, count(*) as n_texts, sum(copies)::bigint as n_docs from l join t on l.b = t.text group by a),
+u as (select t.text, least(t.rep, coalesce(c.least, t.rep)) as class_id, copies - 1 + coalesce(n_docs, 0) as n_links, coalesce(n_texts, 0) as n_texts, copies as n_copies
+  from t left join c on t.text = c.text left join q on t.text = q.text)
+select doc_id, class_id, n_links, n_texts, n_copies from documents d join u on coalesce(d.text, '') = u.text
+"""

@@ -25,4 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": warc.ORACLE_OP5, "op7_exact_top_k": vafile.ORACLE_OP7}
+    return {
+        "op2_ngram_jaccard_join": jaccard_join.ORACLE_OP2,
+        "op4_suffix_dedup": suffix_dedup.ORACLE_OP4,
+        "op5_warc": warc.ORACLE_OP5,
+        "op7_exact_top_k": vafile.ORACLE_OP7,
+    }

@@ -3,11 +3,13 @@
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a
 document with a smaller id. Strings are judged on the input.
 
-*Parse.* A rolling hash of ``TRIGGER`` bytes is taken everywhere; the trigger of
+*Phrases.* A rolling hash of ``TRIGGER`` bytes is taken everywhere; the trigger of
 a string is the place of its least hash (the leftmost one of equals). Adjacent
 strings with one trigger form a phrase, and phrases overlap by ``LENGTH - 1``
 bytes, so every string lies in exactly one phrase, and equal strings have equal
-triggers at equal distance wherever they occur.
+triggers at equal distance wherever they occur. (Triggers at a fixed residue of
+the hash would leave phrases without bound, and would not say where equal strings
+meet: every suffix would have to be dealt out by itself, some 8 bytes a byte.)
 
 *Filter.* Trigger hashes of all documents are dealt out by value; only phrases
 whose trigger occurs in two documents go on. A trigger with more than ``HOT``
@@ -15,13 +17,19 @@ occurrences (a passage that many documents share) is hot: its phrases are cut
 into their single strings, which are dealt out by their own bytes, so the many
 variants at the ends of such a passage spread over all tasks.
 
-*Dictionary.* Distinct phrases, with the documents of each (the parse), are
-dealt out by trigger. The suffixes of a dictionary that are at least ``LENGTH``
-long are sorted by their first ``LENGTH`` bytes (in the order of a 64-bit
-fingerprint, equal neighbours compared byte by byte, since only classes of equal
-prefixes matter). With the parse each class has its first document in corpus
-order, and a phrase in a document gets a bit mask of the strings that start
-earlier.
+*Dictionary.* Distinct phrases are dealt out by trigger. The suffixes of a
+dictionary that are at least ``LENGTH`` long form its suffix array, in the order
+of their first ``LENGTH`` bytes; where neighbours share that many, a class of
+equal strings goes on.
+
+*Parse.* The parse of a dictionary is the documents of its phrases. Its suffix
+array lists them by phrase and then by document; since no string reaches into a
+next phrase, suffixes of the parse differ in their first element or not at all.
+
+*Corpus order.* The two arrays merge: a class of the dictionary's array takes the
+first entry of the parse's array for each of its phrases, which gives the first
+document of the class in corpus order. A phrase in a document gets a bit mask of
+the strings that start earlier.
 
 Before anything is dealt out, occurrences are combined: a trigger or phrase goes
 once per task and input file, with the smallest and the largest of its documents
@@ -35,8 +43,9 @@ the tasks that scan that file read it.
 
 Between tasks go packed arrays, not rows: about 8 bytes a phrase in the filter,
 and each distinct phrase once per task. Memory of a task is bounded by
-``PART_BYTES`` for parsing, ``FLUSH`` phrases for sending, and the total divided by
-``PARTS_EACH`` times ``spark.sql.shuffle.partitions`` for sorting.
+``PART_BYTES`` for parsing, ``FLUSH`` phrases for sending, and for sorting by the
+triggers or phrases of ``SORT_BYTES`` of text, a few at most for each byte; there are
+``PARTS_EACH`` times ``spark.sql.shuffle.partitions`` parts or more.
 
 Defined cases: null text counts as empty; texts under ``LENGTH`` bytes lose
 nothing; rows without an id neither lose nor cause anything; rows that repeat
@@ -47,6 +56,7 @@ an empty table; other columns are ignored or, in :func:`remove_repeats`, kept.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -65,6 +75,7 @@ PART_BYTES = 1 << 20
 FLUSH = 1_200_000
 FLUSH_PHRASES = 200_000
 PARTS_EACH = 3
+SORT_BYTES = 64 << 20
 FILES_EACH = 16
 HOT = 1 << 16
 VERIFY_ROWS = 1 << 18
@@ -225,11 +236,17 @@ def file_marks(rows: DataFrame, folder: str) -> None:
             key, value = np.frombuffer(b"".join(keys), "<u8"), np.frombuffer(b"".join(values), "<u4")
             order = np.argsort(key, kind="stable")
             name = f"{root}/{unit[0]}-{unit[1]}"
-            # A task that runs twice writes the same bytes; the last move wins.
-            part = f"{name}.{id(keys):x}.part"
+            # A task that runs twice writes the same bytes under the same name.
+            part = f"{name}.{uuid.uuid4().hex}.part"
             with store.open_output_stream(part) as out:
                 out.write(np.int64(len(key)).tobytes() + key[order].tobytes() + (value[order].tobytes() if len(value) else b""))
-            store.move(part, name)
+            try:
+                store.move(part, name)
+            except OSError:
+                # Some stores do not move onto a file that another attempt has left.
+                if store.get_file_info(name).type != fs.FileType.File:
+                    raise
+                store.delete_file(part)
             return pd.DataFrame([(unit[0], unit[1], len(key))], columns=["f", "b", "n"])
 
         for batch in batches:
@@ -511,44 +528,98 @@ def _fingerprints(content: np.ndarray) -> np.ndarray:
     return mix(h32[:n] * _power(18) + h16[32 : 32 + n] * _power(2) + h2[48 : 48 + n])
 
 
-def suffix_classes(content: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_at(content: np.ndarray, at: np.ndarray, width: int = 8) -> np.ndarray:
+    """The ``width`` bytes at each place as numbers that compare as the bytes do."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(width):
+        out <<= np.uint64(8)
+        out |= content[at + k]
+    return out
+
+
+def string_order(content: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The order of the strings of LENGTH bytes at ``start``, word by word; ties are sorted on, others are done."""
+    order = np.arange(len(start))
+    place, group = order.copy(), np.zeros(len(start), np.int64)
+    for at in range(0, LENGTH, 8):
+        key = words_at(content, start[order[place]] + at, min(8, LENGTH - at))
+        inner = np.lexsort((key, group)) if at else np.argsort(key, kind="stable")
+        order[place] = order[place[inner]]
+        key, group = key[inner], group[inner]
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (group[1:] != group[:-1])])
+        tied = ~new | ~np.append(new[1:], True)
+        group, place = np.cumsum(new)[tied], place[tied]
+        if not len(place):
+            break
+    return order
+
+
+def suffix_array(content: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The suffixes of phrases that are LENGTH or longer, sorted by their first LENGTH bytes.
 
     Returns the phrase of each suffix in phrase order, the suffix array (an order
-    of them), and for each place in it whether a new class of equal prefixes begins.
+    of them), and for each place in it whether it shares fewer than LENGTH bytes
+    with the one before. Equal strings are brought together by a fingerprint and
+    compared byte by byte; one of each then takes part in the sorting.
     """
     n = lens - LENGTH + 1
     phrase = np.repeat(np.arange(len(lens), dtype=np.int32), n)
     start = (np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))).astype(np.int32 if len(content) < 1 << 31 else np.int64)
     finger = np.empty(len(start), np.uint64)
-    whole = np.empty(0, np.uint64)
     ends = np.cumsum(n)
     low = 0
     while low < len(n):
         # Phrases lie in order of ``begin``, so a run of them is a stretch of bytes.
         high = max(low + 1, int(np.searchsorted(begin, begin[low] + PART_BYTES)))
         base, top = int(begin[low]), int(begin[high - 1] + lens[high - 1])
-        whole = _fingerprints(content[base:top])
         a, b = int(ends[low] - n[low]), int(ends[high - 1])
-        finger[a:b] = whole[start[a:b] - base]
+        finger[a:b] = _fingerprints(content[base:top])[start[a:b] - base]
         low = high
-    del whole
     order = np.argsort(finger, kind="stable")
-    same = np.zeros(len(order), dtype=bool)
-    same[1:] = finger[order][1:] == finger[order][:-1]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = finger[order[1:]] != finger[order[:-1]]
+    del finger
     wide = np.arange(LENGTH)
-    check = np.flatnonzero(same)
+    check = np.flatnonzero(~new)
     for a in range(0, len(check), VERIFY_ROWS):
         i = check[a : a + VERIFY_ROWS]
         left, right = content[start[order[i - 1]][:, None] + wide], content[start[order[i]][:, None] + wide]
         if (left != right).any():
-            # Fingerprints of unequal strings met: sort by the strings themselves.
-            text = np.ascontiguousarray(content[start[:, None] + wide]).view(f"V{LENGTH}").ravel()
-            strings = text.tolist()
-            order = np.array(sorted(range(len(strings)), key=strings.__getitem__), dtype=np.int64)
-            same = np.array([k > 0 and strings[order[k]] == strings[order[k - 1]] for k in range(len(order))])
-            break
-    return phrase, order, ~same
+            # Fingerprints of unequal strings met: all strings are sorted.
+            order, new = string_order(content, start), np.ones(len(order), dtype=bool)
+            for c in range(1, len(order), VERIFY_ROWS):
+                j = np.arange(c, min(c + VERIFY_ROWS, len(order)))
+                new[j] = (content[start[order[j - 1]][:, None] + wide] != content[start[order[j]][:, None] + wide]).any(1)
+            return phrase, order, new
+    heads = np.flatnonzero(new)
+    sizes = np.diff(np.append(heads, len(order)))
+    rank = string_order(content, start[order[heads]])
+    n_of = sizes[rank]
+    first = np.cumsum(n_of) - n_of
+    out = order[np.repeat(heads[rank] - first, n_of) + np.arange(len(order))]
+    new = np.zeros(len(order), dtype=bool)
+    new[first] = True
+    return phrase, out, new
+
+
+def parse_array(phrase: np.ndarray, doc: np.ndarray, n_phrases: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array of a parse (its entries by phrase, then by document), and where each phrase begins in it."""
+    order = np.lexsort((doc, phrase))
+    return order, np.searchsorted(phrase[order], np.arange(n_phrases))
+
+
+def check_equal(content: np.ndarray, begin: np.ndarray, lens: np.ndarray, first: np.ndarray, word: np.ndarray) -> None:
+    """Phrases with one number must have the same bytes; an error else (another seed of BYTE then parts them)."""
+    other = np.flatnonzero(first[word] != np.arange(len(word)))
+    same = first[word[other]]
+    if (lens[other] != lens[same]).any():
+        raise ValueError("two phrases have one number")
+    for a in range(0, len(other), VERIFY_ROWS // 4):
+        i, j = other[a : a + VERIFY_ROWS // 4], same[a : a + VERIFY_ROWS // 4]
+        n = lens[i]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        if (content[np.repeat(begin[i], n) + step] != content[np.repeat(begin[j], n) + step]).any():
+            raise ValueError("two phrases have one number")
 
 
 def conditions(ident: np.ndarray, at: np.ndarray, n: np.ndarray, of_start: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -604,19 +675,20 @@ def judge_phrases(sent: DataFrame, parts: int) -> DataFrame:
             d, f = np.concatenate(docs), np.concatenate(files)
             begin = np.cumsum(n) - n
             ident, first, word = np.unique(every, return_index=True, return_inverse=True)
+            check_equal(content, begin, n, first, word)
             occ = np.repeat(word, np.concatenate(times))
-            # In the order of their bytes, which suffix_classes() reads in stretches.
+            # In the order in which their bytes lie, which suffix_array() reads in stretches.
             order = np.argsort(first, kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             first, ident, occ = first[order], ident[order], rank[occ]
             del every, word, idents, contents, docs
-            earliest = np.full(len(ident), np.iinfo(np.int64).max)
-            np.minimum.at(earliest, occ, d)
+            in_parse, head_of = parse_array(occ, d, len(ident))
             n, begin = n[first], begin[first]
-            phrase, order, new = suffix_classes(content, begin, n)
+            phrase, order, new = suffix_array(content, begin, n)
             heads = np.flatnonzero(new)
-            least = np.minimum.reduceat(earliest[phrase[order]], heads)
+            # Corpus order: of the phrases of a class, the first entry in the parse's array.
+            least = np.minimum.reduceat(d[in_parse][head_of][phrase[order]], heads)
             of_start = np.empty(len(order), np.int64)
             of_start[order] = np.repeat(least, np.diff(np.append(heads, len(order))))
             n_starts = n - LENGTH + 1
@@ -682,7 +754,8 @@ def covered(texts: list[bytes], ids: np.ndarray, filed: Found) -> tuple[np.ndarr
 def repeat_marks(source: DataFrame, hot: int) -> str:
     """Find the repeats of rows (f, doc_id, data); returns the folder that holds them by input file, for Found."""
     spark = source.sparkSession
-    parts = PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = source.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    parts = max(PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SORT_BYTES))
     folder = fresh_path(spark, "repeats")
     file_marks(repeated_triggers(send_triggers(source, parts), parts, hot), f"{folder}/triggers")
     file_marks(judge_phrases(send_phrases(source, folder, parts), parts), f"{folder}/masks")
@@ -762,3 +835,20 @@ def _found(folder: str) -> Found:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_OP4 = """
+with b as (select doc_id, hex(coalesce(text, '')) as h, strlen(coalesce(text, '')) as n from documents),
+k as (select doc_id, n, h, unnest(range(n // 1000 + 1)) as j from b),
+w as (select doc_id, j, substr(h, 2000 * j + 1, 2098) as part, unnest(range(least(1000, n - 49 - 1000 * j))) as i from k),
+s as (select doc_id, 1000 * j + i as i, substr(part, 2 * i + 1, 100) as s from w),
+f as (select s, min(doc_id) as first from s group by s having min(doc_id) < max(doc_id)),
+m as (select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i) > 50, true) as fresh from s join f using (s) where first < doc_id),
+g as (select doc_id, i, sum(fresh::int) over (partition by doc_id order by i) as run from m),
+r as (select doc_id, run, min(i) as a, max(i) + 50 as z from g group by doc_id, run),
+e as (select doc_id, coalesce(lag(z) over (partition by doc_id order by run), 0) as from_, a as to_, run, z - a as cut from r
+  union all select b.doc_id, coalesce(max(z), 0), any_value(n), coalesce(max(run), 0) + 1, null from b left join r on b.doc_id = r.doc_id group by b.doc_id),
+v as (select e.doc_id, coalesce(sum(cut), 0)::bigint as n_removed, count(cut) as n_spans, string_agg(substr(h, 2 * from_ + 1, 2 * (to_ - from_)), '' order by run) as kept
+  from e join b on e.doc_id = b.doc_id group by e.doc_id)
+select b.doc_id, n as n_bytes, n_removed, n_spans, sha256(unhex(kept)) as kept_sha256 from b join v on b.doc_id = v.doc_id
+"""

@@ -419,10 +419,31 @@ def test_remove_repeats_keeps_columns(docs):
     assert {r.f for r in out.collect()} == {"f"}
 
 
-def test_suffix_classes_compare_bytes():
-    content = np.frombuffer(b"x" * 60 + b"y" * 55 + b"x" * 50, np.uint8)
-    phrase, order, new = suffix_dedup.suffix_classes(content, np.array([0, 60, 115]), np.array([60, 55, 50]))
-    assert len(phrase) == 11 + 6 + 1 and int(new.sum()) == 2
+@pytest.mark.parametrize("weak", [False, True])
+def test_suffix_array_is_in_byte_order(monkeypatch, weak):
+    """Against a sort of the strings themselves; also where fingerprints of unequal strings meet."""
+    if weak:
+        monkeypatch.setattr(suffix_dedup, "_fingerprints", lambda c: np.zeros(len(c) - 49, np.uint64))
+    rng = np.random.default_rng(3)
+    phrases = [bytes(rng.choice(np.frombuffer(b"ab\xc3", np.uint8), n)) for n in (50, 61, 76)] + [b"x" * 60, b"y" * 55, b"x" * 50, b"x" * 30 + b"y" * 30]
+    phrases += [phrases[2][5:70], phrases[1][:55]]
+    lens = np.array([len(p) for p in phrases])
+    content = np.frombuffer(b"".join(phrases), np.uint8)
+    phrase, order, new = suffix_dedup.suffix_array(content, np.cumsum(lens) - lens, lens)
+    own = [(i, p[k : k + 50]) for i, p in enumerate(phrases) for k in range(len(p) - 49)]
+    assert phrase.tolist() == [i for i, _ in own]
+    strings = [own[k][1] for k in order]
+    assert strings == sorted(s for _, s in own)
+    assert new.tolist() == [k == 0 or strings[k] != strings[k - 1] for k in range(len(strings))]
+
+
+def test_parse_array_and_equal_numbers():
+    order, head = suffix_dedup.parse_array(np.array([2, 0, 2, 1, 0]), np.array([5, 9, 3, 4, 8]), 3)
+    assert order.tolist() == [4, 1, 3, 2, 0] and head.tolist() == [0, 2, 3]
+    content, begin, lens = np.frombuffer(b"a" * 50 + b"a" * 50 + b"b" * 50, np.uint8), np.array([0, 50, 100]), np.array([50, 50, 50])
+    suffix_dedup.check_equal(content, begin, lens, np.array([0, 2]), np.array([0, 0, 1]))
+    with pytest.raises(ValueError, match="one number"):
+        suffix_dedup.check_equal(content, begin, lens, np.array([0]), np.array([0, 0, 0]))
 
 
 # --- WARC ---
