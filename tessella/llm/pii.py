@@ -1,14 +1,17 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick automaton finds at-signs, URL schemes and identifier cues in a
-text. At each anchor a deterministic local parser grows the span to both sides
-and validates it; digits and plus signs anchor addresses, cards and phones.
-Every parser is linear in the characters it looks at, also on very long runs.
+One Aho-Corasick automaton finds at-signs, URL schemes, plus signs, digits and
+identifier cues (in English, German, Spanish and French) in one pass over a text.
+At each anchor a deterministic local parser grows the span to both sides and
+validates its boundaries. Anchors inside what a parser of their kind has taken are
+skipped, and a scheme waits for the next at-sign instead of looking for it, so the
+work is linear in the text, also on very long runs.
 
 Base kinds (email, ip, card, phone) are the leftmost non-overlapping matches of
 their patterns, kept if valid. The method adds:
 
-* ``url``: a URL with a user part, or a ``mailto:`` address, from its scheme on;
+* ``url``: a URL with a user part, or a ``mailto:`` address, from the scheme
+  nearest to the at-sign on; they do not overlap;
 * ``account``: the value after a cue such as ``account:`` or ``iban:``; an IBAN
   must pass its check sum, other values need a digit;
 * ``secret``: the value after a cue such as ``password=`` or ``token =``, and
@@ -35,18 +38,26 @@ from .common import clean_text, read_table
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account", "secret")
 
-ACCOUNT_CUES = ("account", "acct", "iban", "passport", "ssn", "userid", "user_id", "username", "login")
-SECRET_CUES = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "access_key")
+ACCOUNT_CUES = (
+    "account", "acct", "iban", "passport", "ssn", "userid", "user_id", "username", "login",
+    "konto", "kontonummer", "kontonr", "reisepass", "ausweisnummer", "sozialversicherungsnummer", "steuernummer", "benutzername", "kundennummer",
+    "cuenta", "pasaporte", "usuario", "dni", "compte", "passeport", "utilisateur", "identifiant",
+)
+SECRET_CUES = (
+    "password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "access_key",
+    "passwort", "kennwort", "geheimnis", "schlüssel", "contraseña", "clave", "secreto", "mot de passe", "clé",
+)
 KEY_ID = "AKIA"
 ALNUM = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+DIGITS = frozenset("0123456789")
 LOCAL = ALNUM | frozenset("._%+-")
 
 _domain = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
-_dotted = re.compile(r"[0-9][0-9.]*")
-_address = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_address = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
 _digits = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_user_part = re.compile(r"[^\s/@\"'<>()]+@[A-Za-z0-9.-]+[^\s\"'<>()]*")
+_user = re.compile(r"[^\s/@\"'<>()]+")
+_host = re.compile(r"[A-Za-z0-9.-]+[^\s\"'<>()]*")
 _value = re.compile(r"[ \t]*[:=#][ \t]*[\"']?([A-Za-z0-9+/_.@-]{6,})")
 _iban = re.compile(r"[ \t]*[:=#]?[ \t]*([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)(?![A-Za-z0-9])")
 _key_id = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
@@ -60,7 +71,7 @@ def anchors():
     import ahocorasick
 
     auto = ahocorasick.Automaton()
-    words = {"@": "at", "://": "scheme", "mailto:": "mailto", KEY_ID: "key"}
+    words = {"@": "at", "://": "scheme", "mailto:": "mailto", "+": "plus", KEY_ID: "key"} | {str(d): "digit" for d in range(10)}
     for cues, kind in ((ACCOUNT_CUES, "account"), (SECRET_CUES, "secret")):
         for cue in cues:
             words |= {cue: kind, cue.capitalize(): kind, cue.upper(): kind}
@@ -96,67 +107,74 @@ def email_at(text: str, at: int, floor: int) -> tuple[int, int] | None:
     return (start, domain.end()) if domain else None
 
 
-def ip_spans(text: str) -> Iterator[tuple[int, int]]:
-    for run in _dotted.finditer(text):
-        if run.end() - run.start() < 7:
-            continue
-        for m in _address.finditer(text, run.start(), run.end()):
-            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
-                yield m.span()
+def ip_valid(value: str) -> bool:
+    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in value.split("."))
 
 
-def card_spans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _digits.finditer(text):
-        if m.end() - m.start() < 13:
-            continue
-        digits = m.group().replace(" ", "").replace("-", "")
-        if 13 <= len(digits) <= 19 and luhn(digits):
-            yield m.span()
+def card_valid(value: str) -> bool:
+    digits = value.replace(" ", "").replace("-", "")
+    return 13 <= len(digits) <= 19 and luhn(digits)
 
 
-def phone_spans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _phone.finditer(text):
-        if 9 <= sum(c.isdigit() for c in m.group()) <= 15:
-            yield m.span()
+def phone_valid(value: str) -> bool:
+    return 9 <= sum(c.isdigit() for c in value) <= 15
 
 
 def find_spans(text: str) -> list[Span]:
     """All spans of a text, by kind as in KINDS, then by start."""
-    emails: list[tuple[int, int]] = []
-    more: list[Span] = []
-    floor = 0
+    spans: list[Span] = []
+    # Up to where each kind has taken the text; a match that is not valid has taken it too.
+    taken = dict.fromkeys(KINDS, 0)
+    scheme: tuple[int, int] | None = None
+    run_end = 0
     for last, (kind, length) in anchors().iter(text):
         start, end = last - length + 1, last + 1
-        if kind == "at":
-            if start >= floor and (found := email_at(text, start, floor)):
-                emails.append(found)
-                floor = found[1]
+        if kind == "digit":
+            if start < run_end:
+                continue
+            # The first digit of a run.
+            run_end = end
+            while run_end < len(text) and text[run_end] in DIGITS:
+                run_end += 1
+            if start >= taken["ip"] and run_end < len(text) and text[run_end] == "." and (m := _address.match(text, start)):
+                taken["ip"] = m.end()
+                if ip_valid(m.group()):
+                    spans.append(("ip", *m.span()))
+            if start >= taken["card"] and (m := _digits.match(text, start)):
+                taken["card"] = m.end()
+                if m.end() - start >= 13 and card_valid(m.group()):
+                    spans.append(("card", *m.span()))
+        elif kind == "plus":
+            if start >= taken["phone"] and (m := _phone.match(text, start)):
+                taken["phone"] = m.end()
+                if phone_valid(m.group()):
+                    spans.append(("phone", *m.span()))
+        elif kind == "at":
+            if start >= taken["email"] and (found := email_at(text, start, taken["email"])):
+                spans.append(("email", *found))
+                taken["email"] = found[1]
+            if scheme is not None:
+                (left, user), scheme = scheme, None
+                if left >= taken["url"] and _user.fullmatch(text, user, start) and (m := _host.match(text, end)):
+                    spans.append(("url", left, m.end()))
+                    taken["url"] = m.end()
         elif kind == "scheme":
             left = start
             while left and text[left - 1] in ALNUM and start - left < 12:
                 left -= 1
-            if left < start and (m := _user_part.match(text, end)):
-                more.append(("url", left, m.end()))
+            scheme = (left, end) if left < start else None
         elif kind == "mailto":
-            if m := _user_part.match(text, end):
-                more.append(("url", start, m.end()))
+            scheme = (start, end)
         elif kind == "key":
             if (not start or text[start - 1] not in ALNUM) and (m := _key_id.match(text, start)):
-                more.append(("secret", *m.span()))
-        else:
-            if start and text[start - 1] in ALNUM:
-                continue
+                spans.append(("secret", *m.span()))
+        elif not start or text[start - 1] not in ALNUM:
             if text[start:end].lower() == "iban":
                 if (m := _iban.match(text, end)) and iban_valid(m.group(1)):
-                    more.append(("account", *m.span(1)))
-            elif (m := _value.match(text, end)) and any(c.isdigit() for c in m.group(1)):
-                more.append((kind, *m.span(1)))
-    spans = [("email", *s) for s in emails]
-    spans += [("ip", *s) for s in ip_spans(text)]
-    spans += [("card", *s) for s in card_spans(text)]
-    if "+" in text:
-        spans += [("phone", *s) for s in phone_spans(text)]
-    return spans + sorted(set(more), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+                    spans.append(("account", *m.span(1)))
+            elif (m := _value.match(text, end)) and any(c in DIGITS for c in m.group(1)):
+                spans.append((kind, *m.span(1)))
+    return sorted(set(spans), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
 def joined(spans: list[Span]) -> str:
