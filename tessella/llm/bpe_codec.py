@@ -10,6 +10,10 @@ Each worker keeps the encodings of recent short pre-tokens, in two generations
 of bounded size. Texts are encoded and decoded whole, in the task that reads
 them; nothing is shuffled.
 
+Letters, digits and white space are those of the library that is to be matched:
+its classes are read from it once, in the driver, and texts that hold a character
+which the pattern engine here classes otherwise are split by a corrected pattern.
+
 Defined cases: a null text counts as empty (no ids); repeated rows give
 repeated results; an empty table gives an empty table; other columns are
 ignored.
@@ -23,6 +27,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from struct import pack
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -85,10 +90,49 @@ class RankQueue:
         return rank, bucket.pop()
 
 
+class Split(NamedTuple):
+    """A pattern, the same with the library's character classes, and a class of the characters on which they differ."""
+
+    pattern: str
+    exact: str
+    odd: str
+
+
+def _as_set(chars: set[str]) -> str:
+    """The characters as ranges of a pattern's set."""
+    codes = np.array(sorted(map(ord, chars)), dtype=np.int64)
+    first = np.flatnonzero(np.diff(codes, prepend=-2) > 1)
+    last = np.flatnonzero(np.diff(codes, append=1 << 40) > 1)
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(codes[first], codes[last], strict=True))
+
+
+@lru_cache(maxsize=2)
+def library_split(pattern: str) -> Split:
+    """The pattern with the classes of letters, digits and white space that tiktoken's engine has."""
+    import regex
+    import tiktoken
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    bytes_only = {bytes([b]): b for b in range(256)}
+    exact, odd = pattern, set()
+    for kind in (r"\p{L}", r"\p{N}", r"\s"):
+        if kind not in pattern:
+            continue
+        # Only what the pattern matches is encoded, here byte by byte.
+        theirs = set(bytes(tiktoken.Encoding("class", pat_str=kind, mergeable_ranks=bytes_only, special_tokens={}).encode_ordinary(every)).decode())
+        ours = set(regex.findall(kind, every))
+        more, less = theirs - ours, ours - theirs
+        if more or less:
+            odd |= more | less
+            whole = f"[{kind}{_as_set(more)}]"
+            exact = exact.replace(kind, f"[{whole}--[{_as_set(less)}]]" if less else whole)
+    return Split(pattern, f"(?V1){exact}", f"[{_as_set(odd)}]") if odd else Split(pattern, pattern, "")
+
+
 class Codec:
     """Encode and decode by merge ranks; ids are ranks."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], split: Split):
         import regex
 
         self.ranks = ranks
@@ -101,7 +145,9 @@ class Codec:
             ranks[word[:i]] << 32 | ranks[word[i:]]: rank
             for word, rank in ranks.items() for i in range(1, len(word)) if word[:i] in ranks and word[i:] in ranks
         }
-        self.find = regex.compile(pattern).findall
+        self.find = regex.compile(split.pattern).findall
+        self.find_exact = regex.compile(split.exact).findall
+        self.odd = regex.compile(split.odd).search if split.odd else None
         self.queue = RankQueue(len(self.words))
         self.young, self.old = _Young(self), {}
 
@@ -156,7 +202,8 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.young.__getitem__, self.find(text)))
+        find = self.find_exact if self.odd and not text.isascii() and self.odd(text) else self.find
+        return b"".join(map(self.young.__getitem__, find(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -189,15 +236,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    return Codec(read_ranks(path), pattern)
+def codec(path: str, split: Split) -> Codec:
+    return Codec(read_ranks(path), split)
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit) of every whole text."""
 
+    split = library_split(pattern)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = codec(ranks_path, pattern)
+        own = codec(ranks_path, split)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": [own.encode(t) for t in batch["text"]]})
 
@@ -208,8 +257,10 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
 def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, data (binary) for rows of doc_id and ids."""
 
+    split = library_split(pattern)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = codec(ranks_path, pattern)
+        own = codec(ranks_path, split)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "data": [own.decode(i or b"") for i in batch["ids"]]})
 
@@ -223,8 +274,10 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     once and only digests come back.
     """
 
+    split = library_split(pattern)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = codec(ranks_path, pattern)
+        own = codec(ranks_path, split)
         for batch in batches:
             rows = []
             for text in batch["text"]:
