@@ -1,5 +1,10 @@
 """A training corpus from a table of documents, in five stages.
 
+Defined cases are those of the operators: rows with null text or id stay until a
+stage's rule drops them (a null text scores as an empty one); rows that repeat id
+and text are copies, of which one stays; an empty table gives an empty result;
+columns beside those of ``documents`` pass through all stages but the last.
+
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's documents. All stages but the last
 return the columns of ``documents``.
@@ -13,6 +18,9 @@ from pyspark.sql import functions as F
 from tessella.llm import jaccard_join, packing, pii, quality_model, suffix_dedup
 from tessella.llm.common import bound_batches, fresh_path, read_table
 
+#: Rows with their ids are large, so a packer takes fewer of them.
+PIECES_PER_PACKER = 100_000
+
 
 def _with_length(docs: DataFrame) -> DataFrame:
     """n_chars follows a changed text."""
@@ -45,8 +53,9 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their ids, each in its place."""
     bound_batches(spark)
-    return packing.pack_documents(docs, packing.default_tokenizer())
+    return packing.pack_documents(docs, packing.default_tokenizer(), with_ids=True, pieces_per_packer=PIECES_PER_PACKER)
 
 
 STAGES = [

@@ -81,12 +81,39 @@ class BestFit:
         return chosen, self.capacity - free
 
 
+@lru_cache(maxsize=1)
+def _shown() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in kept]
+    return {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def _raw(token: str) -> bytes:
+    return bytes(_shown()[c] for c in token)
+
+
+def engine_fits(spec: dict) -> bool:
+    """Whether ids can serve as merge ranks: byte-level BPE without further steps, merges and their results in one order."""
+    model, before = spec.get("model", {}), spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not spec.get("normalizer") and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if not plain or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return False
+    vocab = model["vocab"]
+    if not set(_shown()) <= vocab.keys() or spec.get("truncation") or spec.get("padding"):
+        return False
+    made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    added = {t["content"] for t in spec.get("added_tokens", ())}
+    return made == sorted(set(made)) and len(made) + 256 == sum(t not in added for t in vocab) and max(vocab[c] for c in _shown()) < made[0]
+
+
 class Encoder:
     """Ids as the ``tokenizers`` library gives them for a byte-level BPE file.
 
-    The file's vocabulary is in merge order, so its ids serve as merge ranks and
-    the merges run in tiktoken's engine, about five times faster. A text that
-    holds one of the file's added tokens goes to the library itself.
+    Where the file's vocabulary is in merge order and nothing but the byte-level
+    split precedes the merges, ids serve as merge ranks and the merges run in
+    tiktoken's engine, about five times faster. A text that holds one of the file's
+    added tokens goes to the library itself, as do all texts of other files.
     """
 
     def __init__(self, path: str):
@@ -96,15 +123,12 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.added = [t["content"] for t in spec.get("added_tokens", ())]
-        kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-        shown = {chr(b): b for b in kept}
-        shown |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(kept))}
-        ranks = {bytes(shown[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.added}
+        ranks = {_raw(t): i for t, i in spec["model"]["vocab"].items() if t not in self.added} if engine_fits(spec) else {}
         self.library = Tokenizer.from_file(path)
-        self.engine = tiktoken.Encoding("file", pat_str=PIECE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.engine = None if not engine_fits(spec) else tiktoken.Encoding("file", pat_str=PIECE_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if any(a in text for a in self.added):
+        if self.engine is None or any(a in text for a in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.asarray(self.engine.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
 
@@ -137,13 +161,13 @@ def token_pieces(
                 ids = np.concatenate([encode(text), end])
                 for k, (start, length) in enumerate(cut_points(len(ids), capacity)):
                     own = ids[start : start + length]
-                    rows.append((doc_id, k, start, length, zlib.crc32(own.tobytes()), *([own.astype("i8")] if with_ids else [])))
+                    rows.append((doc_id, k, start, length, zlib.crc32(own.tobytes()), *([own.astype("i4")] if with_ids else [])))
             names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
             out = pd.DataFrame(rows, columns=names)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(F.col(text_col)).alias("text"))
     return source.mapInPandas(run, schema)
 
@@ -165,7 +189,8 @@ def pack(
             yield batch
 
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    dealt = pieces.withColumn("_deal", F.xxhash64("doc_id", "piece", "start")).repartition(packers, "_deal")
+    # The number of the row in the written table parts rows that are alike; a task that runs again finds the same numbers.
+    dealt = pieces.withColumn("_deal", F.xxhash64("doc_id", "piece", F.monotonically_increasing_id())).repartition(packers, "_deal")
     return dealt.sortWithinPartitions("_deal", "doc_id", "piece").drop("_deal").mapInPandas(run, schema)
 
 
