@@ -17,7 +17,8 @@ holds one pair of blocks.
 Defined cases: vectors that are null or hold null or non-finite components take
 no part, nor do rows without an id; vectors of different length are never
 compared; empty vectors score 0; ties go to the smaller id; rows that repeat
-an id are candidates each, and a query leaves out all rows of its own id;
+an id are candidates each, a query leaves out all rows of its own id, and of
+rows that repeat a query's id the least vector (the shorter first) asks;
 rows with components beyond the range of exact doubles (2^22, less for over 128
 dimensions) are scored in Python's integers without cells; components or scores
 beyond 64 bits raise an error; an empty table gives an empty table; other columns are ignored.
@@ -156,7 +157,8 @@ def top_k(rows: DataFrame, is_query, k: int = TOP, id_col: str = "vec_id", vecto
     n_c = partitions_for(vectors.count(), candidates_each)
     n_q = partitions_for(vectors.where(is_query).count(), queries_each)
     candidates = _blocks(held, n_c, "candidate").withColumnRenamed("block", "c_block")
-    queries = _blocks(held.where(is_query).dropDuplicates(["id", "v"]), n_q, "query")
+    asking = held.where(is_query).groupBy("id").agg(F.min(F.struct("dim", "v", "lo", "width")).alias("q")).select("id", "q.*")
+    queries = _blocks(asking, n_q, "query")
     queries = queries.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c_block"))
     met = queries.join(candidates, ["dim", "c_block"])
 
