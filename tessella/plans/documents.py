@@ -132,7 +132,7 @@ ALL = f"with {E}, n as (select doc_id, {COUNTS} from c group by doc_id)"
 INT = lambda *names: ", ".join(f"{n}::int as {n}" for n in names)
 QUERIES = {
     "lint_quotes": (lint_quotes, f"""with {E} select doc_id, count_if(contains(e, '"'))::int as quotes,
-      md5(coalesce(string_agg('[rule-1] warning examples[' || i || '].english contains a double quote: ' || e, chr(10) order by i) filter (contains(e, '"')), '')) as digest from c group by 1"""),
+      md5(coalesce(string_agg('[rule-1] warning examples[' || i || '].english contains a double quote: "' || e, chr(10) order by i) filter (contains(e, '"')), '')) as digest from c group by 1"""),
     "lint_brackets": (lint_brackets, f"""with {E}, f as (select *, case when regexp_matches(e, '[()]') then '()' when contains(e, '[') or contains(e, ']') then '[]' when contains(e, chr(123)) or contains(e, chr(125)) then chr(123) || chr(125) when regexp_matches(e, '[<>]') then '<>' end as b from c)
       select doc_id, count(b)::int as brackets, md5(coalesce(string_agg('[rule-4] warning examples[' || i || '].english contains ' || b, chr(10) order by i) filter (b is not null), '')) as digest from f group by 1"""),
     "lint_counts": (lint_counts, f"{ALL} select doc_id, {INT('missing_competing', 'example_count', 'competing_count', 'japanese_count')} from n"),
