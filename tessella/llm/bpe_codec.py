@@ -91,7 +91,7 @@ class RankQueue:
 
 
 class Split(NamedTuple):
-    """A pattern, the same with the library's character classes, and a class of the characters on which they differ."""
+    """A pattern, the same with the library's character classes, and the characters on which they differ."""
 
     pattern: str
     exact: str
@@ -126,7 +126,7 @@ def library_split(pattern: str) -> Split:
             odd |= more | less
             whole = f"[{kind}{_as_set(more)}]"
             exact = exact.replace(kind, f"[{whole}--[{_as_set(less)}]]" if less else whole)
-    return Split(pattern, f"(?V1){exact}", f"[{_as_set(odd)}]") if odd else Split(pattern, pattern, "")
+    return Split(pattern, f"(?V1){exact}", "".join(sorted(odd))) if odd else Split(pattern, pattern, "")
 
 
 class Codec:
@@ -147,7 +147,8 @@ class Codec:
         }
         self.find = regex.compile(split.pattern).findall
         self.find_exact = regex.compile(split.exact).findall
-        self.odd = regex.compile(split.odd).search if split.odd else None
+        self.odd = frozenset(split.odd)
+        self.odd_from = min(map(ord, split.odd), default=0x110000)
         self.queue = RankQueue(len(self.words))
         self.young, self.old = _Young(self), {}
 
@@ -202,9 +203,21 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        find = self.find_exact if self.odd and not text.isascii() and self.odd(text) else self.find
+        find = self.find if self._splits_alike(text) else self.find_exact
         return b"".join(map(self.young.__getitem__, find(text)))
 
+    def _splits_alike(self, text: str) -> bool:
+        """Whether a text has no character on which the engines differ."""
+        if text.isascii() or not self.odd:
+            return True
+        if self.odd_from > 0xFF:
+            try:
+                text.encode("latin-1")
+                return True
+            except UnicodeEncodeError:
+                pass
+        return self.odd.isdisjoint(text)
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
