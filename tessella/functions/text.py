@@ -88,10 +88,27 @@ def english_tokens(text: Column) -> Column:
 
 
 def sense_parts(sense: Column) -> Column:
-    """Sorted parts of a sense: by comma, lower case, without parentheses; a leading ``to `` costs each part three characters."""
-    low = F.lower(F.regexp_replace(sense, r"\([^)]*\)", ""))
-    parts = F.transform(F.split(low, ","), lambda p: F.when(trim_space(low).startswith("to "), F.substr(trim_space(p), F.lit(4))).otherwise(p))
-    return F.array_sort(F.filter(F.transform(parts, trim_space), lambda p: p != ""))
+    """Sorted distinct parts of a sense: by comma, trimmed, lower case, without parentheses; a leading ``to `` costs each part three characters."""
+    parts = F.transform(F.split(sense, ","), lambda p: F.regexp_replace(F.lower(trim_space(p)), r"(?U)\s*\([^)]*\)", ""))
+    return F.array_sort(F.array_distinct(F.transform(parts, lambda p: F.when(sense.startswith("to "), F.substr(p, F.lit(4))).otherwise(p))))
+
+
+def strip_single_quotes(text: Column) -> Column:
+    """Trimmed, and without a pair of outer single quotes, at most twice."""
+    once = lambda c: F.when(c.startswith("'") & c.endswith("'"), F.substr(c, F.lit(2), F.greatest(F.length(c) - 2, F.lit(0)))).otherwise(c)
+    return once(once(trim_space(text)))
+
+
+def split_key(key: Column) -> Column:
+    """name and source of a key, parted at its first bar; the source is null without one."""
+    return F.struct(F.substring_index(key, "|", 1).alias("name"), F.when(key.contains("|"), F.regexp_replace(key, r"(?s)^[^|]*\|", "")).alias("source"))
+
+
+def resolved_meaning(a: Column, b: Column, names: tuple[str, str]) -> Column:
+    """A map: one ``meaning`` if both sources agree or one has none, else one entry per source; empty without any."""
+    one = lambda c: F.create_map(F.lit("meaning"), c)
+    both = F.create_map(F.lit(names[0]), a, F.lit(names[1]), b)
+    return F.when(a == b, one(a)).when(a.isNotNull() & b.isNotNull(), both).when(a.isNotNull() | b.isNotNull(), one(F.coalesce(a, b))).otherwise(F.create_map().cast("map<string,string>"))
 
 
 def trim_lines(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import inspect
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -107,3 +108,41 @@ def enrich_documents(docs: DataFrame, answer: Callable[[str], str], prompt: Colu
 
     out = docs.withColumn("_raw", asked(prompt)).withColumn("answer", F.from_json("_raw", schema))
     return out.withColumn("valid", F.col("answer").isNotNull()).drop("_raw")
+
+
+def retrying(answer: Callable[[str], str], retries: int = 10, backoff: float = 60, exhausted: str = "RESOURCE_EXHAUSTED") -> Callable[[str], str]:
+    """``answer`` tried again after errors: at once, or after a pause where the error names an exhausted quota.
+
+    The last attempt's error is raised; a quota exhausted in the last attempt raises a RuntimeError.
+    """
+
+    def run(prompt: str) -> str:
+        for attempt in range(retries):
+            try:
+                return answer(prompt)
+            except Exception as e:  # noqa: BLE001  the model is the user's, and so are its errors
+                if exhausted in str(e):
+                    time.sleep(backoff)
+                elif attempt == retries - 1:
+                    raise
+        raise RuntimeError(f"no answer after {retries} attempts")
+
+    return run
+
+
+def variants(answer: Callable[[str], str], accept: Callable[[str], str], tries: int = 6, raise_at: int = 2) -> Callable[[str], str | None]:
+    """Prompt variants, numbered from 0, until ``accept`` takes an answer; only the error of attempt ``raise_at`` is raised.
+
+    The number is part of the prompt, so a memo keeps each attempt apart. Without an accepted answer the result is None.
+    """
+
+    def run(prompt: str) -> str | None:
+        for attempt in range(tries):
+            try:
+                return accept(answer(f"{prompt}{attempt}"))
+            except Exception:  # noqa: BLE001  a rejected answer leads to the next variant
+                if attempt == raise_at:
+                    raise
+        return None
+
+    return run

@@ -243,8 +243,8 @@ QUERIES = {
     "normalize_text": (normalize_text, "select p_partkey, ':『' || p_name || '』 a+b ' || p_type as name from part"),
     "english_tokens": (english_tokens, "select p_partkey, array_to_string(regexp_extract_all(p_name || ', ' || p_type, '(\\s+|[^\\w\\s]|\\w+)'), '|') as tokens from part"),
     "sense_parts": (sense_parts, """with p as (select p_partkey, lower(p_type) as a, lower(p_name) as b, p_size % 2 = 0 as verb from part),
-      q as (select p_partkey, unnest([a, case when verb then trim(substr(b, 4)) else b end]) as s from p where true)
-      select p_partkey, string_agg(s, ';' order by s) as parts from q where s <> '' group by p_partkey"""),
+      q as (select distinct p_partkey, unnest([a, case when verb then substr(b, 4) else b end]) as s from p)
+      select p_partkey, string_agg(s, ';' order by s) as parts from q group by p_partkey"""),
     "name_validator": (name_validator, f"""select p_partkey, ['brackets', 'slash', '', '', 'digit', '', 'meaning-case', 'circled-digit', '', 'empty-brackets', 'verb-form', '', 'noun-form', '', 'separator', '', 'separator', '', 'brackets',
       'brackets'][p_partkey % {len(ENDINGS)} + 1] as problems from part"""),
     "marked_payload": (marked_payload, "select p_partkey, p_name as payload from part"),

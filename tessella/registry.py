@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import documents, events, graphs, learned, relational, texts
+from .plans import documents, events, graphs, learned, relational, texts, vocabulary
 
 FLAGSHIP = "full_outer_merge_ranked_ids"
-MODULES = (relational, texts, documents, graphs, events, learned)
+MODULES = (relational, texts, documents, graphs, events, learned, vocabulary)
 
 
 def _all() -> dict[str, tuple]:

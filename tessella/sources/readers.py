@@ -156,3 +156,54 @@ def kanji_levels(lines: DataFrame) -> DataFrame:
 def sample_rows(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """A repeatable sample of n rows."""
     return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+
+
+# What a dictionary's XML entries hold, for read_xml.
+ENTRY = (
+    "ent_seq string, k_ele array<struct<keb string, ke_pri array<string>>>, r_ele array<struct<reb string, re_pri array<string>>>, "
+    "sense array<struct<pos array<string>, gloss array<string>, example array<struct<ex_sent array<struct<_VALUE string, `_xml:lang` string>>>>>>"
+)
+
+
+def dictionary_entries(entries: DataFrame) -> DataFrame:
+    """id, words, readings, frequencies, pos and translations of entries with a frequency marker.
+
+    Frequencies and parts of speech are distinct and sorted, the others stand as in the entry; texts are trimmed, empty ones left out.
+    """
+    none = F.array().cast("array<string>")
+
+    def texts(column: Column) -> Column:
+        return F.transform(F.filter(F.coalesce(column, none), lambda t: t.isNotNull() & (t != "")), tx.trim_space)
+
+    def nested(items: str, field: str) -> Column:
+        return texts(F.flatten(F.transform(F.coalesce(items, F.array()), lambda e: F.coalesce(e[field], none))))
+
+    unique = lambda c: F.array_sort(F.array_distinct(c))
+    out = entries.select(
+        tx.trim_space(F.col("ent_seq")).alias("id"), texts(F.col("k_ele.keb")).alias("words"), texts(F.col("r_ele.reb")).alias("readings"),
+        unique(F.concat(nested("k_ele", "ke_pri"), nested("r_ele", "re_pri"))).alias("frequencies"),
+        unique(nested("sense", "pos")).alias("pos"), nested("sense", "gloss").alias("translations"),
+    )
+    return out.where(F.size("frequencies") > 0)
+
+
+def example_pairs(entries: DataFrame) -> DataFrame:
+    """japanese and english of examples that have a sentence in both languages, trimmed; a sentence without text is empty."""
+    examples = entries.select(F.explode("sense").alias("s")).select(F.explode("s.example").alias("e")).select(F.col("e.ex_sent").alias("x"))
+    first = lambda lang: F.get(F.filter("x", lambda s: s["_xml:lang"] == lang), F.lit(0))
+    both = examples.select(first("jpn").alias("j"), first("eng").alias("e")).where("j is not null and e is not null")
+    text = lambda side: F.coalesce(tx.trim_space(F.col(f"{side}._VALUE")), F.lit(""))
+    return both.select(text("j").alias("japanese"), text("e").alias("english"))
+
+
+def by_stem(files: DataFrame, others: DataFrame) -> DataFrame:
+    """path and arguments of each file: one ``--folder=path`` for every other file of the same stem, by path.
+
+    The stem is the base name up to its last dot, the folder the name of the other file's own directory.
+    """
+    stem = F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "")
+    folder = F.element_at(F.split("path", "/"), -2)
+    named = others.where(F.col("path").contains("/")).select(stem.alias("_stem"), F.struct("path", F.concat(F.lit("--"), folder, F.lit("="), "path").alias("argument")).alias("_a"))
+    listed = named.groupBy("_stem").agg(F.array_sort(F.collect_list("_a"))["argument"].alias("arguments"))
+    joined = files.select("path", stem.alias("_s")).join(listed, F.col("_s") == F.col("_stem"), "left")
+    return joined.select("path", F.coalesce("arguments", F.array().cast("array<string>")).alias("arguments"))

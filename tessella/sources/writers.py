@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import warnings
 import zipfile
 from collections.abc import Iterator
 
@@ -102,3 +103,34 @@ def prompt(template: str, **columns: Column) -> Column:
     for name, column in columns.items():
         out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(column.cast("string"), F.lit("")))
     return out
+
+
+def write_file_list(files: DataFrame, column: str, path: str) -> None:
+    """The distinct paths of a column, sorted, one per line; over several parts they are in the parts' order."""
+    files.select(F.col(column).alias("value")).where("value is not null").distinct().orderBy("value").write.mode("overwrite").text(path)
+
+
+def write_summary(accumulator: DataFrame, folder: str) -> bool:
+    """A fold's one row as JSON below ``folder``/summary; False, and nothing written, where there is none or it is null."""
+    rows = accumulator.where(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in accumulator.columns]).isNotNull()).limit(1)
+    if rows.isEmpty():
+        return False
+    json_text(rows).coalesce(1).write.mode("overwrite").text(f"{folder}/summary")
+    return True
+
+
+def publish(spark, paths: list[str], folder: str) -> list[str]:
+    """Copy files into a folder, by the file systems of their URIs; returns the paths that do not exist."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    target = place(folder).getFileSystem(conf)
+    target.mkdirs(place(folder))
+    missing = []
+    for path in paths:
+        source = place(path).getFileSystem(conf)
+        if source.exists(place(path)):
+            jvm.org.apache.hadoop.fs.FileUtil.copy(source, place(path), target, place(f"{folder}/{place(path).getName()}"), False, True, conf)
+        else:
+            warnings.warn(f"{path} does not exist, skipped", stacklevel=2)
+            missing.append(path)
+    return missing

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessella.operators import graph, mapreduce, models
 from tessella.operators import relational as rel
+from tessella.operators import vocabulary
 from tessella.sources import readers, writers
 from tessella.streaming import events
 
@@ -250,3 +251,71 @@ def test_model_bundle(spark, tmp_path):
     loaded, settings = models.load_bundle(f"file://{tmp_path}/b", spark)
     assert settings == {"threshold": 0.5}
     assert [list(c) for c in loaded["themes"].clusterCenters()] == [list(c) for c in fitted.clusterCenters()]
+
+
+def test_annotated_words(spark):
+    entries = spark.createDataFrame([("犬", "いぬ", ["dog, hound (big)"]), ("カメラ", "かめら", ["camera"]), ("走る", "はしる", ["to run, to jog"]), (None, "x", ["y"])], "word string, reading string, senses array<string>")
+    index = vocabulary.dictionary_index(entries)
+    assert ("犬|いぬ", ["dog", "hound"]) in rows(index) and ("いぬ", ["dog", "hound"]) in rows(index)
+    assert ("走る|はしる", ["jog", "run"]) in [(k, [s.strip() for s in v]) for k, v in rows(index)]
+    lines = [(1, "Dogs hound the camera, running!", ["犬|いぬ", "かめら"]), (2, "", []), (3, None, ["かめら"]), (4, "the dog", [])]
+    got = vocabulary.annotated(spark.createDataFrame(lines, "i int, e string, k array<string>"), "i", "e", "k", index)
+    assert rows(got) == [(1, "Dogs[犬|いぬ] hound[犬|いぬ] the camera[かめら], running!"), (2, ""), (3, None), (4, "the dog")]
+    tokens = [(["私", "、", "犬", "。"], ["代名詞", vocabulary.SYMBOL, "名詞", vocabulary.SYMBOL])]
+    struct = F.transform(F.arrays_zip("surface", "pos"), lambda t: t)
+    assert rows(spark.createDataFrame(tokens, "surface array<string>, pos array<string>").select(vocabulary.spaced(struct).alias("s"))) == [("私、犬。",)]
+
+
+def test_constraint_violations(spark):
+    data = spark.createDataFrame([(1, "a", "x"), (2, "a", None), (3, "b", " "), (4, None, "y")], "k int, t string, m string")
+    found = vocabulary.constraint_violations(data, "k", ["t"], ["m"])
+    assert rows(found) == [("m", "missing", None, 2, 2), ("t", "duplicate", "a", 1, 2)]
+    with pytest.raises(ValueError, match="missing m"):
+        vocabulary.require_valid(found)
+    vocabulary.require_valid(vocabulary.constraint_violations(data.where("k = 1"), "k", ["t"], ["m"]))
+
+
+def test_dictionary_xml(spark, tmp_path):
+    (tmp_path / "d.xml").write_text("""<D><entry><ent_seq> 7 </ent_seq><k_ele><keb>犬</keb><ke_pri>news1</ke_pri><ke_pri>ichi1</ke_pri></k_ele><r_ele><reb>いぬ</reb><re_pri>ichi1</re_pri></r_ele>
+      <sense><pos>n</pos><gloss xml:lang="eng">dog</gloss><gloss>dog</gloss><example><ex_sent xml:lang="jpn"> 犬だ。 </ex_sent><ex_sent xml:lang="eng">A dog.</ex_sent></example>
+      <example><ex_sent xml:lang="jpn">猫だ。</ex_sent></example></sense><sense><pos>adj</pos><pos>n</pos></sense></entry>
+      <entry><ent_seq>8</ent_seq><k_ele><keb>稀</keb></k_ele></entry></D>""", encoding="utf-8")
+    entries = readers.read_xml(spark, str(tmp_path / "d.xml"), "entry", readers.ENTRY)
+    assert rows(readers.dictionary_entries(entries)) == [("7", ["犬"], ["いぬ"], ["ichi1", "news1"], ["adj", "n"], ["dog", "dog"])]
+    assert rows(readers.example_pairs(entries)) == [("犬だ。", "A dog.")]
+
+
+def test_files_by_stem_lists_summaries_and_publishing(spark, tmp_path):
+    files = spark.createDataFrame([("in/a.yaml",), ("in/b.yaml",)], "path string")
+    others = spark.createDataFrame([("x/notes/a.txt",), ("x/hints/a.json",), ("x/notes/c.txt",)], "path string")
+    assert rows(readers.by_stem(files, others)) == [("in/a.yaml", ["--hints=x/hints/a.json", "--notes=x/notes/a.txt"]), ("in/b.yaml", [])]
+    writers.write_file_list(others, "path", f"{tmp_path}/list")
+    assert sorted(readers.file_list(spark, f"{tmp_path}/list")) == sorted(r.path for r in others.collect())
+    one = spark.createDataFrame([(3, "é")], "n int, name string")
+    assert writers.write_summary(one, str(tmp_path)) and rows(spark.read.json(f"{tmp_path}/summary")) == [(3, "é")]
+    assert not writers.write_summary(one.where("n > 3"), f"{tmp_path}/none") and not (tmp_path / "none").exists()
+    (tmp_path / "f.txt").write_text("x")
+    with pytest.warns(UserWarning, match="does not exist"):
+        assert writers.publish(spark, [f"{tmp_path}/f.txt", f"{tmp_path}/g.txt"], f"{tmp_path}/out") == [f"{tmp_path}/g.txt"]
+    assert (tmp_path / "out" / "f.txt").read_text() == "x"
+
+
+def test_retries_and_variants():
+    calls = []
+
+    def shaky(prompt):
+        calls.append(prompt)
+        if len(calls) < 3:
+            raise ValueError("RESOURCE_EXHAUSTED" if len(calls) == 1 else "no")
+        return prompt.upper()
+
+    assert mapreduce.retrying(shaky, backoff=0)("a") == "A" and len(calls) == 3
+    with pytest.raises(ZeroDivisionError):
+        mapreduce.retrying(lambda p: 1 / 0, retries=2)("a")
+    with pytest.raises(RuntimeError):
+        mapreduce.retrying(lambda p: (_ for _ in ()).throw(ValueError("RESOURCE_EXHAUSTED")), retries=2, backoff=0)("a")
+    accept = lambda a: a if a.endswith("1") else 1 / 0
+    assert mapreduce.variants(lambda p: p, accept)("p") == "p1"
+    assert mapreduce.variants(lambda p: p, lambda a: 1 / 0, tries=2)("p") is None
+    with pytest.raises(ZeroDivisionError):
+        mapreduce.variants(lambda p: p, lambda a: 1 / 0)("p")
