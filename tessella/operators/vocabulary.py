@@ -43,18 +43,20 @@ def annotated(rows: DataFrame, doc: str, english: str, keys: str, index: DataFra
     tokens = rows.select(F.col(doc).alias("_doc"), F.posexplode(keys).alias("_at", "_key")).groupBy("_doc", "_key").agg(F.max("_at").alias("_at"))
     senses = tokens.join(index.select(F.col("key").alias("_key"), "senses"), "_key").select("_doc", "_at", "_key", F.explode("senses").alias("_sense"))
     last = senses.groupBy("_doc", "_sense").agg(F.max_by("_key", "_at").alias("_key"))
-    known = last.groupBy("_doc").agg(F.map_from_entries(F.collect_list(F.struct("_sense", "_key"))).alias("_known"))
-    none = F.create_map().cast("map<string,string>")
-
-    def marked(word: Column) -> Column:
-        low = F.lower(word)
-        cut = lambda n: F.substr(low, F.lit(1), F.length(low) - n)
-        found = lambda w: F.try_element_at("_known", w)
-        key = F.coalesce(found(low), F.when(low.endswith("s"), found(cut(1))).when(low.endswith("ing"), found(cut(3))))
-        return F.concat(word, F.coalesce(F.concat(F.lit("["), key, F.lit("]")), F.lit("")))
-
-    joined = rows.select(F.col(doc).alias("_doc"), F.col(english).alias("_text")).join(known, "_doc", "left").withColumn("_known", F.coalesce("_known", none))
-    return joined.select(F.col("_doc").alias(doc), F.array_join(F.transform(tx.english_tokens(F.col("_text")), marked), "").alias("annotated"))
+    low = F.lower("_word")
+    cut = lambda n: F.substr(low, F.lit(1), F.length(low) - n)
+    other = F.when(low.endswith("s"), cut(1)).when(low.endswith("ing"), cut(3))
+    texts = rows.select(F.col(doc).alias("_doc"), F.col(english).alias("_text"))
+    words = texts.select("_doc", F.col("_text").isNotNull().alias("_is"), F.posexplode_outer(tx.english_tokens(F.col("_text"))).alias("_at", "_word"))
+    tries = words.select("_doc", "_is", "_at", "_word", F.posexplode_outer(F.array_compact(F.array(low, other))).alias("_try", "_sense"))
+    found = tries.join(last, ["_doc", "_sense"], "left")
+    listed = found.groupBy("_doc").agg(F.array_sort(F.collect_list(F.struct("_at", "_try", "_word", "_key"))).alias("_all"), F.max("_is").alias("_is"))
+
+    def shown(t: Column, i: Column) -> Column:
+        mark = F.coalesce(F.concat(F.lit("["), t["_key"], F.lit("]")), F.lit(""))
+        return F.when(t["_try"] == 0, F.concat(t["_word"], mark)).when(F.get("_all", i - 1)["_key"].isNull(), mark)
+
+    return listed.select(F.col("_doc").alias(doc), F.when(F.col("_is"), F.array_join(F.transform("_all", shown), "")).alias("annotated"))
 
 
 def constraint_violations(rows: DataFrame, key: str, unique: list[str], required: list[str]) -> DataFrame:
