@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, jaccard_join, packing, pii, quality_model, quality_rules, suffix_dedup, token_counts, vafile, warc
+from . import bpe_codec, jaccard_join, multi_index, packing, pii, prefix_trie, quality_model, quality_rules, suffix_dedup, token_counts, vafile, warc, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": pii.op8_pii,
         "op9_byte_level_bpe": bpe_codec.op9_byte_level_bpe,
         "op10_token_counts": token_counts.op10_token_counts,
+        "op11_conversation_prefix_trie": prefix_trie.op11_conversation_prefix_trie,
+        "op12_inverted_multi_index": multi_index.op12_inverted_multi_index,
+        "op13_embedding_whitening": whitening.op13_embedding_whitening,
     }
 
 
