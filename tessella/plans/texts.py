@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lint, matcher, text, tokens
 from ..operators import relational as rel
+from ..operators import sequence_rules
 from ..sources import readers
 from .tables import table
 
@@ -143,7 +144,32 @@ RULES = {"the|ᵇth": "the-then", "and|○○|of": "and-gap", ".*ing": "loose",
 
 
 def sequence_classifier(spark, sf_dir):
-    return _sentences(spark, sf_dir).select("doc_id", "line", F.array_join(matcher.sequence_labels(F.col("compact"), RULES), ",").alias("labels"))
+    found = sequence_rules.labels(F.col("compact"), sequence_rules.rules_from(spark, RULES))
+    return _sentences(spark, sf_dir).select("doc_id", "line", F.array_join(found, ",").alias("labels"))
+
+
+def _benchmark_rules(spark, sf_dir):
+    """Rules from the words of the benchmark: neighbours, words with a gap, base forms, parts of words, a word and what follows."""
+    w = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    items = table(spark, sf_dir, "benchmark").select("item_id", w.alias("w")).where("size(w) >= 7")
+    at = lambda i: F.get("w", F.lit(i))
+    kinds = [
+        F.concat_ws("|", at(0), at(1)), F.concat_ws("|", at(1), F.lit("○○"), at(2)), F.concat_ws("|", F.concat(F.lit("ᵇ"), F.left(at(3), F.lit(4))), at(4)),
+        F.concat(F.lit(".*"), F.left(at(5), F.lit(5))), F.concat(at(6), F.lit(".*|○○|"), at(0)),
+    ]
+    each = items.select("item_id", F.posexplode(F.array(*kinds)).alias("kind", "rule"))
+    return sequence_rules.numbered(each.withColumn("name", F.concat_ws("-", "item_id", "kind")), "item_id", "kind")
+
+
+def rule_table_labels(spark, sf_dir):
+    found = sequence_rules.labels(F.col("compact"), _benchmark_rules(spark, sf_dir))
+    return _sentences(spark, sf_dir).select("doc_id", "line", F.array_join(found, ",").alias("labels")).where("labels <> ''")
+
+
+def rule_table_annotation(spark, sf_dir):
+    """The sentences that the benchmark's rules change, and how many names they take."""
+    s = _sentences(spark, sf_dir).withColumn("annotated", sequence_rules.annotate(F.col("compact"), _benchmark_rules(spark, sf_dir)))
+    return s.select("doc_id", "line", text.count_of(F.col("annotated"), "ᵍ").alias("n")).where("n > 0")
 
 
 def matcher_basic(spark, sf_dir):
@@ -157,13 +183,14 @@ def matcher_lookaround(spark, sf_dir):
 
 
 def rules_in_turn(spark, sf_dir):
-    return _sentences(spark, sf_dir).select("doc_id", "line", matcher.annotate(F.col("compact"), {"the": "art", "and": "con"}).alias("annotated"))
+    return _sentences(spark, sf_dir).select("doc_id", "line", sequence_rules.annotate(F.col("compact"), sequence_rules.rules_from(spark, {"the": "art", "and": "con"})).alias("annotated"))
 
 
 def compliance_report(spark, sf_dir):
-    s = _sentences(spark, sf_dir).select("doc_id", "line", F.explode_outer(matcher.sequence_labels(F.col("compact"), RULES)).alias("label"))
-    wanted = _words(spark, sf_dir).select("doc_id", "line", F.lit("to").alias("label"))
-    return wanted.join(s, ["doc_id", "line", "label"], "left_anti")
+    """Lines that lack the label they should have: only that label's rules are run."""
+    own = {rule: name for rule, name in RULES.items() if name == "to"}
+    found = sequence_rules.labels(F.col("compact"), sequence_rules.rules_from(spark, own))
+    return _sentences(spark, sf_dir).where(~F.array_contains(found, "to")).select("doc_id", "line", F.lit("to").alias("label"))
 
 
 def previous_token_histogram(spark, sf_dir):
@@ -236,6 +263,7 @@ def matcher_lint(spark, sf_dir):
     return docs.select("doc_id", "line", F.size(lint.competing_matches()).alias("competing"), F.size(lint.example_mismatches()).alias("own"))
 
 
+ITEMS = "i as (select item_id, regexp_extract_all(lower(text), '[a-z]+') as w from benchmark where len(regexp_extract_all(lower(text), '[a-z]+')) >= 7)"
 MEANING = "case when p_size % 5 = 0 then null else lower(p_type) end"
 QUERIES = {
     "get_meaning": (get_meaning, f"select p_partkey, {MEANING} as meaning, regexp_matches({MEANING}, '^[a-z~]') as start_ok from part"),
@@ -264,6 +292,21 @@ QUERIES = {
     "sequence_classifier": (sequence_classifier, f"""with {TOKENS} select doc_id, line, array_to_string(list_filter(['and-gap', 'loose', 'the-then', 'to'], lambda x: case x
         when 'and-gap' then regexp_matches(compact, '⌈ˢand[^⌉]*⌉⌈ˢ.*[^⌉]*⌉⌈ˢof[^⌉]*⌉') when 'loose' then regexp_matches(compact, '⌈ˢ.*ing[^⌉]*⌉')
         when 'the-then' then regexp_matches(compact, '⌈ˢthe[^⌉]*⌉⌈[^⌉]*ᵇth[^⌉]*⌉') else regexp_matches(compact, '⌈ˢto[^⌉]*⌉') end), ',') as labels from s"""),
+    "rule_table_labels": (rule_table_labels, f"""with {TOKENS}, {ITEMS}, n as (select doc_id, line, pos, word, token, lead(word) over (partition by doc_id, line order by pos) as then from t),
+      e as (select doc_id, line, max(pos) as last from t group by all),
+      v as (select word, left(word, 4) as base from t group by word), x as (select word, min(token) as token from t group by word),
+      f as (select item_id, v.word, x as k from i, v, unnest([1, 2, 3, 5, 7]) u(x) where starts_with(v.word, w[x]) or (x = 5 and starts_with(v.word, w[5]))),
+      b as (select item_id, word from i, v where starts_with(base, left(w[4], 4))),
+      m as (
+        select doc_id, line, n.pos, item_id, 0 as kind from n join f on f.word = n.word and f.k = 1 join i using (item_id) where starts_with(n.then, i.w[2])
+        union all select a.doc_id, a.line, a.pos, f.item_id, 1 from t a join f on f.word = a.word and f.k = 2 join (select doc_id, line, item_id, max(pos) as p from t join f on f.word = t.word and f.k = 3 group by all) z
+          on z.doc_id = a.doc_id and z.line = a.line and z.item_id = f.item_id and z.p >= a.pos + 2
+        union all select doc_id, line, n.pos, item_id, 2 from n join b on b.word = n.word join i using (item_id) where starts_with(n.then, i.w[5])
+        union all select t.doc_id, t.line, t.pos, item_id, 3 from t join (select item_id, x.word from i, x where contains(x.token, left(w[6], 5))) h on h.word = t.word
+        union all select a.doc_id, a.line, a.pos, f.item_id, 4 from t a join f on f.word = a.word and f.k = 7 join (select doc_id, line, item_id, max(pos) as p from t join f on f.word = t.word and f.k = 1 group by all) z
+          on z.doc_id = a.doc_id and z.line = a.line and z.item_id = f.item_id and z.p >= a.pos + 2)
+      select doc_id, line, string_agg(distinct item_id || '-' || kind, ',' order by item_id || '-' || kind) as labels from m group by doc_id, line"""),
+    "rule_table_annotation": (rule_table_annotation, None),
     "matcher_basic": (matcher_basic, f"""with {TOKENS}, m as (select doc_id, line, regexp_extract(compact, '⌈ˢ[^⌉]*?ᵖprt[^⌉]*?⌉(?:⌈ˢ[^⌉]*?ᵖpron[^⌉]*?⌉|⌈[^⌉]*?ᵖn[^⌉]*?⌉⌈[^⌉]*?ᵖsuff:[^⌉]*?ʳ[^⌉]*?⌉|⌈[^⌉]*?ᵖn[^⌉]*?⌉)') as g from s)
       select doc_id, line, case when g <> '' then array_to_string(regexp_extract_all(g, 'ˢ(.*?)ᵖ', 1), ' ') end as found from m"""),
     "matcher_lookaround": (matcher_lookaround, f"""with {TOKENS}, l as (select *, lag(word) over (partition by doc_id, line order by pos) as before from t)

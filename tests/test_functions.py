@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessella.functions import lint, matcher, text, tokens
+from tessella.operators import sequence_rules
 
 
 def one(spark, column, **values):
@@ -113,8 +114,9 @@ def test_grouping_of_loose_macros():
 
 def test_rules_in_turn(spark):
     compact = READ + TO
-    assert one(spark, matcher.annotate(F.col("c"), {"ᵇ読": "V", "と": "P"}), c=compact) == READ.replace("⌉", "ᵍV⌉") + TO.replace("⌉", "ᵍP⌉")
-    assert one(spark, matcher.sequence_labels(F.col("c"), {"ᵇ読|と": "VP", "と|ᵇ読": "PV"}), c=compact) == ["VP"]
+    rules = lambda table: sequence_rules.rules_from(spark, table)
+    assert one(spark, sequence_rules.annotate(F.col("c"), rules({"ᵇ読": "V", "と": "P"})), c=compact) == READ.replace("⌉", "ᵍV⌉") + TO.replace("⌉", "ᵍP⌉")
+    assert one(spark, sequence_rules.labels(F.col("c"), rules({"ᵇ読|と": "VP", "と|ᵇ読": "PV"})), c=compact) == ["VP"]
 
 
 def document(spark, **fields):
