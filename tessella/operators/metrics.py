@@ -66,16 +66,37 @@ def overlap_jaccard(rows: DataFrame, group: str, item: str, least: float = 0.05,
     return shared.withColumn("jaccard", F.round(value, 6)).where(value > least).select("a", "b", "shared", "jaccard")
 
 
-def merge_candidates(rows: DataFrame, doc: str, label: str, rate: float = 0.8, samples: int = 10) -> DataFrame:
-    """Label pairs whose mean directional co-occurrence rate reaches ``rate``; labels with enough samples."""
-    own = rows.select(doc, label).distinct()
-    n = own.groupBy(F.col(label).alias("_l")).agg(F.count("*").alias("_n")).where(F.col("_n") >= samples)
-    held = own.join(n, F.col(label) == F.col("_l")).select(doc, F.col(label).alias("a"), F.col("_n").alias("na"))
-    other = held.select(F.col(doc).alias("_d"), F.col("a").alias("b"), F.col("na").alias("nb"))
-    pairs = held.join(other, (F.col(doc) == F.col("_d")) & (F.col("a") < F.col("b"))).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("n"))
-    ab, ba = F.col("n") / F.col("na"), F.col("n") / F.col("nb")
+def label_samples(rows: DataFrame, doc: str, label: str, most: int = 100, least: int = 10) -> DataFrame:
+    """label, doc, place, n: at most ``most`` rows of each label with ``least`` rows or more, and its number of rows.
+
+    A sample is the rows of least hash (of label and row), so partitions' samples
+    merge: each keeps its own first ``most`` before anything is moved.
+    """
+    own = rows.select(label, doc).distinct()
+    n = own.groupBy(F.col(label).alias("_l")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    order = F.md5(F.concat_ws("|", F.col(label).cast("string"), F.col(doc).cast("string")))
+    place = F.row_number().over(Window.partitionBy(label).orderBy(order, doc))
+    first = own.withColumn("place", place).where(F.col("place") <= most)
+    return first.join(n, F.col(label) == F.col("_l")).select(label, doc, "place", "n")
+
+
+def merge_candidates(rows: DataFrame, predicted: DataFrame, doc: str, label: str, rate: float = 0.8, samples: int = 10, most: int = 100) -> DataFrame:
+    """Label pairs that are likely one: of the sampled rows of ``a``, how many are predicted ``b`` as well.
+
+    The number shared is held against either label's sample, and the mean of the two
+    rates must reach ``rate``; ``shown`` has the first three shared rows of the sample.
+    """
+    held = label_samples(rows, doc, label, most, samples).checkpoint()
+    sizes = held.groupBy(label).agg(F.count("*").alias("_size"), F.first("n").alias("_n"))
+    other = predicted.select(F.col(doc).alias("_d"), F.col(label).alias("b")).distinct()
+    met = held.withColumnRenamed(label, "a").join(other, (F.col(doc) == F.col("_d")) & (F.col("a") < F.col("b")))
+    shown = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("place", F.col(doc).alias("d")))), 1, 3), lambda x: x["d"])  # a sample bounds the list
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), shown.alias("shown"))
+    side = lambda c: sizes.select(F.col(label).alias(c), F.col("_size").alias(f"_s{c}"), F.col("_n").alias(f"n_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    ab, ba = F.col("shared") / F.col("_sa"), F.col("shared") / F.col("_sb")
     mean = (ab + ba) / 2
-    return pairs.where(mean >= rate).select("a", "b", F.round(ab, 6).alias("rate_ab"), F.round(ba, 6).alias("rate_ba"), F.round(mean, 6).alias("rate"))
+    return both.where(mean >= rate).select("a", "b", "shared", "n_a", "n_b", F.round(ab, 6).alias("rate_ab"), F.round(ba, 6).alias("rate_ba"), F.round(mean, 6).alias("rate"), "shown")
 
 
 def top_weights(rows: DataFrame, group: str, item: str, weight: str, n: int = 100) -> DataFrame:

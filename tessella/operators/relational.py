@@ -326,9 +326,3 @@ def pattern_labels(rows: DataFrame, text: Column, patterns: dict[str, str]) -> C
     """The sorted labels whose pattern is found in the text: one projection of literal patterns."""
     found = [F.when(text.rlike(p), F.lit(label)) for label, p in sorted(patterns.items())]
     return F.filter(F.array(*found), lambda x: x.isNotNull())
-
-
-def closest(rows: DataFrame, key: str, options: Sequence[str]) -> DataFrame:
-    """For each row the option with the least edit distance (the least option of equals); options are few literals."""
-    scored = F.array(*[F.struct(F.levenshtein(F.col(key), F.lit(o)).alias("distance"), F.lit(o).alias("option")) for o in options])
-    return rows.withColumn("_best", F.array_min(scored)).select("*", "_best.distance", "_best.option").drop("_best")

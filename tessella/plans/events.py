@@ -35,23 +35,55 @@ def _stream(spark, sf_dir):
     path = f"{sf_dir}/events.parquet"
     folder, _, name = path.rpartition("/")
     stream = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", name).parquet(folder)
-    return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _drained(spark, stream, name):
-    return ev.run_available(stream, f"{name}_{uuid.uuid4().hex[:8]}", "complete", ev.stream_folder(spark))
+def _drained(spark, name, stream, plan):
+    """Run ``plan`` over a stream with a closing event, to its end."""
+    name = f"{name}_{uuid.uuid4().hex[:8]}"
+    folder = ev.stream_folder(spark)
+    return ev.run_available(plan(ev.closed(stream, "ts", "1 day", f"{folder}/{name}")), name, folder)
 
 
 def event_stream_tumbling(spark, sf_dir):
-    out = _drained(spark, ev.tumbling(_stream(spark, sf_dir), "ts", "1 day", "event_type"), "tumbling")
+    out = _drained(spark, "tumbling", _stream(spark, sf_dir), lambda s: ev.tumbling(s, "ts", "1 day", "event_type"))
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 3).alias("total"))
 
 
 def event_stream_session(spark, sf_dir):
-    out = _drained(spark, ev.sessions(_stream(spark, sf_dir), "ts", "6 hours", "user_id"), "session")
+    out = _drained(spark, "session", _stream(spark, sf_dir), lambda s: ev.sessions(s, "ts", "6 hours", "user_id"))
     return out.select("user_id", F.unix_seconds("start").alias("start"), "n")
 
 
+IDLE = 7200.0  # seconds after its end at which a slot is forgotten
+
+
+def _slot_events(e):
+    kind = F.when(F.col("event_type") == "view", "BEGIN").when(F.col("event_type") == "purchase", "FINISH").when(F.col("event_type") == "error", "ERROR")
+    at = F.unix_seconds("ts").cast("double")
+    # The closing event has neither user nor type.
+    own = e.select(F.col("user_id").cast("string").alias("slot_key"), F.col("event_id").cast("string").alias("item"), kind.alias("type"), at.alias("time"), F.col("event_id").alias("seq"), "ts")
+    return own.withColumn("item_type", (F.col("seq") % 4).cast("string")).drop("item")
+
+
+def event_stream_slots(spark, sf_dir):
+    """Totals per item type from the stateful reducer, which forgets idle slots."""
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, ev.ROCKSDB)
+    try:
+        out = _drained(spark, "slots", _stream(spark, sf_dir), lambda s: ev.slot_stream(_slot_events(s), IDLE))
+    finally:
+        spark.conf.set(store, before)
+    return out.groupBy("item_type").agg(F.sum("n").alias("n"), F.round(F.sum("elapsed"), 3).alias("elapsed"))
+
+
+def event_slot_batch(spark, sf_dir):
+    """The same totals from the table."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return ev.type_totals(ev.slot_elapsed(_slot_events(e), IDLE))
+
+
 def event_window_batch(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return ev.tumbling(e, "ts", "1 day", "event_type").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 3).alias("total"))
@@ -92,12 +124,21 @@ SLOTS = """s as (select user_id as slot_key, event_id % 4 as item_type, case eve
   l as (select *, coalesce(time - lag(time) over w, 0) as elapsed, first_value(item_type) over w as first, last_value(case type when 'BEGIN' then item_type end ignore nulls) over
     (partition by slot_key order by time, seq rows between unbounded preceding and 1 preceding) as begun from s window w as (partition by slot_key order by time, seq)),
   r as (select slot_key, coalesce(begun, first) as item_type, type, time, elapsed from l where type in ('FINISH', 'ERROR'))"""
+FORGETFUL = f"""w as (select user_id as slot_key, event_id % 4 as item_type, case event_type when 'view' then 'BEGIN' when 'purchase' then 'FINISH' else 'ERROR' end as type,
+    floor(epoch(ts)) as time, event_id as seq from events where event_type in ('view', 'purchase', 'error')),
+  k as (select *, coalesce(lag(type) over s <> 'BEGIN' and time - lag(time) over s > 7200, false)::int as fresh from w window s as (partition by slot_key order by time, seq)),
+  f as (select *, sum(fresh) over (partition by slot_key order by time, seq) as life from k),
+  l as (select *, coalesce(time - lag(time) over s, 0) as elapsed, first_value(item_type) over s as first, last_value(case type when 'BEGIN' then item_type end ignore nulls) over
+    (partition by slot_key, life order by time, seq rows between unbounded preceding and 1 preceding) as begun from f window s as (partition by slot_key, life order by time, seq))"""
+IDLE_TOTALS = f"with {FORGETFUL} select coalesce(begun, first)::varchar as item_type, count(*) as n, round(sum(elapsed), 3)::double as elapsed from l where type <> 'BEGIN' group by 1"
 DAYS = "select strftime(date_trunc('day', ts), '%Y-%m-%d') as day, event_type, count(*) as n, round(sum(value), 3) as total from events group by 1, 2"
 SESSIONS = """with g as (select user_id, ts, coalesce(ts - lag(ts) over (partition by user_id order by ts) >= interval 6 hours, true)::int as fresh from events),
       n as (select *, sum(fresh) over (partition by user_id order by ts) as k from g) select user_id, floor(epoch(min(ts)))::bigint as start, count(*) as n from n group by user_id, k"""
 QUERIES = {
     "event_slot_elapsed": (event_slot_elapsed, f"with {SLOTS} select slot_key, item_type, type, time::double as time, elapsed::double as elapsed from r"),
     "event_type_totals": (event_type_totals, f"with {SLOTS} select item_type, count(*) as n, round(sum(elapsed), 3)::double as elapsed from r group by 1"),
+    "event_stream_slots": (event_stream_slots, IDLE_TOTALS),
+    "event_slot_batch": (event_slot_batch, IDLE_TOTALS),
     "newest_n": (newest_n, "select event_id, user_id from events order by ts desc, event_id limit 50"),
     "event_stream_tumbling": (event_stream_tumbling, DAYS),
     "event_window_batch": (event_window_batch, DAYS),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lint
-from ..operators import metrics
+from ..operators import metrics, nearest
 from ..operators import relational as rel
 from .tables import table
 
@@ -152,8 +152,9 @@ def regex_label_join(spark, sf_dir):
 
 
 def closest_name(spark, sf_dir):
-    names = table(spark, sf_dir, "part").select("p_name").distinct()
-    return rel.closest(names, "p_name", ["almond antique", "blue metallic", "smoke green"]).select("p_name", F.col("distance").cast("long").alias("distance"), "option")
+    """For each word of the benchmark the nearest word of the pages."""
+    words = lambda name, column: table(spark, sf_dir, name).select(F.explode(F.regexp_extract_all(F.lower(column), F.lit("[a-z]+"), F.lit(0))).alias("word"))
+    return nearest.nearest(words("benchmark", "text"), "word", words("pages", "html"), "word")
 
 
 def rare_label_filter(spark, sf_dir):
@@ -199,8 +200,10 @@ def per_label_prf(spark, sf_dir):
 
 
 def merge_candidates(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.col("event_type").alias("label"))
-    return metrics.merge_candidates(e, "doc", "label")
+    """Users by the types of their events; predicted are the types of their later events."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.col("event_type").alias("label"), "ts")
+    later = e.withColumn("_first", F.min("ts").over(Window.partitionBy("doc"))).where("ts > _first")
+    return metrics.merge_candidates(e, later, "doc", "label", rate=0.5).withColumn("shown", F.concat_ws(",", "shown"))
 
 
 def set_overlap_jaccard(spark, sf_dir):
@@ -362,9 +365,9 @@ QUERIES = {
       select n_name, id from n where n_name not in (select old from x)
       union all select new, coalesce(min(id), 'gp9999') from x left join n on old = n_name where new is not null group by new"""),
     "regex_label_join": (regex_label_join, " union all ".join(f"""select '{k}' as label, count(*) as n, sum(doc_id)::bigint as ids from documents where regexp_matches(text, '{p}')""" for k, p in PATTERNS.items())),
-    "closest_name": (closest_name, """with o as (select unnest(['almond antique', 'blue metallic', 'smoke green']) as option), n as (select distinct p_name from part),
-      d as (select p_name, option, levenshtein(p_name, option) as distance from n, o)
-      select p_name, distance, option from d qualify row_number() over (partition by p_name order by distance, option) = 1"""),
+    "closest_name": (closest_name, """with a as (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from benchmark), b as (select distinct unnest(regexp_extract_all(lower(html), '[a-z]+')) as o from pages),
+      d as (select word, o, levenshtein(word, o) as distance, greatest(length(word), length(o)) as longer from a, b)
+      select word, o as nearest, distance::int as distance, round(1 - distance / longer, 6) as ratio from d qualify row_number() over (partition by word order by 1 - distance / longer desc, o) = 1"""),
     "rare_label_filter": (rare_label_filter, "select o_custkey as label, count(*) as n from orders group by 1 having count(distinct o_orderkey) >= 10"),
     "cooccurrence_top10": (cooccurrence_top10, f"""with {BRANDS}, j as (select x.label as a, y.label as b, x.doc as doc from b x join b y on x.doc = y.doc and x.label < y.label),
       q as (select *, row_number() over (partition by a, b order by doc) as rn from j)
@@ -382,10 +385,14 @@ QUERIES = {
         round(2 * tp / (nt + np), 6) as micro_f1, round(macro_f1, 6) as macro_f1, round(nt / nd, 6) as true_cardinality, round(np / nd, 6) as predicted_cardinality from a, m"""),
     "per_label_prf": (per_label_prf, f"""with {PER_LABEL} select label, round(pr, 6) as precision, round(rc, 6) as recall, round(case when tp > 0 then 2 * pr * rc / (pr + rc) else 0 end, 6) as f1,
       support::bigint as support, n_predicted::bigint as n_predicted from s"""),
-    "merge_candidates": (merge_candidates, """with b as (select distinct user_id as doc, event_type as label from events), n as (select label, count(*) as n from b group by label having count(*) >= 10),
-      j as (select x.label as a, y.label as b, count(*) as n from b x join b y on x.doc = y.doc and x.label < y.label group by all)
-      select a, j.b, round(j.n / na.n, 6) as rate_ab, round(j.n / nb.n, 6) as rate_ba, round((j.n / na.n + j.n / nb.n) / 2, 6) as rate
-      from j join n na on a = na.label join n nb on j.b = nb.label where (j.n / na.n + j.n / nb.n) / 2 >= 0.8"""),
+    "merge_candidates": (merge_candidates, """with o as (select distinct user_id as doc, event_type as label from events), n as (select label, count(*) as n from o group by label having count(*) >= 10),
+      h as (select o.label, doc, n, row_number() over (partition by o.label order by md5(o.label || '|' || doc), doc) as place from o join n using (label) qualify place <= 100),
+      z as (select label, count(*) as size, any_value(n) as n from h group by label),
+      p as (select distinct user_id as d, event_type as b from (select *, min(ts) over (partition by user_id) as first from events) where ts > first),
+      j as (select label as a, b, doc, row_number() over (partition by label, b order by place) as rn from h join p on d = doc and label < b),
+      g as (select a, b, count(*) as shared, string_agg(case when rn <= 3 then doc::varchar end, ',' order by rn) as shown from j group by a, b)
+      select a, b, shared, x.n as n_a, y.n as n_b, round(shared / x.size, 6) as rate_ab, round(shared / y.size, 6) as rate_ba, round((shared / x.size + shared / y.size) / 2, 6) as rate, shown
+      from g join z x on x.label = a join z y on y.label = b where (shared / x.size + shared / y.size) / 2 >= 0.5"""),
     "set_overlap_jaccard": (set_overlap_jaccard, """with w as (select p_brand as label, o_custkey as feature, sum(l_quantity) as weight from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey group by all),
       f as (select label, feature from w where weight <> 0 qualify row_number() over (partition by label order by abs(weight) desc, feature) <= 100), n as (select label, count(*) as n from f group by label having count(*) >= 10),
       j as (select x.label as a, y.label as b, count(*) as shared from f x join f y on x.feature = y.feature and x.label < y.label group by all)

@@ -8,25 +8,37 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 BEGIN, FINISH, ERROR = "BEGIN", "FINISH", "ERROR"
+#: The time of a closing event (the year 9000).
+CLOSING_MS = 221_845_392_000_000
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def slot_elapsed(events: DataFrame) -> DataFrame:
+def slot_elapsed(events: DataFrame, ttl: float | None = None) -> DataFrame:
     """slot_key, item_type, type, time, elapsed of FINISH and ERROR events.
 
     An end counts from the slot's event before it, whichever that is (0 without
     one), and under the item type of the slot's last BEGIN; without a BEGIN under
-    that of its first end. Events: slot_key, item_type, type, time (double), seq
-    (order of equal times); other types take no part.
+    that of its first end. A slot that has ended and stays idle for more than ``ttl``
+    seconds is forgotten: its next event is a first one. Events: slot_key, item_type,
+    type, time (double), seq (order of equal times); other types take no part.
     """
-    slot = Window.partitionBy("slot_key").orderBy("time", "seq")
+    used = events.where(F.col("type").isin(BEGIN, FINISH, ERROR))
+    if ttl is None:
+        life = F.lit(0)
+    else:
+        whole = Window.partitionBy("slot_key").orderBy("time", "seq")
+        forgotten = (F.lag("type").over(whole) != BEGIN) & (F.col("time") - F.lag("time").over(whole) > ttl)
+        used = used.withColumn("_new", F.coalesce(forgotten.cast("int"), F.lit(0)))
+        life = F.sum("_new").over(whole.rowsBetween(Window.unboundedPreceding, 0))
+    slot = Window.partitionBy("slot_key", "_life").orderBy("time", "seq")
     before = slot.rowsBetween(Window.unboundedPreceding, -1)
     begun = F.last(F.when(F.col("type") == BEGIN, F.struct("item_type")), ignorenulls=True).over(before)["item_type"]
     has_begun = F.coalesce(F.max(F.col("type") == BEGIN).over(before), F.lit(False))
     first = F.first("item_type").over(slot.rowsBetween(Window.unboundedPreceding, 0))
-    used = events.where(F.col("type").isin(BEGIN, FINISH, ERROR))
-    out = used.withColumns({"elapsed": F.coalesce(F.col("time") - F.lag("time").over(slot), F.lit(0.0)), "_kind": F.when(has_begun, begun).otherwise(first)})
+    out = used.withColumn("_life", life).withColumns({"elapsed": F.coalesce(F.col("time") - F.lag("time").over(slot), F.lit(0.0)), "_kind": F.when(has_begun, begun).otherwise(first)})
     return out.where(F.col("type").isin(FINISH, ERROR)).select("slot_key", F.col("_kind").alias("item_type"), "type", "time", "elapsed")
 
 
@@ -34,29 +46,100 @@ def type_totals(elapsed: DataFrame) -> DataFrame:
     return elapsed.groupBy("item_type").agg(F.count("*").alias("n"), F.round(F.sum("elapsed"), 3).alias("elapsed"))
 
 
-def slot_totals_stream(events: DataFrame, idle_ms: int = 2000) -> DataFrame:
-    """The reducer as a stream keyed by slot: slot_key, n, elapsed, evicted; idle finished slots leave their state."""
-    out = "slot_key string, n long, elapsed double, evicted boolean"
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            n, total, _ = state.get
-            state.remove()
-            yield pd.DataFrame([(key[0], n, total, True)], columns=["slot_key", "n", "elapsed", "evicted"])
-            return
-        n, total, last = state.get if state.exists else (0, 0.0, None)
-        rows = pd.concat(list(batches)).sort_values(["time", "seq"])
-        for kind, at in zip(rows["type"], rows["time"].astype(float), strict=True):
-            if kind not in (BEGIN, FINISH, ERROR):
+class Slots(StatefulProcessor):
+    """One slot's state: events that wait for the watermark, the last event, and what was done per item type.
+
+    Events are taken in the order of their times once the watermark has passed them,
+    so batches and the order in them do not matter. Event-time timers do the rest: a
+    slot that has ended is forgotten ``ttl`` seconds later, when its totals leave as
+    rows and its state goes. Whatever is left leaves when the closing event has moved
+    the watermark past all times.
+    """
+
+    def __init__(self, ttl: float) -> None:
+        self.ttl = ttl
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "time double, seq long, type string, kind string")
+        self.last = handle.getValueState("last", "time double, ended boolean, begun boolean, kind string")
+        self.totals = handle.getListState("totals", "kind string, n long, elapsed double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        latest = None
+        for part in rows:
+            part = part[part["type"].isin((BEGIN, FINISH, ERROR))]
+            events = [(float(t), int(s), kind, own) for t, s, kind, own in zip(part["time"], part["seq"], part["type"], part["item_type"], strict=True)]
+            if events:
+                self.waiting.appendList(events)
+                latest = max(e[0] for e in events) if latest is None else max(latest, *(e[0] for e in events))
+        if latest is not None:
+            self.handle.registerTimer(max(int(latest * 1000) + 1, timerValues.getCurrentWatermarkInMs() + 1))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        mark = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(tuple(e) for e in self.waiting.get()) if self.waiting.exists() else []
+        ready = [e for e in waiting if e[0] * 1000 <= mark]
+        if ready:
+            rest = waiting[len(ready) :]
+            self.waiting.put(rest) if rest else self.waiting.clear()
+        state, out = tuple(self.last.get()) if self.last.exists() else None, []
+        # As many as the slot has item types; read once and written once.
+        totals = {k: (n, spent) for k, n, spent in self.totals.get()} if self.totals.exists() else {}
+
+        def leave(why: str) -> list[tuple]:
+            rows = [(key[0], k, n, spent, why) for k, (n, spent) in totals.items()]
+            totals.clear()
+            return rows
+
+        for at, _, type_, kind in ready:
+            if state is not None and state[1] and at - state[0] > self.ttl:
+                out += leave("evicted")
+                state = None
+            if type_ == BEGIN:
+                state = (at, False, True, kind)
                 continue
-            if kind != BEGIN:
-                n, total = n + 1, total + (at - last if last is not None else 0.0)
-            last = at
-        state.update((n, total, last))
-        state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame([(key[0], n, total, False)], columns=["slot_key", "n", "elapsed", "evicted"])
+            own = kind if state is None else state[3]
+            n, spent = totals.get(own, (0, 0.0))
+            totals[own] = n + 1, spent + (at - state[0] if state is not None else 0.0)
+            state = (at, True, state is not None and state[2], own)
+        over = mark >= CLOSING_MS - 1
+        if state is not None and (over or (state[1] and mark > (state[0] + self.ttl) * 1000)):
+            out += leave("closed" if over else "evicted")
+            state = None
+        self.totals.put([(k, n, spent) for k, (n, spent) in totals.items()]) if totals else self.totals.clear()
+        if state is None:
+            self.last.clear()
+        else:
+            self.last.update(state)
+            self.handle.registerTimer(int((state[0] + self.ttl) * 1000) + 1 if state[1] else CLOSING_MS - 1)
+        yield pd.DataFrame(out, columns=["slot_key", "item_type", "n", "elapsed", "why"])
+
+    def close(self) -> None:
+        pass
+
+
+def slot_stream(events: DataFrame, ttl: float = 2.0) -> DataFrame:
+    """The reducer as a stream: slot_key, item_type, n, elapsed, why (evicted, closed).
+
+    ``events`` has slot_key (string), item_type (string), type, time, seq and ts with a
+    watermark; see :func:`closed`. A slot's rows leave once, when it is forgotten or the
+    stream is closed, so sums over them are those of :func:`slot_elapsed` with the same
+    ``ttl``. Needs the RocksDB state store.
+    """
+    out = "slot_key string, item_type string, n long, elapsed double, why string"
+    # A filter would go below the watermark and take the closing event away before it counts; its row has no type.
+    return events.groupBy("slot_key").transformWithStateInPandas(Slots(ttl), out, "append", "eventTime")
+
 
-    return events.groupBy("slot_key").applyInPandasWithState(step, out, "n long, total double, last double", "update", "ProcessingTimeTimeout")
+def closed(stream: DataFrame, time: str, delay: str, folder: str) -> DataFrame:
+    """A stream with one closing event: a row of nulls at a time beyond all, which lets every window and timer end."""
+    spark, path = stream.sparkSession, f"{folder}/closing"
+    kinds = {f.name: f.dataType for f in stream.schema.fields}
+    row = [(F.timestamp_millis(F.lit(CLOSING_MS)) if n == time else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()]
+    spark.range(1).select(*row).write.mode("overwrite").parquet(path)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path)).withWatermark(time, delay)
 
 
 def tumbling(events: DataFrame, time: str, length: str, *keys: str) -> DataFrame:
@@ -70,24 +153,20 @@ def sessions(events: DataFrame, time: str, gap: str, key: str) -> DataFrame:
     return events.groupBy(window.alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), "n")
 
 
-def run_available(stream: DataFrame, name: str, mode: str, folder: str, once: bool = False) -> DataFrame:
-    """Drain a stream into a table under ``folder``/``name`` and return it; the stream's state goes beside it.
+def run_available(stream: DataFrame, name: str, folder: str) -> DataFrame:
+    """Drain a stream in append mode into a table under ``folder``/``name`` and return it; the stream's state goes beside it.
 
-    In complete mode each batch replaces the table, else it adds to it. ``once``
-    runs a single batch: reducers with a processing-time timeout always ask for
-    another one, so for them draining would not end.
+    Windows and slots leave their state as the watermark passes them.
     """
     path = f"{folder}/{name}/table"
 
     def save(batch: DataFrame, number: int) -> None:
         # A batch that runs again writes its own folder again.
-        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", f"{folder}/{name}/state")
-    query = (writer.trigger(once=True) if once else writer.trigger(availableNow=True)).start()
-    query.awaitTermination()
-    read = stream.sparkSession.read.schema(stream.schema)
-    return read.parquet(path) if mode == "complete" else read.option("basePath", path).option("recursiveFileLookup", "true").parquet(path)
+    writer = stream.writeStream.foreachBatch(save).outputMode("append").option("checkpointLocation", f"{folder}/{name}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).option("basePath", path).option("recursiveFileLookup", "true").parquet(path)
 
 
 def stream_folder(spark) -> str:

@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.operators import graph, mapreduce, models
+from tessella.operators import graph, mapreduce, metrics, models, nearest
 from tessella.operators import relational as rel
 from tessella.operators import vocabulary
 from tessella.sources import readers, writers
@@ -208,12 +208,71 @@ def test_slot_reducer(spark):
 
 
 def test_slot_stream(spark, tmp_path):
-    data = [("s", "BEGIN", 1.0, 1), ("s", "FINISH", 3.5, 2), ("u", "ERROR", 9.0, 3)]
-    schema = "slot_key string, type string, time double, seq long"
-    spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-    out = events.run_available(events.slot_totals_stream(stream), "slots", "update", f"{tmp_path}/ck", once=True)
-    assert {("s", 1, 2.5, False), ("u", 1, 0.0, False)} <= set(map(tuple, out.collect()))
+    """Eviction by event time and the closing totals equal the batch form, whatever the batches."""
+    data = [
+        ("s", "BEGIN", "a", 1.0), ("s", "FINISH", "b", 3.5), ("u", "ERROR", "c", 9.0), ("s", "FINISH", "b", 4.5), ("s", "ERROR", "d", 9.5), ("v", "BEGIN", "a", 10.0),
+        ("v", "OTHER", "a", 10.5), ("u", "FINISH", "e", 11.0), ("v", "FINISH", "z", 30.0), ("s", "BEGIN", "a", 40.0), ("s", "FINISH", "a", 41.25), ("w", "BEGIN", "a", 50.0), ("x", "FINISH", "a", 49.5), ("x", "BEGIN", "a", 51.0),
+    ]
+    schema = "slot_key string, type string, item_type string, time double, seq long"
+    table = spark.createDataFrame([(*r, i) for i, r in enumerate(data)], schema).withColumn("ts", F.timestamp_millis((F.col("time") * 1000).cast("long")))
+    table.repartition(4, "seq").write.parquet(f"{tmp_path}/in")
+    for k in range(4):
+        table.where((F.col("seq") / 4).cast("int") == k).coalesce(1).write.parquet(f"{tmp_path}/ordered/part={k}")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/ordered")
+    store, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(store, events.ROCKSDB)
+    try:
+        out = events.run_available(events.slot_stream(events.closed(stream, "ts", "1 second", f"{tmp_path}/c"), 2.0), "slots", str(tmp_path))
+    finally:
+        spark.conf.set(store, before)
+    got = out.groupBy("slot_key", "item_type").agg(F.sum("n").alias("n"), F.sum("elapsed").alias("elapsed"))
+    want = events.slot_elapsed(table, 2.0).groupBy("slot_key", "item_type").agg(F.count("*").alias("n"), F.sum("elapsed").alias("elapsed"))
+    assert rows(got) == rows(want) == [("s", "a", 3, 4.75), ("s", "d", 1, 0.0), ("u", "c", 2, 2.0), ("v", "a", 1, 20.0), ("x", "a", 1, 0.0)]
+    assert rows(events.slot_elapsed(table).where("slot_key = 's'").select("item_type", "elapsed"), "elapsed") == [("a", 1.0), ("a", 1.25), ("a", 2.5), ("a", 5.0)]
+    assert out.where("why = 'evicted'").count() >= 2 and out.where("why = 'closed'").count() <= 1
+
+
+def test_bounded_label_samples(spark):
+    """Samples are the rows of least hash; rates count the samples' rows only."""
+    import hashlib
+
+    truth = [(d, "a") for d in range(300)] + [(d, "b") for d in range(250, 290)] + [(d, "c") for d in range(5)]
+    predicted = [(d, "b") for d in range(280)] + [(d, "z") for d in range(300)]
+    frame = lambda r: spark.createDataFrame(r, "doc int, label string")
+    sample = sorted(range(300), key=lambda d: hashlib.md5(f"a|{d}".encode()).hexdigest())[:100]
+    shared = [d for d in sample if d < 280]
+    got = metrics.merge_candidates(frame(truth), frame(predicted), "doc", "label", rate=0.1).collect()
+    assert [tuple(r) for r in got] == [("a", "b", len(shared), 300, 40, round(len(shared) / 100, 6), round(len(shared) / 40, 6), round((len(shared) / 100 + len(shared) / 40) / 2, 6), shared[:3])]
+
+
+def test_nearest_strings_equal_all_pairs(spark):
+    import random
+
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    right = [word(rng.randint(0, 12)) for _ in range(120)] + ["zz", "q"]
+    left = [word(rng.randint(0, 14)) for _ in range(60)] + right[:5] + ["", "x", "yyyyyyyy", "zzz", right[7] + "ab", None]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def score(a, b):
+        d = distance(a, b)
+        return (-(1 - d / max(len(a), len(b))) if a or b else -1.0, b, d)
+
+    one = lambda r, c: spark.createDataFrame([(x,) for x in r], f"{c} string")
+    got = {r["k"]: (r["nearest"], r["distance"], r["ratio"]) for r in nearest.nearest(one(left, "k"), "k", one([*right, None], "o"), "o").collect()}
+    want = {}
+    for a in {x for x in left if x is not None}:
+        r, b, d = min(score(a, b) for b in set(right))
+        want[a] = (b, d, round(-r, 6))
+    assert got == want
+    assert [tuple(r) for r in nearest.nearest(one(["a"], "k"), "k", one([None], "o"), "o").collect()] == [("a", None, None, None)]
 
 
 def test_models(spark):
