@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 BEGIN, FINISH, ERROR = "BEGIN", "FINISH", "ERROR"
-#: The time of a closing event (the year 9000).
-CLOSING_MS = 221_845_392_000_000
+#: The time of a closing event (2200-01-01; pandas holds times to 2262), and one that all delays leave the watermark past.
+CLOSING_MS = 7_258_118_400_000
+BEYOND_MS = CLOSING_MS - 3650 * 86_400_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -104,7 +105,7 @@ class Slots(StatefulProcessor):
             n, spent = totals.get(own, (0, 0.0))
             totals[own] = n + 1, spent + (at - state[0] if state is not None else 0.0)
             state = (at, True, state is not None and state[2], own)
-        over = mark >= CLOSING_MS - 1
+        over = mark >= BEYOND_MS
         if state is not None and (over or (state[1] and mark > (state[0] + self.ttl) * 1000)):
             out += leave("closed" if over else "evicted")
             state = None
@@ -113,7 +114,7 @@ class Slots(StatefulProcessor):
             self.last.clear()
         else:
             self.last.update(state)
-            self.handle.registerTimer(int((state[0] + self.ttl) * 1000) + 1 if state[1] else CLOSING_MS - 1)
+            self.handle.registerTimer(int((state[0] + self.ttl) * 1000) + 1 if state[1] else BEYOND_MS)
         yield pd.DataFrame(out, columns=["slot_key", "item_type", "n", "elapsed", "why"])
 
     def close(self) -> None:
@@ -130,7 +131,7 @@ def slot_stream(events: DataFrame, ttl: float = 2.0) -> DataFrame:
     """
     out = "slot_key string, item_type string, n long, elapsed double, why string"
     # A filter would go below the watermark and take the closing event away before it counts; its row has no type.
-    return events.groupBy("slot_key").transformWithStateInPandas(Slots(ttl), out, "append", "eventTime")
+    return events.withColumn("slot_key", F.coalesce("slot_key", F.lit(""))).groupBy("slot_key").transformWithStateInPandas(Slots(ttl), out, "append", "eventTime")
 
 
 def closed(stream: DataFrame, time: str, delay: str, folder: str) -> DataFrame:
