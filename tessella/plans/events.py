@@ -42,7 +42,8 @@ def _drained(spark, name, stream, plan):
     """Run ``plan`` over a stream with a closing event, to its end."""
     name = f"{name}_{uuid.uuid4().hex[:8]}"
     folder = ev.stream_folder(spark)
-    return ev.run_available(plan(ev.closed(stream, "ts", "1 day", f"{folder}/{name}")), name, folder)
+    with_room, close = ev.closed(stream, "ts", "1 day", f"{folder}/{name}")
+    return ev.run_available(plan(with_room), name, folder, close)
 
 
 def event_stream_tumbling(spark, sf_dir):

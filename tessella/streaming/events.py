@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -134,13 +134,18 @@ def slot_stream(events: DataFrame, ttl: float = 2.0) -> DataFrame:
     return events.withColumn("slot_key", F.coalesce("slot_key", F.lit(""))).groupBy("slot_key").transformWithStateInPandas(Slots(ttl), out, "append", "eventTime")
 
 
-def closed(stream: DataFrame, time: str, delay: str, folder: str) -> DataFrame:
-    """A stream with one closing event: a row of nulls at a time beyond all, which lets every window and timer end."""
+def closed(stream: DataFrame, time: str, delay: str, folder: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A stream with a watermark and room for a closing event, and a function that sends that event.
+
+    The event is a row of nulls at a time beyond all, which lets every window and timer
+    end. It has to come after all others: :func:`run_available` drains, sends it and
+    drains again.
+    """
     spark, path = stream.sparkSession, f"{folder}/closing"
-    kinds = {f.name: f.dataType for f in stream.schema.fields}
-    row = [(F.timestamp_millis(F.lit(CLOSING_MS)) if n == time else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()]
-    spark.range(1).select(*row).write.mode("overwrite").parquet(path)
-    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path)).withWatermark(time, delay)
+    row = [(F.timestamp_millis(F.lit(CLOSING_MS)) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
+    spark.range(0).select(*row).write.mode("append").parquet(path)
+    with_room = stream.unionByName(spark.readStream.schema(stream.schema).parquet(path)).withWatermark(time, delay)
+    return with_room, lambda: spark.range(1).select(*row).write.mode("append").parquet(path)
 
 
 def tumbling(events: DataFrame, time: str, length: str, *keys: str) -> DataFrame:
@@ -154,10 +159,11 @@ def sessions(events: DataFrame, time: str, gap: str, key: str) -> DataFrame:
     return events.groupBy(window.alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), "n")
 
 
-def run_available(stream: DataFrame, name: str, folder: str) -> DataFrame:
+def run_available(stream: DataFrame, name: str, folder: str, close: Callable[[], None] | None = None) -> DataFrame:
     """Drain a stream in append mode into a table under ``folder``/``name`` and return it; the stream's state goes beside it.
 
-    Windows and slots leave their state as the watermark passes them.
+    Windows and slots leave their state as the watermark passes them; with ``close``
+    the stream is drained, closed and drained again.
     """
     path = f"{folder}/{name}/table"
 
@@ -165,8 +171,14 @@ def run_available(stream: DataFrame, name: str, folder: str) -> DataFrame:
         # A batch that runs again writes its own folder again.
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = stream.writeStream.foreachBatch(save).outputMode("append").option("checkpointLocation", f"{folder}/{name}/state")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    def drain() -> None:
+        writer = stream.writeStream.foreachBatch(save).outputMode("append").option("checkpointLocation", f"{folder}/{name}/state")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    drain()
+    if close is not None:
+        close()
+        drain()
     return stream.sparkSession.read.schema(stream.schema).option("basePath", path).option("recursiveFileLookup", "true").parquet(path)
 
 

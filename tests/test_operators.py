@@ -222,7 +222,8 @@ def test_slot_stream(spark, tmp_path):
     store, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set(store, events.ROCKSDB)
     try:
-        out = events.run_available(events.slot_stream(events.closed(stream, "ts", "1 second", f"{tmp_path}/c"), 2.0), "slots", str(tmp_path))
+        with_room, close = events.closed(stream, "ts", "1 second", f"{tmp_path}/c")
+        out = events.run_available(events.slot_stream(with_room, 2.0), "slots", str(tmp_path), close)
     finally:
         spark.conf.set(store, before)
     got = out.groupBy("slot_key", "item_type").agg(F.sum("n").alias("n"), F.sum("elapsed").alias("elapsed"))
