@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import lint, matcher, text, tokens
 from ..operators import relational as rel
 from ..operators import sequence_rules
+from ..sources import html as pages_html
 from ..sources import readers
 from .tables import table
 
@@ -82,6 +83,20 @@ def html_links(spark, sf_dir):
     return readers.html_record(table(spark, sf_dir, "pages"), "html").select("page_id", F.array_join("links", " ").alias("links"), F.size("items").alias("n_items"))
 
 
+def html_elements(spark, sf_dir):
+    """How many elements of each tag the pages have, without what scripts and comments hold."""
+    e = pages_html.elements(table(spark, sf_dir, "pages"), "page_id", "html")
+    return e.where("tag <> '#text'").groupBy("page_id", "tag").agg(F.count("*").alias("n"), F.min("n").alias("first"))
+
+
+def html_section_texts(spark, sf_dir):
+    """The texts of the list items inside navigation, by interval joins."""
+    e = pages_html.elements(table(spark, sf_dir, "pages"), "page_id", "html").checkpoint()
+    items = pages_html.inside(e.where("tag = 'li'"), e.where("tag = 'nav'"), "page_id").drop("in_n")
+    found = pages_html.texts(items, e, "page_id")
+    return found.groupBy("page_id").agg(F.array_join(F.array_sort(F.collect_list("content")), "|").alias("items"))
+
+
 def _words(spark, sf_dir):
     """doc_id, line and words of every line of the documents that has one."""
     lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
@@ -264,6 +279,10 @@ def matcher_lint(spark, sf_dir):
 
 
 ITEMS = "i as (select item_id, regexp_extract_all(lower(text), '[a-z]+') as w from benchmark where len(regexp_extract_all(lower(text), '[a-z]+')) >= 7)"
+OPEN_TAGS = """c as (select page_id, regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'), '(?is)(<(script|style)[^>]*>).*?(</(script|style)>)', '\\1§\\3', 'g') as clean from pages),
+  p as (select page_id, unnest(regexp_extract_all(clean, '(?s)<[^>]+>|[^<]+')) as piece, generate_subscripts(regexp_extract_all(clean, '(?s)<[^>]+>|[^<]+'), 1) as k from c),
+  q as (select page_id, piece, k, row_number() over (partition by page_id order by k) - 1 as place from p where not starts_with(piece, '</') and not starts_with(piece, '<!')),
+  t as (select page_id, place, lower(regexp_extract(piece, '^<([A-Za-z0-9]+)', 1)) as tag from q where starts_with(piece, '<'))"""
 MEANING = "case when p_size % 5 = 0 then null else lower(p_type) end"
 QUERIES = {
     "get_meaning": (get_meaning, f"select p_partkey, {MEANING} as meaning, regexp_matches({MEANING}, '^[a-z~]') as start_ok from part"),
@@ -282,6 +301,10 @@ QUERIES = {
     "html_strip": (html_strip, "select page_id, md5(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '^\\s+|\\s+$', '', 'g')) as digest from pages"),
     "title_extract": (title_extract, "select page_id, nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ' \n\t\r'), '') as title from pages"),
     "html_links": (html_links, "select page_id, array_to_string(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1), ' ') as links, len(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>'))::int as n_items from pages"),
+    "html_elements": (html_elements, f"""with {OPEN_TAGS} select page_id, tag, count(*) as n, min(place)::int as first from t group by all"""),
+    "html_section_texts": (html_section_texts, f"""with {OPEN_TAGS}, v as (select page_id, unnest(regexp_extract_all(clean, '(?is)<nav[^>]*>.*?</nav>')) as nav from c),
+      i as (select page_id, regexp_replace(unnest(regexp_extract_all(nav, '(?is)<li[^>]*>(.*?)</li>', 1)), '<[^>]+>', '', 'g') as item from v)
+      select page_id, array_to_string(list_sort(list(trim(replace(replace(replace(replace(item, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')))), '|') as items from i group by 1"""),
     "compact_encode": (compact_encode, f"with {TOKENS} select doc_id, line, md5(compact) as digest from s"),
     "compact_decode": (compact_decode, f"with {TOKENS} select doc_id, line, string_agg(word, ' ' order by pos) as spaced, sum(length(word))::int as n from t group by doc_id, line"),
     "token_split": (token_split, f"with {TOKENS} select doc_id, line, token from t"),
