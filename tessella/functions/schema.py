@@ -1,24 +1,16 @@
-"""Schema-directed work on JSON documents: visits, enum checks, key order, pruning, schema files.
+"""JSON schemas as dictionaries: references, alias chains, schema files with comments, repair of broken JSON.
 
-Documents are JSON texts in a column; each function works on one document and has
-a DataFrame form that runs it in Arrow batches. A schema is a dictionary with
-``definitions``, ``properties``, ``items``, ``type``, ``enum`` and ``$ref``.
+A schema has ``definitions``, ``properties``, ``items``, ``type``, ``enum`` and ``$ref``;
+:mod:`tessella.functions.compiled` turns it into column expressions.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 PREFIX = "#/definitions/"
-EMPTY = ("", None, "null")
-Visit = Callable[[Any, "str | None", str], Any]
 
 
 def target(node: Any) -> str | None:
@@ -39,105 +31,6 @@ def alias_chains(schema: dict) -> dict[str, list[str]]:
     return chains
 
 
-def visit(document: Any, schema: dict, function: Visit) -> Any:
-    """Call ``function(value, type, path)`` at every node that the schema describes; a result that is not None replaces the value.
-
-    A referred node is visited once per alias, the most general first, each seeing
-    what the one before gave. Nodes inside have their place in the schema as type.
-    Parents come before children, so a replaced parent's children are the new ones.
-    """
-    chains, known = alias_chains(schema), schema.get("definitions", {})
-
-    def ask(value: Any, kind: str | None, path: str) -> Any:
-        new = function(value, kind, path)
-        return value if new is None else new
-
-    def at(value: Any, node: Any, path: str, place: str | None) -> Any:
-        name = target(node)
-        if name is not None:
-            if name not in chains:
-                return value
-            for alias in reversed(chains[name]):
-                value = ask(value, alias, path)
-            return inside(value, known[chains[name][-1]], path, None)
-        kind = node.get("type") if isinstance(node, dict) else None
-        typed = place and isinstance(kind, str)
-        value = ask(value, f"{place}/{kind}" if typed else place if isinstance(node, dict) else None, path)
-        return inside(value, node, path, place)
-
-    def inside(value: Any, node: Any, path: str, place: str | None) -> Any:
-        kind = node.get("type") if isinstance(node, dict) else None
-        if kind == "object" and isinstance(value, dict) and isinstance(node.get("properties"), dict):
-            for key, child in node["properties"].items():
-                if key in value:
-                    value[key] = at(value[key], child, f"{path}.{key}" if path else str(key), f"{place}/{key}" if place else key)
-        elif kind == "array" and isinstance(value, list) and node.get("items") is not None:
-            value[:] = [at(item, node["items"], f"{path}[{i}]", place) for i, item in enumerate(value)]
-        return value
-
-    return at(document, schema, "", None)
-
-
-def enum_errors(document: Any, schema: dict) -> list[str]:
-    """A message for each value outside its enum, with a path such as ``items[2].status``."""
-    known, out = schema.get("definitions", {}), []
-
-    def at(value: Any, node: Any, path: str, seen: tuple = ()) -> None:
-        name = target(node)
-        if name is not None:
-            if name in known and name not in seen:
-                at(value, known[name], path, (*seen, name))
-            return
-        if not isinstance(node, dict):
-            return
-        if "enum" in node and value not in node["enum"]:
-            out.append(f"{path or '<root>'} had an invalid enum value: {value!r}")
-        if isinstance(value, dict):
-            for key, child in node.get("properties", {}).items():
-                if key in value:
-                    at(value[key], child, f"{path}.{key}" if path else key)
-        elif isinstance(value, list):
-            for i, item in enumerate(value):
-                at(item, node.get("items"), f"{path}[{i}]")
-
-    at(document, schema, "")
-    return out
-
-
-def pruned(value: Any, after: bool = True) -> Any:
-    """Without empty values: "", null, "null", [] and {}.
-
-    ``after`` prunes children first, so parents that become empty go too; without
-    it only values that were empty at the outset go.
-    """
-    gone = lambda v: (isinstance(v, str) and v in ("", "null")) or v is None or isinstance(v, (dict, list)) and not v
-    deep = lambda v: pruned(v, after) if isinstance(v, (dict, list)) else v
-    if isinstance(value, dict):
-        pairs = [(k, v, deep(v)) for k, v in value.items()]
-        return {k: d for k, v, d in pairs if not gone(d if after else v)}
-    if isinstance(value, list):
-        pairs = [(v, deep(v)) for v in value]
-        return [d for v, d in pairs if not gone(d if after else v)]
-    return value
-
-
-def in_order(value: Any, schema: dict) -> Any:
-    """Keys in the order of the schema's properties, others behind them in their own order."""
-    if not isinstance(value, dict):
-        return value
-    own = schema.get("properties", {}) if isinstance(schema, dict) else {}
-
-    def inner(v: Any, node: Any) -> Any:
-        if isinstance(v, dict) and isinstance(node, dict):
-            return in_order(v, node)
-        if isinstance(v, list) and isinstance(node, dict) and node.get("type") == "array":
-            return [in_order(x, node.get("items", {})) for x in v]
-        return v
-
-    keys = [k for k in own if k in value] + [k for k in value if k not in own]
-    return {k: inner(value[k], own.get(k)) for k in keys}
-
-
 def dereferenced(schema: dict) -> dict:
     """The schema with references replaced by what they name, without ``definitions``; a reference into itself becomes {}."""
     known = schema.get("definitions", {})
@@ -200,35 +93,11 @@ def repaired(text: str) -> Any:
     return None
 
 
-def documents(rows: DataFrame, column: str, function: Callable[[Any], Any]) -> DataFrame:
-    """Replace a column of JSON texts by ``function`` of each document; texts that are not JSON become null."""
-
-    @F.pandas_udf("string")
-    def mapped(texts: pd.Series) -> pd.Series:
-        return texts.map(one)
-
-    def one(text: str | None) -> str | None:
-        try:
-            return None if text is None else json.dumps(function(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
-        except ValueError:
-            return None
-
-    return rows.withColumn(column, mapped(F.col(column)))
-
-
-def visits(rows: DataFrame, key: str, column: str, schema: dict) -> DataFrame:
-    """key, number, value (JSON), type, path of every visit of every document."""
+_read: dict[str, dict] = {}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out: list[tuple] = []
-            for k, text in zip(batch["k"], batch["t"], strict=True):
-                if text is None:
-                    continue
-                seen: list[tuple] = []
-                visit(json.loads(text), schema, lambda v, t, p, seen=seen: seen.append((json.dumps(v, ensure_ascii=False, separators=(",", ":")), t, p)))
-                out += [(k, n, *s) for n, s in enumerate(seen)]
-            yield pd.DataFrame(out, columns=[key, "number", "value", "type", "path"])
 
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.select(F.col(key).alias("k"), F.col(column).alias("t")).mapInPandas(run, f"{key} {kind}, number int, value string, type string, path string")
+def read_schema(spark, path: str) -> dict:
+    """A schema file (JSON with comments), read through Spark once per path."""
+    if path not in _read:
+        _read[path] = parse_json5(spark.read.text(path, wholetext=True).first()[0])
+    return _read[path]

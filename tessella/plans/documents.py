@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import lint, schema
+from ..functions import compiled, lint
+from ..operators import catalogue
 from .tables import table
 
 
@@ -92,24 +93,45 @@ SCHEMA = {
 
 
 def _json(spark, sf_dir):
-    lines = F.transform(F.split("text", "\n"), lambda t: F.struct(t.alias("t")))
-    return table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct("source", lines.alias("lines"), "lang")).alias("json"))
+    """Documents as JSON; keys in two orders, some without a language, some with a key that the schema lacks."""
+    lines = F.transform(F.split("text", "\n"), lambda t: F.struct(t.alias("t"))).alias("lines")
+    k = F.col("doc_id")
+    lang = F.when(k % 5 != 0, F.col("lang")).alias("lang")
+    json = F.when(k % 2 == 0, F.to_json(F.struct("source", lines, lang))).otherwise(F.to_json(F.struct(F.lit("x").alias("zz"), lines, lang, "source")))
+    return table(spark, sf_dir, "documents").select("doc_id", json.alias("json"))
 
 
 def schema_visits(spark, sf_dir):
-    """What a schema-directed visitor sees in every document."""
-    seen = schema.visits(_json(spark, sf_dir), "doc_id", "json", SCHEMA)
-    return seen.groupBy("doc_id").agg(F.count("*").alias("n"), F.max_by("path", "number").alias("last"), F.count_if(F.col("type") == "lines/t/string").alias("n_lines"))
+    """What a visitor that the schema compiles to sees in every document."""
+    seen = _json(spark, sf_dir).select("doc_id", compiled.paths(compiled.parsed(F.col("json"), SCHEMA), SCHEMA).alias("v"))
+    own = F.filter("v", lambda x: x.startswith("lines/t/string|"))
+    return seen.select("doc_id", F.size("v").cast("long").alias("n"), F.substring_index(F.element_at("v", -1), "|", -1).alias("last"), F.size(own).cast("long").alias("n_lines"))
 
 
 def schema_enums(spark, sf_dir):
-    out = schema.documents(_json(spark, sf_dir), "json", lambda d: schema.enum_errors(d, SCHEMA))
-    return out.select("doc_id", F.get_json_object("json", "$[0]").alias("message"))
+    found = compiled.enum_errors(compiled.parsed(F.col("json"), SCHEMA), SCHEMA)
+    return _json(spark, sf_dir).select("doc_id", F.get(found, F.lit(0)).alias("message"))
 
 
 def schema_key_order(spark, sf_dir):
-    out = schema.documents(_json(spark, sf_dir), "json", lambda d: list(schema.in_order(d, SCHEMA)))
-    return out.select("doc_id", F.col("json").alias("keys"))
+    out = compiled.to_json(compiled.parsed(F.col("json"), SCHEMA), compiled.others(F.col("json"), SCHEMA))
+    return _json(spark, sf_dir).select("doc_id", F.array_join(F.json_object_keys(out), ",").alias("keys"))
+
+
+def catalogue_cleaning(spark, sf_dir):
+    """Documents as catalogue entries with shuffled and missing keys, quoted lines and references; names come from the parts."""
+    k = F.col("doc_id")
+    lines = F.transform(F.split("text", "\n"), lambda t: F.struct(F.concat(F.lit(" “'"), t, F.lit("'” ")).alias("english"), F.lit("あ").alias("japanese")))
+    friends = F.array(F.struct(F.lit("antonym").alias("kind"), F.concat(F.lit("Brand#"), (k % 40).cast("string")).alias("grammar_point")))
+    one = F.struct(lines.alias("examples"), F.lit("zz").alias("other"), F.when(k % 3 != 0, "m").alias("meaning"), F.lit(" n (x) ").alias("grammar_point"), F.array(F.lit("b"), F.lit("a"), F.lit("b"), F.lit("")).alias("learn_before"))
+    two = F.struct(F.lit("N9").alias("jlpt"), friends.alias("false_friends"), F.lit("n (x)").alias("grammar_point"), F.array(F.lit("old")).alias("lint-errors"), F.lit("m").alias("meaning"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(k % 2 == 0, F.to_json(one)).otherwise(F.to_json(two)).alias("json"))
+    out = catalogue.clean(docs, "doc_id", "json", table(spark, sf_dir, "part"), "p_brand")
+    english = F.array_join(F.from_json(F.get_json_object("document", "$.examples"), "array<struct<english string>>")["english"], "\n")
+    return out.select(
+        "doc_id", F.array_join(F.json_object_keys("document"), ",").alias("keys"), F.size(catalogue.LINT).cast("long").alias("n"), F.md5(F.coalesce(english, F.lit(""))).alias("digest"),
+        F.get_json_object("document", "$.false_friends[0].grammar_point").alias("friend"), F.get_json_object("document", "$.learn_before[0]").alias("first"),
+    )
 
 
 def prune_nested(spark, sf_dir):
@@ -144,9 +166,17 @@ QUERIES = {
     "lint_report": (lint_report, f"""{ALL} select doc_id, (quotes + brackets + missing_competing + example_count + competing_count + japanese_count + better_name + name_meaning + required
       + friend_reference + special_characters + enums)::int as n from n"""),
     "clean_documents": (clean_documents, f"""with {E} select doc_id, 'a,b' as learn_before, case when doc_id % 6 <> 0 then 'm' end as meaning, md5(string_agg(e, chr(10) order by i)) as digest from c group by 1"""),
-    "schema_visits": (schema_visits, f"""with {E} select doc_id, 5 + 2 * len(lines) as n, 'lines[' || (len(lines) - 1) || '].t' as last, len(lines) as n_lines from k"""),
-    "schema_enums": (schema_enums, "select doc_id, case when lang not in ('de', 'en', 'es') then 'lang had an invalid enum value: ' || chr(39) || lang || chr(39) end as message from documents"),
-    "schema_key_order": (schema_key_order, """select doc_id, '["lang","source","lines"]' as keys from documents"""),
+    "schema_visits": (schema_visits, f"""with {E} select k.doc_id, 4 + (k.doc_id % 5 <> 0 and lang is not null)::int + 2 * len(lines) as n, 'lines[' || (len(lines) - 1) || '].t' as last, len(lines) as n_lines
+      from k join documents using (doc_id)"""),
+    "schema_enums": (schema_enums, "select doc_id, case when doc_id % 5 <> 0 and lang not in ('de', 'en', 'es') then 'lang had an invalid enum value: ' || chr(39) || lang || chr(39) end as message from documents"),
+    "schema_key_order": (schema_key_order, """select doc_id, case when doc_id % 5 <> 0 and lang is not null then 'lang,' else '' end || 'source,lines' || case when doc_id % 2 <> 0 then ',zz' else '' end as keys from documents"""),
+    "catalogue_cleaning": (catalogue_cleaning, f"""with {E}, b as (select distinct p_brand from part),
+      x as (select doc_id, count(*) as n, count_if(contains(e, '"')) as q, count_if({BRACKET}) as br, count_if(trim(e, ' ' || chr(9) || chr(13)) <> '') as kept, string_agg(e, chr(10) order by i) as all_lines from c group by 1)
+      select doc_id, case when doc_id % 2 = 0 then 'grammar_point,learn_before,' || case when doc_id % 3 <> 0 then 'meaning,' else '' end || 'examples,lint-errors,other' else 'grammar_point,jlpt,meaning,false_friends,lint-errors' end as keys,
+        case when doc_id % 2 = 0 then q + br + 2 * n + (n < 10)::int + (doc_id % 3 = 0)::int else 1 + (p_brand is null and false)::int end as n,
+        md5(case when doc_id % 2 = 0 then all_lines else '' end) as digest, case when doc_id % 2 <> 0 then case when p_brand is null then '<suggest>:' else '' end || 'Brand#' || doc_id % 40 end as friend,
+        case when doc_id % 2 = 0 then 'a' end as first
+      from x left join b on p_brand = 'Brand#' || doc_id % 40"""),
     "prune_nested": (prune_nested, f"""with {E} select doc_id, nullif(count_if(e not in ('', 'null')), 0)::int as n, case when count_if(e not in ('', 'null')) > 0 then false end as others,
       md5(string_agg(e, chr(10) order by i) filter (e not in ('', 'null'))) as digest from c group by 1"""),
 }

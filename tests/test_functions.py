@@ -142,45 +142,15 @@ def test_clean_is_idempotent(spark):
     assert lint.clean(once).first() == row
 
 
-def test_visits_and_replacements():
+def test_schema_helpers():
     from tessella.functions import schema as sc
 
     schema = {
-        "definitions": {"text": {"type": "string"}, "line": {"$ref": "#/definitions/text"}, "loop": {"$ref": "#/definitions/pool"}, "pool": {"$ref": "#/definitions/loop"}},
-        "type": "object",
-        "properties": {"t": {"$ref": "#/definitions/line"}, "list": {"type": "array", "items": {"$ref": "#/definitions/text"}}, "in": {"type": "object", "properties": {"n": {"type": "number"}}}, "l": {"$ref": "#/definitions/loop"}, "gone": {"$ref": "#/definitions/none"}},
+        "definitions": {"text": {"type": "string"}, "line": {"$ref": "#/definitions/text"}, "loop": {"$ref": "#/definitions/pool"}, "pool": {"$ref": "#/definitions/loop"}, "me": {"type": "object", "properties": {"x": {"$ref": "#/definitions/me"}}}},
+        "properties": {"b": {"$ref": "#/definitions/line"}},
     }
-    assert sc.alias_chains(schema) == {"text": ["text"], "line": ["line", "text"], "loop": ["loop", "pool"], "pool": ["pool", "loop"]}
-    seen = []
-    doc = {"t": "a", "list": ["b", "c"], "in": {"n": 1}, "extra": 0, "l": "x", "gone": "y"}
-
-    def note(value, kind, path):
-        seen.append((kind, path, value if isinstance(value, str) else None))
-        return value.upper() if kind == "text" else None
-
-    out = sc.visit(doc, schema, note)
-    assert out == {"t": "A", "list": ["B", "C"], "in": {"n": 1}, "extra": 0, "l": "x", "gone": "y"}
-    # The general alias comes first, and the next one sees its replacement.
-    assert seen == [
-        (None, "", None), ("text", "t", "a"), ("line", "t", "A"), ("list/array", "list", None), ("text", "list[0]", "b"), ("text", "list[1]", "c"),
-        ("in/object", "in", None), ("in/n/number", "in.n", None), ("pool", "l", "x"), ("loop", "l", "x"),
-    ]
-    root = sc.visit({"t": "a"}, schema, lambda v, k, p: {"t": "new"} if k is None else v + "!" if k == "line" else None)
-    assert root == {"t": "new!"}
-
-
-def test_schema_helpers():
-    from tessella.functions import schema as sc
-
-    schema = {"definitions": {"c": {"enum": ["red"]}, "me": {"type": "object", "properties": {"x": {"$ref": "#/definitions/me"}}}}, "properties": {"b": {"$ref": "#/definitions/c"}, "a": {"type": "array", "items": {"properties": {"y": {}, "x": {"$ref": "#/definitions/c"}}}}}}
-    assert sc.enum_errors({"b": "red", "a": [{"x": "red"}]}, schema) == []
-    assert sc.enum_errors({"b": "blue", "a": [{"x": 1}]}, schema) == ["b had an invalid enum value: 'blue'", "a[0].x had an invalid enum value: 1"]
-    assert list(sc.in_order({"z": 1, "a": [{"x": 1, "q": 2, "y": 3}], "b": 4}, schema)) == ["b", "a", "z"]
-    assert list(sc.in_order({"a": [{"x": 1, "q": 2, "y": 3}]}, schema)["a"][0]) == ["y", "x", "q"]
-    value = {"a": "", "b": [None, "null", {"c": []}], "d": {"e": {}}, "f": 0, "g": [[""], "x"], "h": False}
-    assert sc.pruned(value) == {"f": 0, "g": ["x"], "h": False}
-    assert sc.pruned(value, after=False) == {"b": [{}], "d": {}, "f": 0, "g": [[], "x"], "h": False}
-    assert sc.dereferenced(schema)["properties"]["b"] == {"enum": ["red"]} and "definitions" not in sc.dereferenced(schema)
+    assert sc.alias_chains(schema) == {"text": ["text"], "line": ["line", "text"], "loop": ["loop", "pool"], "pool": ["pool", "loop"], "me": ["me"]}
+    assert sc.dereferenced(schema)["properties"]["b"] == {"type": "string"} and "definitions" not in sc.dereferenced(schema)
     assert sc.dereferenced({"definitions": schema["definitions"], "$ref": "#/definitions/me"}) == {"type": "object", "properties": {"x": {}}}
     assert sc.parse_json5("{a: 1, /* c */ 'b': \"// no\", c: [1, 2,], // end\n}") == {"a": 1, "b": "// no", "c": [1, 2]}
     assert sc.repaired('```json\n{"a": [1, {"b": "x') == {"a": [1, {"b": "x"}]}
