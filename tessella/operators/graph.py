@@ -166,7 +166,7 @@ def constraint_summary(nodes: DataFrame, order: DataFrame) -> DataFrame:
     return violations(nodes, order).agg(F.count("*").alias("violations")).crossJoin(names)  # one row each
 
 
-def reachability(edges: DataFrame, sources: DataFrame | None = None, max_rounds: int = 10_000) -> DataFrame:
+def reachability(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     """Pairs (src, dst) with a path, from all nodes or from ``sources`` (src); a round adds one edge to the newest pairs.
 
     The result has a row per pair; name sources where the graph is dense.
@@ -176,13 +176,12 @@ def reachability(edges: DataFrame, sources: DataFrame | None = None, max_rounds:
     if sources is not None:
         new = new.join(sources.select("src").distinct(), "src", "left_semi")
     found = new = new.checkpoint()
-    for _ in range(max_rounds):
+    while True:
         longer = new.join(step, F.col("dst") == F.col("_m")).select("src", F.col("_t").alias("dst")).distinct()
         new = longer.join(found, ["src", "dst"], "left_anti").checkpoint()
         if new.isEmpty():
-            break
+            return found
         found = found.unionByName(new).checkpoint()
-    return found
 
 
 def _trimmed(edges: DataFrame) -> DataFrame:

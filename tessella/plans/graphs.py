@@ -57,9 +57,9 @@ def cut_report_dict(spark, sf_dir):
 
 
 def _names(spark, sf_dir):
-    """Customers with orders as nodes, and a list of seven times the suppliers' numbers."""
-    none = F.array().cast("array<bigint>")
-    nodes = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("node")).distinct().withColumns({"before": none, "after": none})
+    """Customers with orders as nodes, each after the one seven above and before the one fourteen above; a list of seven times the suppliers' numbers."""
+    k = F.col("node")
+    nodes = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("node")).distinct().withColumns({"before": F.array(k + 7), "after": F.array(k + 14)})
     return nodes, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pos"), (F.col("s_suppkey") * 7).alias("node"))
 
 
@@ -121,7 +121,7 @@ QUERIES = {
     "constraint_names": (constraint_names, """with u as (select distinct o_custkey as node from orders), l as (select s_suppkey * 7 as node from supplier)
       select node, 'missing' as state from u where node not in (from l) union all select node, 'invalid' from l where node not in (from u)"""),
     "constraint_summary": (constraint_summary, """with u as (select distinct o_custkey as node from orders), l as (select s_suppkey * 7 as node from supplier)
-      select 0::bigint as violations, (select count(*) from u where node not in (from l)) as missing_items, (select count(*) from l where node not in (from u)) as invalid_items"""),
+      select (select count(*) from u where node in (from l) and node + 7 in (from l)) as violations, (select count(*) from u where node not in (from l)) as missing_items, (select count(*) from l where node not in (from u)) as invalid_items"""),
     "reachability": (reachability, "with recursive r as (select p_partkey as src, p_partkey // 2 as dst from part where p_partkey > 1 union all select src, dst // 2 from r where dst > 1) select src, count(*) as n, sum(dst)::bigint as total from r group by src"),
     "scc_cycles": (scc_cycles, f"""with recursive {RING}, t as (select src, dst from r union select t.src, r.dst from t join r on t.dst = r.src)
       select x.src as node, least(min(x.dst), x.src) as component from t x join t y on x.src = y.dst and x.dst = y.src where x.src <> x.dst group by x.src"""),

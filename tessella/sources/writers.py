@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import uuid
 import warnings
 import zipfile
 from collections.abc import Iterator
@@ -66,9 +67,11 @@ def write_files(rows: DataFrame, name: str, data: str, folder: str) -> DataFrame
         store.create_dir(root, recursive=True)
         for batch in batches:
             for n, d in zip(batch["name"], batch["data"], strict=True):
-                with store.open_output_stream(f"{root}/{n}.part") as out:
+                # Two attempts of a task write apart; the whole file is then moved into its place.
+                part = f"{root}/{n}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(part) as out:
                     out.write(d)
-                store.move(f"{root}/{n}.part", f"{root}/{n}")
+                store.move(part, f"{root}/{n}")
             yield pd.DataFrame({"name": batch["name"], "n_bytes": [len(d) for d in batch["data"]]})
 
     return packed.mapInPandas(run, "name string, n_bytes long")
