@@ -203,7 +203,9 @@ def mark_revisits(pages: DataFrame, least: int = REVISIT_LEAST) -> DataFrame:
         .groupBy("_key").agg(F.max("page_id").alias("_last"), F.min("page_id").alias("_first"))
         .where("_first < _last").select("_key", "_last")
     )
-    joined = keyed.join(groups, "_key", "left")
+    # Rows without a key get one of their own, so that they do not meet in one task.
+    alone = F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string"))
+    joined = keyed.withColumn("_key", F.coalesce("_key", alone)).join(groups, "_key", "left")
     return joined.select("page_id", "url", "html", F.when(F.col("page_id") < F.col("_last"), F.col("_last")).alias("refers_to"))
 
 
