@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import documents, events, graphs, learned, relational, texts, vocabulary
+from .plans import documents, events, files, graphs, learned, records, relational, texts, vocabulary
 
 FLAGSHIP = "full_outer_merge_ranked_ids"
-MODULES = (relational, texts, documents, graphs, events, learned, vocabulary)
+MODULES = (relational, texts, documents, graphs, events, learned, vocabulary, records, files)
 
 
 def _all() -> dict[str, tuple]:

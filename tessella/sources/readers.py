@@ -73,6 +73,11 @@ def file_list(spark: SparkSession, path: str) -> list[str]:
     return [r.value for r in spark.read.text(path).where("trim(value) <> ''").collect()]
 
 
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """path of every line of a list of any size that is not blank."""
+    return spark.read.text(path).select(F.trim("value").alias("path")).where("path <> ''")
+
+
 def with_provenance(rows: DataFrame, name_col: str) -> DataFrame:
     return rows.withColumn("source_path", F.input_file_name()).withColumn("original_name", F.col(name_col))
 
