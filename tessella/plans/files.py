@@ -66,20 +66,22 @@ def tsv_vocabulary(spark, sf_dir):
 
 
 def _entries(spark, sf_dir):
-    """All parts as XML entries, in compressed files."""
-    k = F.col("p_partkey")
-    tag = lambda name, *inner: F.concat(F.lit(f"<{name}>"), *inner, F.lit(f"</{name}>"))
-    name, kind = F.col("p_name"), F.col("p_type")
-    sentence = lambda lang, s: F.concat(F.lit(f'<ex_sent xml:lang="{lang}">'), s, F.lit("</ex_sent>"))
-    marks = F.when(k % 4 != 0, F.concat(tag("ke_pri", kind), tag("ke_pri", F.col("p_brand")), tag("ke_pri", kind))).otherwise(F.lit(""))
-    english = F.when(k % 3 != 0, sentence("eng", F.concat(F.lit(" A "), name, F.lit(". ")))).otherwise(F.lit(""))
-    entry = tag(
-        "entry", tag("ent_seq", k.cast("string")), tag("k_ele", tag("keb", name), marks), tag("k_ele", tag("keb", kind)), tag("r_ele", tag("reb", F.lit("よ&amp;"), name)),
-        tag("sense", tag("pos", F.lit("v")), tag("pos", F.lit("n")), tag("gloss", name), tag("gloss", kind)),
-        tag("sense", tag("pos", F.lit("n")), tag("gloss", F.col("p_brand")), tag("example", sentence("jpn", F.concat(F.lit("日"), k.cast("string"))), english)),
+    """All parts as dictionary entries in compressed XML files, read back."""
+    k, name, kind = F.col("p_partkey"), F.col("p_name"), F.col("p_type")
+    none = F.lit(None).cast("array<string>")
+    marks = F.when(k % 4 != 0, F.array(kind, F.col("p_brand"), kind))
+    said = lambda lang, s: F.struct(s.alias("_VALUE"), F.lit(lang).alias("_xml:lang"))
+    japanese = said("jpn", F.concat(F.lit("日"), k.cast("string")))
+    sentences = F.when(k % 3 != 0, F.array(japanese, said("eng", F.concat(F.lit(" A "), name, F.lit(". "))))).otherwise(F.array(japanese))
+    example = F.array(F.struct(sentences.alias("ex_sent")))
+    sense = lambda pos, gloss, example: F.struct(F.array(*map(F.lit, pos)).alias("pos"), F.array(*gloss).alias("gloss"), example.alias("example"))
+    entries = table(spark, sf_dir, "part").select(
+        k.cast("string").alias("ent_seq"), F.array(F.struct(name.alias("keb"), marks.alias("ke_pri")), F.struct(kind.alias("keb"), none.alias("ke_pri"))).alias("k_ele"),
+        F.array(F.struct(F.concat(F.lit("よ&"), name).alias("reb"), none.alias("re_pri"))).alias("r_ele"),
+        F.array(sense("vn", [name, kind], F.lit(None).cast("array<struct<ex_sent array<struct<_VALUE string, `_xml:lang` string>>>>")), sense("n", [F.col("p_brand")], example)).alias("sense"),
     )
     folder = _folder(spark, "xml")
-    table(spark, sf_dir, "part").select(entry.alias("value")).write.option("compression", "gzip").text(folder)
+    writers.write_xml(entries, folder, "entry", "dictionary")
     return readers.read_xml(spark, folder, "entry", readers.ENTRY)
 
 

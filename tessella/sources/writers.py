@@ -95,6 +95,11 @@ def report(rows: DataFrame, line: Column, path: str) -> None:
     rows.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
+def write_xml(rows: DataFrame, path: str, row_tag: str, root_tag: str) -> None:
+    """Compressed XML documents, an element a row; columns named ``_x`` are attributes, ``_VALUE`` is an element's text."""
+    rows.write.format("xml").options(rowTag=row_tag, rootTag=root_tag, compression="gzip", validateName="false").mode("overwrite").save(path)
+
+
 def json_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
 
