@@ -637,15 +637,27 @@ def test_top_k_of_large_components(spark):
     assert sorted(map(tuple, got.collect())) == expected
 
 
-def test_scan_reads_few_vectors():
+def test_search_reads_few_exact_vectors(spark):
+    """Counted over the whole file, in many blocks; copies of a vector count once."""
     rng = np.random.default_rng(5)
-    x = np.floor(256 * rng.normal(0, 0.2, (4000, 32))).astype(np.int32)
-    lo, width = x.min(0), np.maximum(1, -(-(x.max(0) - x.min(0) + 1) // 64))
-    cells = ((x - lo) // width).astype(np.uint8)
+    x = rng.normal(0, 0.2, (4000, 32))
+    rows = [(i, [float(c) for c in x[i if i % 3 else 0]]) for i in range(4000)]
     counts = {}
-    ids = np.arange(4000)
-    got = vafile.scan_block(x[:20], ids[:20], ids, x, cells, lo, width, 5, counts)
-    assert len(got) == 100 and counts["read"] < 0.05 * counts["all"]
+    got = vafile.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 200 == 1, candidates_each=500, counts=counts).collect()
+    assert len(got) == 100 and counts["all"] == 20 * 2667 and counts["read"] < 0.05 * counts["all"]
+    whole = np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    for q in range(1, 4000, 200):
+        score = whole @ whole[q]
+        best = sorted((-int(s), i) for i, s in enumerate(score) if i != q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == best
+
+
+def test_cells_bound_their_vectors():
+    rng = np.random.default_rng(6)
+    x = rng.integers(-5000, 5000, (300, 7))
+    lo, width = x.min(0), np.maximum(1, -(-(x.max(0) - x.min(0) + 1) // 64))
+    low, up = vafile.bounds(x[:40], ((x - lo) // width).astype(np.uint8), lo, width)
+    assert ((low <= x[:40] @ x.T) & (x[:40] @ x.T <= up)).all()
 
 
 # --- PII ---
