@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 QUOTES = ('""', "''", "「」", "『』", "“”", "‘’")
 CHARACTERS = {"：": ":", "「": "『", "」": "』"}
 SPACING = {"  ": " ", "&emsp;": " ", "　": " ", "〜": "～", " + ": "+", "+ ": "+", " +": "+"}
+CLEANING = {"  ": " ", "\n\n\n": "\n\n", "　": " ", "–": "-", "’": "'", "：": ":", "？": "?"}
 KATAKANA = "".join(chr(c) for c in range(0x30A1, 0x30F4))
 HIRAGANA = "".join(chr(c - 0x60) for c in range(0x30A1, 0x30F4))
 
@@ -46,6 +47,12 @@ def normal_spacing(text: Column) -> Column:
     return replace_all(text, SPACING)
 
 
+def clean_value(text: Column) -> Column:
+    """Lines trimmed, then the replacements of a catalogue's texts; a URL keeps its characters, an empty text becomes null."""
+    lines = F.array_join(F.transform(F.split(text, "\n"), trim_space), "\n")
+    return F.nullif(F.when(lines.startswith("http"), lines).otherwise(replace_all(lines, CLEANING)), F.lit(""))
+
+
 def meaning(name: Column) -> Column:
     """The last parenthesised group after a space; null without one."""
     return F.get(F.reverse(F.regexp_extract_all(name, F.lit(r" \(([^)]*)\)"), F.lit(1))), F.lit(0))

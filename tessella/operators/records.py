@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from .relational import numbered
 
+# Fixed value: the tagger's name of verbs.
+VERB = "動詞"
+
 
 def keys_like(record: Column, pattern: str) -> Column:
     """The entries of a map whose whole key matches a pattern."""
@@ -102,3 +105,27 @@ def source_report(rows: DataFrame, key: str, references: str, catalog: DataFrame
     asked = rows.select(F.explode(references).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
     absent = asked.join(catalog.select(F.col(catalog_key).alias("_k")).distinct(), F.col("name") == F.col("_k"), "left_anti")
     return twice.select(F.lit("duplicate").alias("problem"), "name", "n").unionByName(absent.select(F.lit("dangling").alias("problem"), "name", "n"))
+
+
+def lesson_order(own: Column, name: Column) -> Column:
+    """A lesson's own place; without one a number below 10000 that depends on its name only."""
+    return F.coalesce(own.cast("long"), F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long") % 10000)
+
+
+def rule_of(tokens: Column) -> Column:
+    """The sequence rule that finds a term's tokens (surface, pos, base): base forms of verbs, surfaces of others; XXX stands for a gap."""
+    part = lambda t: F.when(t["pos"] == VERB, F.concat(F.lit("ᵇ"), t["base"])).otherwise(t["surface"])
+    return F.replace(F.array_join(F.transform(tokens, part), "|"), F.lit("XXX"), F.lit("○○"))
+
+
+def compliance(examples: DataFrame, terms: DataFrame) -> DataFrame:
+    """name, term, japanese, tokens and a proposed rule for every example whose tokens carry none of its point's labels.
+
+    ``examples`` are (name, japanese, tokens) with the terms of a name between slashes; ``terms`` are (term, parts)
+    with the tokens of each term, unique by term. A term without tokens has no rule.
+    """
+    own = F.split("name", "/")
+    labelled = F.exists(own, lambda t: F.coalesce(F.col("tokens"), F.lit("")).contains(F.concat(F.lit("ᵍ"), t)))
+    failing = examples.where(~labelled).select("name", "japanese", "tokens", F.explode(own).alias("term"))
+    rules = terms.select(F.col("term").alias("_t"), rule_of(F.col("parts")).alias("rule"))
+    return failing.join(rules, F.col("term") == F.col("_t"), "left").drop("_t")

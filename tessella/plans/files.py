@@ -43,6 +43,17 @@ def yaml_documents(spark, sf_dir):
     )
 
 
+def yaml_key_order(spark, sf_dir):
+    """The keys of YAML files in two orders, as read."""
+    k = F.col("s_suppkey")
+    data = F.when(k % 2 == 0, F.concat(F.lit("name: "), "s_name", F.lit("\nat: {z: 1, a: 2}\n"))).otherwise(F.concat(F.lit("at: {a: 2, z: 1, m: 3}\nname: "), "s_name", F.lit("\n")))
+    folder = _folder(spark, "order")
+    _write(table(spark, sf_dir, "supplier").select(F.concat(k.cast("string"), F.lit(".yaml")).alias("name"), data.alias("data")), "name", "data", folder)
+    read = readers.yaml_json(readers.whole_files(spark, folder))
+    keys = lambda json: F.array_join(F.json_object_keys(json), ",")
+    return read.select(F.get_json_object("json", "$.name").alias("s_name"), keys(F.col("json")).alias("keys"), keys(F.get_json_object("json", "$.at")).alias("inner"))
+
+
 def json_arrays(spark, sf_dir):
     """A JSON file per supplier: an array of two, every fifth file cut short; read back as rows."""
     k = F.col("s_suppkey")
@@ -175,6 +186,7 @@ XML = "select *, p_partkey as id from part"
 QUERIES = {
     "yaml_documents": (yaml_documents, f"""with s as ({SUPPLIER}) select k, 'a-b' as rest, true as kept, good, case when good then k end as s_suppkey, case when good then s_name end as grammar_point,
       case when good then md5('first: ü' || chr(10) || s_name || chr(10) || '  third ') end as note, case when good and k % 2 = 0 then 'yes,1,' || s_name end as tags, case when good then s_nationkey end as nation from s"""),
+    "yaml_key_order": (yaml_key_order, "select s_name, case when s_suppkey % 2 = 0 then 'name,at' else 'at,name' end as keys, case when s_suppkey % 2 = 0 then 'z,a' else 'a,z,m' end as \"inner\" from supplier"),
     "json_arrays": (json_arrays, """select s_suppkey as k, i::int as i, s_name as name, false as corrupt from supplier, (values (0), (1)) v(i) where s_suppkey % 5 <> 0
       union all select null, null, null, true from supplier where s_suppkey % 5 = 0"""),
     "tsv_vocabulary": (tsv_vocabulary, """select p_partkey as word, 'よ' || p_name as reading, array_to_string(list_filter([case when p_partkey % 2 <> 0 then p_brand end, case when p_partkey % 3 <> 0 then p_type end,

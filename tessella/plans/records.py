@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import lint, matcher
+from ..functions import lint, matcher, text
 from ..operators import records
+from ..operators import relational as rel
 from .tables import table
 
 
@@ -85,6 +86,38 @@ def checked_meanings(spark, sf_dir):
     return lint.checked_meanings(docs, p.where(k % 3 == 0).select(name.alias("name"), F.col("p_brand").alias("meaning")))
 
 
+def lesson_ranks(spark, sf_dir):
+    """Parts as points of two sources: some of one only; the first source gives the lesson's place."""
+    k = F.col("p_partkey")
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", F.when(k % 3 != 0, F.concat(F.lit("N"), (F.col("p_size") % 6).cast("string"))).alias("a"),
+        F.when((k % 3 == 0) | (k % 2 == 0), F.element_at(F.array(*map(F.lit, ("Basic", "Intermediate", "Advanced"))), (F.col("p_size") % 3 + 1).cast("int"))).alias("b"),
+    )
+    first, second = rel.level_rank(F.col("a"), {f"N{n}": 5 - n for n in range(6)}), rel.level_rank(F.col("b"), {"Basic": 0, "Intermediate": 3, "Advanced": 5})
+    return p.select("p_partkey", rel.combined_rank(first, second).cast("long").alias("rank"), records.lesson_order(F.when(F.col("a").isNotNull(), k), F.col("p_name")).alias("lesson"))
+
+
+def compliance_rules(spark, sf_dir):
+    """Turns of conversations as examples of two terms; words of seven letters or more carry their own label."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))
+    marked = F.array_join(F.transform(words, lambda w: F.when(F.length(w) >= 7, F.concat(w, F.lit("ᵍ"), w)).otherwise(w)), " ")
+    turns = table(spark, sf_dir, "conversations").where("text is not null")
+    second = F.coalesce(F.get(F.filter(words, lambda w: F.length(w) == 9), F.lit(0)), F.lit("none"))
+    examples = turns.select(F.concat(F.coalesce("role", F.lit("")), F.lit("/"), second).alias("name"), F.md5("text").alias("japanese"), marked.alias("tokens"))
+    token = lambda surface, pos, base: F.struct(surface.alias("surface"), F.lit(pos).alias("pos"), base.alias("base"))
+    roles = turns.select(F.col("role").alias("term")).distinct()
+    terms = roles.select("term", F.array(token(F.lit("XXX"), "名詞", F.lit("x")), token(F.lit("a"), "動詞", F.upper("term")), token(F.col("term"), "名詞", F.lit("y"))).alias("parts"))
+    return records.compliance(examples, terms).select("name", "term", "japanese", F.md5("tokens").alias("digest"), "rule")
+
+
+def cleaned_values(spark, sf_dir):
+    """Whole texts with blanks and odd characters at every line's ends; every fifth is a URL, every seventh blank."""
+    k = F.col("doc_id")
+    long = F.concat(F.lit(" x："), F.replace("text", F.lit("\n"), F.lit("？  \n\n\n　–a    b’ ")), F.lit("　"))
+    raw = F.when(k % 5 == 0, F.concat(F.lit(" http："), "text")).when(k % 7 == 0, F.lit(" \t　")).otherwise(long)
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.clean_value(raw)).alias("digest"))
+
+
 #: Tokens for the words of a text, and what each macro finds in them, as patterns over the tokens' letters a, b, c, ..
 TOKENS = (
     "⌈ˢとᵖprt:case_particleᵇとʳト⌉", "⌈ˢ犬ᵖn:commonᵇ犬ʳイヌ⌉", "⌈ˢ飲むᵖv:general:godan-ma:terminalᵇ飲むʳノム⌉", "⌈ˢてᵖprt:conjunctive_particleᵇてʳテ⌉",
@@ -133,6 +166,17 @@ QUERIES = {
     "source_report": (source_report, """select 'duplicate' as problem, p_name as name, count(*) as n from part group by 2 having count(*) > 1
       union all select 'dangling', 'no ' || p_brand, count(*) from part group by 2"""),
     "checked_meanings": (checked_meanings, "select p_name || ' ' || p_partkey as grammar_point, case when p_partkey % 3 = 0 then p_brand else p_type end as meaning from part"),
+    "lesson_ranks": (lesson_ranks, """with p as (select *, case when p_partkey % 3 <> 0 then 5 - p_size % 6 end as a, case when p_partkey % 3 = 0 or p_partkey % 2 = 0 then [0, 3, 5][p_size % 3 + 1] end as b from part)
+      select p_partkey, (coalesce(a, b) + coalesce(b, a))::bigint as rank, case when a is not null then p_partkey else ('0x' || substr(md5(p_name), 1, 8))::bigint % 10000 end as lesson from p"""),
+    "compliance_rules": (compliance_rules, r"""with t as (select *, regexp_extract_all(lower(text), '[a-z]+') as ws from conversations where text is not null),
+      e as (select coalesce(role, '') as r, coalesce(list_filter(ws, lambda w: length(w) = 9)[1], 'none') as s, md5(text) as japanese, coalesce(array_to_string(list_transform(ws, lambda w: case when length(w) >= 7 then w || 'ᵍ' || w else w end), ' '), '') as tokens from t),
+      f as (select * from e where not contains(tokens, 'ᵍ' || r) and not contains(tokens, 'ᵍ' || s))
+      select r || '/' || s as name, r as term, japanese, md5(tokens) as digest, case when r <> '' then '○○|ᵇ' || upper(r) || '|' || r end as rule from f
+      union all select r || '/' || s, s, japanese, md5(tokens), null from f"""),
+    "cleaned_values": (cleaned_values, r"""with r as (select doc_id, case when doc_id % 5 = 0 then ' http：' || text when doc_id % 7 = 0 then '' else ' x：' || replace(text, chr(10), '？  ' || chr(10) || chr(10) || chr(10) || '　–a    b’ ') || '　' end as t from documents),
+      l as (select doc_id, array_to_string(list_transform(string_split(t, chr(10)), lambda x: regexp_replace(x, '^[\s\x{0B}\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]+|[\s\x{0B}\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]+$', '', 'g')), chr(10)) as t from r),
+      c as (select doc_id, case when starts_with(t, 'http') then t else replace(replace(replace(replace(replace(replace(replace(t, '  ', ' '), chr(10) || chr(10) || chr(10), chr(10) || chr(10)), '　', ' '), '–', '-'), '’', chr(39)), '：', ':'), '？', '?') end as t from l)
+      select doc_id, md5(nullif(t, '')) as digest from c"""),
     "matcher_macros": (matcher_macros, rf"""with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '\p{{L}}+') as ws from documents),
       s as (select doc_id, coalesce(array_to_string(list_transform(ws, lambda w, i: substr('{LETTERS}', ((length(w) * 5 + i - 1) % {N} + 1)::int, 1)), ''), '') as s from w)
       select doc_id, array_to_string(list_filter([{MACRO_SQL}], lambda x: x is not null), ',') as macros from s"""),

@@ -28,8 +28,8 @@ def whole_files(spark: SparkSession, folder: str, glob: str | None = None, recur
     return found.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("content"))
 
 
-def parse_yaml(files: DataFrame, schema: str) -> DataFrame:
-    """path, name and doc (a struct of ``schema``; null for a file that is not YAML) and error."""
+def yaml_json(files: DataFrame) -> DataFrame:
+    """path, name, json (keys in the file's order; null for a file that is not YAML) and error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import yaml
@@ -44,8 +44,12 @@ def parse_yaml(files: DataFrame, schema: str) -> DataFrame:
                     rows.append((path, name, None, str(e)))
             yield pd.DataFrame(rows, columns=["path", "name", "json", "error"])
 
-    read = files.select("path", "name", "content").mapInPandas(run, "path string, name string, json string, error string")
-    return read.withColumn("doc", F.from_json("json", schema, {"mode": "PERMISSIVE"})).drop("json")
+    return files.select("path", "name", "content").mapInPandas(run, "path string, name string, json string, error string")
+
+
+def parse_yaml(files: DataFrame, schema: str) -> DataFrame:
+    """path, name and doc (a struct of ``schema``; null for a file that is not YAML) and error."""
+    return yaml_json(files).withColumn("doc", F.from_json("json", schema, {"mode": "PERMISSIVE"})).drop("json")
 
 
 def read_json_arrays(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:

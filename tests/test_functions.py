@@ -28,6 +28,11 @@ def test_strip_quotes(spark):
     assert got == ["a", "a", "こ", "こ", '"a', 'a"', "", None, "x", '"', ""]
 
 
+def test_cleaned_values(spark):
+    raw = [" a   b \n\n\n c　d", " http：//x  y ", "　\t", "", None, "–’：？", "\n", "x\n http："]
+    assert many(spark, text.clean_value, raw) == ["a  b\n\nc d", "http：//x  y", None, None, None, "-':?", "\n", "x\nhttp:"]
+
+
 def test_meaning(spark):
     assert many(spark, text.meaning, ["A (b)", "A (b) (c)", "A", "A(b)", None, "A (I do)"]) == ["b", "c", None, None, None, "I do"]
     assert many(spark, lambda c: text.meaning_start_ok(c), ["b", "I do", "~x", "Big", "über"]) == [True, True, True, False, True]
