@@ -50,6 +50,10 @@ BROADCAST_DIMS = 1_000_000
 QUERY_EVERY = 50
 CANDIDATES_EACH = 8192
 QUERIES_EACH = 1024
+#: Larger files have blocks up to four times as long, so that fewer of them leave their own best.
+CELL_BLOCKS = 48
+#: Pairs of a query and an entry that a task holds bounds of at once.
+SCAN_PAIRS = 1 << 22
 
 
 def usable_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -126,27 +130,40 @@ def _blocks(rows: DataFrame, n_blocks: int, exact: bool) -> DataFrame:
     )
 
 
-def bounds(q: np.ndarray, cells: np.ndarray, lo: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the inner products of all pairs of a query and an entry."""
+def lower_bounds(q: np.ndarray, cells: np.ndarray, lo: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower bounds of the inner products of all pairs of a query and an entry, and how far above them each query's upper bounds lie."""
     base = (lo + cells.astype(np.int64) * width).astype(np.float64)
     span = (width - 1).astype(np.float64)
     qf = q.astype(np.float64)
-    low = qf @ base.T + (np.minimum(qf, 0) @ span)[:, None]
-    return low, low + (np.abs(qf) @ span)[:, None]
+    return qf @ base.T + (np.minimum(qf, 0) @ span)[:, None], np.abs(qf) @ span
+
+
+def bounds(q: np.ndarray, cells: np.ndarray, lo: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the inner products of all pairs of a query and an entry."""
+    low, gap = lower_bounds(q, cells, lo, width)
+    return low, low + gap[:, None]
 
 
 def scan_cells(q: np.ndarray, q_ids: np.ndarray, keys: np.ndarray, one: np.ndarray, more: np.ndarray, cells: np.ndarray, lo: np.ndarray, width: np.ndarray, k: int) -> pd.DataFrame:
     """query_id, key, low, up of the entries of a block that its own k-th lower bound leaves."""
-    low, up = bounds(q, cells, lo, width)
-    out = []
-    for i, id_ in enumerate(q_ids):
-        able = np.flatnonzero(more | (one != id_))
-        if len(able) > k:
-            able = able[up[i, able] >= np.partition(low[i, able], len(able) - k)[len(able) - k]]
-        out.append(pd.DataFrame({"query_id": id_, "key": keys[able], "low": low[i, able], "up": up[i, able]}))
+    n = max(1, SCAN_PAIRS // max(len(keys), 1))
+    out = [_scan_some(q[at : at + n], q_ids[at : at + n], keys, one, more, cells, lo, width, k) for at in range(0, len(q_ids), n)]
     return pd.concat(out)
 
 
+def _scan_some(q: np.ndarray, q_ids: np.ndarray, keys: np.ndarray, one: np.ndarray, more: np.ndarray, cells: np.ndarray, lo: np.ndarray, width: np.ndarray, k: int) -> pd.DataFrame:
+    low, gap = lower_bounds(q, cells, lo, width)
+    # A query leaves out entries that are its own row only.
+    single = np.flatnonzero(~more)
+    single = single[np.argsort(one[single], kind="stable")]
+    first, last = (np.searchsorted(one[single], q_ids, side) for side in ("left", "right"))
+    for i in np.flatnonzero(first < last):
+        low[i, single[first[i] : last[i]]] = -np.inf
+    least = np.partition(low, len(keys) - k, axis=1)[:, len(keys) - k] if len(keys) > k else np.full(len(q_ids), -np.inf)
+    i, j = np.nonzero((low >= (least - gap)[:, None]) & (low > -np.inf))
+    return pd.DataFrame({"query_id": q_ids[i], "key": keys[j], "low": low[i, j], "up": low[i, j] + gap[i]})
+
+
 def scan_exact(q: np.ndarray, q_ids: np.ndarray, keys: np.ndarray, one: np.ndarray, two: np.ndarray, more: np.ndarray, exact: np.ndarray, k: int) -> pd.DataFrame:
     """query_id, key, score of the k best entries of a block, in Python's integers."""
     wide = exact.astype(object)
@@ -171,12 +188,15 @@ def _met(queries: DataFrame, blocks: DataFrame, n_blocks: int, scan: Callable[..
                 q_ids = np.frombuffer(row.q_ids, "<i8")
                 yield scan(np.frombuffer(row.q, "<i8").reshape(len(q_ids), row.dim), q_ids, row)
 
-    return asking.join(blocks, ["dim", "block"]).mapInPandas(run, schema)
+    # The optimizer takes packed blocks for small rows; a copy of all of them per block must not pass through the driver.
+    return asking.join(blocks.hint("merge"), ["dim", "block"]).mapInPandas(run, schema)
 
 
 def _scored(pairs: DataFrame, entries: DataFrame, asking: DataFrame) -> DataFrame:
     """The rows of (query_id, key): query_id, vec_id, score, by the exact vectors. Their sums stay below 2^51."""
-    joined = pairs.select("query_id", "key").join(entries.select("key", "v", "members"), "key").join(asking.select(F.col("id").alias("query_id"), F.col("v").alias("_q")), "query_id")
+    # Vectors are far smaller on disk than in memory, so file sizes would have them broadcast.
+    held, queries = entries.select("key", "v", "members").hint("merge"), asking.select(F.col("id").alias("query_id"), F.col("v").alias("_q")).hint("merge")
+    joined = pairs.select("query_id", "key").join(held, "key").join(queries, "query_id")
     product = F.aggregate(F.zip_with("v", "_q", lambda a, b: a * b), F.lit(0).cast("long"), lambda total, x: total + x)
     return _rows_of(joined.select("query_id", "members", product.alias("score")))
 
@@ -204,7 +224,8 @@ def top_k(rows: DataFrame, is_query, k: int = TOP, id_col: str = "vec_id", vecto
     lengths = entries.groupBy("near", "dim").agg(F.count("*").alias("n")).groupBy("near").agg(F.sum("n").alias("n"), F.sum("dim").alias("width")).collect()
     sizes = {r.near: r.n for r in lengths}
     asked = {r.near: r.n for r in asking.groupBy("near").agg(F.count("*").alias("n")).collect()}
-    n_cells, n_exact = (partitions_for(n, candidates_each) for n in (sizes.get(True, 0), sum(sizes.values())))
+    cells_each = min(4 * candidates_each, max(candidates_each, sizes.get(True, 0) // CELL_BLOCKS))
+    n_cells, n_exact = partitions_for(sizes.get(True, 0), cells_each), partitions_for(sum(sizes.values()), candidates_each)
 
     cells = fit_cells(entries, bits)
     if sum(r.width for r in lengths) <= BROADCAST_DIMS:  # two numbers a dimension of each length

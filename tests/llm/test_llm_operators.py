@@ -625,6 +625,15 @@ def test_top_k_equals_brute_force(spark):
     assert vafile.top_k(table.where("false"), F.col("id") % 50 == 0).count() == 0
 
 
+def test_top_k_sends_no_vectors_through_the_driver(spark):
+    rng = np.random.default_rng(2)
+    table = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    plan = vafile.top_k(table, F.col("id") % 50 == 0, candidates_each=100)._jdf.queryExecution().executedPlan().toString()
+    broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert not [line for line in broadcast if "block" in line or "key" in line.split("BroadcastHashJoin")[1].split("]")[0]]
+    assert "SortMergeJoin" in plan
+
+
 def test_top_k_of_large_components(spark):
     rng = np.random.default_rng(7)
     rows = [(i, [float(x) for x in rng.normal(0, 0.3, 4) * (1e6 if i % 20 == 0 else 1)]) for i in range(120)]
