@@ -379,3 +379,23 @@ def test_retries_and_variants():
     assert mapreduce.variants(lambda p: p, lambda a: 1 / 0, tries=2)("p") is None
     with pytest.raises(ZeroDivisionError):
         mapreduce.variants(lambda p: p, lambda a: 1 / 0)("p")
+
+
+def test_neighbours_in_small_blocks_and_no_block_through_the_driver(spark, tmp_path):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(230, 6))
+    v[50:70] = v[3]  # copies
+    spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>").write.parquet(f"{tmp_path}/v")
+    table = spark.read.parquet(f"{tmp_path}/v")
+    u = v / np.sqrt((v * v).sum(1, keepdims=True))
+    cosine = np.round(u @ u.T, 5)
+    want = []
+    for q in range(0, 230, 5):
+        best = sorted((-cosine[q, j], j) for j in range(230) if j != q)[:4]
+        want += [(q, r, j, round(-c, 5)) for r, (c, j) in enumerate(best, 1)]
+    for each, queries_each in ((9, 4), (1000, 1000)):
+        got = models.neighbours(table, table.where("id % 5 = 0"), "id", "v", 4, each, queries_each)
+        assert [(r["query"], r["rank"], r["id"], round(r["cosine"], 5)) for r in got.orderBy("query", "rank").collect()] == want
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
