@@ -399,3 +399,11 @@ def test_neighbours_in_small_blocks_and_no_block_through_the_driver(spark, tmp_p
         got = models.neighbours(table, table.where("id % 5 = 0"), "id", "v", 4, each, queries_each)
         assert [(r["query"], r["rank"], r["id"], round(r["cosine"], 5)) for r in got.orderBy("query", "rank").collect()] == want
         assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grams_are_counted_where_they_are_made(spark):
+    docs = spark.createDataFrame([(i, f"a b c{i % 3} a b") for i in range(9)], "doc_id long, text string")
+    weights = models.tf_idf(models.word_grams(docs, "doc_id", "text"), "doc_id", 9, max_df=1.0)
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning(doc_id" in line and "term" in line]
+    assert weights.where("term = 'a b'").count() == 9
