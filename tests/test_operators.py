@@ -407,3 +407,21 @@ def test_grams_are_counted_where_they_are_made(spark):
     plan = weights._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "hashpartitioning(doc_id" in line and "term" in line]
     assert weights.where("term = 'a b'").count() == 9
+
+
+def test_reachability_sends_no_pairs_through_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, before = [], DataFrame.checkpoint
+
+    def kept(self, *args, **kw):
+        out = before(self, *args, **kw)
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(DataFrame, "checkpoint", kept)
+    edges = spark.createDataFrame([(i, i // 2) for i in range(2, 20)], "src long, dst long")
+    found = graph.reachability(edges)
+    assert rows(found.where("src = 19")) == [(19, 1), (19, 2), (19, 4), (19, 9)]
+    # Sizes are known at run time only: without the hint a round may turn its joins into broadcasts.
+    assert sum("SortMergeJoin" in p for p in plans) > 3 and not any("Broadcast" in p for p in plans)
