@@ -7,10 +7,10 @@ any tokens after it. A match covers whole tokens, begins as far left as it can,
 and each gap is as long as it can be.
 
 A table of rules becomes blocks of literals with gaps between them. A batch of
-sentences becomes an inverted index of those literals: per literal the sentences
-and the places where it stands. Each rule looks up the sentences of its rarest
-literal only, and a match is read off the places, from the last block backwards,
-so work follows the number of hits and grows linearly with a sentence's tokens.
+sentences becomes an inverted index of those literals: per literal the sorted places
+where it stands. Each rule looks at the sentences of its rarest block only, and all
+its matches are read off the places at once, from the last block backwards, so work
+follows the number of hits and grows linearly with a sentence's tokens.
 
 Rules of any other form, and sentences with text outside tokens, are matched by
 the regular expression that defines the rule (:func:`tessella.functions.matcher.sequence_pattern`).
@@ -19,10 +19,11 @@ the regular expression that defines the rule (:func:`tessella.functions.matcher.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterable
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +32,10 @@ from ..functions.matcher import sequence_pattern
 
 #: Rules of one pass over the sentences; larger tables take several.
 RULES_EACH = 5000
+#: Sentences, and their characters, that are matched at once.
+SENTENCES_EACH, CHARACTERS_EACH = 16_000, 1 << 22
 #: Tokens whose literals a task remembers.
-KNOWN_TOKENS = 1 << 16
+KNOWN_TOKENS = 1 << 18
 RULE_SCHEMA = "place long, rule string, name string"
 SPECIAL = re.compile(r"[][(){}?+*.^$\\⌈⌉]")
 
@@ -126,16 +129,30 @@ class Table:
             for kind, text in rule.literals:
                 self.by_kind[kind][text] = (kind, text)
         self.sizes = {kind: sorted({len(t) for t in texts}) for kind, texts in self.by_kind.items()}
-        self.known: dict[str, tuple[Literal, ...]] = {}
+        self.short = [text for text in self.by_kind["holds"] if len(text) == 1]
+        self.by_start: dict[str, list[str]] = {}
+        for text in self.by_kind["holds"]:
+            if len(text) > 1:
+                self.by_start.setdefault(text[:2], []).append(text)
+        self.every = [(kind, text) for kind, texts in self.by_kind.items() for text in texts]
+        self.codes = {lit: k for k, lit in enumerate(self.every)}
+        self.numbers, self.found = Numbers(self), []
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}}
+        return self.__dict__ | {"numbers": None, "found": []}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self.numbers = Numbers(self)
+
+    def forget(self) -> None:
+        """Between two batches: drop what is known of tokens if that is much."""
+        if len(self.found) >= KNOWN_TOKENS:
+            self.numbers.clear()
+            self.found.clear()
 
     def literals(self, token: str) -> tuple[Literal, ...]:
         """The literals of one token ``⌈ˢ...⌉``."""
-        found = self.known.get(token)
-        if found is not None:
-            return found
         inner, out = token[2:-1], []
         surface, base, holds = (self.by_kind[k] for k in ("surface", "base", "holds"))
         out += [surface[inner[:k]] for k in self.sizes["surface"] if inner[:k] in surface]
@@ -143,70 +160,156 @@ class Table:
         while at >= 0:
             out += [base[inner[at + 1 : at + 1 + k]] for k in self.sizes["base"] if inner[at + 1 : at + 1 + k] in base]
             at = inner.find("ᵇ", at + 1)
-        if holds:
-            out += [holds[inner[p : p + k]] for k in self.sizes["holds"] for p in range(len(inner) - k + 1) if inner[p : p + k] in holds]
-        if len(self.known) >= KNOWN_TOKENS:
-            self.known.clear()
-        self.known[token] = found = tuple(dict.fromkeys(out))
-        return found
+        # A literal inside is looked for where its first two characters stand together.
+        near = self.by_start.keys() & set(map(str.__add__, inner, inner[1:]))
+        out += [holds[text] for start in near for text in self.by_start[start] if text in inner]
+        out += [holds[c] for c in self.short if c in inner]
+        return tuple(dict.fromkeys(out))
+
+
+class Numbers(dict):
+    """Numbers of tokens (without their ends) whose literals a table knows; -1 for what is no token."""
+
+    def __init__(self, table: Table) -> None:
+        super().__init__()
+        self.table = table
+
+    def __missing__(self, token: str) -> int:
+        own = self.table.found
+        self[token] = number = len(own) if token.startswith("⌈ˢ") else -1
+        if number >= 0:
+            own.append([self.table.codes[lit] for lit in self.table.literals(f"{token}⌉")])
+        return number
 
 
 class Batch:
-    """An inverted index of the literals of some sentences."""
+    """An inverted index of the literals of some sentences: sorted places among all their tokens.
+
+    The sentences' tokens stand one behind the other with a gap between two sentences,
+    so a rule is matched in all sentences at once and no match crosses a sentence.
+    """
 
     def __init__(self, table: Table, sentences: list[str | None]) -> None:
         self.table = table
         self.texts: dict[int, str] = {}  # rows for the regular expressions
-        self.tokens: dict[int, list[str]] = {}
-        self.places: dict[int, dict[Literal, list[int]]] = {}
-        self.rows: dict[Literal, dict[int, None]] = {}
+        self.tokens: list[str] = []  # without their ends
+        self.marks: list[tuple[np.ndarray, np.ndarray, str]] = []  # not yet in the tokens
+        table.forget()
+        rows, starts, ends, numbers = [], [], [], []
         for row, text in enumerate(sentences):
             if text is None:
                 continue
-            tokens = re.findall("⌈[^⌉]*⌉", text)
-            if sum(map(len, tokens)) != len(text) or not all(t.startswith("⌈ˢ") for t in tokens):
+            tokens = text.split("⌉")
+            rest = tokens.pop()
+            own = list(map(table.numbers.__getitem__, tokens))
+            if rest or min(own, default=0) < 0:
                 self.texts[row] = text
                 continue
-            self.tokens[row] = tokens
-            own = self.places[row] = {}
-            for p, token in enumerate(tokens):
-                for lit in table.literals(token):
-                    own.setdefault(lit, []).append(p)
-            for lit in own:
-                self.rows.setdefault(lit, {})[row] = None
-
-    def matches(self, rule: Rule) -> list[tuple[int, int, int]]:
-        """Row, first and last token (exclusive) of the rule's match in each sentence that has one."""
+            rows.append(row)
+            starts.append(len(self.tokens))
+            self.tokens += tokens
+            ends.append(len(self.tokens))
+            self.tokens.append("")
+            numbers += own
+            numbers.append(-1)
+        self.rows, self.starts, self.ends = (np.array(x, np.int64) for x in (rows, starts, ends))
+        self.places = self._index(np.array(numbers, np.int64))
+
+    def _index(self, numbers: np.ndarray) -> dict[Literal, np.ndarray]:
+        at = np.flatnonzero(numbers >= 0)
+        used, which = np.unique(numbers[at], return_inverse=True)
+        own = [self.table.found[k] for k in used.tolist()]
+        sizes = np.array([len(x) for x in own], np.int64)
+        codes = np.array([c for x in own for c in x], np.int64)
+        begins, n = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begins, n)
+        literal, place = codes[each], np.repeat(at, n)
+        order = np.argsort(literal, kind="stable")
+        literal, place = literal[order], place[order]
+        kinds, first = np.unique(literal, return_index=True)
+        return {self.table.every[c]: part for c, part in zip(kinds.tolist(), np.split(place, first[1:]), strict=True)} if len(kinds) else {}
+
+    def _block(self, block: tuple[Literal, ...]) -> np.ndarray:
+        """Places where all literals of a block stand in a row."""
+        held = [self.places[lit] for lit in block]
+        rarest = min(range(len(block)), key=lambda d: len(held[d]))
+        at = held[rarest] - rarest
+        for d, places in enumerate(held):
+            if d != rarest and len(at):
+                at = at[places[np.minimum(np.searchsorted(places, at + d), len(places) - 1)] == at + d]
+        return at
+
+    def matches(self, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each sentence with a match of the rule: which it is, and its match's first and last token (exclusive) among all."""
         if rule.blocks is None:
-            return [(row, *s) for row in self.tokens if (s := self._by_pattern(rule, row))]
-        rarest = min((self.rows.get(lit, {}) for lit in rule.literals), key=len)
+            return self._by_pattern(rule)
+        none = np.zeros((3, 0), np.int64)
+        if not all(lit in self.places for lit in rule.literals):
+            return tuple(none)
+        found = [self._block(block) for block in rule.blocks]
+        if not all(map(len, found)):
+            return tuple(none)
+        # As in :func:`span`, for all sentences that have the rarest block.
+        rows = np.unique(np.searchsorted(self.starts, min(found, key=len), "right") - 1)
+        limit = self.ends[rows] - (rule.gaps[-1] or 0)
+        end = self.ends[rows] if rule.gaps[-1] is not None else None
+        for k in range(len(found) - 1, -1, -1):
+            at, size, before = found[k], len(rule.blocks[k]), rule.gaps[k]
+            if k == 0 and before is None:
+                first = at[np.minimum(np.searchsorted(at, self.starts[rows]), len(at) - 1)]
+                fits = (first >= self.starts[rows]) & (first + size <= limit)
+                return rows[fits], first[fits], (first + size if end is None else end)[fits]
+            last = np.searchsorted(at, limit - size, "right") - 1
+            fits = (last >= 0) & (at[np.maximum(last, 0)] >= self.starts[rows] + (before if k == 0 else 0))
+            rows, last = rows[fits], at[last[fits]]
+            end = last + size if end is None else end[fits]
+            limit = last - (before or 0)
+        return rows, self.starts[rows], end
+
+    def _by_pattern(self, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         out = []
-        for row in rarest:
-            own = self.places[row]
-            if all(lit in own for lit in rule.literals) and (s := span(rule, own, len(self.tokens[row]))):
-                out.append((row, *s))
-        return out
-
-    def _by_pattern(self, rule: Rule, row: int) -> tuple[int, int] | None:
-        text = "".join(self.tokens[row])
-        m = re.search(rule.pattern, text)
-        if not m:
-            return None
-        first = text.count("⌉", 0, m.start())
-        return first, first + text.count("⌉", m.start(), m.end())
-
-    def mark(self, row: int, first: int, last: int, name: str) -> None:
+        for k in range(len(self.rows)):
+            text = self.text(k)
+            if m := re.search(rule.pattern, text):
+                first = self.starts[k] + text.count("⌉", 0, m.start())
+                out.append((k, first, first + text.count("⌉", m.start(), m.end())))
+        return tuple(np.array(out, np.int64).reshape(-1, 3).T)
+
+    def mark(self, first: np.ndarray, last: np.ndarray, name: str) -> None:
         """Write a name into tokens; literals that the name holds stand there from now on."""
-        own, table = self.places[row], self.table
-        new = table.literals(f"⌈ˢ\0ᵍ{name}⌉")
-        for p in range(first, last):
-            self.tokens[row][p] = f"{self.tokens[row][p][:-1]}ᵍ{name}⌉"
+        if not len(first):
+            return
+        self.marks.append((first, last, name))
+        new = self.table.literals(f"⌈ˢ\0ᵍ{name}⌉")
+        if new:
+            n = last - first
+            places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
             for lit in new:
-                held = own.setdefault(lit, [])
-                k = bisect_left(held, p)
-                if k == len(held) or held[k] != p:
-                    held.insert(k, p)
-                self.rows.setdefault(lit, {})[row] = None
+                self.places[lit] = np.union1d(self.places[lit], places) if lit in self.places else places
+
+    def _write(self) -> None:
+        """Put the names into the tokens; tokens between the same ends of marks get the same names."""
+        if not self.marks:
+            return
+        first, last = (np.concatenate([m[i] for m in self.marks]) for i in (0, 1))
+        mark = np.repeat(np.arange(len(self.marks)), [len(m[0]) for m in self.marks])
+        bounds = np.unique(np.concatenate([first, last]))
+        low, n = np.searchsorted(bounds, first), np.searchsorted(bounds, last) - np.searchsorted(bounds, first)
+        part = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        order = np.argsort(part, kind="stable")
+        part, mark = part[order], np.repeat(mark, n)[order]
+        parts, begins = np.unique(part, return_index=True)
+        names = [f"ᵍ{name}" for _, _, name in self.marks]
+        for k, own in zip(parts.tolist(), np.split(mark, begins[1:]) if len(parts) else [], strict=True):
+            told = "".join([names[i] for i in own.tolist()])
+            low_, high = int(bounds[k]), int(bounds[k + 1])
+            self.tokens[low_:high] = [t + told for t in self.tokens[low_:high]]
+        self.marks = []
+
+    def text(self, k: int) -> str:
+        """A sentence as it is now."""
+        self._write()
+        return "".join([f"{t}⌉" for t in self.tokens[self.starts[k] : self.ends[k]]])
 
 
 def labels_of(table: Table, sentences: list[str | None]) -> list[list[str] | None]:
@@ -214,7 +317,7 @@ def labels_of(table: Table, sentences: list[str | None]) -> list[list[str] | Non
     batch = Batch(table, sentences)
     found: list = [None if s is None else set() for s in sentences]
     for rule in table.rules:
-        for row, _, _ in batch.matches(rule):
+        for row in batch.rows[batch.matches(rule)[0]].tolist():
             found[row].add(rule.name)
         for row, text in batch.texts.items():
             if re.search(rule.pattern, text):
@@ -231,11 +334,12 @@ def annotations_of(table: Table, sentences: list[str | None]) -> list[str | None
     """The sentences with each rule's name in the tokens of its first match; rules take turns and see earlier names."""
     batch = Batch(table, sentences)
     for rule in table.rules:
-        for row, first, last in batch.matches(rule):
-            batch.mark(row, first, last, rule.name)
+        _, first, last = batch.matches(rule)
+        batch.mark(first, last, rule.name)
         for row, text in batch.texts.items():
             batch.texts[row] = _marked(text, rule)
-    return [None if s is None else batch.texts[row] if row in batch.texts else "".join(batch.tokens[row]) for row, s in enumerate(sentences)]
+    whole = {row: batch.text(k) for k, row in enumerate(batch.rows.tolist())} | batch.texts
+    return [whole.get(row) for row in range(len(sentences))]
 
 
 # --- DataFrames ---
@@ -284,8 +388,17 @@ def _udf(run, kind: str, table) -> object:
     """A column function over Arrow batches: ``run`` with one compiled table."""
 
     @F.pandas_udf(kind)
-    def column(sentences: pd.Series) -> pd.Series:
-        return pd.Series(run(table.value, sentences.tolist()), dtype=object)
+    def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held, size = [], 0
+        for batch in batches:
+            for sentence in batch.tolist():
+                held.append(sentence)
+                size += len(sentence or "")
+                if size >= CHARACTERS_EACH or len(held) >= SENTENCES_EACH:
+                    yield pd.Series(run(table.value, held), dtype=object)
+                    held, size = [], 0
+        if held:
+            yield pd.Series(run(table.value, held), dtype=object)
 
     return column
 

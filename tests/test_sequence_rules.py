@@ -85,3 +85,16 @@ def test_reads_rule_files(spark, tmp_path):
     path.write_text(json.dumps({"に": ["に", "に/へ"], "と|いう": "という", "で|も": "[でも]"}, ensure_ascii=False))
     rows = [tuple(r) for r in sr.read_rules(spark, str(path)).orderBy("place").collect()]
     assert rows == [(0, "に", "に"), (1, "に", "に/へ"), (2, "と|いう", "という"), (3, "で|も", "[でも]")]
+
+
+def test_a_rule_is_matched_in_all_sentences_at_once(monkeypatch):
+    """No step of a rule goes sentence by sentence."""
+    called = []
+    monkeypatch.setattr(sr, "span", lambda *a: called.append(a))
+    monkeypatch.setattr(sr, "_starts", lambda *a: called.append(a))
+    word = lambda w: f"⌈ˢ{w}ᵖn⌉"
+    sentences = [word("a") + word("b") * (k % 3) + word("c") for k in range(3000)]
+    rules = [("a|b", "p"), ("a|○○|c", "g"), ("b.*", "n1"), (".*n1", "seen")]
+    assert sr.labels_of(sr.Table(rules), sentences) == [sorted({n for r, n in rules if re.search(sequence_pattern(r), s)}) for s in sentences]
+    assert sr.annotations_of(sr.Table(rules), sentences) == [marked(s, rules) for s in sentences]
+    assert not called
