@@ -138,7 +138,7 @@ def matcher_macros(spark, sf_dir):
     listed = F.array(*[F.lit(t) for t in TOKENS])
     compact = F.array_join(F.transform(words, lambda w, i: F.get(listed, ((F.length(w) * 5 + i) % len(TOKENS)).cast("int"))), "")
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(compact, F.lit("")).alias("compact"))
-    found = [F.when(F.col("compact").rlike(matcher.compile_matcher("{" + m + "}")), F.lit(m)) for m in sorted(FOUND)]
+    found = [F.when(F.col("compact").rlike(matcher.at_tokens(matcher.compile_matcher("{" + m + "}"))), F.lit(m)) for m in sorted(FOUND)]
     return docs.select("doc_id", F.array_join(F.filter(F.array(*found), lambda x: x.isNotNull()), ",").alias("macros"))
 
 

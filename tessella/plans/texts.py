@@ -99,8 +99,9 @@ def html_section_texts(spark, sf_dir):
 
 def _words(spark, sf_dir):
     """doc_id, line and words of every line of the documents that has one."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    return lines.select("doc_id", "line", F.regexp_extract_all(F.lower("t"), F.lit("[a-z]+"), F.lit(0)).alias("words")).where(F.size("words") > 0)
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", F.lower("t").alias("t"))
+    # Asking for a letter, not for the number of words: a filter on the words would make them twice.
+    return lines.where(F.col("t").rlike("[a-z]")).select("doc_id", "line", F.regexp_extract_all("t", F.lit("[a-z]+"), F.lit(0)).alias("words"))
 
 
 def _token(word):
@@ -113,7 +114,7 @@ def _token(word):
 
 def _tokens(spark, sf_dir):
     """Tokens from the words of the documents: (doc_id, line, pos, word, token)."""
-    rows = _words(spark, sf_dir).select("doc_id", "line", F.posexplode("words").alias("pos", "word"))
+    rows = _words(spark, sf_dir).select("doc_id", "line", F.posexplode_outer("words").alias("pos", "word"))  # none is empty; "outer" spares a filter that makes the words again
     return rows.withColumn("token", _token(F.col("word")))
 
 

@@ -171,3 +171,31 @@ def test_meanings_are_complete(spark):
     for bad in ([("b", "x")], [("a", "x"), ("zz", "y")]):
         with pytest.raises(Exception, match="meaning"):
             put(*bad).collect()
+
+
+def test_matchers_are_tried_at_tokens_only(spark):
+    every = {m: matcher.compile_matcher("{" + m + "}") for m in matcher.MACROS}
+    assert {m for m, p in every.items() if not matcher.at_tokens(p).startswith("(?=⌈)")} == {"mo"}
+    for loose in ("⌈?a", "(?:⌈a|b)", "(?:⌈a)*", "⌈a|b", "(⌈a)", "[⌈]a", "(?:⌈a)?⌈b", r"\⌈a"):
+        assert matcher.at_tokens(loose) == loose
+    both = [("⌈ˢ犬ᵖnᵇ犬⌉⌈ˢ飲むᵖv:general:godan-ma:terminalᵇ飲むʳノム⌉", "飲む"), ("⌈ˢ犬ᵖnᵇ犬⌉", None), ("", None)]
+    df = spark.createDataFrame([(c,) for c, _ in both], "c string")
+    assert [r[0] for r in df.select(matcher.match(F.col("c"), every["verb-dictionary"])).collect()] == [w for _, w in both]
+
+
+def test_plain_text_leaves_texts_without_marks_and_parts_need_no_expression(spark):
+    odd = ["⌈ˢaᵖn:x:yᵇbᵈdʳp⌉", "⌈ˢaᵖ⌉", "⌈ˢa⌉", "⌈ˢᵖnᵇʳ⌉", "⌈ˢaˢbᵖnᵈxᵇ⌉ᵖzᵇq", "", None, "ᵖˢa\nbᵖn:\nʳé"]
+    rows = spark.createDataFrame([(x,) for x in odd], "t string")
+    x = F.col("t")
+    after = lambda mark: F.nullif(F.regexp_extract(x, f"{mark}([^ᵇᵈʳ⌉]*)", 1), F.lit(""))
+    tags = F.split(F.regexp_extract(x, "ᵖ([^ᵇᵈʳ⌉]*)", 1), ":")
+    want = F.struct(F.regexp_extract(x, "ˢ([^ᵖ]*)ᵖ", 1).alias("surface"), F.get(tags, F.lit(0)).alias("pos"), F.slice(tags, 2, 9).alias("details"), after("ᵇ").alias("base"), after("ᵈ").alias("lemma"), after("ʳ").alias("pron"))
+    own = rows.select(tokens.parse_token(x).alias("a"), want.alias("b"))
+    assert [r["a"] for r in own.collect()] == [r["b"] for r in own.collect()]
+    assert "regexp_extract" not in own.select("a")._jdf.queryExecution().optimizedPlan().toString()
+    words = ["a", "*", "b", "。", "(", "c", ")", "", "d", "-"]
+    rows = spark.createDataFrame([("".join(f"⌈ˢ{w}ᵖn⌉" for w in some),) for some in (words, words[::-1], ["a", "b"], [])], "t string")
+    chain = tokens.plain_text(F.col("t"), True, False)
+    for mark in tokens.PUNCTUATION:
+        chain = F.replace(F.replace(chain, F.lit(f" {mark}"), F.lit(mark)), F.lit(f"{mark} "), F.lit(mark))
+    assert all(r[0] == r[1] for r in rows.select(tokens.plain_text(F.col("t"), True), chain).collect())
