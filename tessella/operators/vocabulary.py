@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,23 +41,32 @@ def annotated(rows: DataFrame, doc: str, english: str, keys: str, index: DataFra
     ``keys`` holds the dictionary keys of the sentence's tokens in their order. A word without a sense is looked up
     without a final ``s`` or, if it has none, without a final ``ing``. Null English gives null; ids must be unique.
     """
-    tokens = rows.select(F.col(doc).alias("_doc"), F.posexplode(keys).alias("_at", "_key")).groupBy("_doc", "_key").agg(F.max("_at").alias("_at"))
+    # The last token of a key is the first from behind; a document's keys and words stay with it, and only its different keys are joined.
+    tokens = rows.select(F.col(doc).alias("_doc"), F.posexplode(F.array_distinct(F.reverse(keys))).alias("_at", "_key"))
     senses = tokens.join(index.select(F.col("key").alias("_key"), "senses"), "_key").select("_doc", "_at", "_key", F.explode("senses").alias("_sense"))
-    last = senses.groupBy("_doc", "_sense").agg(F.max_by("_key", "_at").alias("_key"))
-    low = F.lower("_word")
-    cut = lambda n: F.substr(low, F.lit(1), F.length(low) - n)
-    other = F.when(low.endswith("s"), cut(1)).when(low.endswith("ing"), cut(3))
-    texts = rows.select(F.col(doc).alias("_doc"), F.col(english).alias("_text"))
-    words = texts.select("_doc", F.col("_text").isNotNull().alias("_is"), F.posexplode_outer(tx.english_tokens(F.col("_text"))).alias("_at", "_word"))
-    tries = words.select("_doc", "_is", "_at", "_word", F.posexplode_outer(F.array_compact(F.array(low, other))).alias("_try", "_sense"))
-    found = tries.join(last, ["_doc", "_sense"], "left")
-    listed = found.groupBy("_doc").agg(F.array_sort(F.collect_list(F.struct("_at", "_try", "_word", "_key"))).alias("_all"), F.max("_is").alias("_is"))
-
-    def shown(t: Column, i: Column) -> Column:
-        mark = F.coalesce(F.concat(F.lit("["), t["_key"], F.lit("]")), F.lit(""))
-        return F.when(t["_try"] == 0, F.concat(t["_word"], mark)).when(F.get("_all", i - 1)["_key"].isNull(), mark)
-
-    return listed.select(F.col("_doc").alias(doc), F.when(F.col("_is"), F.array_join(F.transform("_all", shown), "")).alias("annotated"))
+    last = senses.groupBy("_doc", "_sense").agg(F.min_by("_key", "_at").alias("_key"))
+    held = last.groupBy("_doc").agg(F.collect_list(F.struct("_sense", "_key")).alias("_found"))
+    texts = rows.select(F.col(doc).alias("_doc"), tx.english_tokens(F.col(english)).alias("_words")).join(held, "_doc", "left")
+    words = texts.select("_doc", "_words", F.transform("_words", lambda w: F.lower(w)).alias("_low"), F.col("_found._sense").alias("_senses"), F.col("_found._key").alias("_keys"))
+    return words.select(F.col("_doc").alias(doc), F.pandas_udf(_marked, "string")("_words", "_low", "_senses", "_keys").alias("annotated"))
+
+
+def _marked(words: pd.Series, low: pd.Series, senses: pd.Series, keys: pd.Series) -> pd.Series:
+    """Words joined, each with the [key] of its sense or of its form without an end."""
+
+    def one(words, low, senses, keys) -> str | None:
+        if words is None:
+            return None
+        found = {} if senses is None else dict(zip(senses, keys, strict=True))
+        out = []
+        for word, w in zip(words, low, strict=True):
+            key = found.get(w)
+            if key is None:
+                key = found.get(w[:-1]) if w.endswith("s") else found.get(w[:-3]) if w.endswith("ing") else None
+            out.append(word if key is None else f"{word}[{key}]")
+        return "".join(out)
+
+    return pd.Series([one(*row) for row in zip(words, low, senses, keys, strict=True)], dtype=object)
 
 
 def constraint_violations(rows: DataFrame, key: str, unique: list[str], required: list[str]) -> DataFrame:

@@ -425,3 +425,12 @@ def test_reachability_sends_no_pairs_through_the_driver(spark, monkeypatch):
     assert rows(found.where("src = 19")) == [(19, 1), (19, 2), (19, 4), (19, 9)]
     # Sizes are known at run time only: without the hint a round may turn its joins into broadcasts.
     assert sum("SortMergeJoin" in p for p in plans) > 3 and not any("Broadcast" in p for p in plans)
+
+
+def test_annotated_words_stay_with_their_document(spark):
+    """Only different keys and their senses become rows; occurrences of words do not."""
+    index = spark.createDataFrame([("a|r", ["x", "y"]), ("b|r", ["x"])], "key string, senses array<string>")
+    rows = spark.createDataFrame([(1, "X ys, xing x", ["a|r", "b|r", "a|r", None]), (2, None, ["a|r"]), (3, "x", None), (4, "", [])], "i int, e string, k array<string>")
+    out = vocabulary.annotated(rows, "i", "e", "k", index)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 2
+    assert {r["i"]: r["annotated"] for r in out.collect()} == {1: "X[a|r] ys[a|r], xing[a|r] x[a|r]", 2: None, 3: "x", 4: ""}
