@@ -7,11 +7,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .tokens import once
+
 # Pairs of quotes, the replacement tables, and the kana range.
 QUOTES = ('""', "''", "「」", "『』", "“”", "‘’")
 CHARACTERS = {"：": ":", "「": "『", "」": "』"}
 SPACING = {"  ": " ", "&emsp;": " ", "　": " ", "〜": "～", " + ": "+", "+ ": "+", " +": "+"}
 CLEANING = {"  ": " ", "\n\n\n": "\n\n", "　": " ", "–": "-", "’": "'", "：": ":", "？": "?"}
+#: Characters with the property White_Space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 KATAKANA = "".join(chr(c) for c in range(0x30A1, 0x30F4))
 HIRAGANA = "".join(chr(c - 0x60) for c in range(0x30A1, 0x30F4))
 
@@ -23,20 +27,35 @@ def replace_all(text: Column, table: dict[str, str]) -> Column:
 
 def trim_space(text: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def strip_quotes(text: Column) -> Column:
     """Without matching outer quotes, however many enclose it."""
     opening, closing = ("".join(q[i] for q in QUOTES) for i in (0, 1))
-    head = F.regexp_extract(text, f"^[{opening}]*", 0)
-    tail = F.reverse(F.regexp_extract(text, f"[{closing}]*+\\z", 0))
-    half = F.least(F.length(head), F.length(tail), F.floor(F.length(text) / 2).cast("int"))
-    # The quotes at both ends, from the outside in, as far as they match.
-    ends = F.zip_with(F.split(F.left(F.translate(head, opening, closing), half), ""), F.split(F.left(tail, half), ""), lambda a, b: a == b)
-    first_unlike = F.array_position(ends, False).cast("int")
-    n = F.when(half < 1, 0).when(first_unlike > 0, first_unlike - 1).otherwise(half)
-    return F.substr(text, n + 1, F.length(text) - 2 * n)
+
+    def common(head: Column, tail: Column) -> Column:
+        """The quotes at both ends, from the outside in, as far as they match."""
+        ends = F.zip_with(F.split(head, ""), F.split(tail, ""), lambda a, b: a == b)
+        return once(F.array_position(ends, False).cast("int"), lambda n: F.when(n > 0, n - 1).otherwise(F.length(head)))
+
+    def matched(t: Column) -> Column:
+        """How many quotes enclose a text that begins with one and ends with one."""
+        head, tail = F.regexp_extract(t, f"^[{opening}]*", 0), F.reverse(F.regexp_extract(t, f"[{closing}]*+\\z", 0))
+        own = F.struct(F.translate(head, opening, closing).alias("head"), tail.alias("tail"), F.floor(F.length(t) / 2).cast("int").alias("half"))
+
+        def cut(e: Column) -> Column:
+            most = F.least(F.length(e["head"]), F.length(e["tail"]), e["half"])
+            return once(F.struct(F.left(e["head"], most).alias("head"), F.left(e["tail"], most).alias("tail")), lambda c: common(c["head"], c["tail"]))
+
+        return once(own, cut)
+
+    def stripped(t: Column) -> Column:
+        # Most texts have no quote at one of their ends.
+        enclosed = F.left(t, F.lit(1)).isin(*opening) & F.right(t, F.lit(1)).isin(*closing) & (F.length(t) > 1)
+        return F.when(enclosed, once(matched(t), lambda n: F.substr(t, n + 1, F.length(t) - 2 * n))).otherwise(t)
+
+    return once(text, stripped)
 
 
 def normal_japanese(text: Column) -> Column:

@@ -199,3 +199,15 @@ def test_plain_text_leaves_texts_without_marks_and_parts_need_no_expression(spar
     for mark in tokens.PUNCTUATION:
         chain = F.replace(F.replace(chain, F.lit(f" {mark}"), F.lit(mark)), F.lit(f"{mark} "), F.lit(mark))
     assert all(r[0] == r[1] for r in rows.select(tokens.plain_text(F.col("t"), True), chain).collect())
+
+
+def test_quotes_are_stripped_with_each_step_written_once(spark):
+    """In a lambda nothing is shared, so an expression written n times is worked out n times for every line."""
+    shown = F.transform(F.array(F.col("id").cast("string")), lambda x: text.strip_quotes(text.trim_space(x))).alias("x")
+    plan = spark.range(1).select(shown)._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.count("regexp_extract") == 2 and plan.count("trim(") == 1 and "regexp_replace" not in plan
+    cases = {"“'a'”": "a", "'“a'”": "'“a'”", "''": "", "'": "'", "'''": "'", "「『x』」": "x", "“'x”'": "“'x”'", None: None, "": "", "\"a\nb\"": "a\nb", "a'": "a'"}
+    df = spark.createDataFrame(list(cases.items()), "k string, v string")
+    assert [r for r in df.select("k", "v", text.strip_quotes(F.col("k")).alias("x")).collect() if r["v"] != r["x"]] == []
+    white = "　 \t\n\x85\xa0   "
+    assert one(spark, text.trim_space(F.col("t")), t=f"{white}a b​{white}") == "a b​"
