@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _sets(truth: DataFrame, predicted: DataFrame, doc: str, label: str) -> DataFrame:
-    t = truth.select(doc, label).distinct().withColumn("_t", F.lit(1))
-    p = predicted.select(F.col(doc).alias("_d"), F.col(label).alias("_l")).distinct().withColumn("_p", F.lit(1))
-    both = t.join(p, (F.col(doc) == F.col("_d")) & (F.col(label) == F.col("_l")), "full_outer")
-    flag = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return both.select(F.coalesce(doc, "_d").alias("doc"), F.coalesce(label, "_l").alias("label"), flag("_t").alias("t"), flag("_p").alias("p"))
+def _sets(truth: DataFrame, predicted: DataFrame, doc: str, label: str, partitions: int | None) -> DataFrame:
+    """doc, label, t, p: each pair once, and whether it is true and predicted. Dealt by document, in one shuffle.
+
+    A pair with a null equals none of the other side.
+    """
+    def side(rows: DataFrame, t: int, p: int) -> DataFrame:
+        apart = F.when(F.col(doc).isNull() | F.col(label).isNull(), F.lit(t))
+        return rows.select(F.col(doc).alias("doc"), F.col(label).alias("label"), apart.alias("_apart"), F.lit(t).alias("t"), F.lit(p).alias("p"))
+
+    both = side(truth, 1, 0).union(side(predicted, 0, 1))
+    dealt = both.repartition("doc") if partitions is None else both.repartition(partitions, "doc")
+    return dealt.groupBy("doc", "label", "_apart").agg(F.max("t").alias("t"), F.max("p").alias("p")).drop("_apart")
 
 
-def per_label(truth: DataFrame, predicted: DataFrame, doc: str, label: str) -> DataFrame:
+def per_label(truth: DataFrame, predicted: DataFrame, doc: str, label: str, partitions: int | None = None) -> DataFrame:
     """precision, recall, f1, support and predicted count of labels with support."""
-    c = _sets(truth, predicted, doc, label).groupBy("label").agg(F.sum(F.col("t") * F.col("p")).alias("tp"), F.sum("t").alias("support"), F.sum("p").alias("n_predicted"))
+    c = _sets(truth, predicted, doc, label, partitions).groupBy("label").agg(F.sum(F.col("t") * F.col("p")).alias("tp"), F.sum("t").alias("support"), F.sum("p").alias("n_predicted"))
     precision = F.when(F.col("n_predicted") > 0, F.col("tp") / F.col("n_predicted")).otherwise(0.0)
     recall = F.col("tp") / F.col("support")
     out = c.where("support > 0").withColumn("precision", precision).withColumn("recall", recall)
@@ -24,9 +30,9 @@ def per_label(truth: DataFrame, predicted: DataFrame, doc: str, label: str) -> D
     return out.select("label", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"), F.round(f1, 6).alias("f1"), "support", "n_predicted")
 
 
-def set_relations(truth: DataFrame, predicted: DataFrame, doc: str, label: str) -> DataFrame:
+def set_relations(truth: DataFrame, predicted: DataFrame, doc: str, label: str, partitions: int | None = None) -> DataFrame:
     """How many documents are perfect, partial, missed, and over- or under-predicted."""
-    d = _sets(truth, predicted, doc, label).groupBy("doc").agg(F.sum(F.col("t") * F.col("p")).alias("both"), F.sum("t").alias("t"), F.sum("p").alias("p"))
+    d = _sets(truth, predicted, doc, label, partitions).groupBy("doc").agg(F.sum(F.col("t") * F.col("p")).alias("both"), F.sum("t").alias("t"), F.sum("p").alias("p"))
     perfect = (F.col("both") == F.col("t")) & (F.col("both") == F.col("p"))
     return d.agg(
         F.count_if(perfect).alias("n_perfect"), F.count_if(~perfect & (F.col("both") > 0)).alias("n_partial"),
@@ -34,16 +40,16 @@ def set_relations(truth: DataFrame, predicted: DataFrame, doc: str, label: str)
     )
 
 
-def summary(truth: DataFrame, predicted: DataFrame, doc: str, label: str) -> DataFrame:
+def summary(truth: DataFrame, predicted: DataFrame, doc: str, label: str, partitions: int | None = None) -> DataFrame:
     """Hamming loss, sample Jaccard, exact ratio, micro and macro scores, and cardinalities."""
-    cells = _sets(truth, predicted, doc, label)
+    cells = _sets(truth, predicted, doc, label, partitions)
     d = cells.groupBy("doc").agg(F.sum(F.col("t") * F.col("p")).alias("both"), F.sum("t").alias("t"), F.sum("p").alias("p"), F.count("*").alias("either"))
     per_doc = d.agg(
         F.count("*").alias("n_docs"), F.sum("both").alias("tp"), F.sum("t").alias("nt"), F.sum("p").alias("np"),
         F.avg(F.col("both") / F.col("either")).alias("jaccard"), F.avg(F.when(F.col("both") == F.col("either"), 1.0).otherwise(0.0)).alias("exact"),
         F.sum(F.col("either") - F.col("both")).alias("wrong"),
     )
-    macro = per_label(truth, predicted, doc, label).agg(F.avg("f1").alias("macro_f1"), F.count("*").alias("n_labels"))
+    macro = per_label(truth, predicted, doc, label, partitions).agg(F.avg("f1").alias("macro_f1"), F.count("*").alias("n_labels"))
     r = per_doc.crossJoin(macro)  # one row each
     micro = F.when(F.col("tp") > 0, 2 * F.col("tp") / (F.col("nt") + F.col("np"))).otherwise(0.0)
     six = lambda c, n: F.round(c, 6).alias(n)

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Parts of a hot group that are combined before they meet.
 SLICES = 64
 
+#: Rows of a partition where the number of partitions follows the input, so that a task's memory does not grow with it.
+ROWS_EACH = 500_000
+
 
 def last_per_key(rows: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """One row per key, the last in ``order``."""
@@ -292,6 +295,11 @@ def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("missing")).unionByName(b.exceptAll(a).withColumn("side", F.lit("invalid")))
 
 
+def partitions_for(rows: DataFrame) -> int:
+    """Partitions in which a task has ``ROWS_EACH`` rows at most on the mean; the session's number at least. Counts the rows."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_EACH))
+
+
 def second_highest(rows: DataFrame, group: str, label: str, n: str) -> DataFrame:
     """Labels with the second-highest distinct count in their group, if it is over 1."""
     rank = F.dense_rank().over(Window.partitionBy(group).orderBy(F.col(n).desc()))

@@ -11,23 +11,31 @@ from ..operators import relational as rel
 from .tables import table
 
 
+def _branded(spark: SparkSession, sf_dir: str, n: int, where: str = "true") -> DataFrame:
+    """doc (order) and label (brand) of lines, joined in n partitions."""
+    lines = table(spark, sf_dir, "lineitem").where(where).select("l_orderkey", "l_partkey").repartition(n, "l_partkey")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand").repartition(n, "p_partkey")
+    return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(F.col("l_orderkey").alias("doc"), F.col("p_brand").alias("label"))
+
+
+def _partitions(spark: SparkSession, sf_dir: str) -> int:
+    return rel.partitions_for(table(spark, sf_dir, "lineitem"))
+
+
 def _order_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc (order) and label (brand), distinct."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(F.col("l_orderkey").alias("doc"), F.col("p_brand").alias("label")).distinct()
+    n = _partitions(spark, sf_dir)
+    return _branded(spark, sf_dir, n).repartition(n, "doc").distinct()
 
 
 BRANDS = "b as (select distinct l_orderkey as doc, p_brand as label from lineitem join part on l_partkey = p_partkey)"
 
 
-def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _predicted(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """Labels predicted from the lines with a high quantity, a wrong label added to some orders."""
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity > 20")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    right = lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(F.col("l_orderkey").alias("doc"), F.col("p_brand").alias("label"))
+    right = _branded(spark, sf_dir, n, "l_quantity > 20")
     wrong = table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("doc"), F.lit("Brand#11").alias("label"))
-    return right.union(wrong).distinct()
+    return right.union(wrong)
 
 
 PREDICTED = """p as (select distinct l_orderkey as doc, p_brand as label from lineitem join part on l_partkey = p_partkey where l_quantity > 20
@@ -179,24 +187,27 @@ def first_occurrence(spark, sf_dir):
 
 
 def second_highest_labels(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    each = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "p_brand", "o_orderkey").distinct()
-    counts = each.groupBy("o_custkey", "p_brand").agg(F.count("*").alias("n"))
+    n = _partitions(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition(n, "o_orderkey")
+    brands = _branded(spark, sf_dir, n).repartition(n, "doc")
+    each = brands.join(orders, F.col("doc") == F.col("o_orderkey")).select("o_custkey", F.col("label").alias("p_brand"), "o_orderkey").distinct()
+    counts = each.repartition(n, "o_custkey").groupBy("o_custkey", "p_brand").agg(F.count("*").alias("n"))
     return rel.second_highest(counts, "o_custkey", "p_brand", "n")
 
 
 def set_relation_buckets(spark, sf_dir):
-    return metrics.set_relations(_order_brands(spark, sf_dir), _predicted(spark, sf_dir), "doc", "label")
+    n = _partitions(spark, sf_dir)
+    return metrics.set_relations(_branded(spark, sf_dir, n), _predicted(spark, sf_dir, n), "doc", "label", n)
 
 
 def multilabel_metrics(spark, sf_dir):
-    return metrics.summary(_order_brands(spark, sf_dir), _predicted(spark, sf_dir), "doc", "label")
+    n = _partitions(spark, sf_dir)
+    return metrics.summary(_branded(spark, sf_dir, n), _predicted(spark, sf_dir, n), "doc", "label", n)
 
 
 def per_label_prf(spark, sf_dir):
-    return metrics.per_label(_order_brands(spark, sf_dir), _predicted(spark, sf_dir), "doc", "label")
+    n = _partitions(spark, sf_dir)
+    return metrics.per_label(_branded(spark, sf_dir, n), _predicted(spark, sf_dir, n), "doc", "label", n)
 
 
 def merge_candidates(spark, sf_dir):
@@ -304,7 +315,8 @@ def least_most_frequent(spark, sf_dir):
 
 
 def hardest_labels(spark, sf_dir):
-    scores = metrics.per_label(_order_brands(spark, sf_dir), _predicted(spark, sf_dir), "doc", "label")
+    n = _partitions(spark, sf_dir)
+    scores = metrics.per_label(_branded(spark, sf_dir, n), _predicted(spark, sf_dir, n), "doc", "label", n)
     return metrics.hardest(scores, 10).select("label", "f1", "support")
 
 

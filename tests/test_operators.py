@@ -434,3 +434,30 @@ def test_annotated_words_stay_with_their_document(spark):
     out = vocabulary.annotated(rows, "i", "e", "k", index)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 2
     assert {r["i"]: r["annotated"] for r in out.collect()} == {1: "X[a|r] ys[a|r], xing[a|r] x[a|r]", 2: None, 3: "x", 4: ""}
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    """A task's share stays the same as the tables grow, whatever number of partitions the session has."""
+    from tessella.operators import relational
+    from tessella.plans import relational as plans
+
+    small = "/root/testdata/sf0.001"
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert relational.partitions_for(spark.range(1000)) == few
+    monkeypatch.setattr(relational, "ROWS_EACH", 100)
+    n = relational.partitions_for(spark.read.parquet(f"{small}/lineitem.parquet"))
+    assert n > 2 * few
+    for query in (plans.second_highest_labels, plans.set_relation_buckets, plans.multilabel_metrics):
+        plan = query(spark, small)._jdf.queryExecution().executedPlan().toString()
+        assert f", {n}), REPARTITION_BY_NUM" in plan and f", {few}), ENSURE_REQUIREMENTS" not in plan.split("[label", 1)[0]
+
+
+def test_label_pairs_meet_in_one_aggregation_and_nulls_stay_apart(spark):
+    from tessella.operators import metrics
+
+    truth = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, None), (None, "a"), (3, "c")], "d int, l string")
+    predicted = spark.createDataFrame([(1, "b"), (1, "b"), (1, "a"), (2, None), (None, "a"), (4, "c"), (3, "c"), (3, "d")], "d int, l string")
+    out = metrics.set_relations(truth, predicted, "d", "l")
+    # 1 is perfect, 3 partial; 2, 4 and the document without a name share nothing.
+    assert out.first().asDict() == {"n_perfect": 1, "n_partial": 1, "n_miss": 3, "n_over": 2, "n_under": 0}
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
