@@ -5,8 +5,8 @@ share all but 2 d of either one's two-character grams, so of any 2 d + 1 grams o
 one the other holds one at least. A first probe with the rarest grams of a string
 finds some near string; its ratio bounds the distance that a better one can have, and
 a second probe with as many of the rarest grams as that bound asks for finds every
-better one. Strings with too few grams meet the strings of the lengths that can still
-win. All three are equi-joins, on a gram or a length.
+better one. Strings that the other table holds themselves need neither, and strings with too few grams meet the strings of the lengths that can still
+win. All are equi-joins, on the string, a gram or a length.
 """
 
 from __future__ import annotations
@@ -40,6 +40,9 @@ def nearest(left: DataFrame, key: str, right: DataFrame, other: str) -> DataFram
     """One row per distinct string of ``left``: key, nearest, distance, ratio; null where ``right`` has no string."""
     a = left.select(F.col(key).cast("string").alias("a")).where("a is not null").distinct()
     b = right.select(F.col(other).cast("string").alias("b")).where("b is not null").distinct().checkpoint()
+    # Only an equal string has ratio 1, so those that have one are done.
+    same = a.join(b, F.col("a") == F.col("b"), "left_semi").select("a", F.struct(F.lit(-1.0).alias("r"), F.col("a").alias("b"), F.lit(0).alias("distance")).alias("best"))
+    a = a.join(b, F.col("a") == F.col("b"), "left_anti").checkpoint()
     index = b.select("b", F.explode(grams(F.col("b"))).alias("g"))
     df = index.groupBy("g").agg(F.count("*").alias("n"))
     own = a.select("a", F.explode_outer(grams(F.col("a"))).alias("g")).join(df, "g", "left")
@@ -64,5 +67,5 @@ def nearest(left: DataFrame, key: str, right: DataFrame, other: str) -> DataFram
     # The lengths that occur are few numbers; each string takes those it can still win with.
     reach = rest.join(F.broadcast(able), F.col("len").between(F.col("low"), F.col("high"))).select("a", "len")
     third = _best(reach.join(lengths, "len").select("a", "b"))
-    every = found.select("a", "best").union(second).union(third).groupBy("a").agg(F.min("best").alias("best"))
+    every = found.select("a", "best").union(second).union(third).union(same).groupBy("a").agg(F.min("best").alias("best"))
     return every.select(F.col("a").alias(key), F.col("best.b").alias("nearest"), F.col("best.distance").alias("distance"), F.round(-F.col("best.r"), 6).alias("ratio"))

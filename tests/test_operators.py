@@ -461,3 +461,17 @@ def test_label_pairs_meet_in_one_aggregation_and_nulls_stay_apart(spark):
     # 1 is perfect, 3 partial; 2, 4 and the document without a name share nothing.
     assert out.first().asDict() == {"n_perfect": 1, "n_partial": 1, "n_miss": 3, "n_over": 2, "n_under": 0}
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_strings_with_an_equal_one_are_not_probed(spark, monkeypatch):
+    """Probing all strings, most of which the other table has, took most of the time."""
+    from tessella.operators import nearest
+
+    scored = []
+    best = nearest._best
+    monkeypatch.setattr(nearest, "_best", lambda pairs: scored.append({r["a"] for r in pairs.collect()}) or best(pairs))
+    left = spark.createDataFrame([(w,) for w in ("stone", "stone", "", "brick", "woods", None)], "w string")
+    right = spark.createDataFrame([(w,) for w in ("stone", "stones", "", "bricks", "trick", "wood", None)], "o string")
+    rows = {r["w"]: (r["nearest"], r["distance"], r["ratio"]) for r in nearest.nearest(left, "w", right, "o").collect()}
+    assert rows == {"stone": ("stone", 0, 1.0), "": ("", 0, 1.0), "brick": ("bricks", 1, 0.833333), "woods": ("wood", 1, 0.8)}
+    assert set().union(*scored) == {"brick", "woods"}
