@@ -48,13 +48,16 @@ def type_totals(elapsed: DataFrame) -> DataFrame:
 
 
 class Slots(StatefulProcessor):
-    """One slot's state: events that wait for the watermark, the last event, and what was done per item type.
+    """The state of a bucket of slots: events that wait for the watermark, each slot's last event, and what it did per item type.
 
     Events are taken in the order of their times once the watermark has passed them,
     so batches and the order in them do not matter. Event-time timers do the rest: a
     slot that has ended is forgotten ``ttl`` seconds later, when its totals leave as
     rows and its state goes. Whatever is left leaves when the closing event has moved
     the watermark past all times.
+
+    A call to the state is a round trip to the JVM, so state is kept as columns (lists)
+    of the whole bucket: calls grow with buckets and parts of batches, not with events or slots.
     """
 
     def __init__(self, ttl: float) -> None:
@@ -62,76 +65,101 @@ class Slots(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "time double, seq long, type string, kind string")
-        self.last = handle.getValueState("last", "time double, ended boolean, begun boolean, kind string")
-        self.totals = handle.getListState("totals", "kind string, n long, elapsed double")
+        self.waiting = handle.getListState("waiting", "slot array<string>, time array<double>, seq array<long>, type array<string>, kind array<string>")
+        self.last = handle.getValueState("last", "slot array<string>, time array<double>, ended array<boolean>, begun array<boolean>, kind array<string>")
+        self.totals = handle.getValueState("totals", "slot array<string>, kind array<string>, n array<long>, elapsed array<double>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        latest = None
+        first = None
         for part in rows:
             part = part[part["type"].isin((BEGIN, FINISH, ERROR))]
-            events = [(float(t), int(s), kind, own) for t, s, kind, own in zip(part["time"], part["seq"], part["type"], part["item_type"], strict=True)]
-            if events:
-                self.waiting.appendList(events)
-                latest = max(e[0] for e in events) if latest is None else max(latest, *(e[0] for e in events))
-        if latest is not None:
-            self.handle.registerTimer(max(int(latest * 1000) + 1, timerValues.getCurrentWatermarkInMs() + 1))
+            if len(part):
+                self.waiting.appendValue(tuple(part[c].tolist() for c in ("slot_key", "time", "seq", "type", "item_type")))
+                first = part["time"].min() if first is None else min(first, part["time"].min())
+        if first is not None:
+            self.handle.registerTimer(max(int(first * 1000) + 1, timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         mark = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(tuple(e) for e in self.waiting.get()) if self.waiting.exists() else []
-        ready = [e for e in waiting if e[0] * 1000 <= mark]
-        if ready:
-            rest = waiting[len(ready) :]
-            self.waiting.put(rest) if rest else self.waiting.clear()
-        state, out = tuple(self.last.get()) if self.last.exists() else None, []
-        # As many as the slot has item types; read once and written once.
-        totals = {k: (n, spent) for k, n, spent in self.totals.get()} if self.totals.exists() else {}
-
-        def leave(why: str) -> list[tuple]:
-            rows = [(key[0], k, n, spent, why) for k, (n, spent) in totals.items()]
-            totals.clear()
-            return rows
-
-        for at, _, type_, kind in ready:
+        ready, rest = [], []
+        if self.waiting.exists():
+            for part in self.waiting.get():
+                for e in zip(*part, strict=True):
+                    (ready if e[1] * 1000 <= mark else rest).append(e)
+        ready.sort()
+        last, totals, out = {}, {}, []
+        if self.last.exists():
+            last = {slot: state for slot, *state in zip(*self.last.get(), strict=True)}
+        if self.totals.exists():
+            for slot, kind, n, spent in zip(*self.totals.get(), strict=True):
+                totals.setdefault(slot, {})[kind] = n, spent
+
+        def leave(slot: str, why: str) -> None:
+            out.extend((slot, k, n, spent, why) for k, (n, spent) in totals.pop(slot, {}).items())
+
+        for slot, at, _, type_, kind in ready:
+            state = last.get(slot)
             if state is not None and state[1] and at - state[0] > self.ttl:
-                out += leave("evicted")
+                leave(slot, "evicted")
                 state = None
             if type_ == BEGIN:
-                state = (at, False, True, kind)
+                last[slot] = (at, False, True, kind)
                 continue
             own = kind if state is None else state[3]
-            n, spent = totals.get(own, (0, 0.0))
-            totals[own] = n + 1, spent + (at - state[0] if state is not None else 0.0)
-            state = (at, True, state is not None and state[2], own)
+            done = totals.setdefault(slot, {})
+            n, spent = done.get(own, (0, 0.0))
+            done[own] = n + 1, spent + (at - state[0] if state is not None else 0.0)
+            last[slot] = (at, True, state is not None and state[2], own)
         over = mark >= BEYOND_MS
-        if state is not None and (over or (state[1] and mark > (state[0] + self.ttl) * 1000)):
-            out += leave("closed" if over else "evicted")
-            state = None
-        self.totals.put([(k, n, spent) for k, (n, spent) in totals.items()]) if totals else self.totals.clear()
-        if state is None:
-            self.last.clear()
-        else:
-            self.last.update(state)
-            self.handle.registerTimer(int((state[0] + self.ttl) * 1000) + 1 if state[1] else BEYOND_MS)
-        yield pd.DataFrame(out, columns=["slot_key", "item_type", "n", "elapsed", "why"])
+        gone = [slot for slot, state in last.items() if over or (state[1] and mark > (state[0] + self.ttl) * 1000)]
+        for slot in gone:
+            leave(slot, "closed" if over else "evicted")
+            del last[slot]
+        if ready:
+            self._keep(self.waiting, rest)
+        if ready or gone:
+            self._keep(self.last, [(slot, *state) for slot, state in last.items()])
+            self._keep(self.totals, [(slot, k, n, spent) for slot, done in totals.items() for k, (n, spent) in done.items()])
+        due = [int((at + self.ttl) * 1000) + 1 if ended else BEYOND_MS for at, ended, *_ in last.values()]
+        if rest:
+            due.append(int(min(e[1] for e in rest) * 1000) + 1)
+        if due:
+            self.handle.registerTimer(max(min(due), mark + 1))
+        if out:
+            yield pd.DataFrame(out, columns=["slot_key", "item_type", "n", "elapsed", "why"])
+
+    def _keep(self, state, rows: list[tuple]) -> None:
+        """``rows`` as columns, in place of what the state holds."""
+        if not rows:
+            state.clear()
+            return
+        columns = tuple(list(c) for c in zip(*rows, strict=True))
+        state.put([columns]) if state is self.waiting else state.update(columns)
 
     def close(self) -> None:
         pass
 
 
-def slot_stream(events: DataFrame, ttl: float = 2.0) -> DataFrame:
+def slot_stream(events: DataFrame, ttl: float = 2.0, buckets: int = 512) -> DataFrame:
     """The reducer as a stream: slot_key, item_type, n, elapsed, why (evicted, closed).
 
     ``events`` has slot_key (string), item_type (string), type, time, seq and ts with a
     watermark; see :func:`closed`. A slot's rows leave once, when it is forgotten or the
     stream is closed, so sums over them are those of :func:`slot_elapsed` with the same
     ``ttl``. Needs the RocksDB state store.
+
+    Slots are dealt to ``buckets`` by their hash; a bucket's waiting events and slots are
+    in a task's memory at once and written again when some are due. The number is part
+    of the state: it cannot change between runs of a stream.
     """
     out = "slot_key string, item_type string, n long, elapsed double, why string"
-    # A filter would go below the watermark and take the closing event away before it counts; its row has no type.
-    return events.withColumn("slot_key", F.coalesce("slot_key", F.lit(""))).groupBy("slot_key").transformWithStateInPandas(Slots(ttl), out, "append", "eventTime")
+    # Other types and the closing event count for the watermark only. A condition without the event time would go
+    # below the watermark, and with one that forgets the closing event the stream would not end.
+    used = events.where(F.col("type").isin(BEGIN, FINISH, ERROR) | (F.col("ts") >= F.timestamp_millis(F.lit(CLOSING_MS))))
+    slot = F.coalesce("slot_key", F.lit(""))
+    dealt = used.select(F.pmod(F.hash(slot), F.lit(buckets)).alias("bucket"), slot.alias("slot_key"), "item_type", "type", "time", "seq", "ts")
+    return dealt.groupBy("bucket").transformWithStateInPandas(Slots(ttl), out, "append", "eventTime")
 
 
 def closed(stream: DataFrame, time: str, delay: str, folder: str) -> tuple[DataFrame, Callable[[], None]]:

@@ -233,6 +233,110 @@ def test_slot_stream(spark, tmp_path):
     assert out.where("why = 'evicted'").count() >= 2 and out.where("why = 'closed'").count() <= 1
 
 
+def test_slot_state_calls_do_not_grow_with_slots():
+    """A bucket's state is read and written whole: as many calls for many slots and events as for few."""
+    import pandas as pd
+
+    class State:
+        def __init__(self, calls):
+            self.calls, self.held = calls, []
+
+        def exists(self):
+            self.calls.append("exists")
+            return bool(self.held)
+
+        def get(self):
+            self.calls.append("get")
+            return iter(self.held) if self.many else self.held[0]
+
+        def appendValue(self, value):  # noqa: N802
+            self.calls.append("append")
+            self.held.append(value)
+
+        def appendList(self, values):  # noqa: N802
+            self.calls.append("append")
+            self.held += values
+
+        def put(self, values):
+            self.calls.append("put")
+            self.held = list(values)
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = [value]
+
+        def clear(self):
+            self.calls.append("clear")
+            self.held = []
+
+    class Handle:
+        def __init__(self):
+            self.calls, self.timers = [], set()
+
+        def state(self, many):
+            made = State(self.calls)
+            made.many = many
+            return made
+
+        def getListState(self, name, schema):  # noqa: N802
+            return self.state(True)
+
+        def getValueState(self, name, schema):  # noqa: N802
+            return self.state(False)
+
+        def registerTimer(self, at):  # noqa: N802
+            self.calls.append("timer")
+            self.timers.add(at)
+
+    class Mark:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return self.ms
+
+    def run(n):
+        handle, slots = Handle(), events.Slots(2.0)
+        slots.init(handle)
+        rows = [(f"s{k}", "ab"[k % 2], kind, at, at * n + k) for at, kind in ((1, "BEGIN"), (2, "FINISH"), (3, "ERROR"), (9, "FINISH")) for k in range(n)]
+        part = pd.DataFrame([(s, i, kind, float(at), seq) for s, i, kind, at, seq in rows], columns=["slot_key", "item_type", "type", "time", "seq"])
+        list(slots.handleInputRows((0,), iter([part]), Mark(0)))
+        out = []
+        for ms in (2500, 4500, 8000, events.BEYOND_MS):
+            if any(t <= ms for t in handle.timers):
+                handle.timers = {t for t in handle.timers if t > ms}
+                out += [r for frame in slots.handleExpiredTimer((0,), Mark(ms), None) for r in frame.itertuples(index=False, name=None)]
+        return sorted(out), len(handle.calls)
+
+    (few, calls), (many, more) = run(3), run(300)
+    assert few == sorted(r for k in range(3) for r in ((f"s{k}", "ab"[k % 2], 2, 2.0, "evicted"), (f"s{k}", "ab"[k % 2], 1, 0.0, "closed")))
+    assert len(many) == 600 and more == calls
+
+
+def test_slot_stream_with_many_slots_in_a_bucket(spark, tmp_path):
+    import random
+
+    rng = random.Random(4)
+    data = [(rng.choice([*(f"s{k}" for k in range(25)), None]), rng.choice(["BEGIN", "FINISH", "ERROR", "OTHER", None]), rng.choice("abc"), rng.randint(4, 400) / 4, i) for i in range(500)]
+    data.sort(key=lambda r: r[3] + rng.random() * 3)  # late by less than the delay
+    table = spark.createDataFrame(data, "slot_key string, type string, item_type string, time double, seq long").withColumn("ts", F.timestamp_millis((F.col("time") * 1000).cast("long")))
+    place = {r[4]: k for k, r in enumerate(data)}
+    for k in range(3):
+        table.where(F.col("seq").isin([s for s, at in place.items() if at * 3 // len(data) == k])).coalesce(1).write.parquet(f"{tmp_path}/in/part={k}")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    store, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(store, events.ROCKSDB)
+    try:
+        with_room, close = events.closed(stream, "ts", "5 seconds", f"{tmp_path}/c")
+        out = events.run_available(events.slot_stream(with_room, 2.0, buckets=2), "slots", str(tmp_path), close)
+    finally:
+        spark.conf.set(store, before)
+    got = out.groupBy("slot_key", "item_type").agg(F.sum("n").alias("n"), F.sum("elapsed").alias("elapsed"))
+    want = events.slot_elapsed(table.fillna("", ["slot_key"]), 2.0).groupBy("slot_key", "item_type").agg(F.count("*").alias("n"), F.sum("elapsed").alias("elapsed"))
+    assert rows(got) == rows(want)
+    assert out.where("why = 'evicted'").count() > 0
+
+
 def test_bounded_label_samples(spark):
     """Samples are the rows of least hash; rates count the samples' rows only."""
     import hashlib
