@@ -33,8 +33,8 @@ def newest_n(spark, sf_dir):
 
 def _stream(spark, sf_dir):
     path = f"{sf_dir}/events.parquet"
-    folder, _, name = path.rpartition("/")
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", name).parquet(folder)
+    # A file stream takes folders or patterns; a pattern finds the table be it a file or a folder of files.
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/event[s].parquet")
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

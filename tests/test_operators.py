@@ -337,6 +337,18 @@ def test_slot_stream_with_many_slots_in_a_bucket(spark, tmp_path):
     assert out.where("why = 'evicted'").count() > 0
 
 
+def test_event_stream_reads_a_folder_of_files(spark, tmp_path):
+    from tessella.plans import events as plans
+
+    table = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    table.repartition(3).write.parquet(f"{tmp_path}/many/events.parquet")
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one/events.parquet").write_bytes(next((tmp_path / "many/events.parquet").glob("part-*.parquet")).read_bytes())
+    counted = lambda d, name: events.run_available(plans._stream(spark, f"{tmp_path}/{d}"), name, str(tmp_path)).count()
+    assert counted("many", "a") == table.count()
+    assert 0 < counted("one", "b") < table.count()
+
+
 def test_bounded_label_samples(spark):
     """Samples are the rows of least hash; rates count the samples' rows only."""
     import hashlib
