@@ -300,16 +300,17 @@ class Batch:
         part, mark = part[order], np.repeat(mark, n)[order]
         parts, begins = np.unique(part, return_index=True)
         names = [f"ᵍ{name}" for _, _, name in self.marks]
-        for k, own in zip(parts.tolist(), np.split(mark, begins[1:]) if len(parts) else [], strict=True):
-            told = "".join([names[i] for i in own.tolist()])
-            low_, high = int(bounds[k]), int(bounds[k + 1])
-            self.tokens[low_:high] = [t + told for t in self.tokens[low_:high]]
+        told = [names[i] for i in mark.tolist()]
+        begins = begins.tolist()
+        for low_, high, begin, end in zip(bounds[parts].tolist(), bounds[parts + 1].tolist(), begins, [*begins[1:], len(told)], strict=True):
+            own = "".join(told[begin:end])
+            self.tokens[low_:high] = [t + own for t in self.tokens[low_:high]]
         self.marks = []
 
     def text(self, k: int) -> str:
         """A sentence as it is now."""
         self._write()
-        return "".join([f"{t}⌉" for t in self.tokens[self.starts[k] : self.ends[k]]])
+        return "⌉".join([*self.tokens[self.starts[k] : self.ends[k]], ""])
 
 
 def labels_of(table: Table, sentences: list[str | None]) -> list[list[str] | None]:
@@ -384,8 +385,17 @@ def _passes(rules: DataFrame, each: int) -> list:
     return out + ([context.broadcast(Table(held))] if held else [])
 
 
+def counts_of(table: Table, sentences: list[str | None]) -> list[int | None]:
+    """How many names the sentences have after :func:`annotations_of`."""
+    return [None if s is None else s.count("ᵍ") for s in annotations_of(table, sentences)]
+
+
 def _udf(run, kind: str, table) -> object:
-    """A column function over Arrow batches: ``run`` with one compiled table."""
+    """A column function over Arrow batches: ``run`` with one compiled table.
+
+    Spark would move a condition on a deterministic function below its projection and run
+    the function for either; this one runs once a sentence.
+    """
 
     @F.pandas_udf(kind)
     def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -400,7 +410,7 @@ def _udf(run, kind: str, table) -> object:
         if held:
             yield pd.Series(run(table.value, held), dtype=object)
 
-    return column
+    return column.asNondeterministic()
 
 
 def labels(compact: Column, rules: DataFrame, each: int = RULES_EACH) -> Column:
@@ -416,3 +426,11 @@ def annotate(compact: Column, rules: DataFrame, each: int = RULES_EACH) -> Colum
     for table in _passes(rules, each):
         compact = _udf(annotations_of, "string", table)(compact)
     return compact
+
+
+def names_taken(compact: Column, rules: DataFrame, each: int = RULES_EACH) -> Column:
+    """How many names a sentence has after all rules in turn; null for a null sentence. Annotated sentences stay in their task."""
+    *first, last = _passes(rules, each) or [rules.sparkSession.sparkContext.broadcast(Table([]))]
+    for table in first:
+        compact = _udf(annotations_of, "string", table)(compact)
+    return _udf(counts_of, "int", last)(compact)

@@ -97,9 +97,10 @@ def html_section_texts(spark, sf_dir):
     return found.groupBy("page_id").agg(F.array_join(F.array_sort(F.collect_list("content")), "|").alias("items"))
 
 
-def _words(spark, sf_dir):
-    """doc_id, line and words of every line of the documents that has one."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", F.lower("t").alias("t"))
+def _words(spark, sf_dir, spread=False):
+    """doc_id, line and words of every line of the documents that has one; ``spread``: dealt to all tasks, as a file may be one task."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = (docs.repartition("doc_id") if spread else docs).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", F.lower("t").alias("t"))
     # Asking for a letter, not for the number of words: a filter on the words would make them twice.
     return lines.where(F.col("t").rlike("[a-z]")).select("doc_id", "line", F.regexp_extract_all("t", F.lit("[a-z]+"), F.lit(0)).alias("words"))
 
@@ -125,8 +126,8 @@ TOKENS = """d as (select doc_id, unnest(string_split(text, chr(10))) as t, gener
   s as (select doc_id, line, string_agg(token, '' order by pos) as compact from t group by doc_id, line)"""
 
 
-def _sentences(spark, sf_dir):
-    return _words(spark, sf_dir).select("doc_id", "line", F.array_join(F.transform("words", _token), "").alias("compact"))
+def _sentences(spark, sf_dir, spread=False):
+    return _words(spark, sf_dir, spread).select("doc_id", "line", F.array_join(F.transform("words", _token), "").alias("compact"))
 
 
 def compact_encode(spark, sf_dir):
@@ -179,13 +180,13 @@ def _benchmark_rules(spark, sf_dir):
 
 def rule_table_labels(spark, sf_dir):
     found = sequence_rules.labels(F.col("compact"), _benchmark_rules(spark, sf_dir))
-    return _sentences(spark, sf_dir).select("doc_id", "line", F.array_join(found, ",").alias("labels")).where("labels <> ''")
+    return _sentences(spark, sf_dir, spread=True).select("doc_id", "line", F.array_join(found, ",").alias("labels")).where("labels <> ''")
 
 
 def rule_table_annotation(spark, sf_dir):
     """The sentences that the benchmark's rules change, and how many names they take."""
-    s = _sentences(spark, sf_dir).withColumn("annotated", sequence_rules.annotate(F.col("compact"), _benchmark_rules(spark, sf_dir)))
-    return s.select("doc_id", "line", text.count_of(F.col("annotated"), "ᵍ").alias("n")).where("n > 0")
+    n = sequence_rules.names_taken(F.col("compact"), _benchmark_rules(spark, sf_dir))
+    return _sentences(spark, sf_dir, spread=True).select("doc_id", "line", n.alias("n")).where("n > 0")
 
 
 def matcher_basic(spark, sf_dir):

@@ -98,3 +98,20 @@ def test_a_rule_is_matched_in_all_sentences_at_once(monkeypatch):
     assert sr.labels_of(sr.Table(rules), sentences) == [sorted({n for r, n in rules if re.search(sequence_pattern(r), s)}) for s in sentences]
     assert sr.annotations_of(sr.Table(rules), sentences) == [marked(s, rules) for s in sentences]
     assert not called
+
+
+def test_a_sentence_is_matched_once_where_the_result_has_a_condition(spark):
+    """A condition on the result must not run the rules again below it; names are counted where they are written."""
+    rules = {"a|b": "p", "a|○○|c": ["g", "ab"], ".*ab": "seen"}
+    pairs = [(r, n) for r, names in rules.items() for n in ([names] if isinstance(names, str) else names)]
+    rng = random.Random(4)
+    sentences = [sentence(rng) for _ in range(40)] + [None, "", "no token"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sentences)], "i int, c string")
+    table = sr.rules_from(spark, rules)
+    for each, passes in ((5000, 1), (3, 2)):
+        for column in (sr.names_taken(F.col("c"), table, each), F.length(sr.annotate(F.col("c"), table, each)) - F.length("c")):
+            n = df.select("i", column.alias("n")).where("n > 0")
+            assert str(n._jdf.queryExecution().executedPlan()).count("ArrowEvalPython") <= passes
+        n = df.select("i", sr.names_taken(F.col("c"), table, each).alias("n"))
+        assert [r["n"] for r in n.orderBy("i").collect()] == [None if s is None else marked(s, pairs).count("ᵍ") for s in sentences]
+    assert df.select(sr.names_taken(F.col("c"), table.where("false")).alias("n")).where("n > 0").count() == 0
